@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.catalog.registry import query, t
+from quarry.catalog.sqlfrag import py_round
 from quarry.plans.next_product import next_product_rows
 
 FLAGS_SQL = """[CASE WHEN o_orderstatus='F' THEN 1 ELSE 0 END, CASE WHEN o_orderstatus='O' THEN 1 ELSE 0 END,
@@ -27,7 +28,7 @@ codes AS (SELECT o_orderpriority, CAST(row_number() OVER (ORDER BY o_orderpriori
           FROM (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority IS NOT NULL))
 SELECT e.o_custkey, e.o_orderkey, CAST(e.label AS INTEGER) AS label,
   ['st_F','st_O','st_P','pr_1','pr_2','pr_3','pr_4','pr_5'][e.label + 1] AS label_name,
-  round_even((least(greatest(coalesce(e.o_totalprice, 150000.0), 0.0), 600000.0) - 0.0) / 600000.0, 6) AS price_scaled,
+  {py_round("(least(greatest(coalesce(e.o_totalprice, 150000.0), 0.0), 600000.0) - 0.0) / 600000.0", 6)} AS price_scaled,
   codes.code AS priority_code,
   repeat('0,', 40 - len(lv.l)) || array_to_string(lv.l, ',') AS lags
 FROM e LEFT JOIN codes ON e.o_orderpriority = codes.o_orderpriority LEFT JOIN lv ON e.o_custkey = lv.o_custkey

@@ -27,11 +27,42 @@ def power_clip(c, a: float, b: float, p: float = 0.25) -> Column:
     return F.pow(F.greatest(_c(c) - F.lit(a), F.lit(0.0)) / F.lit(b), F.lit(p))
 
 
+def round_exact(c, digits: int) -> Column:
+    """Round a double to ``digits`` places as Python's ``round`` does: the exact binary value is
+    rounded, half-even only on exact ties.
+
+    ``bround`` decides on the shortest decimal text of the double, which differs when that text
+    ends in 5 but the binary value lies just below or above it. Those cases are settled by an
+    exact integer comparison of x = m * 2^e with the decimal midpoint, in decimal(38, 0).
+    """
+    x = _c(c).cast("double")
+    ax = F.abs(x)
+    scaled = ax.cast("decimal(38,18)") * F.lit(10 ** digits)
+    fl = F.floor(scaled)
+    text_tie = (scaled - fl) == F.lit(0.5)
+    e = (F.floor(F.log2(ax)) - 54).cast("int")
+    m = (ax / F.pow(F.lit(2.0), e)).cast("long").cast("decimal(38,0)")
+    lhs = m * F.lit(2 * 10 ** digits).cast("decimal(38,0)")
+    # 2^(-e) exactly as a product of two longs (a double -> decimal cast would go through
+    # the double's shortest text and drop digits)
+    a = F.least(-e, F.lit(62))
+    p2 = (F.pow(F.lit(2.0), a).cast("long").cast("decimal(38,0)")
+          * F.pow(F.lit(2.0), -e - a).cast("long").cast("decimal(38,0)")).cast("decimal(38,0)")
+    rhs = ((fl * 2 + 1).cast("decimal(38,0)") * p2).cast("decimal(38,0)")
+    sign = F.signum(x)
+    up = sign * (fl + 1).cast("double") / F.lit(10.0 ** digits)
+    down = sign * fl.cast("double") / F.lit(10.0 ** digits)
+    return (F.when(x.isNull() | F.isnan(x), x)
+            .when(text_tie & (lhs > rhs), up)
+            .when(text_tie & (lhs < rhs), down)
+            .otherwise(F.bround(x, digits)))
+
+
 def clip_scale(c, lo: float, hi: float, default: float, digits: int = 4) -> Column:
-    """Missing -> default, clip to [lo, hi], scale to [0, 1], round half-even to ``digits``."""
+    """Missing -> default, clip to [lo, hi], scale to [0, 1], round (``round_exact``) to ``digits``."""
     x = F.coalesce(_c(c).cast("double"), F.lit(float(default)))
     x = F.least(F.greatest(x, F.lit(float(lo))), F.lit(float(hi)))
-    return F.bround((x - F.lit(float(lo))) / F.lit(float(hi - lo)), digits)
+    return round_exact((x - F.lit(float(lo))) / F.lit(float(hi - lo)), digits)
 
 
 def case_map(c, mapping: dict, default=None) -> Column:
@@ -150,15 +181,18 @@ def left_pad(a, length: int, value=0) -> Column:
     return F.concat(pad, arr)
 
 
-def row_standardize(a) -> Column:
-    """Per row: subtract the vector's mean and divide by its population sd (sd 0 -> 1)."""
-    arr = F.transform(_c(a), lambda x: x.cast("double"))
-    n = F.size(arr)
-    mean = F.aggregate(arr, F.lit(0.0), lambda s, x: s + x) / n
-    var = F.aggregate(arr, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean)) / n
-    sd = F.sqrt(var)
-    sd = F.when(sd == 0, F.lit(1.0)).otherwise(sd)
-    return F.transform(arr, lambda x: (x - mean) / sd)
+def row_standardize(df, col: str, out: str):
+    """Per row: subtract the vector's mean and divide by its population sd (sd 0 -> 1).
+
+    Mean and sd are projected as columns first, so each is computed once per row rather than
+    once per element inside the lambda.
+    """
+    arr = F.transform(_c(col), lambda x: x.cast("double"))
+    step = df.withColumn("__a", arr).withColumn("__mu", F.aggregate("__a", F.lit(0.0), lambda s, x: s + x) / F.size("__a"))
+    step = step.withColumn("__sd", F.sqrt(F.aggregate("__a", F.lit(0.0), lambda s, x: s + (x - F.col("__mu")) * (x - F.col("__mu")))
+                                          / F.size("__a")))
+    sd = F.when(F.col("__sd") == 0, F.lit(1.0)).otherwise(F.col("__sd"))
+    return step.withColumn(out, F.transform("__a", lambda x: (x - F.col("__mu")) / sd)).drop("__a", "__mu", "__sd")
 
 
 def argmax(a) -> Column:

@@ -82,14 +82,15 @@ def base26(c, none_word: bool = False) -> Column:
     """Letters to a number: sum of (code - 64) * 26^k, the last letter having k = 0.
 
     'A' -> 1, 'Z' -> 26, 'AB' -> 28. Null gives null, or the code of the word 'None' when
-    ``none_word`` is set.
+    ``none_word`` is set. Exact in decimal(38, 0), i.e. up to 27 letters.
     """
     s = _c(c)
     if none_word:
         s = F.coalesce(s, F.lit("None"))
-    digits = F.transform(F.split(s, ""), lambda ch: (F.ascii(ch) - 64).cast("long"))
-    return F.when(s.isNull(), None).when(F.length(s) == 0, F.lit(0).cast("long")).otherwise(
-        F.aggregate(digits, F.lit(0).cast("long"), lambda acc, x: acc * 26 + x))
+    dec = "decimal(38,0)"
+    digits = F.transform(F.split(s, ""), lambda ch: (F.ascii(ch) - 64).cast(dec))
+    return F.when(s.isNull(), F.lit(None).cast(dec)).when(F.length(s) == 0, F.lit(0).cast(dec)).otherwise(
+        F.aggregate(digits, F.lit(0).cast(dec), lambda acc, x: (acc * 26 + x).cast(dec)))
 
 
 def join_names(c, sep: str = " ") -> Column:

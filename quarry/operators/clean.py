@@ -194,6 +194,14 @@ def check_clean(df: DataFrame) -> DataFrame:
     return df
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """count / mean / stddev / min / quartiles / max of every column (``DataFrame.summary``)."""
-    return df.summary()
+def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(column, count, mean, sd, min, max) of every numeric column, from one aggregate pass;
+    sd is the sample standard deviation, as in pandas ``describe``."""
+    cols = list(cols or numeric_columns(df))
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                             F.stddev_samp(x).alias("sd"), F.min(x).alias("min"), F.max(x).alias("max")).alias(c))
+    one = df.agg(*aggs)
+    return one.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("s")).select("s.*")
