@@ -22,3 +22,10 @@ def py_round(expr: str, digits: int) -> str:
             f"WHEN {near} AND {lhs} < {rhs} THEN {down} "
             f"WHEN {near} THEN (CASE WHEN CAST({k} AS HUGEINT) % 2 = 0 THEN {down} ELSE {up} END) "
             f"ELSE round({v}, {digits}) END)")
+
+
+def stable_round(expr: str, digits: int) -> str:
+    """DuckDB text: round through DECIMAL(30, 8) so float noise of either engine (an ulp
+    either side of a decimal tie) does not flip the last digit. Mirrors
+    ``catalog.present.stable_round``."""
+    return f"CAST(round(CAST(({expr}) AS DECIMAL(30,8)), {digits}) AS DOUBLE)"

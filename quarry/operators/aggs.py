@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.sequence import row_index
+
 
 def _stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str = "column",
            value: str = "value", cast: str | None = "string") -> DataFrame:
@@ -20,8 +22,32 @@ def _stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: s
         list(keep), list(cols), name, value)
 
 
+def median(df: DataFrame, group: str | Sequence[str] | None, col: str, out: str = "median") -> DataFrame:
+    """Exact median (mean of the two middle values for an even count) per group, nulls
+    skipped.
+
+    Built from a sliced ordered scan (position of each value inside its group) and the group
+    sizes, so a group holding a large share of the rows is never buffered in one task, as the
+    built-in ``median`` / ``percentile`` aggregate would do.
+    """
+    keys = [group] if isinstance(group, str) else list(group or [])
+    vals = df.select(*keys, F.col(col).alias("__x")).filter(F.col("__x").isNotNull())
+    if not keys:
+        vals = vals.withColumn("__all", F.lit(0))
+    k = keys or ["__all"]
+    pos = row_index(vals, ["__x"], "__pos", key=k)
+    n = vals.groupBy(*k).agg(F.count("*").alias("__n"))
+    mid = pos.join(n, on=k).filter((F.col("__pos") == F.floor((F.col("__n") - 1) / 2))
+                                   | (F.col("__pos") == F.ceil((F.col("__n") - 1) / 2)))
+    if keys:
+        return mid.groupBy(*k).agg(F.avg("__x").alias(out))
+    # a global aggregate: one row, null for empty input
+    return mid.agg(F.avg("__x").alias(out))
+
+
 def mean_median(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.avg(col).alias("mean"), F.median(col).alias("median"))
+    m = median(df, None, col).first()[0]
+    return df.agg(F.avg(col).alias("mean"), F.lit(m).cast("double").alias("median"))
 
 
 def group_target_mean(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
@@ -31,7 +57,7 @@ def group_target_mean(df: DataFrame, target: str, cols: Sequence[str]) -> DataFr
 
 
 def group_median(df: DataFrame, group: str | Sequence[str], col: str) -> DataFrame:
-    return df.groupBy(group).agg(F.median(col).alias("median"))
+    return median(df, group, col)
 
 
 def group_sum_having(df: DataFrame, group: str | Sequence[str], col: str, min_exclusive=0) -> DataFrame:
@@ -152,7 +178,7 @@ def vector_mean(df: DataFrame, group: Sequence[str], vec: str, out: str = "mean_
 
 
 def median_of_medians(df: DataFrame, group: str, col: str) -> DataFrame:
-    return group_median(df, group, col).agg(F.median("median").alias("median_of_medians"))
+    return median(group_median(df, group, col), None, "median", "median_of_medians")
 
 
 def minmax(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -> DataFrame:

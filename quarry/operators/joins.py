@@ -107,14 +107,18 @@ def fill_by_group_stat(df: DataFrame, group: str, col: str, stat: str = "median"
                        fallback: str = "median_of_groups") -> DataFrame:
     """Null in ``col`` -> the statistic of the row's group; a group with no value -> the median
     of the group statistics (or the global statistic)."""
-    fn = {"median": F.median, "mean": F.avg}[stat]
-    stats = df.groupBy(group).agg(fn(col).alias("__g"))
+    from quarry.operators.aggs import median
+    if stat == "median":
+        stats = median(df, group, col, "__g")
+    else:
+        stats = df.groupBy(group).agg(F.avg(col).alias("__g"))
     if fallback == "median_of_groups":
-        fb = stats.agg(F.median("__g").alias("__fb"))
+        fbv = median(stats, None, "__g", "__fb").first()["__fb"]
+    elif stat == "median":
+        fbv = median(df, None, col, "__fb").first()["__fb"]
     else:
-        fb = df.agg(fn(col).alias("__fb"))
-    # one row: a scalar
-    fbv = fb.first()["__fb"]
+        fbv = df.agg(F.avg(col)).first()[0]
+    # fbv: one statistic on the driver
     j = df.join(stats, on=group, how="left")
     return j.withColumn(col, F.coalesce(F.col(col), F.col("__g"), F.lit(fbv))).drop("__g")
 
@@ -147,3 +151,21 @@ def asof_snapshot(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     scanned = ordered_scan(stacked, ["__k"], ["__t", "__side", "__uid"],
                            [Scan("__snap", "last", F.col("__v"), current=False)], slice_rows=slice_rows)
     return scanned.filter(F.col("__isleft")).select(*lcols, F.col("__snap").alias(out))
+
+
+def match_on_grid(items: DataFrame, library: DataFrame, item_key: str, ref_key: str, grid: str, value: str,
+                  out: str = "sse") -> DataFrame:
+    """Sum of squared differences of every item against every library entry over a shared
+    grid: an equi-join on the grid index, then a sum per (item, ref).
+
+    Both sides are long tables (key, grid, value). Each item point meets one point per
+    library entry, so the work is items x library size: meant for a reference library (a
+    few pure spectra, one mean vector per class). The library is broadcast only when its row
+    count is under ``BROADCAST_ROWS``; otherwise both sides shuffle on the grid index.
+    """
+    lib = library.select(F.col(ref_key), F.col(grid), F.col(value).alias("__ly"))
+    if lib.count() <= BROADCAST_ROWS:
+        lib = F.broadcast(lib)
+    j = items.select(F.col(item_key), F.col(grid), F.col(value).alias("__iy")).join(lib, grid)
+    d = F.col("__iy") - F.col("__ly")
+    return j.groupBy(item_key, ref_key).agg(F.sum(d * d).alias(out))
