@@ -102,16 +102,17 @@ def bin_left(c, thresholds: Sequence[float], labels: Sequence) -> Column:
 
 
 def linear_int16(c, slope, intercept) -> Column:
-    """slope * v truncated toward zero, plus intercept, kept in the 16-bit range (saturating).
-
-    Works on a scalar column or, element-wise, on an array column (pass ``array=True`` via
-    :func:`linear_int16_array`).
-    """
-    v = _c(c).cast("double") * _c(slope).cast("double") if not isinstance(slope, (int, float)) \
-        else _c(c).cast("double") * F.lit(float(slope))
+    """16-bit unit conversion: v * slope truncated toward zero (skipped when slope is 1), plus
+    the intercept truncated to an integer; the result is kept in the 16-bit range (saturating
+    where 16-bit arithmetic would wrap)."""
+    sl = F.lit(float(slope)) if isinstance(slope, (int, float)) else _c(slope).cast("double")
     inter = F.lit(float(intercept)) if isinstance(intercept, (int, float)) else _c(intercept).cast("double")
-    scaled = F.least(F.greatest(F.when(v < 0, F.ceil(v)).otherwise(F.floor(v)), F.lit(-32768.0)), F.lit(32767.0))
-    return F.least(F.greatest(scaled + inter, F.lit(-32768.0)), F.lit(32767.0)).cast("short")
+    v = _c(c).cast("double")
+    prod = v * sl
+    scaled = F.when(sl == 1.0, v).otherwise(F.when(prod < 0, F.ceil(prod)).otherwise(F.floor(prod)))
+    scaled = F.least(F.greatest(scaled, F.lit(-32768.0)), F.lit(32767.0))
+    it = F.when(inter < 0, F.ceil(inter)).otherwise(F.floor(inter))
+    return F.least(F.greatest(scaled + it, F.lit(-32768.0)), F.lit(32767.0)).cast("short")
 
 
 def linear_int16_array(arr, slope, intercept, sentinel: int | None = -2000) -> Column:
