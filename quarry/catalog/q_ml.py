@@ -40,3 +40,309 @@ def ml_knn(spark, d):
     nn = neighbors.knn(q.withColumnRenamed("vec_id", "qid"), p.withColumnRenamed("vec_id", "pid"), 10, "qid", "pid", "embedding")
     v = neighbors.knn_vote(nn, p.withColumnRenamed("vec_id", "pid"), "qid", "pid", "label")
     return v.select("qid", "pred")
+
+
+# ------------------------------------------------------------------ models and evaluation
+
+import pandas as pd  # noqa: E402
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier  # noqa: E402
+from pyspark.ml.evaluation import BinaryClassificationEvaluator  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+from pyspark.ml.tuning import ParamGridBuilder  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from quarry.functions.text import count_word  # noqa: E402
+from quarry.operators import aggs, evaluate, ml  # noqa: E402
+from quarry.operators.windows import fold_contiguous, fold_stratified  # noqa: E402
+
+DOC_FEATS = ["n_chars", "n_the", "is_en"]
+
+
+def _docs(spark, d):
+    docs = t(spark, d, "documents").select("doc_id", "n_chars", "lang", count_word("text", "the").alias("n_the"),
+                                           (F.col("lang") == "en").cast("int").alias("is_en"))
+    j = docs.join(t(spark, d, "labels"), "doc_id")
+    return ml.assemble(j, DOC_FEATS).withColumn("quality", F.col("quality").cast("double"))
+
+
+def _claims(spark, d):
+    li = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+                                        F.ln(F.col("l_extendedprice") + 200).alias("y"))
+    li = li.withColumn("is_valid", split_flag("l_orderkey", 0.2, seed="4"))
+    return ml.assemble(li, ["l_quantity", "l_discount", "l_tax", "l_linenumber"])
+
+
+def _emb(spark, d):
+    e = t(spark, d, "embeddings").withColumn("label", F.col("label").cast("double"))
+    return ml.assemble(e, ["embedding"])
+
+
+@query("ml_boost_reg")
+def ml_boost_reg(spark, d):
+    """Rows-only: boosted regression trees with early stopping on a validation flag."""
+    c = _claims(spark, d)
+    m = ml.boost_regressor(c, "y", rounds=10, depth=3, rate=0.3, validation="is_valid")
+    return m.transform(c).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("ml_boost_custom")
+def ml_boost_custom(spark, d):
+    """Rows-only: Newton boosting on the fair loss (user gradient and hessian), 5 rounds."""
+    c = _claims(spark, d)
+    trees, base, _ = ml.boost_custom(c, "y", rounds=5, depth=3, rate=0.3, checkpoint_every=5)
+    return ml.predict_custom(trees, base, c, rate=0.3).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("ml_boost_clf")
+def ml_boost_clf(spark, d):
+    """Rows-only: boosted binary classifier of document quality."""
+    docs = _docs(spark, d)
+    m = ml.boost_classifier(docs, "quality", rounds=10, depth=3)
+    return m.transform(docs).select("doc_id", "prediction", vector_to_array("probability")[1].alias("p1"))
+
+
+@query("ml_boost_multi")
+def ml_boost_multi(spark, d):
+    """Rows-only: one-vs-rest boosted trees over 10 classes, then the 3 best class names per row."""
+    from quarry.operators.ranking import top_k_names
+    e = _emb(spark, d)
+    m = ml.multiclass_boost(e, "label", rounds=5, depth=3)
+    s = m.transform(e).select("vec_id", vector_to_array("rawPrediction").alias("scores"))
+    return s.select("vec_id", top_k_names("scores", [f"class_{i}" for i in range(10)], 3).alias("top3"))
+
+
+@query("ml_logreg")
+def ml_logreg(spark, d):
+    """Rows-only: logistic regression coefficients."""
+    m = ml.logistic(_docs(spark, d), "quality", reg=0.01)
+    return ml.coefficient_table(m, DOC_FEATS, spark)
+
+
+@query("ml_coef_rank")
+def ml_coef_rank(spark, d):
+    """Rows-only: L1 logistic coefficients ranked by magnitude."""
+    m = ml.logistic(_docs(spark, d), "quality", reg=0.01, l1=1.0)
+    return ml.coefficient_table(m, DOC_FEATS, spark).select("feature", "coef")
+
+
+@query("ml_logreg_cv")
+def ml_logreg_cv(spark, d):
+    """Rows-only: logistic regression over penalties, L2 and L1, 3-fold CV (AUC)."""
+    docs = _docs(spark, d)
+    lr = LogisticRegression(labelCol="quality", featuresCol="features")
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1, 1.0]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
+    table, _ = ml.grid_cv(lr, grid, BinaryClassificationEvaluator(labelCol="quality"), docs, folds=3)
+    return table
+
+
+@query("ml_grid_cv")
+def ml_grid_cv(spark, d):
+    """Rows-only: forest grid over features-per-split with a fold column (stratified folds)."""
+    docs = fold_stratified(_docs(spark, d), "quality", "doc_id", 3, seed="2", out="fold")
+    rf = RandomForestClassifier(labelCol="quality", featuresCol="features", numTrees=10, seed=0)
+    grid = ParamGridBuilder().addGrid(rf.featureSubsetStrategy, ["sqrt", "all"]).build()
+    table, _ = ml.grid_cv(rf, grid, BinaryClassificationEvaluator(labelCol="quality"), docs, fold_col="fold")
+    return table
+
+
+@query("ml_linear_svc")
+def ml_linear_svc(spark, d):
+    """Rows-only: linear SVC predictions."""
+    docs = _docs(spark, d)
+    return ml.linear_svc(docs, "quality", reg=0.01).transform(docs).select("doc_id", "prediction")
+
+
+@query("ml_rbf_svc")
+def ml_rbf_svc(spark, d):
+    """Rows-only: RBF-kernel SVC by random Fourier features, balanced weights, Platt probabilities."""
+    e = _emb(spark, d).withColumn("label", (F.col("label") < 5).cast("double"))
+    apply = ml.rbf_svc(e, "label", dims=64, gamma=0.5)
+    return apply(e).select("vec_id", "p1")
+
+
+@query("ml_forest")
+def ml_forest(spark, d):
+    """Rows-only: random forest with balanced class weights."""
+    docs = ml.class_weights(_docs(spark, d), "quality", "w")
+    m = ml.forest(docs, "quality", trees=20, depth=5, weight="w")
+    return m.transform(docs).select("doc_id", "prediction")
+
+
+@query("ml_naive_bayes")
+def ml_naive_bayes(spark, d):
+    """Rows-only: Gaussian naive Bayes over 10 classes."""
+    e = _emb(spark, d)
+    return ml.naive_bayes(e, "label").transform(e).select("vec_id", "prediction")
+
+
+@query("ml_mlp_top")
+def ml_mlp_top(spark, d):
+    """Rows-only: dense softmax layers on feature vectors."""
+    e = _emb(spark, d)
+    return ml.mlp(e, "label", 64, 10, hidden=(32,), iters=30).transform(e).select("vec_id", "prediction")
+
+
+@query("ml_class_weight", """WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY quality)
+SELECT l.doc_id, round((SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) * c.n), 6) AS w FROM labels l JOIN c ON l.quality = c.quality""")
+def ml_class_weight(spark, d):
+    w = ml.class_weights(t(spark, d, "labels").select("doc_id", "quality"), "quality", "w")
+    return w.select("doc_id", F.round("w", 6).alias("w"))
+
+
+@query("ml_compare")
+def ml_compare(spark, d):
+    """Rows-only: several classifiers (including the extra candidates) with train and
+    hold-out accuracy."""
+    docs = _docs(spark, d)
+    f = split_flag("doc_id", 0.25, seed="1")
+    models = {"logistic": LogisticRegression(), "forest": RandomForestClassifier(numTrees=10, seed=0),
+              "boosted": GBTClassifier(maxIter=5, seed=0)}
+    return ml.compare(models, docs.filter(~f), docs.filter(f), "quality")
+
+
+@query("ml_fold_average")
+def ml_fold_average(spark, d):
+    """Rows-only: 3 contiguous folds, a boosted model per fold, test predictions averaged."""
+    c = _claims(spark, d)
+    train = fold_contiguous(c.filter(~F.col("is_valid")), ["l_orderkey", "l_linenumber"], 3)
+    test = c.filter("is_valid").withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return ml.fold_average(train, test, "fold", "key", lambda tr: ml.boost_regressor(tr, "y", rounds=5, depth=3, rate=0.3))
+
+
+@query("ml_stack")
+def ml_stack(spark, d):
+    """Rows-only: out-of-fold probabilities of two base models stacked by a logistic model."""
+    docs = fold_stratified(_docs(spark, d), "quality", "doc_id", 3, seed="5", out="fold")
+    bases = {"lr": LogisticRegression(regParam=0.01), "rf": RandomForestClassifier(numTrees=10, seed=0)}
+    return ml.stack(docs, "quality", "doc_id", "fold", bases).select("doc_id", "quality", "lr", "rf", "p_stack")
+
+
+@query("ml_segmented")
+def ml_segmented(spark, d):
+    """Rows-only: one logistic model per language, predictions recombined."""
+    docs = _docs(spark, d)
+
+    def fit_predict(part):
+        return ml.logistic(part, "quality", reg=0.1).transform(part).select("doc_id", "lang", "prediction")
+    return ml.segmented(docs, "lang", fit_predict)
+
+
+@query("ml_features_vote", """WITH m AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v FROM embeddings, range(1, 65) r(i) GROUP BY label, i),
+a AS (SELECT label, arg_max(i, (v, -i)) - 1 AS idx FROM m GROUP BY label)
+SELECT a.label, CAST(a.idx AS INTEGER) AS idx, n.n_name FROM a LEFT JOIN nation n ON n.n_nationkey = a.idx""")
+def ml_features_vote(spark, d):
+    from quarry.functions.numeric import argmax
+    e = t(spark, d, "embeddings")
+    mv = aggs.vector_mean(e, ["label"], "embedding", "mv").select("label", argmax("mv").cast("int").alias("idx"))
+    return mv.join(t(spark, d, "nation").select(F.col("n_nationkey").alias("idx"), "n_name"), "idx", "left")
+
+
+@query("ev_mae", f"""SELECT {sr('avg(abs((exp(ln(l_extendedprice + 200)) - 200) - (exp(ln(l_quantity * 1000 + 200)) - 200)))', 4)} AS mae FROM lineitem""")
+def ev_mae(spark, d):
+    li = t(spark, d, "lineitem").select(F.ln(F.col("l_extendedprice") + 200).alias("y"), F.ln(F.col("l_quantity") * 1000 + 200).alias("p"))
+    return evaluate.mae(li, "y", "p", inverse=lambda c: F.exp(c) - 200).select(stable_round("mae", 4).alias("mae"))
+
+
+@query("ev_report", """WITH pr AS (SELECT quality AS y, toxic AS p FROM labels),
+c AS (SELECT DISTINCT y AS cls FROM pr UNION SELECT DISTINCT p FROM pr),
+s AS (SELECT c.cls, (SELECT count(*) FROM pr WHERE y = c.cls AND p = c.cls) AS tp, (SELECT count(*) FROM pr WHERE y = c.cls) AS support,
+  (SELECT count(*) FROM pr WHERE p = c.cls) AS predicted FROM c)
+SELECT cls, round(CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END, 6) AS precision, round(CASE WHEN support > 0 THEN tp / support ELSE 0 END, 6) AS recall,
+  round(CASE WHEN tp > 0 THEN 2.0 * tp / (predicted + support) ELSE 0 END, 6) AS f1, support FROM s""")
+def ev_report(spark, d):
+    r = evaluate.class_report(t(spark, d, "labels"), "quality", "toxic")
+    return r.select("cls", *[F.round(c, 6).alias(c) for c in ["precision", "recall", "f1"]], "support")
+
+
+@query("ev_accuracy_loss", f"""WITH j AS (SELECT l.quality AS y, CASE WHEN d.n_chars > 2000 THEN 1 ELSE 0 END AS p,
+  1.0 / (1.0 + exp(-(d.n_chars - 2000) / 1000.0)) AS q FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+SELECT {sr('avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END)', 6)} AS accuracy,
+  {sr('avg(-(y * ln(least(greatest(q, 1e-15), 1 - 1e-15)) + (1 - y) * ln(1 - least(greatest(q, 1e-15), 1 - 1e-15))))', 6)} AS logloss FROM j""")
+def ev_accuracy_loss(spark, d):
+    j = t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id").select(
+        F.col("quality").alias("y"), (F.col("n_chars") > 2000).cast("int").alias("p"),
+        (1.0 / (1.0 + F.exp(-(F.col("n_chars") - 2000) / 1000.0))).alias("q"))
+    r = evaluate.accuracy_logloss(j, "y", "p", "q")
+    return r.select(stable_round("accuracy", 6).alias("accuracy"), stable_round("logloss", 6).alias("logloss"))
+
+
+@query("ev_recall", "SELECT round(sum(CASE WHEN quality = 1 AND toxic = 1 THEN 1 ELSE 0 END) / sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END), 6) AS recall FROM labels")
+def ev_recall(spark, d):
+    return evaluate.recall(t(spark, d, "labels"), "quality", "toxic").select(F.round("recall", 6).alias("recall"))
+
+
+@query("ev_map_k", f"""WITH r AS (SELECT vec_id, label, list_transform(list_slice(list_reverse_sort(list_transform(embedding, lambda x, i: {{'v': x, 'ni': -i}})), 1, 7),
+  lambda s: -s.ni - 1) AS top FROM embeddings),
+a AS (SELECT vec_id, coalesce(1.0 / list_position(top, label), 0.0) AS ap FROM r)
+SELECT {sr('avg(ap)', 6)} AS map_at_7 FROM a""")
+def ev_map_k(spark, d):
+    from quarry.functions.numeric import top_k_indices
+    e = t(spark, d, "embeddings").select(F.array("label").alias("actual"), top_k_indices("embedding", 7).alias("pred"))
+    return evaluate.map_at_k(e, "actual", "pred", 7).select(stable_round("map_at_7", 6).alias("map_at_7"))
+
+
+@query("ev_gini", """WITH j AS (SELECT doc_id, CAST(quality AS BIGINT) AS y, CAST(toxic AS DOUBLE) AS p FROM labels),
+w AS (SELECT y, coalesce(sum(1 - y) OVER (ORDER BY p DESC, doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS na FROM j),
+g AS (SELECT 1 - 2.0 * sum(y * na) / (sum(y) * (count(*) - sum(y))) AS gini FROM w),
+wy AS (SELECT y, coalesce(sum(1 - y) OVER (ORDER BY y DESC, doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS na FROM j),
+gy AS (SELECT 1 - 2.0 * sum(y * na) / (sum(y) * (count(*) - sum(y))) AS gini FROM wy)
+SELECT round(g.gini / gy.gini, 6) AS gini_norm, round(g.gini, 6) AS gini FROM g, gy""")
+def ev_gini(spark, d):
+    lab = t(spark, d, "labels").select("doc_id", F.col("quality").cast("long").alias("y"), F.col("toxic").cast("double").alias("p"))
+    r = evaluate.gini_score(lab, "y", "p", "doc_id")
+    return r.select(F.round("gini_norm", 6).alias("gini_norm"), F.round("gini", 6).alias("gini"))
+
+
+@F.pandas_udf(T.DecimalType(38, 0))
+def _encode_letters(s: pd.Series) -> pd.Series:
+    """Per-value Python helper (Arrow batches): letters -> base-26 number."""
+    from decimal import Decimal
+
+    def enc(v):
+        if v is None:
+            return None
+        r = 0
+        for ch in v:
+            r = r * 26 + (ord(ch) - 64)
+        return Decimal(r)
+    return s.map(enc)
+
+
+@query("udf_scalar", "SELECT p_partkey, CAST(list_reduce(list_transform(string_split(p_brand, ''), lambda x: CAST(ascii(x) - 64 AS HUGEINT)), lambda a, x: a * 26 + x) AS DECIMAL(38,0)) AS code FROM part")
+def udf_scalar(spark, d):
+    return t(spark, d, "part").select("p_partkey", _encode_letters("p_brand").alias("code"))
+
+
+@F.pandas_udf(T.DoubleType())
+def _pop_skew(v: pd.Series) -> float:
+    x = v.dropna().to_numpy(dtype=float)
+    if len(x) == 0:
+        return float("nan")
+    m2 = ((x - x.mean()) ** 2).mean()
+    return float(((x - x.mean()) ** 3).mean() / m2 ** 1.5) if m2 > 0 else float("nan")
+
+
+@query("udf_agg", f"""WITH m AS (SELECT c_mktsegment, avg(c_acctbal) AS mu FROM customer GROUP BY 1)
+SELECT c.c_mktsegment, {sr('avg(power(c_acctbal - mu, 3)) / power(avg(power(c_acctbal - mu, 2)), 1.5)', 6)} AS skew
+FROM customer c JOIN m ON c.c_mktsegment = m.c_mktsegment GROUP BY 1""")
+def udf_agg(spark, d):
+    r = t(spark, d, "customer").groupBy("c_mktsegment").agg(_pop_skew("c_acctbal").alias("skew"))
+    return r.select("c_mktsegment", stable_round("skew", 6).alias("skew"))
+
+
+@query("udf_table", """SELECT item_id, CAST(pos - 1 AS INTEGER) AS pos, word FROM (
+  SELECT item_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS pos FROM (SELECT item_id, string_split(text, ' ') AS w FROM benchmark))""")
+def udf_table(spark, d):
+    b = t(spark, d, "benchmark").select("item_id", F.split("text", " ").alias("w"))
+    return b.select("item_id", F.posexplode("w").alias("pos", "word")).withColumn("pos", F.col("pos").cast("int"))
+
+
+@query("udf_callbacks")
+def udf_callbacks(spark, d):
+    """Rows-only: a user metric (normalised Gini evaluator) scoring a fitted model."""
+    docs = _docs(spark, d)
+    m = ml.logistic(docs, "quality", reg=0.01)
+    g = ml.GiniEvaluator(labelCol="quality", rawPredictionCol="probability").evaluate(m.transform(docs))
+    return spark.createDataFrame([(float(g),)], "gini_norm double")
+
+
