@@ -150,13 +150,12 @@ def rbf_svc(train: DataFrame, label: str, features: str = "features", dims: int
         z = class_weights(z, label, "__w")
     svc = linear_svc(z, label, "rff", weight="__w" if balanced else None)
     margin = svc.transform(z).withColumn("__m", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
-    platt = LogisticRegression(labelCol=label, featuresCol="__m").fit(margin.drop("prediction", "probability"))
+    platt = LogisticRegression(labelCol=label, featuresCol="__m").fit(margin.drop("prediction", "rawPrediction"))
 
     def apply(df: DataFrame) -> DataFrame:
         s = svc.transform(random_fourier(df, features, dims, gamma, seed))
         s = s.withColumn("__m", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
-        return platt.transform(s.drop("prediction").withColumnRenamed("rawPrediction", "svm_raw")).withColumn(
-            "p1", vector_to_array("probability")[1])
+        return platt.transform(s.drop("prediction", "rawPrediction")).withColumn("p1", vector_to_array("probability")[1])
 
     return apply
 
