@@ -2,8 +2,8 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task. Here a
 key with more than ``slice_rows`` rows is cut into ordered slices at bounds of its leading order
-value (approximate quantiles, collected once: a few values per hot key). Every other key is a
-single slice. Each (key, slice) is scanned with an ordinary window; what a slice needs from the
+value (approximate quantiles, collected once: one bound per ``slice_rows`` rows). Every other
+key is a single slice; when no key is that large, one plain window per key is used. Each (key, slice) is scanned with an ordinary window; what a slice needs from the
 earlier slices of its key (a running total, the last non-null value) comes from a per-(key,
 slice) summary, at most one row per key and slice. The slice of a row is a pure function of the
 row and the collected bounds, so re-executed tasks and both sides of the final join agree.
@@ -53,39 +53,64 @@ def _sortable(c: Column, dtype: T.DataType) -> Column:
     return c.cast("double")
 
 
-def _slices(df: DataFrame, key: list[str], lead: Column, slice_rows: int) -> DataFrame:
-    """Add ``__slice``: 0 for ordinary keys; for a key with more than ``slice_rows`` rows, the
-    number of its bounds not above the row's leading order value."""
+def _slices(df: DataFrame, key: list[str], lead: Column, slice_rows: int) -> DataFrame | None:
+    """Add ``__slice`` (0 for ordinary keys, 1.. for the slices of keys with more than
+    ``slice_rows`` rows), or return None when no key is that large (then one window per key is
+    enough).
+
+    Slice bounds are approximate quantiles of the leading order value of each hot key (one
+    mergeable sketch per key, accuracy scaled to the number of slices). A hot key's rows map to
+    one number, key index + 0.5 * (lead - min) / (max - min), monotone in the lead within the key
+    and disjoint between keys, so a single ``Bucketizer`` (a binary search over all bounds) gives
+    every row its slice in O(log bounds).
+    """
+    from pyspark.ml.feature import Bucketizer
+
     keyed = df.withColumn("__lead", lead)
     if key:
-        counts = keyed.groupBy(*key).agg(F.count("*").alias("__n")).filter(F.col("__n") > slice_rows)
-        hot = counts.collect()
+        hot = keyed.groupBy(*key).agg(F.count("*").alias("__n")).filter(F.col("__n") > slice_rows).collect()
     else:
         n = keyed.count()
         hot = [{"__n": n}] if n > slice_rows else []
     if not hot:
-        return keyed.withColumn("__slice", F.lit(0))
-    rows = []
-    for h in hot:
-        k = max(2, -(-h["__n"] // slice_rows))
-        rows.append((tuple(h[c] for c in key), [i / k for i in range(1, k)]))
+        return None
+    spark = df.sparkSession
+    parts = max(-(-h["__n"] // slice_rows) for h in hot)
+    fracs = [i / parts for i in range(1, parts)] or [0.5]
+    accuracy = max(10_000, 4 * parts)
     if key:
-        spark = df.sparkSession
         schema = T.StructType([df.schema[c] for c in key])
-        hot_keys = spark.createDataFrame([r[0] for r in rows], schema)
-        fr_max = max(len(r[1]) for r in rows)
-        fracs = [i / (fr_max + 1) for i in range(1, fr_max + 1)]
-        # bounds of every hot key; at most (rows / slice_rows) keys, each with a few bounds
-        sub = keyed.join(F.broadcast(hot_keys), on=key, how="left_semi")
-        b = sub.groupBy(*key).agg(F.percentile_approx("__lead", fracs, 10000).alias("__bounds")).collect()
-        bounds = spark.createDataFrame([tuple(r[c] for c in key) + (list(r["__bounds"]),) for r in b],
-                                       T.StructType(list(schema.fields) + [T.StructField("__bounds", T.ArrayType(T.DoubleType()))]))
-        j = keyed.join(F.broadcast(bounds), on=key, how="left")
-        return j.withColumn("__slice", F.coalesce(F.size(F.filter("__bounds", lambda x: x <= F.col("__lead"))), F.lit(0))).drop("__bounds")
-    fr = rows[0][1]
-    bnds = keyed.agg(F.percentile_approx("__lead", fr, 10000)).first()[0]
-    arr = F.array(*[F.lit(float(x)) for x in bnds])
-    return keyed.withColumn("__slice", F.size(F.filter(arr, lambda x: x <= F.col("__lead"))))
+        hot_keys = F.broadcast(spark.createDataFrame([tuple(h[c] for c in key) for h in hot], schema))
+        sub = keyed.join(hot_keys, on=key, how="left_semi")
+        stats = sub.groupBy(*key).agg(F.min("__lead").alias("__lo"), F.max("__lead").alias("__hi"),
+                                      F.percentile_approx("__lead", fracs, accuracy).alias("__b")).collect()
+    else:
+        stats = [keyed.agg(F.min("__lead").alias("__lo"), F.max("__lead").alias("__hi"),
+                           F.percentile_approx("__lead", fracs, accuracy).alias("__b")).first()]
+    splits, idx_rows = set(), []
+    for j, r in enumerate(stats):
+        lo, hi = r["__lo"], r["__hi"]
+        span = (hi - lo) if (lo is not None and hi is not None and hi > lo) else 1.0
+        for b in r["__b"] or []:
+            splits.add(j + 0.5 * (b - (lo or 0.0)) / span)
+        idx_rows.append((tuple(r[c] for c in key), j, float(lo or 0.0), float(span)))
+    cuts = [float("-inf")] + sorted(splits) + [float("inf")]
+    if len(cuts) < 3:
+        cuts = [float("-inf"), 0.0, float("inf")]
+    if key:
+        idx_schema = T.StructType(list(schema.fields) + [T.StructField("__j", T.IntegerType()),
+                                                         T.StructField("__lo", T.DoubleType()),
+                                                         T.StructField("__span", T.DoubleType())])
+        idx = F.broadcast(spark.createDataFrame([k + (j, lo, sp) for k, j, lo, sp in idx_rows], idx_schema))
+        j = keyed.join(idx, on=key, how="left")
+    else:
+        _, jj, lo, sp = idx_rows[0]
+        j = keyed.withColumn("__j", F.lit(jj)).withColumn("__lo", F.lit(lo)).withColumn("__span", F.lit(sp))
+    comb = F.col("__j") + 0.5 * (F.coalesce(F.col("__lead"), F.col("__lo")) - F.col("__lo")) / F.col("__span")
+    j = j.withColumn("__comb", F.when(F.col("__j").isNotNull(), comb).otherwise(F.lit(-1.0)))
+    out = Bucketizer(splits=cuts, inputCol="__comb", outputCol="__bucket", handleInvalid="keep").transform(j)
+    return out.withColumn("__slice", F.when(F.col("__j").isNull(), F.lit(0)).otherwise(F.col("__bucket").cast("int") + 1)).drop(
+        "__j", "__lo", "__span", "__comb", "__bucket")
 
 
 def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan], descending: bool = False,
@@ -111,8 +136,23 @@ def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan],
     for i, s in enumerate(scans):
         base = base.withColumn(f"__v{i}", s.expr)
     sliced = _slices(base, key, lead, slice_rows)
-
     key_cols = [F.col(k) for k in key]
+
+    if sliced is None:
+        # no hot key: one window per key holds every row of the key in one task safely
+        w = Window.partitionBy(*key_cols).orderBy(*wcols)
+        out = base
+        for i, s in enumerate(scans):
+            frame = w.rowsBetween(Window.unboundedPreceding, 0 if s.current else -1)
+            v = F.col(f"__v{i}")
+            if s.kind == "sum":
+                out = out.withColumn(s.out, F.coalesce(F.sum(v).over(frame), F.lit(0)))
+            elif s.kind == "last":
+                out = out.withColumn(s.out, F.last(v, ignorenulls=True).over(frame))
+            else:
+                raise ValueError(f"unknown scan kind {s.kind}")
+        return out.drop(*[f"__v{i}" for i in range(len(scans))])
+
     w_in = Window.partitionBy(*key_cols, F.col("__slice")).orderBy(*wcols)
     summary_aggs = []
     for i, s in enumerate(scans):

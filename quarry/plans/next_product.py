@@ -32,11 +32,10 @@ def order_flags(orders: DataFrame, out: str = "flags") -> DataFrame:
 def priority_codes(orders: DataFrame) -> DataFrame:
     """(column, value, code) table for the priority column, codes in value order; the
     missing slot is code -1."""
-    idx = joins.index_dimension(orders.filter(F.col("o_orderpriority").isNotNull()), "o_orderpriority", "code")
-    codes = idx.select(F.lit("o_orderpriority").alias("column"), F.col("o_orderpriority").alias("value"),
-                       F.col("code").cast("int").alias("code"))
-    missing = orders.sparkSession.createDataFrame([("o_orderpriority", "-99", -1)], "column string, value string, code int")
-    return codes.unionByName(missing)
+    # the vocabulary of a code column is small by nature: collected once, sorted, numbered
+    values = sorted(r[0] for r in orders.select("o_orderpriority").filter(F.col("o_orderpriority").isNotNull()).distinct().collect())
+    rows = [("o_orderpriority", v, i) for i, v in enumerate(values)] + [("o_orderpriority", "-99", -1)]
+    return orders.sparkSession.createDataFrame(rows, "column string, value string, code int")
 
 
 def next_product_rows(orders: DataFrame, n_lags: int = 5) -> DataFrame:
