@@ -176,13 +176,13 @@ def agg_minmax(spark, d):
     return aggs.minmax(t(spark, d, "events"), ["value"], ["user_id"])
 
 
-@query("agg_histogram", """WITH s AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, (max(o_totalprice) - min(o_totalprice)) / 80 AS w FROM orders),
+@query("agg_histogram", f"""WITH s AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, (max(o_totalprice) - min(o_totalprice)) / 80 AS w FROM orders),
 b AS (SELECT CAST(least(floor((o_totalprice - s.lo) / s.w), 79) AS INTEGER) AS bin, count(*) AS n FROM orders, s GROUP BY 1)
-SELECT CAST(r.i AS INTEGER) AS bin, round(s.lo + r.i * s.w, 4) AS lo, round(s.lo + (r.i + 1) * s.w, 4) AS hi, coalesce(b.n, 0) AS count
+SELECT CAST(r.i AS INTEGER) AS bin, {sql_stable_round("s.lo + r.i * s.w", 3)} AS lo, {sql_stable_round("s.lo + (r.i + 1) * s.w", 3)} AS hi, coalesce(b.n, 0) AS count
 FROM range(0, 80) r(i) CROSS JOIN s LEFT JOIN b ON b.bin = r.i""")
 def agg_histogram(spark, d):
     h = aggs.histogram(t(spark, d, "orders"), "o_totalprice", 80)
-    return h.select("bin", F.round("lo", 4).alias("lo"), F.round("hi", 4).alias("hi"), "count")
+    return h.select("bin", stable_round("lo", 3).alias("lo"), stable_round("hi", 3).alias("hi"), "count")
 
 
 @query("agg_sse", """WITH lib AS (SELECT label, list(m ORDER BY i) AS mv FROM (
