@@ -50,6 +50,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.ml.tuning import ParamGridBuilder  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
+from pyspark import StorageLevel  # noqa: E402
 
 from quarry.functions.text import count_word  # noqa: E402
 from quarry.operators import aggs, evaluate, ml  # noqa: E402
@@ -62,7 +63,8 @@ def _docs(spark, d):
     docs = t(spark, d, "documents").select("doc_id", "n_chars", "lang", count_word("text", "the").alias("n_the"),
                                            (F.col("lang") == "en").cast("int").alias("is_en"))
     j = docs.join(t(spark, d, "labels"), "doc_id")
-    return ml.assemble(j, DOC_FEATS).withColumn("quality", F.col("quality").cast("double"))
+    # reused by every fit of a model search: kept in executor memory (spilling to disk)
+    return ml.assemble(j, DOC_FEATS).withColumn("quality", F.col("quality").cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _claims(spark, d):
@@ -200,6 +202,23 @@ def ml_compare(spark, d):
     return ml.compare(models, docs.filter(~f), docs.filter(f), "quality")
 
 
+@query("ml_base_unused")
+def ml_base_unused(spark, d):
+    """Rows-only: the candidate learners kept outside the ensemble -- AdaBoost (weighted-tree
+    loop), a forest with all features per split, boosted trees -- fitted and scored on a hold-out."""
+    docs = _docs(spark, d)
+    f = split_flag("doc_id", 0.25, seed="1")
+    train, valid = docs.filter(~f), docs.filter(f)
+    ada = ml.adaboost(train, "quality", rounds=3, depth=2, checkpoint_every=0)
+    rows = []
+    for name, scored in [("adaboost_train", ml.adaboost_predict(ada, train)), ("adaboost_valid", ml.adaboost_predict(ada, valid))]:
+        rows.append(scored.agg(F.lit(name).alias("model"), F.avg((F.col("prediction") == F.col("quality")).cast("double")).alias("accuracy")))
+    others = ml.compare({"forest_all": RandomForestClassifier(numTrees=10, featureSubsetStrategy="all", seed=0),
+                         "boosted": GBTClassifier(maxIter=5, seed=0)}, train, valid, "quality")
+    out = rows[0].unionByName(rows[1])
+    return out.unionByName(others.select(F.concat("model", F.lit("_valid")).alias("model"), F.col("valid_accuracy").alias("accuracy")))
+
+
 @query("ml_fold_average")
 def ml_fold_average(spark, d):
     """Rows-only: 3 contiguous folds, a boosted model per fold, test predictions averaged."""

@@ -78,12 +78,20 @@ def pipe_skew_repair(spark, d):
     return out
 
 
-@query("pipe_policy_features")
+@query("pipe_policy_features", """WITH li AS (SELECT nullif(l_orderkey, 0) AS l_orderkey, nullif(l_linenumber, 0) AS l_linenumber, nullif(l_quantity, 0) AS l_quantity, nullif(l_discount, 0) AS l_discount,
+  l_returnflag, l_linestatus, l_returnflag <> 'R' AS is_train FROM lineitem),
+v AS (SELECT DISTINCT l_linestatus AS val FROM li WHERE is_train AND l_linestatus IS NOT NULL)
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_returnflag, is_train, round(l_quantity * l_discount, 6) AS mult,
+  'l_linestatus_' || v.val AS "column", CAST(coalesce(l_linestatus = v.val, false) AS INTEGER) AS flag FROM li, v""")
 def pipe_policy_features(spark, d):
-    """Rows-only: sentinel 0 -> null, product feature, dropped columns, train-vocabulary one-hot."""
+    """Sentinel 0 -> null, product feature, dropped columns, one-hot with the training-row
+    vocabulary; the 0/1 columns are returned long (row, column, flag)."""
     li = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag",
                                         "l_linestatus", (F.col("l_returnflag") != "R").alias("is_train"))
-    return tabular.policy_features(li, ["l_tax"], ["l_quantity", "l_discount"], 0, ["l_linestatus"], "is_train")
+    wide = tabular.policy_features(li, ["l_tax"], ["l_quantity", "l_discount"], 0, ["l_linestatus"], "is_train")
+    cols = [c for c in wide.columns if c.startswith("l_linestatus_")]
+    keep = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "is_train"]
+    return wide.withColumn("mult", F.round("mult", 6)).unpivot(keep + ["mult"], cols, "column", "flag")
 
 
 @query("pipe_person_features")

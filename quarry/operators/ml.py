@@ -258,3 +258,38 @@ class GiniEvaluator(BinaryClassificationEvaluator):
         return True
 
 
+
+
+def adaboost(train: DataFrame, label: str, features: str = "features", rounds: int = 10, depth: int = 1,
+             checkpoint_every: int = 5):
+    """Binary AdaBoost (discrete, SAMME with two classes) as a loop of weighted decision trees:
+    each round fits a tree with the current row weights, alpha = ln((1 - err) / err), and
+    multiplies the weights of misclassified rows by exp(alpha). Returns [(tree, alpha)]."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    cur = train.withColumn("__w", F.lit(1.0))
+    models = []
+    for r in range(rounds):
+        tree = DecisionTreeClassifier(labelCol=label, featuresCol=features, weightCol="__w", maxDepth=depth).fit(cur)
+        scored = tree.setPredictionCol("__p").setRawPredictionCol("__raw").setProbabilityCol("__prob").transform(cur)
+        miss = (F.col("__p") != F.col(label)).cast("double")
+        tot = scored.agg(F.sum(F.col("__w") * miss).alias("e"), F.sum("__w").alias("w")).first()
+        err = (tot["e"] or 0.0) / (tot["w"] or 1.0)
+        if err <= 0 or err >= 0.5:
+            models.append((tree, 1.0 if err <= 0 else 0.0))
+            break
+        alpha = float(np.log((1 - err) / err))
+        models.append((tree, alpha))
+        cur = scored.withColumn("__w", F.col("__w") * F.exp(F.lit(alpha) * miss)).drop("__p", "__raw", "__prob")
+        if checkpoint_every and (r + 1) % checkpoint_every == 0:
+            cur = cur.checkpoint(eager=True)
+    return models
+
+
+def adaboost_predict(models, df: DataFrame, out: str = "prediction") -> DataFrame:
+    """Sign of the alpha-weighted vote of the trees (classes 0/1)."""
+    cur = df.withColumn("__score", F.lit(0.0))
+    for i, (tree, alpha) in enumerate(models):
+        cur = (tree.setPredictionCol("__p").setRawPredictionCol("__raw").setProbabilityCol("__prob").transform(cur)
+               .withColumn("__score", F.col("__score") + F.lit(alpha) * (2 * F.col("__p") - 1)).drop("__p", "__raw", "__prob"))
+    return cur.withColumn(out, (F.col("__score") > 0).cast("double")).drop("__score")
