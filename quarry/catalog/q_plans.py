@@ -48,6 +48,8 @@ def pipe_customer_encode(spark, d):
     c = t(spark, d, "customer").select("c_custkey", "c_mktsegment")
     wide = customer.customer_encode(c, "c_mktsegment", top=3)
     cols = [x for x in wide.columns if x.startswith("c_mktsegment_")]
+    if not cols:  # empty input: no vocabulary
+        return wide.select("c_custkey", F.lit(None).cast("string").alias("column"), F.lit(None).cast("int").alias("flag")).limit(0)
     return wide.unpivot(["c_custkey"], cols, "column", "flag")
 
 
@@ -91,7 +93,10 @@ def pipe_policy_features(spark, d):
     wide = tabular.policy_features(li, ["l_tax"], ["l_quantity", "l_discount"], 0, ["l_linestatus"], "is_train")
     cols = [c for c in wide.columns if c.startswith("l_linestatus_")]
     keep = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "is_train"]
-    return wide.withColumn("mult", F.round("mult", 6)).unpivot(keep + ["mult"], cols, "column", "flag")
+    wide = wide.withColumn("mult", F.round("mult", 6))
+    if not cols:  # empty training rows: no vocabulary
+        return wide.select(*keep, "mult", F.lit(None).cast("string").alias("column"), F.lit(None).cast("int").alias("flag")).limit(0)
+    return wide.unpivot(keep + ["mult"], cols, "column", "flag")
 
 
 @query("pipe_person_features")

@@ -132,7 +132,7 @@ FROM orders""")
 def dat_is_last(spark, d):
     o = t(spark, d, "orders")
     last = o.agg(F.max("o_orderdate")).first()[0]  # one statistic
-    start = dt.datetime(last.year, last.month, 1).strftime("%Y-%m-%d")
+    start = dt.datetime(last.year, last.month, 1).strftime("%Y-%m-%d") if last else "1900-01-01"
     return o.select("o_orderkey", F.coalesce(nm.is_month("o_orderdate", start), F.lit(False)).alias("is_last"))
 
 

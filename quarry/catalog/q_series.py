@@ -372,16 +372,20 @@ def web_best_first(spark, d):
     """Rows-only: best-first expansion over pages sharing link targets, 4 rounds from the
     page with the most 'the'."""
     counts = _page_counts(spark, d)
-    start = counts.orderBy(F.desc("count"), F.desc("url")).first()["url"]
-    return web.best_first(_page_graph(spark, d), counts, start, 4, hops=2)
+    top = counts.orderBy(F.desc("count"), F.desc("url")).first()
+    if top is None:
+        return counts.select(F.col("url").alias("node"), "count", F.lit(0).alias("round")).limit(0)
+    return web.best_first(_page_graph(spark, d), counts, top["url"], 4, hops=2)
 
 
 @query("web_threshold")
 def web_threshold(spark, d):
     """Rows-only: layered expansion keeping pages above the running mean count."""
     counts = _page_counts(spark, d)
-    start = counts.orderBy(F.desc("count"), F.desc("url")).first()["url"]
-    return web.expand_above_mean(_page_graph(spark, d), counts, start, 4, hops=2)
+    top = counts.orderBy(F.desc("count"), F.desc("url")).first()
+    if top is None:
+        return counts.select(F.col("url").alias("node"), F.lit(0).alias("layer"), "count").limit(0)
+    return web.expand_above_mean(_page_graph(spark, d), counts, top["url"], 4, hops=2)
 
 
 @query("web_errors", """WITH e AS (SELECT DISTINCT unnest(list_filter(regexp_extract_all(lower(html), 'href=[^"]*"([^"]*)"', 1), lambda x: strpos(x, '/') > 0)) AS node FROM pages),

@@ -144,7 +144,7 @@ def sink_csv_gzip(spark, d):
 def sink_named(spark, d):
     """Rows-only: a CSV written under a name holding the rounded score and a minute stamp."""
     o = t(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    score = o.agg(F.avg("o_totalprice")).first()[0]
+    score = o.agg(F.avg("o_totalprice")).first()[0] or 0.0
     base = io.store_path(spark, f"catalog/named/{abs(hash(d)) % 10 ** 8}")
     path = io.write_csv(o, io.named_sink_path(base, score / 1e5, dt.datetime(2024, 1, 1, 12, 30)))
     return io.read_csv(spark, path, "o_orderkey long, o_totalprice double").withColumn("file", F.lit(path.rsplit("/", 1)[-1]))

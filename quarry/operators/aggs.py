@@ -99,7 +99,7 @@ def null_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols or df.columns)
     one = df.agg(F.count("*").alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     long = one.unpivot(["__n"], cols, "column", "nulls")
-    return long.select("column", "nulls", (F.col("nulls") * 100.0 / F.col("__n")).alias("percent"))
+    return long.select("column", "nulls", F.when(F.col("__n") > 0, F.col("nulls") * 100.0 / F.col("__n")).alias("percent"))
 
 
 def skewness_of(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -222,8 +222,11 @@ def fill_chained(df: DataFrame, cols: Sequence[str], rounds: int = 6, checkpoint
     means = Stats.of(df, cols, [F.avg])
     cur = cur.select(*[F.coalesce(F.col(c), F.lit(means[c][0])).alias(c) if c in cols else F.col(c) for c in cur.columns])
     todo = [c for c in cols if means[c][0] is not None]
-    n_missing = cur.agg(*[F.sum(F.col(missing[c]).cast("long")).alias(c) for c in todo]).first().asDict()
-    todo = [c for c in todo if n_missing[c]]
+    if todo:
+        n_missing = cur.agg(*[F.sum(F.col(missing[c]).cast("long")).alias(c) for c in todo]).first().asDict()
+        todo = [c for c in todo if n_missing[c]]
+    if not todo:
+        return cur.drop(*missing.values())
     for _ in range(rounds):
         for c in todo:
             others = [o for o in cols if o != c]

@@ -22,6 +22,17 @@ from pyspark.sql import functions as F
 from quarry.functions.numeric import fair_grad, fair_hess
 
 
+class EmptyTraining(ValueError):
+    pass
+
+
+def require_rows(train: DataFrame, what: str = "training table") -> DataFrame:
+    """Raise a clear error before a fit on an empty table (Spark ML fails deep inside)."""
+    if train.isEmpty():
+        raise EmptyTraining(f"{what} is empty")
+    return train
+
+
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     """Numeric columns and/or numeric array columns -> one dense vector column (null -> NaN),
     built as one concatenated double array in a projection."""
@@ -47,6 +58,7 @@ def boost_regressor(train: DataFrame, label: str, features: str = "features", ro
                     validation: str | None = None, seed: int = 0):
     """Gradient-boosted trees; with a validation indicator column, boosting stops once the
     validation error stops improving."""
+    require_rows(train)
     gbt = GBTRegressor(labelCol=label, featuresCol=features, maxIter=rounds, maxDepth=depth, stepSize=rate,
                        subsamplingRate=subsample, featureSubsetStrategy=feature_share, seed=seed)
     if validation:
@@ -61,6 +73,7 @@ def boost_custom(train: DataFrame, label: str, features: str = "features", round
     -g/h with weights h (g, h = gradient and hessian at the current prediction) and adds it
     with shrinkage. Returns (trees, base, scored training table). Lineage is cut every few
     rounds with a reliable checkpoint."""
+    require_rows(train)
     base = train.agg(F.avg(label)).first()[0] or 0.0
     cur = train.withColumn("__pred", F.lit(float(base)))
     trees = []
@@ -85,17 +98,20 @@ def predict_custom(trees, base: float, df: DataFrame, rate: float = 0.1) -> Data
 
 def boost_classifier(train: DataFrame, label: str, features: str = "features", rounds: int = 50, depth: int = 4,
                      rate: float = 0.1, subsample: float = 0.8, seed: int = 0):
+    require_rows(train)
     return GBTClassifier(labelCol=label, featuresCol=features, maxIter=rounds, maxDepth=depth, stepSize=rate,
                          subsamplingRate=subsample, seed=seed).fit(train)
 
 
 def multiclass_boost(train: DataFrame, label: str, features: str = "features", rounds: int = 20, depth: int = 4):
     """One-vs-rest boosted trees: a score per class (rawPrediction), enough to rank classes."""
+    require_rows(train)
     return OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=depth), labelCol=label, featuresCol=features).fit(train)
 
 
 def forest(train: DataFrame, label: str, features: str = "features", trees: int = 50, depth: int = 8,
            per_split: str = "sqrt", weight: str | None = None, seed: int = 0):
+    require_rows(train)
     rf = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth,
                                 featureSubsetStrategy=per_split, seed=seed)
     if weight:
@@ -104,6 +120,7 @@ def forest(train: DataFrame, label: str, features: str = "features", trees: int
 
 
 def logistic(train: DataFrame, label: str, features: str = "features", reg: float = 0.0, l1: float = 0.0):
+    require_rows(train)
     return LogisticRegression(labelCol=label, featuresCol=features, regParam=reg, elasticNetParam=l1).fit(train)
 
 
@@ -115,6 +132,7 @@ def coefficient_table(model, names: Sequence[str], spark) -> DataFrame:
 
 
 def linear_svc(train: DataFrame, label: str, features: str = "features", reg: float = 0.0, weight: str | None = None):
+    require_rows(train)
     svc = LinearSVC(labelCol=label, featuresCol=features, regParam=reg)
     if weight:
         svc = svc.setWeightCol(weight)
@@ -161,11 +179,13 @@ def rbf_svc(train: DataFrame, label: str, features: str = "features", dims: int
 
 
 def naive_bayes(train: DataFrame, label: str, features: str = "features"):
+    require_rows(train)
     return NaiveBayes(labelCol=label, featuresCol=features, modelType="gaussian").fit(train)
 
 
 def mlp(train: DataFrame, label: str, n_in: int, n_classes: int, hidden: Sequence[int] = (64,),
         features: str = "features", iters: int = 100, seed: int = 0):
+    require_rows(train)
     return MultilayerPerceptronClassifier(labelCol=label, featuresCol=features, layers=[n_in, *hidden, n_classes],
                                           maxIter=iters, seed=seed).fit(train)
 
@@ -267,6 +287,7 @@ def adaboost(train: DataFrame, label: str, features: str = "features", rounds: i
     multiplies the weights of misclassified rows by exp(alpha). Returns [(tree, alpha)]."""
     from pyspark.ml.classification import DecisionTreeClassifier
 
+    require_rows(train)
     cur = train.withColumn("__w", F.lit(1.0))
     models = []
     for r in range(rounds):

@@ -45,11 +45,16 @@ def knn(queries: DataFrame, points: DataFrame, k: int, qid: str, pid: str, vec:
     pts = points.select(F.col(pid).alias("__pid"), _as_double(vec).alias("__v"))
     n = pts.count()
     m = cells or max(1, min(max_cells, int(math.sqrt(max(n, 1)))))
-    km = KMeans(k=m, seed=seed, maxIter=10, featuresCol="__f", predictionCol="__cell").fit(
-        pts.withColumn("__f", array_to_vector("__v")))
-    cent = np.array([np.asarray(c, dtype=float) for c in km.clusterCenters()])
-    m = len(cent)
-    pts = km.transform(pts.withColumn("__f", array_to_vector("__v"))).select("__pid", "__v", "__cell")
+    if n < 2 or m < 2:
+        # one cell: every point is a candidate of every query
+        first = pts.first()
+        cent = np.zeros((1, len(first["__v"]) if first else 1))
+        pts = pts.withColumn("__cell", F.lit(0))
+    else:
+        km = KMeans(k=m, seed=seed, maxIter=10, featuresCol="__f", predictionCol="__cell").fit(
+            pts.withColumn("__f", array_to_vector("__v")))
+        cent = np.array([np.asarray(c, dtype=float) for c in km.clusterCenters()])
+        pts = km.transform(pts.withColumn("__f", array_to_vector("__v"))).select("__pid", "__v", "__cell")
     bc = spark.sparkContext.broadcast(cent)
 
     @F.pandas_udf("array<double>")
