@@ -17,6 +17,10 @@ from quarry.operators.sequence import row_index
 from quarry.operators.windows import slice_spacing
 
 
+# target cells of one patient generated by one task before they are spread over tasks
+SPREAD_CELLS = 2_000_000
+
+
 def order_slices(slices: DataFrame, patient: str, z: str, ties: Sequence[str], fallback: str | None = None) -> DataFrame:
     """Slice index in z order per patient (a sliced scan; ``ties`` must make the order total),
     and the patient's slice spacing: |z of first - z of second|, or of the fallback location
@@ -48,8 +52,9 @@ def regrid(voxels: DataFrame, patient: str, axes: Sequence[str], spacing: Sequen
     new) (half-even, as NumPy rounds), actual new spacing = spacing * shape / new shape; every target cell takes the value
     of its nearest source cell (source index = round(t * (old - 1) / (new - 1)), order-0 zoom).
 
-    Shapes come from one grouped pass; target cells are generated per patient and joined to
-    the source voxels on their exact indices, so the work is proportional to the output.
+    Shapes come from one grouped pass; target cells are generated per patient (first axis, then
+    spread over tasks, then the other axes) and joined to the source voxels on their exact
+    indices, so the work is proportional to the output and no volume is expanded in one task.
     Returns (patient, t_axes..., value, and new spacing per axis).
     """
     axes, spacing = list(axes), list(spacing)
@@ -59,8 +64,16 @@ def regrid(voxels: DataFrame, patient: str, axes: Sequence[str], spacing: Sequen
         shapes = shapes.withColumn(f"__m_{a}", F.greatest(F.bround(F.col(f"__n_{a}") * F.col(f"__s_{s}") / F.lit(ns)), F.lit(1.0)).cast("int"))
         shapes = shapes.withColumn(f"spacing_{a}", F.col(f"__s_{s}") * F.col(f"__n_{a}") / F.col(f"__m_{a}"))
     cells = shapes
+    vol = None
     for a in axes:
+        vol = F.col(f"__m_{a}").cast("long") if vol is None else vol * F.col(f"__m_{a}")
+    largest = shapes.agg(F.max(vol)).first()[0] or 0  # one statistic over patients
+    for k, a in enumerate(axes):
         cells = cells.withColumn(f"t_{a}", F.explode(F.sequence(F.lit(0), F.col(f"__m_{a}") - 1)))
+        if k == 0 and len(axes) > 1 and largest > SPREAD_CELLS:
+            # one patient row would expand into its whole volume in one task: spread the first
+            # axis' rows over tasks before the other axes multiply them
+            cells = cells.repartition(patient, f"t_{a}")
         m, n = F.col(f"__m_{a}"), F.col(f"__n_{a}")
         src = F.when(m > 1, F.floor(F.col(f"t_{a}") * (n - 1) / (m - 1) + 0.5)).otherwise(F.lit(0))
         cells = cells.withColumn(a, src.cast("int"))
