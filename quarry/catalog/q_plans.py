@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quarry.catalog.registry import query, t
+from quarry.catalog.registry import query, t, tag as _tag
 from quarry.plans import customer, series, tabular
 from quarry.sources import io
 
@@ -58,8 +58,8 @@ def pipe_read_clean(spark, d):
     c = t(spark, d, "customer")
     c = c.select("c_custkey", "c_name", "c_nationkey", F.when(F.col("c_acctbal") < 0, F.lit("NA"))
                  .otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"), "c_mktsegment")
-    path = io.write_csv(c, io.store_path(spark, f"catalog/read_clean_csv/{abs(hash(d)) % 10 ** 8}"))
-    out = customer.read_clean_store(spark, path, f"catalog/read_clean/{abs(hash(d)) % 10 ** 8}", YEARS, t(spark, d, "orders"))
+    path = io.write_csv(c, io.store_path(spark, f"catalog/read_clean_csv/{_tag(d)}"))
+    out = customer.read_clean_store(spark, path, f"catalog/read_clean/{_tag(d)}", YEARS, t(spark, d, "orders"))
     return out.withColumn("bal", F.round("bal", 4))
 
 
@@ -68,7 +68,7 @@ def pipe_read_clean(spark, d):
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (SELECT o_custkey FROM k)""")
 def pipe_sample_store(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return customer.sample_store(o, f"catalog/sample_store/{abs(hash(d)) % 10 ** 8}", "o_custkey", 50, seed="3")
+    return customer.sample_store(o, f"catalog/sample_store/{_tag(d)}", "o_custkey", 50, seed="3")
 
 
 @query("pipe_skew_repair")

@@ -5,12 +5,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from quarry.catalog.registry import query, t
+from quarry.catalog.registry import query, t, tag as _tag
 from quarry.sources import io
 
 
 def _stage(spark, d, name):
-    return io.store_path(spark, f"catalog/{name}/{abs(hash(d)) % 10 ** 8}")
+    return io.store_path(spark, f"catalog/{name}/{_tag(d)}")
 
 
 @query("src_csv", "SELECT * FROM nation")
@@ -82,13 +82,13 @@ def src_csv_strings(spark, d):
 def src_chunks(spark, d):
     def fn(df):
         return df.select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
-    return io.transform_in_chunks(t(spark, d, "lineitem"), fn, f"catalog/chunks/{abs(hash(d)) % 10 ** 8}")
+    return io.transform_in_chunks(t(spark, d, "lineitem"), fn, f"catalog/chunks/{_tag(d)}")
 
 
 @query("src_dir")
 def src_dir(spark, d):
     """Rows-only: the files of a written tree listed by suffix, with the partition read from the path."""
-    path = io.write_store(t(spark, d, "nation"), f"catalog/nation_tree/{abs(hash(d)) % 10 ** 8}", partition_by=["n_regionkey"])
+    path = io.write_store(t(spark, d, "nation"), f"catalog/nation_tree/{_tag(d)}", partition_by=["n_regionkey"])
     files = io.list_files(spark, path, ".parquet")
     return files.select(F.regexp_extract("path", r"n_regionkey=(\d+)", 1).cast("int").alias("n_regionkey"), "length")
 
@@ -106,7 +106,7 @@ def src_nested_docs(spark, d):
     c = t(spark, d, "conversations")
     # the stand-in file: one document per conversation holding its turns (turn = position)
     docs = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("items"))
-    path = io.write_store(docs, f"catalog/nested/{abs(hash(d)) % 10 ** 8}")
+    path = io.write_store(docs, f"catalog/nested/{_tag(d)}")
     back = spark.read.parquet(path)
     e = io.explode_items(back, "conv_id", "items")
     return e.select("conv_id", F.col("turn").cast("int").alias("item_pos"), "role", "text")
@@ -114,15 +114,15 @@ def src_nested_docs(spark, d):
 
 @query("src_store", "SELECT * FROM supplier")
 def src_store(spark, d):
-    io.write_store(t(spark, d, "supplier"), f"catalog/store/supplier/{abs(hash(d)) % 10 ** 8}")
-    return io.read_store(spark, f"catalog/store/supplier/{abs(hash(d)) % 10 ** 8}")
+    io.write_store(t(spark, d, "supplier"), f"catalog/store/supplier/{_tag(d)}")
+    return io.read_store(spark, f"catalog/store/supplier/{_tag(d)}")
 
 
 @query("src_feature_cache", """SELECT vec_id, label, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 4) AS sq
 FROM embeddings""")
 def src_feature_cache(spark, d):
     e = t(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    cached = io.cache_features(e, f"catalog/features/{abs(hash(d)) % 10 ** 8}")
+    cached = io.cache_features(e, f"catalog/features/{_tag(d)}")
     return cached.select("vec_id", "label", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 4).alias("sq"))
 
 
@@ -145,7 +145,7 @@ def sink_named(spark, d):
     """Rows-only: a CSV written under a name holding the rounded score and a minute stamp."""
     o = t(spark, d, "orders").select("o_orderkey", "o_totalprice")
     score = o.agg(F.avg("o_totalprice")).first()[0] or 0.0
-    base = io.store_path(spark, f"catalog/named/{abs(hash(d)) % 10 ** 8}")
+    base = io.store_path(spark, f"catalog/named/{_tag(d)}")
     path = io.write_csv(o, io.named_sink_path(base, score / 1e5, dt.datetime(2024, 1, 1, 12, 30)))
     return io.read_csv(spark, path, "o_orderkey long, o_totalprice double").withColumn("file", F.lit(path.rsplit("/", 1)[-1]))
 

@@ -25,6 +25,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def tag(sf_dir: str) -> str:
+    """A stable short name for a data directory (stage folders of catalog queries)."""
+    import hashlib
+    return hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+
+
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name)
 
