@@ -150,7 +150,11 @@ class OneHot:
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], drop_source: bool = True, sep: str = "_") -> "OneHot":
         long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "c", "v")
-        rows = long.filter(F.col("v").isNotNull()).distinct().collect()
+        values = long.filter(F.col("v").isNotNull()).distinct()
+        n = values.count()
+        if n > MAX_ONEHOT_COLUMNS:
+            raise ValueError(f"{n} distinct values: use sparse_onehot for high-cardinality columns")
+        rows = values.collect()
         vocab: dict[str, list] = {c: [] for c in cols}
         for r in rows:
             vocab[r["c"]].append(r["v"])
@@ -165,6 +169,25 @@ class OneHot:
         return df.select(*keep, *new)
 
 
+# dense 0/1 columns are made up to this many values; beyond it use ``sparse_onehot``
+MAX_ONEHOT_COLUMNS = 10_000
+
+
+def sparse_onehot(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None, suffix: str = "_vec") -> DataFrame:
+    """High-cardinality one-hot: value -> index by frequency (``StringIndexer``, unseen and
+    null -> the extra slot), then a sparse 0/1 vector per column (``OneHotEncoder``). The
+    vocabulary stays in the fitted model, not in the table's width."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+
+    src = fit_on if fit_on is not None else df
+    idx_cols = [f"__i_{c}" for c in cols]
+    si = StringIndexer(inputCols=list(cols), outputCols=idx_cols, handleInvalid="keep",
+                       stringOrderType="frequencyDesc").fit(src)
+    enc = OneHotEncoder(inputCols=idx_cols, outputCols=[f"{c}{suffix}" for c in cols], handleInvalid="keep",
+                        dropLast=False).fit(si.transform(src))
+    return enc.transform(si.transform(df)).drop(*idx_cols)
+
+
 # ------------------------------------------------------------------ imputation
 
 def fill_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -91,3 +91,12 @@ def test_median_skew_safe(spark):
     df = spark.createDataFrame([(0 if i < 40 else i, float(i)) for i in range(60)], "g long, x double")
     got = {r["g"]: r["median"] for r in aggs.median(df, "g", "x").collect()}
     assert got[0] == 19.5 and got[45] == 45.0
+
+
+def test_sparse_onehot(spark):
+    from quarry.operators.features import sparse_onehot
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "c string")
+    out = sparse_onehot(df, ["c"]).collect()
+    sizes = {r["c_vec"].size for r in out}
+    assert sizes == {3}  # a, b and the slot for null / unseen
+    assert out[0]["c_vec"][0] == 1.0  # most frequent value first
