@@ -183,7 +183,8 @@ def sparse_onehot(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     idx_cols = [f"__i_{c}" for c in cols]
     si = StringIndexer(inputCols=list(cols), outputCols=idx_cols, handleInvalid="keep",
                        stringOrderType="frequencyDesc").fit(src)
-    enc = OneHotEncoder(inputCols=idx_cols, outputCols=[f"{c}{suffix}" for c in cols], handleInvalid="keep",
+    # the indexer already maps null and unseen values to its extra index
+    enc = OneHotEncoder(inputCols=idx_cols, outputCols=[f"{c}{suffix}" for c in cols], handleInvalid="error",
                         dropLast=False).fit(si.transform(src))
     return enc.transform(si.transform(df)).drop(*idx_cols)
 
