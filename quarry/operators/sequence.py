@@ -109,8 +109,8 @@ def _slices(df: DataFrame, key: list[str], lead: Column, slice_rows: int) -> Dat
     comb = F.col("__j") + 0.5 * (F.coalesce(F.col("__lead"), F.col("__lo")) - F.col("__lo")) / F.col("__span")
     j = j.withColumn("__comb", F.when(F.col("__j").isNotNull(), comb).otherwise(F.lit(-1.0)))
     out = Bucketizer(splits=cuts, inputCol="__comb", outputCol="__bucket", handleInvalid="keep").transform(j)
-    return out.withColumn("__slice", F.when(F.col("__j").isNull(), F.lit(0)).otherwise(F.col("__bucket").cast("int") + 1)).drop(
-        "__j", "__lo", "__span", "__comb", "__bucket")
+    return (out.withColumn("__slice", F.when(F.col("__j").isNull(), F.lit(0)).otherwise(F.col("__bucket").cast("int") + 1))
+            .withColumn("__hot", F.col("__j").isNotNull()).drop("__j", "__lo", "__span", "__comb", "__bucket"))
 
 
 def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan], descending: bool = False,
@@ -168,8 +168,10 @@ def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan],
         else:
             raise ValueError(f"unknown scan kind {s.kind}")
 
-    # one row per (key, slice): what a slice hands on to the later slices of its key
-    summary = sliced.groupBy(*key_cols, F.col("__slice")).agg(*summary_aggs)
+    # one row per (hot key, slice): what a slice hands on to the later slices of its key. Only
+    # hot keys have more than one slice, so the table has at most rows / slice_rows + hot keys
+    # rows: a bounded side, broadcast to the join below.
+    summary = sliced.filter(F.col("__hot")).groupBy(*key_cols, F.col("__slice")).agg(*summary_aggs)
     w_sl = Window.partitionBy(*key_cols).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
     for i, s in enumerate(scans):
@@ -177,9 +179,9 @@ def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan],
             carry_cols.append(F.sum(f"__t{i}").over(w_sl).alias(f"__c{i}"))
         else:
             carry_cols.append(F.last(f"__t{i}", ignorenulls=True).over(w_sl).alias(f"__c{i}"))
-    carry = summary.select(*key_cols, F.col("__slice"), *carry_cols)
+    carry = summary.select(*key_cols, F.col("__slice"), *carry_cols).filter(F.col("__slice") > 0)
 
-    out = sliced.join(carry, on=[*key, "__slice"], how="left")
+    out = sliced.join(F.broadcast(carry), on=[*key, "__slice"], how="left")
     for i, s in enumerate(scans):
         loc, car = F.col(f"__l{i}"), F.col(f"__c{i}")
         if s.kind == "sum":
@@ -188,7 +190,7 @@ def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan],
         else:
             val = F.coalesce(loc, car)
         out = out.withColumn(s.out, val)
-    drop = ["__slice", "__lead"] + [f"__{p}{i}" for i in range(len(scans)) for p in "vltc"]
+    drop = ["__slice", "__lead", "__hot"] + [f"__{p}{i}" for i in range(len(scans)) for p in "vltc"]
     return out.drop(*drop)
 
 
