@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from quarry.functions.numeric import micros_since
+
 from quarry.catalog.registry import query, t, tag as _tag
 from quarry.plans import customer, series, tabular
 from quarry.sources import io
@@ -144,7 +146,7 @@ def pipe_spectra_match(spark, d):
     from quarry.catalog.q_series import _spec_points
     pts = _spec_points(spark, d).drop("event_id")
     ev = t(spark, d, "events")
-    x = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / 1e6
+    x = micros_since("ts", "2024-01-01 00:00:00") / 1e6
     lib = ev.select(F.xxhash64("event_type").alias("label"), x.alias("x"), F.col("value").alias("y"))
     return series.spectra_match(pts, lib, "label", "x", "y", 5, 50, pure_threshold=5.0)
 

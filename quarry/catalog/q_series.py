@@ -11,6 +11,8 @@ Stand-in inputs (schemas only; the operators do all the work):
 
 from pyspark.sql import functions as F
 
+from quarry.functions.numeric import micros_since
+
 from quarry.catalog.present import stable_round
 from quarry.catalog.registry import query, t
 from quarry.catalog.sqlfrag import stable_round as sr
@@ -114,7 +116,7 @@ X_SQL = "((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1e6)"
 
 def _spec_points(spark, d):
     e = t(spark, d, "events")
-    x = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / 1e6
+    x = micros_since("ts", "2024-01-01 00:00:00") / 1e6
     return e.select(F.col("user_id").alias("label"), "event_id", x.alias("x"), F.col("value").alias("y"))
 
 
@@ -124,7 +126,7 @@ def _spec_points(spark, d):
 WHERE x IS NOT NULL AND y IS NOT NULL""")
 def spe_header_drop(spark, d):
     e = t(spark, d, "events")
-    x = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / 1e6
+    x = micros_since("ts", "2024-01-01 00:00:00") / 1e6
     line = F.concat(x.cast("string"), F.lit(" "), F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string")))
     return spectra.parse_lines(e.select(F.col("user_id").alias("label"), "event_id", line.alias("line")), "label", "line", "event_id")
 

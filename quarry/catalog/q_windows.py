@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from quarry.functions.numeric import micros_since
+
 from quarry.catalog.present import stable_round
 from quarry.catalog.registry import query, t
 from quarry.catalog.sqlfrag import stable_round as sround
@@ -159,7 +161,7 @@ b AS (SELECT s.event_type, s.t, s.sd, CAST(floor((m.tmax + 1) / 10) AS BIGINT) A
 SELECT event_type, CAST(t % bl AS BIGINT) AS "offset", {sround("avg(sd)", 4)} AS mean_spread FROM b WHERE t < bl * 10 GROUP BY 1, 2""")
 def win_block_mean(spark, d):
     e = t(spark, d, "events")
-    e = e.withColumn("t", F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / 3_600_000_000).cast("long"))
+    e = e.withColumn("t", F.floor(micros_since("ts", "2024-01-01 00:00:00") / 3_600_000_000).cast("long"))
     r = windows.block_profile(e, ["event_type"], "t", "value", 10)
     return r.select("event_type", "offset", stable_round("mean_spread", 4).alias("mean_spread"))
 

@@ -152,6 +152,13 @@ def is_month(c, month_start: str) -> Column:
     return F.date_trunc("month", _c(c)) == F.to_timestamp(F.lit(month_start))
 
 
+def micros_since(c, origin: str = "1970-01-01 00:00:00") -> Column:
+    """Microseconds from a wall-clock origin to a local (NTZ) timestamp, independent of the
+    session time zone."""
+    x = _c(c)
+    return F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit(origin)), x.cast("timestamp_ntz"))
+
+
 def format_ts(c, pattern: str = "yyyy-MM-dd-HH-mm") -> Column:
     return F.date_format(_c(c), pattern)
 

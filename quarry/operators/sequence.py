@@ -40,8 +40,11 @@ class Scan:
 
 def _sortable(c: Column, dtype: T.DataType) -> Column:
     """An order-preserving double for the leading order column (used only to place bounds)."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        # wall-clock micros: monotone whatever the session time zone
+        return F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), c).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(dtype, T.StringType):
