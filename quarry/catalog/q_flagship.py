@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quarry.catalog.registry import query, t
 from quarry.catalog.sqlfrag import py_round
-from quarry.plans.next_product import next_product_rows
+from quarry.plans.next_product import next_product_rows, rank_next_products
 
 FLAGS_SQL = """[CASE WHEN o_orderstatus='F' THEN 1 ELSE 0 END, CASE WHEN o_orderstatus='O' THEN 1 ELSE 0 END,
  CASE WHEN o_orderstatus='P' THEN 1 ELSE 0 END, CASE WHEN o_orderpriority='1-URGENT' THEN 1 ELSE 0 END,
@@ -36,3 +36,11 @@ FROM e LEFT JOIN codes ON e.o_orderpriority = codes.o_orderpriority LEFT JOIN lv
 def pipe_next_product(spark, d):
     rows = next_product_rows(t(spark, d, "orders"))
     return rows.withColumn("lags", lags_text("lags"))
+
+
+@query("pipe_next_product_rank")
+def pipe_next_product_rank(spark, d):
+    """Rows-only: next-product rows of orders up to 1999 train a forest; every customer's
+    state at its latest order is scored; the 8 most probable flags, best first."""
+    o = t(spark, d, "orders")
+    return rank_next_products(o.filter(F.year("o_orderdate") <= 1999), o, k=8)

@@ -55,3 +55,45 @@ def next_product_rows(orders: DataFrame, n_lags: int = 5) -> DataFrame:
                     F.element_at(names, F.col("label") + 1).alias("label_name"),
                     clip_scale("o_totalprice", 0.0, 600000.0, 150000.0, 6).alias("price_scaled"),
                     F.col("priority_code"), F.col("lags")))
+
+
+def customer_state(orders: DataFrame, n_lags: int = 5) -> DataFrame:
+    """Per customer, the features at its latest order: scaled price, priority code, the
+    lag vector of its last orders and the flags of its latest order (the snapshot the next
+    order is compared with)."""
+    width = len(FLAG_NAMES)
+    f = order_flags(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority",
+                                  "o_orderstatus"))
+    latest = f.groupBy("o_custkey").agg(F.max_by(F.struct("o_totalprice", "o_orderpriority", "flags"),
+                                                 F.struct("o_orderdate", "o_orderkey")).alias("__s"))
+    latest = latest.select("o_custkey", "__s.*")
+    lags = windows.lag_vector(f, ["o_custkey"], ["o_orderdate", "o_orderkey"], "flags", n_lags, width, last=True)
+    coded = joins.map_codes(latest, priority_codes(orders), "o_orderpriority", out="priority_code")
+    return coded.join(lags, "o_custkey", "left").select(
+        "o_custkey", clip_scale("o_totalprice", 0.0, 600000.0, 150000.0, 6).alias("price_scaled"),
+        F.col("priority_code"), F.col("lags"), F.col("flags").alias("prev_flags"))
+
+
+def rank_next_products(train_orders: DataFrame, test_orders: DataFrame, k: int = 8, trees: int = 20,
+                       depth: int = 6, seed: int = 0) -> DataFrame:
+    """The whole customer-history ranking: next-product rows of the training period (each
+    newly held flag a labelled row, features = static + lags + previous flags), a multi-class
+    forest over the flags, then for every customer of the test period the k most probable
+    flags of its next order, best first, joined by spaces: (o_custkey, added_products)."""
+    from quarry.operators import ml
+    from quarry.operators.ranking import top_k_names
+    from pyspark.ml.functions import vector_to_array
+
+    rows = next_product_rows(train_orders)
+    prev = order_flags(train_orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"))
+    prev = previous_row(prev, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["flags"], prefix="prev_")
+    prev = prev.select("o_orderkey", F.coalesce("prev_flags", F.array_repeat(F.lit(0), len(FLAG_NAMES))).alias("prev_flags"))
+    train = ml.assemble(rows.join(prev, "o_orderkey").withColumn("label", F.col("label").cast("double")),
+                        ["price_scaled", "priority_code", "lags", "prev_flags"])
+    model = ml.forest(train, "label", trees=trees, depth=depth, seed=seed)
+    test = ml.assemble(customer_state(test_orders), ["price_scaled", "priority_code", "lags", "prev_flags"])
+    probs = model.transform(test).select("o_custkey", vector_to_array("probability").alias("p"))
+    names = FLAG_NAMES[: len(FLAG_NAMES)]
+    # classes never seen in training have no probability slot: pad to the full flag list
+    padded = F.concat(F.col("p"), F.array_repeat(F.lit(-1.0), F.greatest(F.lit(len(names)) - F.size("p"), F.lit(0))))
+    return probs.select("o_custkey", top_k_names(padded, names, k).alias("added_products"))
