@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 from quarry.operators import aggs, joins
 
 
@@ -260,6 +262,6 @@ def fill_chained(df: DataFrame, cols: Sequence[str], rounds: int = 6, checkpoint
             pred = model.setPredictionCol("__p").transform(va.transform(cur))
             cur = pred.withColumn(c, F.when(F.col(missing[c]), F.col("__p")).otherwise(F.col(c))).drop("__f", "__p")
         if checkpoint:
-            cur = cur.checkpoint(eager=True)
+            cur = cut_lineage(cur)
     return cur.drop(*missing.values())
 

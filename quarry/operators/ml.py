@@ -19,6 +19,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 from quarry.functions.numeric import fair_grad, fair_hess
 
 
@@ -85,7 +87,7 @@ def boost_custom(train: DataFrame, label: str, features: str = "features", round
         trees.append(tree)
         cur = tree.setPredictionCol("__tp").transform(cur).withColumn("__pred", F.col("__pred") + rate * F.col("__tp")).drop("__tp")
         if checkpoint_every and (r + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint(eager=True)
+            cur = cut_lineage(cur)
     return trees, base, cur
 
 
@@ -303,7 +305,7 @@ def adaboost(train: DataFrame, label: str, features: str = "features", rounds: i
         models.append((tree, alpha))
         cur = scored.withColumn("__w", F.col("__w") * F.exp(F.lit(alpha) * miss)).drop("__p", "__raw", "__prob")
         if checkpoint_every and (r + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint(eager=True)
+            cur = cut_lineage(cur)
     return models
 
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 from quarry.functions.text import count_word, links
 from quarry.operators.sets import latest_per_key
 
@@ -42,7 +44,7 @@ def layers(edge: DataFrame, start, depth: int, src: str = "src", dst: str = "dst
         nxt = (frontier.select(F.col("node").alias("__s")).join(e, "__s").select("node").distinct()
                .join(seen.select("node"), "node", "left_anti").withColumn("layer", F.lit(d)))
         if checkpoint:
-            nxt = nxt.checkpoint(eager=True)
+            nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         seen = seen.unionByName(nxt)
@@ -78,7 +80,7 @@ def expand_above_mean(edge: DataFrame, counts: DataFrame, start, depth: int, src
         nxt = (_neighbors(frontier, e, hops)
                .join(res.select("node"), "node", "left_anti").join(c, "node", "left")
                .filter(F.col("count") > F.lit(mean)).withColumn("layer", F.lit(d)))
-        nxt = nxt.checkpoint(eager=True)
+        nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         res = res.unionByName(nxt)
@@ -107,7 +109,7 @@ def best_first(edge: DataFrame, counts: DataFrame, start, rounds: int, src: str
         one = spark.createDataFrame([(top["node"],)], f"node {dtype.simpleString()}")
         nxt = (_neighbors(one, e, hops).filter(F.col("node") != F.lit(top["node"])).join(c, "node")
                .filter(F.col("count") >= F.lit(best)).withColumn("round", F.lit(r)))
-        res = latest_per_key(res.unionByName(nxt), ["node"], "round").checkpoint(eager=True)
+        res = cut_lineage(latest_per_key(res.unionByName(nxt), ["node"], "round"))
     return res
 
 

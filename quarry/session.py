@@ -49,3 +49,10 @@ def stage_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written stage table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "stages", name)
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the session's checkpoint directory (``spark.checkpoint.dir``),
+    so a lost executor never forces recomputation of the whole history."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
