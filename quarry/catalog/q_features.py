@@ -116,9 +116,12 @@ def fe_fill_group_median(spark, d):
     return out.select("p_partkey", F.round("price", 4).alias("price"))
 
 
-@query("fe_fill_random")
+@query("fe_fill_random", """WITH p AS (SELECT p_partkey, CASE WHEN p_size < 5 THEN NULL ELSE p_retailprice END AS price FROM part),
+s AS (SELECT avg(price) - stddev_samp(price) AS lo, avg(price) + stddev_samp(price) AS hi FROM p)
+SELECT p_partkey, coalesce(price, CAST(floor(s.lo + (CAST(('0x' || substr(md5('3' || CAST(p_partkey AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0)
+  * (s.hi - s.lo)) AS DOUBLE)) AS price FROM p, s""")
 def fe_fill_random(spark, d):
-    """Rows-only: missing retail prices drawn in [mean - sd, mean + sd) from a hash of the key."""
+    """Missing retail prices drawn in [mean - sd, mean + sd) from md5 of the key."""
     p = t(spark, d, "part").select("p_partkey", F.when(F.col("p_size") < 5, None).otherwise(F.col("p_retailprice")).alias("price"))
     return fe.fill_random(p, "price", "p_partkey", seed=3)
 

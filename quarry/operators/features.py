@@ -211,14 +211,16 @@ def fill_group_median(df: DataFrame, group: str, col: str) -> DataFrame:
 
 
 def fill_random(df: DataFrame, col: str, key: str, seed: int = 0) -> DataFrame:
-    """Null -> integer drawn in [mean - sd, mean + sd) (sample sd); the draw is a hash of
-    (key, seed), so it repeats under any partitioning."""
+    """Null -> integer drawn in [mean - sd, mean + sd) (sample sd). The draw u in [0, 1) is the
+    first 8 hex digits of md5(seed || key) over 16^8, so it repeats under any partitioning and
+    in any engine with md5."""
     mu, sd = df.agg(F.avg(col), F.stddev_samp(col)).first()
     if mu is None:
         return df
     sd = sd or 0.0
     lo, hi = mu - sd, mu + sd
-    u = (F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(2 ** 31)) / F.lit(float(2 ** 31)))
+    h = F.substring(F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string"))), 1, 8)
+    u = F.conv(h, 16, 10).cast("double") / F.lit(float(16 ** 8))
     draw = F.floor(F.lit(lo) + u * F.lit(hi - lo))
     return df.withColumn(col, F.coalesce(F.col(col), draw.cast(df.schema[col].dataType)))
 
