@@ -140,9 +140,10 @@ def sink_csv_gzip(spark, d):
     return io.read_csv(spark, path, "o_orderkey long, o_orderpriority string")
 
 
-@query("sink_named")
+@query("sink_named", """SELECT o_orderkey, o_totalprice,
+  'submission_' || printf('%.6f', (SELECT avg(o_totalprice) FROM orders) / 1e5) || '_2024-01-01-12-30' AS file FROM orders""")
 def sink_named(spark, d):
-    """Rows-only: a CSV written under a name holding the rounded score and a minute stamp."""
+    """A CSV written under a name holding the rounded score and a minute stamp, read back."""
     o = t(spark, d, "orders").select("o_orderkey", "o_totalprice")
     score = o.agg(F.avg("o_totalprice")).first()[0] or 0.0
     base = io.store_path(spark, f"catalog/named/{_tag(d)}")
