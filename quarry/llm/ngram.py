@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import materialize
 from quarry.llm.files import map_array, write_array
-from quarry.llm.hashing import mix64, split_words, word_hashes
+from quarry.llm.hashing import mix64, word_hashes
 
 BEGIN = np.uint64(xxhash.xxh64_intdigest(b"begin of text", 1))
 FINAL = np.uint64(xxhash.xxh64_intdigest(b""))
@@ -54,7 +54,7 @@ _maps: dict = {}
 
 def tokens(text: bytes | None) -> np.ndarray:
     """Word hashes with A-Z in lower case, then the end token."""
-    return np.append(word_hashes(split_words(text.lower() if text else text)), FINAL)
+    return np.append(word_hashes(text.lower() if text else text), FINAL)
 
 
 def slices(texts: Iterator[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh, let, materialize, n_words, words
-from quarry.llm.hashing import mix64, sequence_hashes, split_words, word_hashes
+from quarry.llm.common import fresh, let, materialize, words
+from quarry.llm.hashing import mix64, sequence_hashes, word_hashes
 
 WINDOW = 20
 ANCHOR = 6
@@ -76,10 +76,11 @@ def anchors(texts: DataFrame) -> DataFrame:
         for b in batches:
             keys, ids, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for i, text in zip(b.column(0).to_pylist(), b.column(1)):
-                h = word_hashes(split_words(text.as_py()))
-                p = np.unique(anchor_of_windows(h))
+                h = word_hashes(text.as_py())
+                p = anchor_of_windows(h)  # ascending
                 if len(p):
-                    keys.append(sequence_hashes(h, ANCHOR)[p])
+                    p = p[np.r_[True, p[1:] != p[:-1]]]
+                    keys.append(sequence_hashes(h, ANCHOR, p))
                     ids.append(np.full(len(p), i, np.int64))
                     places.append(p)
             yield _occurrences(np.concatenate(keys), np.concatenate(ids), np.concatenate(places), True)
@@ -93,9 +94,11 @@ def windows(texts: DataFrame) -> DataFrame:
         for b in batches:
             keys, ids, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for i, text, at in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                h = word_hashes(split_words(text.as_py()))
-                p = np.flatnonzero(np.isin(anchor_of_windows(h), at.values.to_numpy()))
-                keys.append(sequence_hashes(h, WINDOW)[p])
+                h = word_hashes(text.as_py())
+                again = np.zeros(len(h), bool)
+                again[at.values.to_numpy()] = True
+                p = np.flatnonzero(again[anchor_of_windows(h)])
+                keys.append(sequence_hashes(h, WINDOW, p))
                 ids.append(np.full(len(p), i, np.int64))
                 places.append(p)
             yield _occurrences(np.concatenate(keys), np.concatenate(ids), np.concatenate(places), False)
@@ -151,7 +154,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(id, cuts): for each document with repeats the word ranges to remove, in order."""
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
     texts = docs.select(ident.alias("id"), F.col(text_col).cast("binary").alias("text"))
-    digests = docs.where(n_words(F.col(text_col)) >= WINDOW).select(ident.alias("id"), F.md5(F.array_join(words(F.col(text_col)), " ").cast("binary")).alias("digest"))
+    digest = let(words(F.col(text_col)), lambda w: F.when(F.size(w) >= WINDOW, F.md5(F.array_join(w, " ").cast("binary"))))
+    digests = docs.select(ident.alias("id"), digest.alias("digest")).where("digest is not null")
     first = digests.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = materialize(digests.join(first, "digest").where("id > first").select("id").distinct(), "rep-copies")
     places = grouped(anchors(texts), _met_again).join(copies, "id", "left_anti").groupBy("id").agg(F.collect_set("pos").alias("at"))
