@@ -20,6 +20,7 @@ file and gives no rows; other columns are not looked at.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,52 +39,68 @@ END_ID = 2
 MAX_BITS = 16
 BLOCK = 1024
 FILE_TEXT_BYTES = 32 << 20
-CACHE_PIECES = 400_000
+CACHE_PIECES = 800_000
+PIECES_AT_ONCE = 2000
+SPACE_MARK = "\u0120"  # how byte-level vocabularies write a space
+SLICE_CHARS = 4 << 20
+SLICE_IDS = 1 << 20
 MAGIC = b"CHUF0001"
-#: Texts in which a space touches other white space or an end, or that name the special token, are
-#: encoded whole; all others may be cut before each space, where the vocabulary's pattern cuts too.
-WHOLE = re.compile(r"\s |[ ]\s|^ | $|<\|endoftext\|>")
+#: A text with a piece that is empty, touches other white space or holds the special token is
+#: encoded whole; others are cut before each space, where the vocabulary's pattern cuts too.
+SPECIAL = "<|endoftext|>"
 
 _state: dict = {}
 
 
 def _tokenizer(path: str):
+    """The tokenizer, which of its tokens start with a space, and the pieces known so far."""
     if _state.get("path") != path:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel unit
         from tokenizers import Tokenizer
-        _state.update(path=path, tok=Tokenizer.from_file(path), seen={})
-    return _state["tok"], _state["seen"]
-
-
-def encode_texts(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each text. Pieces between lone spaces are encoded once and remembered (a bounded
-    number of them), which is exact: the vocabulary's pattern never joins over such a space."""
-    tok, seen = _tokenizer(path)
-    cut = [None if WHOLE.search(t) else t.split(" ") for t in texts]
-    new = {}
-    for parts in cut:
-        if parts:
-            new.update(dict.fromkeys(p for p in map(_lead, range(len(parts)), parts) if p not in seen))
-    if len(seen) + len(new) > CACHE_PIECES:
-        known = {p: seen[p] for parts in cut if parts for p in map(_lead, range(len(parts)), parts) if p in seen}
+        tok = Tokenizer.from_file(path)
+        spaced = np.array([(tok.id_to_token(i) or "").startswith(SPACE_MARK) for i in range(tok.get_vocab_size())])
+        _state.update(path=path, tok=tok, spaced=spaced, seen={})
+    return _state["tok"], _state["spaced"], _state["seen"]
+
+
+def encode_texts(path: str, texts: pa.StringArray) -> list[np.ndarray]:
+    """Ids of each text. The distinct words behind a lone space are encoded once, many in one text,
+    and remembered (a bounded number of them); this is exact, as the vocabulary's pattern cuts before
+    such a space, so a word's ids start at the only token of it that starts with a space."""
+    tok, spaced, seen = _tokenizer(path)
+    if len(seen) > CACHE_PIECES:
         seen.clear()
-        seen.update(known)
-    names = list(new)
-    for lo in range(0, len(names), 50_000):
-        part = names[lo:lo + 50_000]
-        for p, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)):
-            seen[p] = np.array(e.ids, np.uint32).tobytes()
-    out = []
-    for t, parts in zip(texts, cut):
-        if parts is None:
-            out.append(np.array(tok.encode(t, add_special_tokens=False).ids, np.uint32))
-        else:
-            out.append(np.frombuffer(b"".join([seen[p] for p in map(_lead, range(len(parts)), parts)]), np.uint32))
-    return out
-
-
-def _lead(k: int, part: str) -> str:
-    """The piece with the space before it, which all but the first piece have."""
-    return " " + part if k else part
+    pieces = pc.split_pattern(texts, " ")
+    coded = pieces.flatten().dictionary_encode()
+    code, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    size = pc.list_value_length(pieces).to_numpy()
+    at = np.cumsum(size) - size
+    later = np.ones(len(code), bool)
+    later[at] = False
+    used = np.zeros(len(names), bool)
+    used[code[later]] = True
+    new = [names[i] for i in np.flatnonzero(used) if names[i] not in seen]
+    odd = [p for p in new if p.strip() != p or not p or SPECIAL in p]
+    seen.update(dict.fromkeys(odd))
+    new = [p for p in new if p not in seen] if odd else new
+    for lo in range(0, len(new), PIECES_AT_ONCE):
+        some = new[lo:lo + PIECES_AT_ONCE]
+        ids = np.array(tok.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+        cut = np.append(np.flatnonzero(spaced[ids]), len(ids)) * 4
+        raw = ids.tobytes()
+        seen.update(zip(some, [raw[x:y] for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]))
+    known = [seen[n] if u else b"" for n, u in zip(names, used.tolist())]
+    is_odd = np.array([k is None for k in known], bool)
+    of_name = np.array([len(k or b"") // 4 for k in known], np.int64)
+    flat = np.frombuffer(b"".join([k or b"" for k in known]), np.uint32)
+    n = np.where(later, of_name[code], 0)
+    upto = np.r_[0, np.cumsum(n)]
+    tails = flat[np.repeat((np.cumsum(of_name) - of_name)[code] - upto[:-1], n) + np.arange(upto[-1])]
+    heads = [names[i] for i in code[at]]
+    whole = np.logical_or.reduceat(is_odd[code] & later, at) | np.array([h.strip() != h or not h or SPECIAL in h for h in heads], bool) if len(at) else np.empty(0, bool)
+    begun = tok.encode_batch_fast([texts[i].as_py() if w else h for i, (h, w) in enumerate(zip(heads, whole.tolist()))], add_special_tokens=False)
+    return [np.array(e.ids, np.uint32) if w else np.concatenate([np.array(e.ids, np.uint32), tails[x:y]])
+            for e, w, x, y in zip(begun, whole.tolist(), upto[at].tolist(), upto[at + size].tolist())]
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -172,20 +190,31 @@ def unpack_bits(data: bytes, bit_starts: np.ndarray, counts: np.ndarray, lengths
     return out
 
 
+def spans(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of rows of about ``most`` in all, one row at least."""
+    part = (np.cumsum(sizes) - sizes) // most
+    at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.empty(0, np.int64)
+    yield from zip(at.tolist(), [*at[1:].tolist(), len(sizes)])
+
+
 def tokenized(docs: DataFrame, tokenizer: str, bounds: list[int], id_col: str, text_col: str) -> DataFrame:
     """(part, doc_id, ids): the file a document goes to, and its ids with the end id, as bytes."""
     edges = np.array(bounds, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = encode_texts(tokenizer, [t or "" for t in b.column(1).to_pylist()])
-            rows = [np.append(x, np.uint32(END_ID)).astype("<u4") for x in ids]
-            key = b.column(0).fill_null((1 << 63) - 1).to_numpy()
-            lo, hi = np.searchsorted(edges, key, side="left"), np.searchsorted(edges, key, side="right")
-            # an id that fills whole ranges may go to any of them: ties have no order
-            part = lo + np.array([zlib.crc32(r) for r in rows], np.int64) % (hi - lo + 1) if len(rows) else lo
-            small = [r.astype("<u2").tobytes() if r.max() < 1 << 16 else b"\0" + r.tobytes() for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), b.column(0), pa.array(small, pa.binary())], ["part", "doc_id", "ids"])
+            for lo, hi in spans(pc.fill_null(pc.utf8_length(b.column(1)), 0).to_numpy(), SLICE_CHARS):
+                yield one(b.slice(lo, hi - lo))
+
+    def one(b: pa.RecordBatch) -> pa.RecordBatch:
+        ids = encode_texts(tokenizer, pc.fill_null(b.column(1), ""))
+        rows = [np.append(x, np.uint32(END_ID)).astype("<u4") for x in ids]
+        key = b.column(0).fill_null((1 << 63) - 1).to_numpy()
+        lo, hi = np.searchsorted(edges, key, side="left"), np.searchsorted(edges, key, side="right")
+        # an id that fills whole ranges may go to any of them: ties have no order
+        part = lo + np.array([zlib.crc32(r) for r in rows], np.int64) % (hi - lo + 1) if len(rows) else lo
+        small = [r.astype("<u2").tobytes() if r.max() < 1 << 16 else b"\0" + r.tobytes() for r in rows]
+        return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), b.column(0), pa.array(small, pa.binary())], ["part", "doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "part int, doc_id long, ids binary")
 
@@ -221,16 +250,18 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [_ids(r.as_py()) for r in b.column(2)]
-            if not rows:
-                continue
-            n = np.array([len(r) for r in rows])
-            starts = np.cumsum(n) - n
-            data, offsets, pos = pack_bits(np.concatenate(rows), starts, lengths, codes)
-            marks = [(pos[s:s + k:BLOCK] - o * 8).astype("<u4").tobytes() for s, k, o in zip(starts, n, offsets)]
-            coded = [data[x:y] for x, y in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(marks, pa.binary()), pa.array(coded, pa.binary())],
-                                             ["part", "doc_id", "n", "marks", "coded"])
+            for lo, hi in spans(pc.binary_length(b.column(2)).to_numpy() // 2, SLICE_IDS):
+                yield coded(b.slice(lo, hi - lo))
+
+    def coded(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [_ids(r.as_py()) for r in b.column(2)]
+        n = np.array([len(r) for r in rows])
+        starts = np.cumsum(n) - n
+        data, offsets, pos = pack_bits(np.concatenate(rows), starts, lengths, codes)
+        marks = [(pos[s:s + k:BLOCK] - o * 8).astype("<u4").tobytes() for s, k, o in zip(starts, n, offsets)]
+        bits = [data[x:y] for x, y in zip(offsets[:-1], offsets[1:])]
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(marks, pa.binary()), pa.array(bits, pa.binary())],
+                                          ["part", "doc_id", "n", "marks", "coded"])
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, null, n, marks, coded, part = [], [], [], [], [], None
@@ -250,8 +281,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
         write_bytes(path, f"part-{part:06d}.chuf", body)
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([sum(n)], pa.int64())], ["part", "n_docs", "n_tokens"])
 
-    coded = stage.mapInArrow(code, "part int, doc_id long, n long, marks binary, coded binary")
-    placed = coded.repartitionById(files, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.crc32("coded"))
+    bits = stage.mapInArrow(code, "part int, doc_id long, n long, marks binary, coded binary")
+    placed = bits.repartitionById(files, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.crc32("coded"))
     return materialize(placed.mapInArrow(save, "part int, n_docs long, n_tokens long"), "token-files")
 
 
