@@ -8,15 +8,18 @@ agree in a register with the probability Jaccard similarity of their weighted sh
 
 Banding: registers in 24 bands of 4. Texts at similarity 0.8 share no band with odds of 3e-6.
 Equal texts are one vertex from the start. Within a band's bucket the smallest member is compared
-with all members of other classes so far, by the exact similarity of the whole shingle lists; then
-it leaves the bucket, as all its pairs are settled, classes are joined, and the next member follows.
-After ``PIVOT_ROUNDS`` the pairs of a bucket that are still in different classes are compared
-outright, so no link is lost, and a large group of copies costs about one comparison a member.
+with all others by the exact similarity of the whole shingle lists, and classes are joined, so a
+large group of copies costs about one comparison a member. Buckets that still hold several classes
+are finished exactly: their lists meet in blocks of at most ``BLOCK`` texts, two blocks a task. The
+parts P and Q of the weights of two texts that lie in common shingles come from one matrix product,
+bound the similarity by 1 / (1/P + 1/Q - 1), and pairs of different classes that pass the bound are
+compared. A task returns the links that join classes, never its pairs.
 
 Classes are connected components by smallest label with pointer jumping, over Spark joins.
 
 Scale: texts are read twice (signatures; shingle lists of texts that share a bucket). A row a band
-and text is shuffled (24 longs), and hot buckets are only min-aggregated and joined.
+and text is shuffled (24 longs), and hot buckets are only min-aggregated and joined. A bucket
+of n texts makes (n / ``BLOCK``) squared tasks' worth of products and no row for a pair.
 
 Defined cases: null and blank texts are alone in their class; texts of one to four words have one
 shingle, all their words; texts with equal words are one class whatever their spacing; rows that
@@ -26,49 +29,60 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh, materialize, words
-from quarry.llm.hashing import mix64, sequence_hashes, split_words, word_hashes
+from quarry.llm.common import fresh, materialize
+from quarry.llm.hashing import mix64, sequence_hashes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-PIVOT_ROUNDS = 3
+BLOCK = 256
+COLUMNS = 4096
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingles(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes, sorted, and their counts."""
-    w = split_words(text)
-    if not w:
+    w = word_hashes(text)
+    if not len(w):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.unique(sequence_hashes(word_hashes(w), min(SHINGLE, len(w))), return_counts=True)
+    return np.unique(sequence_hashes(w, min(SHINGLE, len(w))), return_counts=True)
 
 
 def signature(h: np.ndarray, weight: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
-    """The shingle that arrives first at each register."""
+    """The shingle that arrives first at each register. Arrivals are drawn up to a time by which all
+    registers have one nearly always; where one has none, without that limit."""
+    for limit in (registers * (np.log(registers) + 4) / float(weight.sum()), np.inf):
+        first, who = _arrivals(h, weight, registers, limit)
+        if first.max() <= limit:
+            break
+    return who
+
+
+def _arrivals(h: np.ndarray, weight: np.ndarray, registers: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
     first, who = np.full(registers, np.inf), np.zeros(registers, np.uint64)
-    state, rate, t = h.copy(), weight.astype(np.float64), np.zeros(len(h))
+    state, rate, t = h, weight.astype(np.float64), np.zeros(len(h))
     with np.errstate(over="ignore"):
         while len(state):
             state = state + _STEP
             draw = mix64(state)
             t = t - np.log(((draw >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53) / rate
-            live = t < first.max()
-            if not live.all():
-                state, rate, t, draw, h = state[live], rate[live], t[live], draw[live], h[live]
+            live = np.flatnonzero(t <= min(limit, first.max()))
+            state, rate, t, draw, h = state[live], rate[live], t[live], draw[live], h[live]
             reg = (mix64(draw ^ _STEP) % np.uint64(registers)).astype(np.int64)
-            sooner = np.flatnonzero(t < first[reg])
-            sooner = sooner[np.lexsort((h[sooner], -t[sooner]))]  # the soonest is written last
+            sooner = np.flatnonzero((t < first[reg]) | ((t == first[reg]) & (h < who[reg])))
+            sooner = sooner[np.lexsort((~h[sooner], -t[sooner]))]  # the soonest is written last
             first[reg[sooner]], who[reg[sooner]] = t[sooner], h[sooner]
-    return who
+    return first, who
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
@@ -101,17 +115,16 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, digest, bands) of the texts that have words."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.md5(F.array_join(words(F.col(text_col)), " ").cast("binary")).alias("digest"),
-                      F.col(text_col).cast("binary").alias("text")).where("id is not null")
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).where("id is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, digests, bands = [], [], []
-            for i, d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            for i, text in zip(b.column(0).to_pylist(), b.column(1)):
                 h, n = shingles(text.as_py())
                 if len(h):
                     ids.append(i)
-                    digests.append(d)
+                    digests.append(hashlib.md5(b" ".join(text.as_py().split())).hexdigest())
                     bands.append(band_keys(signature(h, n)))
             flat = np.concatenate(bands) if bands else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS), pa.array(flat))
@@ -170,34 +183,84 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
+def joining(lists: list[tuple[np.ndarray, np.ndarray]], group: list[int], threshold: float) -> list[tuple[int, int]]:
+    """Pairs of places in ``lists`` at or above the threshold that connect the groups as far as any
+    such pairs do: each returned pair joins two groups that were apart until then."""
+    of, who = np.unique(np.concatenate([k for k, _ in lists]), return_inverse=True)
+    row = np.repeat(np.arange(len(lists)), [len(k) for k, _ in lists])
+    part = np.concatenate([w / w.sum() for _, w in lists])
+    shared = np.bincount(who, minlength=len(of)) > 1
+    column = np.cumsum(shared) - 1
+    keep = shared[who]
+    row, col, part = row[keep], column[who[keep]], part[keep]
+    order = np.argsort(col, kind="stable")
+    row, col, part = row[order], col[order], part[order]
+    common = np.zeros((len(lists), len(lists)))
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        x, y = np.searchsorted(col, [lo, lo + COLUMNS])
+        weight, there = (np.zeros((len(lists), COLUMNS), np.float32) for _ in range(2))
+        weight[row[x:y], col[x:y] - lo], there[row[x:y], col[x:y] - lo] = part[x:y], 1
+        common += weight @ there.T
+    with np.errstate(divide="ignore"):
+        bound = 1 / (1 / common + 1 / common.T - 1)
+    names = np.array(group)
+    a, b = np.nonzero(np.triu((bound >= threshold - 1e-4) & (names[:, None] != names), 1))
+    parent = {g: g for g in group}
+
+    def root(g: int) -> int:
+        while parent[g] != g:
+            parent[g] = g = parent[parent[g]]
+        return g
+
+    out = []
+    for i, j in zip(a.tolist(), b.tolist()):
+        p, q = root(group[i]), root(group[j])
+        if p != q and similarity(lists[i], lists[j]) >= threshold:
+            parent[q] = p
+            out.append((i, j))
+    return out
+
+
+def finished(members: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that join the classes of every bucket of (key, v, c) wherever texts of it do."""
+    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
+    mine = F.pmod(F.xxhash64("v"), F.col("nb")).cast("int")
+    dealt = members.join(blocks, "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    dealt = dealt.select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "v", "c")
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("v")
+        if pdf["c"].nunique() < 2:
+            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+        v = pdf["v"].tolist()
+        got = joining([_weighted(k, w) for k, w in zip(pdf["keys"], pdf["counts"])], pdf["c"].tolist(), threshold)
+        return pd.DataFrame({"a": [v[i] for i, _ in got], "b": [v[j] for _, j in got]}, dtype=np.int64)
+
+    return dealt.join(lists, "v").groupBy("key", "x", "y").applyInPandas(link, "a long, b long").distinct()
+
+
+def still_open(members: DataFrame, label: DataFrame) -> DataFrame:
+    """(key, v, c): members of the buckets that hold several classes."""
+    named = members.select("key", "v").join(label, "v", "left").select("key", "v", F.coalesce("c", "v").alias("c"))
+    several = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    return named.join(several, "key")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, class_id) of every distinct id with words: class_id is the smallest id of the class."""
     sig = materialize(signed(docs, id_col, text_col), "dup-signatures")
     texts = materialize(sig.groupBy("digest").agg(F.min("id").alias("v"), F.min("bands").alias("bands")), "dup-texts")
     shared = sig.groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi")  # ids with several texts
     linked = sig.join(shared, "id").join(texts, "digest").select(F.least("id", "v").alias("a"), F.greatest("id", "v").alias("b")).where("a <> b")
     rows = texts.select("v", F.explode("bands").alias("key"))
-    full = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = materialize(rows.join(full, "key"), "dup-members")
+    pivots = rows.groupBy("key").agg(F.min("v").alias("a"), F.max("v").alias("z")).where("a < z").select("key", "a")
+    members = materialize(rows.join(pivots, "key"), "dup-members")
     lists = materialize(shingled(docs, members.select("v").distinct(), id_col, text_col), "dup-lists")
-    edges, label = linked, None
-    for turn in range(pivot_rounds + 1):
-        named = members.withColumn("c", F.col("v")) if label is None else members.join(label, "v", "left").select("key", "v", F.coalesce("c", "v").alias("c"))
-        if label is not None:
-            several = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-            named = materialize(named.join(several, "key"), "dup-open")
-            if named.isEmpty():
-                break
-        if turn < pivot_rounds:
-            pivot = named.groupBy("key").agg(F.min(F.struct("v", "c")).alias("p")).select("key", F.col("p.v").alias("a"), F.col("p.c").alias("pc"))
-            others = named.join(pivot, "key").where("v <> a")
-            pairs = others.where("c <> pc").select("a", F.col("v").alias("b")).distinct()
-            members = materialize(others.select("key", "v"), "dup-members")
-        else:
-            x, y = named.alias("x"), named.alias("y")
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.v") < F.col("y.v")) & (F.col("x.c") != F.col("y.c"))).select(F.col("x.v").alias("a"), F.col("y.v").alias("b")).distinct()
-        edges = materialize(edges.union(verified(pairs, lists, threshold)), "dup-links")
-        label = components(edges)
+    edges = materialize(linked.union(verified(members.where("v <> a").select("a", F.col("v").alias("b")).distinct(), lists, threshold)), "dup-links")
+    label = components(edges)
+    more = materialize(finished(still_open(members, label), lists, threshold), "dup-links")
+    if not more.isEmpty():
+        label = components(edges.union(more))
     ids = sig.select("id", "digest").distinct().join(texts.select("digest", "v"), "digest").groupBy("id").agg(F.min("v").alias("v"))
     return ids.join(label, "v", "left").select("id", F.coalesce("c", "v").alias("class_id"))
 
