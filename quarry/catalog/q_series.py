@@ -234,12 +234,12 @@ def spe_convolve(spark, d):
 
 
 @query("spe_fft", f"""WITH d AS (SELECT vec_id, k, sum(CAST(embedding[i + 1] AS DOUBLE) * cos(2 * pi() * k * i / 64.0)) AS re,
-  sum(-CAST(embedding[i + 1] AS DOUBLE) * sin(2 * pi() * k * i / 64.0)) AS im FROM embeddings, range(0, 64) r(i), range(0, 8) q(k) GROUP BY ALL),
+  sum(-CAST(embedding[i + 1] AS DOUBLE) * sin(2 * pi() * k * i / 64.0)) AS im FROM embeddings, range(0, 64) r(i), range(0, 64) q(k) GROUP BY ALL),
 m AS (SELECT vec_id, k, CASE WHEN k = 0 THEN 0.0 ELSE sqrt(re * re + im * im) END AS mag FROM d)
 SELECT vec_id AS label, CAST(k AS INTEGER) AS k, {sr('mag / max(mag) OVER (PARTITION BY vec_id)', 6)} AS amp FROM m""")
 def spe_fft(spark, d):
     _, tst = _lib(spark, d)
-    f = spectra.fft_normalized(tst, "label", "i", "y", 64, 8)
+    f = spectra.fft_normalized(tst, "label", "i", "y", 64)
     return f.select("label", F.col("k").cast("int").alias("k"), stable_round("amp", 6).alias("amp"))
 
 

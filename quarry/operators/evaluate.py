@@ -37,8 +37,9 @@ def accuracy_logloss(df: DataFrame, y: str, p: str, prob: str | None = None, eps
 
 
 def recall(df: DataFrame, y: str, p: str, positive=1) -> DataFrame:
-    return df.agg((F.sum(((F.col(y) == positive) & (F.col(p) == positive)).cast("long"))
-                   / F.sum((F.col(y) == positive).cast("long"))).alias("recall"))
+    """Found share of the positives; null when there is none."""
+    found = F.sum(((F.col(y) == positive) & (F.col(p) == positive)).cast("long"))
+    return df.agg(F.try_divide(found, F.sum((F.col(y) == positive).cast("long"))).alias("recall"))
 
 
 def average_precision_at_k(actual: Column, predicted: Column, k: int = 7) -> Column:

@@ -132,7 +132,7 @@ class MaxScaler:
         return cls(Stats.of(df, cols, [F.max]))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.select(*[(F.col(c) / F.lit(self.maxima[c][0])).alias(c) if c in self.maxima else F.col(c)
+        return df.select(*[F.try_divide(F.col(c), F.lit(self.maxima[c][0])).alias(c) if c in self.maxima else F.col(c)
                            for c in df.columns])
 
 

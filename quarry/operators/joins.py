@@ -133,24 +133,24 @@ def asof_snapshot(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     the rows is cut into time slices handled by separate tasks, the carried value crossing
     slice boundaries through a per-(key, slice) summary (see ``sequence.ordered_scan``). Right rows sort before
     left rows at equal time when ``inclusive``, after them otherwise. Among right rows with the
-    same time the later one by ``__rid`` wins (input order is not meaningful; pass a tie column
+    same time the later one by ``__rid``, in its own type's order, wins (input order is not meaningful; pass a tie column
     in ``right`` named ``__rid`` to control it, default the value itself).
     """
     out = out or value_col
     lcols = left.columns
     l_ = left.select(*[F.col(c) for c in lcols], F.col(key).alias("__k"), F.col(left_ts).alias("__t"),
-                     F.lit(1 if inclusive else 0).alias("__side"), F.lit(None).cast("string").alias("__rid"),
+                     F.lit(1 if inclusive else 0).alias("__side"), F.lit(None).alias("__rid"),
                      F.lit(None).alias("__v").cast(right.schema[value_col].dataType), F.lit(True).alias("__isleft"))
-    tie = F.col("__rid") if "__rid" in right.columns else F.col(value_col).cast("string")
+    tie = F.col("__rid") if "__rid" in right.columns else F.col(value_col)
     r_ = right.select(F.col(key).alias("__k"), F.col(right_ts).alias("__t"),
-                      F.lit(0 if inclusive else 1).alias("__side"), tie.cast("string").alias("__rid"),
+                      F.lit(0 if inclusive else 1).alias("__side"), tie.alias("__rid"),
                       F.col(value_col).alias("__v"), F.lit(False).alias("__isleft"))
-    stacked = l_.unionByName(r_, allowMissingColumns=True)
-    # unique order inside a key: time, side, then a row identity
-    stacked = stacked.withColumn("__uid", F.coalesce(F.col("__rid"), F.lit("")))
-    scanned = ordered_scan(stacked, ["__k"], ["__t", "__side", "__uid"],
+    # a null key equals nothing: such left rows get null without taking part, such right rows go
+    stacked = l_.filter(F.col("__k").isNotNull()).unionByName(r_.filter(F.col("__k").isNotNull()), allowMissingColumns=True)
+    scanned = ordered_scan(stacked, ["__k"], ["__t", "__side", "__rid"],
                            [Scan("__snap", "last", F.col("__v"), current=False)], slice_rows=slice_rows)
-    return scanned.filter(F.col("__isleft")).select(*lcols, F.col("__snap").alias(out))
+    keyless = left.filter(F.col(key).isNull()).select(*lcols, F.lit(None).cast(right.schema[value_col].dataType).alias(out))
+    return scanned.filter(F.col("__isleft")).select(*lcols, F.col("__snap").alias(out)).unionByName(keyless)
 
 
 def match_on_grid(items: DataFrame, library: DataFrame, item_key: str, ref_key: str, grid: str, value: str,

@@ -1,28 +1,9 @@
-"""Exact k nearest neighbours without comparing every query with every point.
-
-Points are grouped into cells by k-means (``pyspark.ml``). For a query q whose nearest centroid
-is c0, every point p of another cell c is closer to c than to c0, so it lies on c's side of the
-bisecting hyperplane and
-
-    |q - p| >= (|q - c|^2 - |q - c0|^2) / (2 |c - c0|).
-
-The k-th distance found inside q's own cell bounds the search: only cells whose bound does not
-exceed it can hold a nearer point, and only those cells are joined with q. The result equals
-the brute-force answer (ties by point id); when q's own cell holds fewer than k points every
-cell is searched.
-
-The centroids (cells x dimensions, ``max_cells`` at most) are the only data on the driver;
-the centroid distance matrix is computed per Arrow batch with numpy.
-"""
+"""Exact k nearest neighbours by blocks, and the votes of the neighbours."""
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,69 +19,45 @@ def _as_double(c: str) -> Column:
     return F.transform(F.col(c), lambda x: x.cast("double"))
 
 
-def knn(queries: DataFrame, points: DataFrame, k: int, qid: str, pid: str, vec: str, cells: int | None = None,
-        max_cells: int = 1024, seed: int = 7) -> DataFrame:
-    """(qid, rank, pid, dist): the k nearest points of every query, rank 1 = nearest."""
-    spark = points.sparkSession
-    pts = points.select(F.col(pid).alias("__pid"), _as_double(vec).alias("__v"))
-    n = pts.count()
-    m = cells or max(1, min(max_cells, int(math.sqrt(max(n, 1)))))
-    if n < 2 or m < 2:
-        # one cell: every point is a candidate of every query
-        first = pts.first()
-        cent = np.zeros((1, len(first["__v"]) if first else 1))
-        pts = pts.withColumn("__cell", F.lit(0))
-    else:
-        km = KMeans(k=m, seed=seed, maxIter=10, featuresCol="__f", predictionCol="__cell").fit(
-            pts.withColumn("__f", array_to_vector("__v")))
-        cent = np.array([np.asarray(c, dtype=float) for c in km.clusterCenters()])
-        pts = km.transform(pts.withColumn("__f", array_to_vector("__v"))).select("__pid", "__v", "__cell")
-    bc = spark.sparkContext.broadcast(cent)
-
-    @F.pandas_udf("array<double>")
-    def centroid_dist(v: pd.Series) -> pd.Series:
-        c = bc.value
-        x = np.stack(v.to_numpy()) if len(v) else np.zeros((0, c.shape[1]))
-        d2 = (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :]
-        return pd.Series(list(np.sqrt(np.maximum(d2, 0.0))))
-
-    @F.pandas_udf("array<double>")
-    def cell_bounds(dc: pd.Series) -> pd.Series:
-        c = bc.value
-        n2 = (c * c).sum(1)
-        cc = np.sqrt(np.maximum(n2[:, None] - 2 * c @ c.T + n2[None, :], 0.0))
-        out = []
-        for row in dc.to_numpy():
-            row = np.asarray(row, dtype=float)
-            own = int(np.argmin(row))
-            sep = cc[own]
-            lb = np.zeros_like(row)
-            ok = sep > 0
-            lb[ok] = (row[ok] ** 2 - row[own] ** 2) / (2 * sep[ok])
-            # float noise must never prune a cell that could hold a neighbour
-            out.append(np.maximum(lb - 1e-9 * (1 + np.abs(lb)), 0.0))
-        return pd.Series(out)
-
-    q = queries.select(F.col(qid).alias("__qid"), _as_double(vec).alias("__qv"))
-    q = q.withColumn("__cd", centroid_dist("__qv"))
-    q = q.withColumn("__own", (F.array_position("__cd", F.array_min("__cd")) - 1).cast("int"))
-
-    w = Window.partitionBy("__qid").orderBy("__d", "__pid")
-    own = q.join(pts, q["__own"] == pts["__cell"]).select("__qid", "__pid", F.sqrt(sq_dist("__qv", "__v")).alias("__d"))
-    own_top = own.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k)
-    kth = own_top.groupBy("__qid").agg(F.count("*").alias("__n"), F.max("__d").alias("__dk"))
-    radius = F.when(F.col("__n") >= k, F.col("__dk")).otherwise(F.lit(float("inf")))
-
-    qb = q.join(kth, "__qid", "left").withColumn("__rad", F.coalesce(radius, F.lit(float("inf"))))
-    qb = qb.withColumn("__lb", cell_bounds("__cd"))
-    others = qb.select("__qid", "__qv", "__own", "__rad", F.posexplode("__lb").alias("__c", "__b"))
-    others = others.filter((F.col("__c") != F.col("__own")) & (F.col("__b") <= F.col("__rad")))
-    extra = others.join(pts, others["__c"] == pts["__cell"]).select("__qid", "__pid", F.sqrt(sq_dist("__qv", "__v")).alias("__d"))
-
-    cand = own_top.select("__qid", "__pid", "__d").unionByName(extra)
-    top = cand.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k)
-    return top.select(F.col("__qid").alias(qid), F.col("__r").cast("int").alias("rank"), F.col("__pid").alias(pid),
-                      F.col("__d").alias("dist"))
+def knn(queries: DataFrame, points: DataFrame, k: int, qid: str, pid: str, vec: str, block_rows: int = 2048,
+        query_rows: int = 256) -> DataFrame:
+    """(qid, rank, pid, dist): the k nearest points of every query, rank 1 = nearest, ties -> smaller pid.
+
+    Exact: rows are packed into blocks of about ``block_rows`` points and ``query_rows`` queries by
+    hash, every query block meets every point block in a task of its own, and only the k best of a
+    query and block leave it. The arithmetic is |queries| x |points|, with no row for a pair.
+    Null vectors take no part.
+    """
+    def blocks(df: DataFrame, key: str, rows: int, name: str, salt: int) -> tuple[DataFrame, int]:
+        ok = df.filter(F.col(vec).isNotNull())
+        n = max(1, -(-ok.count() // rows))
+        packed = F.collect_list(F.struct(F.col(key).alias("key"), _as_double(vec).alias("v"))).alias(name)
+        return ok.groupBy(F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(n)).alias(f"{name}_block")).agg(packed), n
+
+    pts, n = blocks(points, pid, block_rows, "p", 1)
+    qs, _ = blocks(queries, qid, query_rows, "q", 2)
+    pairs = qs.withColumn("p_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))).join(pts, "p_block")
+
+    def nearest(batches):
+        for pdf in batches:
+            for qrows, prows in zip(pdf["q"], pdf["p"]):
+                ids = np.array([r["key"] for r in prows])
+                p = np.stack([np.asarray(r["v"], float) for r in prows])
+                by_id = np.argsort(ids, kind="stable")
+                ids, p = ids[by_id], p[by_id]
+                found = []
+                for r in qrows:
+                    d = np.sqrt(((p - np.asarray(r["v"], float)) ** 2).sum(axis=1))
+                    near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
+                    near = near[np.argsort(d[near], kind="stable")][:k]
+                    found.append(pd.DataFrame({"qid": r["key"], "pid": ids[near], "dist": d[near]}))
+                yield pd.concat(found)
+
+    types = {n: df.schema[c].dataType.simpleString() for n, df, c in (("qid", queries, qid), ("pid", points, pid))}
+    best = pairs.select("q", "p").mapInPandas(nearest, f"qid {types['qid']}, pid {types['pid']}, dist double")
+    rank = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid"))
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select(
+        F.col("qid").alias(qid), F.col("rank").cast("int").alias("rank"), F.col("pid").alias(pid), "dist")
 
 
 def knn_vote(neighbors: DataFrame, labels: DataFrame, qid: str, pid: str, label: str) -> DataFrame:

@@ -62,9 +62,8 @@ def spectrum_fft(df: DataFrame, keys: Sequence[str], seq: str, value: str, n_fft
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(seq)
         x = np.zeros(n_fft)
-        idx = pdf[seq].to_numpy().astype(int)
-        ok = idx < n_fft
-        x[idx[ok]] = pdf[value].to_numpy(dtype=float)[ok]
+        # a sample past the period meets the same angles as the one n_fft before it
+        np.add.at(x, pdf[seq].to_numpy().astype(int) % n_fft, pdf[value].to_numpy(dtype=float))
         m = np.abs(np.fft.fft(x))
         m[0] = 0.0
         out = pd.DataFrame({"k": np.arange(n_fft, dtype="int32"), "mag": m})
@@ -104,17 +103,10 @@ def band_power_by_index(spec: DataFrame, keys: Sequence[str], bands: Sequence[tu
 
 
 def dyadic_bands(n: int) -> list[tuple[int, int]]:
-    """Halving index ranges: with l = floor(n / 2), levels = floor(log2 l); band j covers
-    [floor(l_j / 2) + 1, l_j) where l_top = l and each lower level halves it."""
-    ldat = n // 2
-    if ldat < 2:
-        return []
-    levels = int(math.floor(math.log(ldat, 2)))
-    out = []
-    for _ in range(levels):
-        out.append((ldat // 2 + 1, ldat))
-        ldat //= 2
-    return list(reversed(out))
+    """Octaves of an n-point spectrum, lowest first: each band ends, exclusively, at n over a power
+    of two and starts one bin above half its end."""
+    ends = [n >> shift for shift in range(1, n.bit_length()) if n >> shift > 1]
+    return [((end >> 1) + 1, end) for end in reversed(ends)]
 
 
 def band_entropy(bp: DataFrame, keys: Sequence[str], col: str = "band_power") -> DataFrame:
@@ -140,7 +132,7 @@ def edge_frequency(spec: DataFrame, keys: Sequence[str], fs: float, n_fft: int,
 def band_ratio(spec: DataFrame, keys: Sequence[str], col: str = "mag") -> DataFrame:
     """Power per bin and its share of the group's total."""
     tot = spec.groupBy(*keys).agg(F.sum(col).alias("__tot"))
-    return spec.join(tot, on=list(keys)).withColumn("share", F.col(col) / F.col("__tot")).drop("__tot")
+    return spec.join(tot, on=list(keys)).withColumn("share", F.try_divide(F.col(col), F.col("__tot"))).drop("__tot")
 
 
 def corr_eigen_per_group(df: DataFrame, group: Sequence[str], channel: str, seq: str, value: str,
@@ -175,7 +167,7 @@ def features(samples: DataFrame, series: str, channel: str, epoch: str, seq: str
     ck = [series, epoch, channel]
     spec = spectrum_fft(samples, ck, seq, value, n_fft)
     tot = spec.groupBy(series, epoch).agg(F.sum("mag").alias("__t"))
-    spec = spec.join(tot, [series, epoch]).withColumn("power", F.col("mag") / F.col("__t")).drop("__t")
+    spec = spec.join(tot, [series, epoch]).withColumn("power", F.try_divide(F.col("mag"), F.col("__t"))).drop("__t")
     ent = band_entropy(band_power(spec, ck, fs, n_fft, levels), ck)
     dyd = band_entropy(band_power_by_index(spec, ck, dyadic_bands(n_fft)), ck).withColumnRenamed("entropy", "dyadic_entropy")
     edge = edge_frequency(spec, ck, fs, n_fft)

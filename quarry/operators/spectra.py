@@ -95,7 +95,8 @@ def regrid(df: DataFrame, label: str, x: str, y: str, points: int = 3000) -> Dat
 
     Each segment [x_k, x_k+1) between consecutive points (found with a sliced scan, no per-label
     window) emits the grid indices that fall in it; the last point closes the grid. Output size
-    is exactly ``points`` per label, never segments x grid.
+    is exactly ``points`` per label, never segments x grid. A label with one place x has that x and
+    its y at every grid index.
     """
     ends = df.groupBy(label).agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
     nxt = ordered_scan(df.select(label, x, y), [label], [x],
@@ -104,14 +105,14 @@ def regrid(df: DataFrame, label: str, x: str, y: str, points: int = 3000) -> Dat
     seg = nxt.join(ends, label).withColumn("__step", (F.col("__hi") - F.col("__lo")) / F.lit(points - 1))
     nx, ny = F.col("__next.x"), F.col("__next.y")
     step = F.col("__step")
-    first = F.greatest(F.floor((F.col(x) - F.col("__lo")) / step) - 1, F.lit(0)).cast("int")
-    last = F.least(F.coalesce(F.ceil((nx - F.col("__lo")) / step) + 1, F.lit(points - 1)), F.lit(points - 1)).cast("int")
+    first = F.greatest(F.floor(F.try_divide(F.col(x) - F.col("__lo"), step)) - 1, F.lit(0)).cast("int")
+    last = F.least(F.coalesce(F.ceil(F.try_divide(nx - F.col("__lo"), step)) + 1, F.lit(points - 1)), F.lit(points - 1)).cast("int")
     cand = seg.withColumn("i", F.explode(F.sequence(first, F.greatest(first, last))))
     g = F.col("__lo") + F.col("i") * step
     g = F.when(F.col("i") == points - 1, F.col("__hi")).otherwise(g)
     inside = (g >= F.col(x)) & (nx.isNull() | (g < nx))
-    cand = cand.withColumn("__g", g).filter(inside & (nx.isNotNull() | (F.col("i") == points - 1)))
-    val = F.when(nx.isNull(), F.col(y)).otherwise(F.col(y) + (F.col("__g") - F.col(x)) * (ny - F.col(y)) / (nx - F.col(x)))
+    cand = cand.withColumn("__g", g).filter(inside & (nx.isNotNull() | (F.col("i") == points - 1) | (F.col("__lo") == F.col("__hi"))))
+    val = F.when(nx.isNull(), F.col(y)).otherwise(F.col(y) + F.try_divide((F.col("__g") - F.col(x)) * (ny - F.col(y)), nx - F.col(x)))
     return cand.select(label, F.col("i").cast("int").alias("i"), F.col("__g").alias(x), val.alias(y))
 
 

@@ -124,11 +124,11 @@ def hjorth(df: DataFrame, group: Sequence[str], order: Sequence, col: str,
             d2, agg, outer = d2.withColumn("__all", F.lit(0)), agg.withColumn("__all", F.lit(0)), ["__all"]
         g = d2.groupBy(*outer).agg(F.stddev_pop("__d1").alias("__s1g"))
         agg = agg.join(g, on=outer, how="left")
-        mob = F.col("__s1g") / F.col("__sx")
+        mob = F.try_divide(F.col("__s1g"), F.col("__sx"))
     else:
-        mob = F.col("__s1") / F.col("__sx")
+        mob = F.try_divide(F.col("__s1"), F.col("__sx"))
     agg = agg.withColumn("mobility", mob)
-    agg = agg.withColumn("complexity", F.col("__s2") / F.col("__s1") / F.col("mobility"))
+    agg = agg.withColumn("complexity", F.try_divide(F.try_divide(F.col("__s2"), F.col("__s1")), F.col("mobility")))
     return agg.select(*group, "activity", "mobility", "complexity")
 
 

@@ -4,6 +4,7 @@ pipe_read_clean, pipe_sample_store)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ def customer_clean(rows: DataFrame, years: Sequence[int], drop_bad_rows: bool =
     flag, urgency flag, status label, balance with negatives as missing filled by the nation
     median (median of medians when a nation has none), balance band; rows with a tiny total
     are dropped when ``drop_bad_rows``."""
-    r = rows.filter(F.year("o_orderdate").isin(list(years)))
+    spans = [(F.col("o_orderdate") >= f"{y:04d}-01-01") & (F.col("o_orderdate") < f"{y + 1:04d}-01-01") for y in years]
+    r = rows.filter(reduce(lambda a, b: a | b, spans))
     last = r.agg(F.max("o_orderdate")).first()[0]
     month_start = f"{last.year:04d}-{last.month:02d}-01" if last else "1900-01-01"
     r = r.select("o_orderkey", "c_custkey", "c_nationkey", "o_totalprice", "o_orderpriority", "o_orderstatus",
