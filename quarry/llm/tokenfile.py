@@ -40,7 +40,8 @@ MAX_BITS = 16
 BLOCK = 1024
 FILE_TEXT_BYTES = 32 << 20
 CACHE_PIECES = 800_000
-PIECES_AT_ONCE = 2000
+PIECES_AT_ONCE = 4000
+PIECES_A_ROW = 50
 SPACE_MARK = "\u0120"  # how byte-level vocabularies write a space
 SLICE_CHARS = 4 << 20
 SLICE_IDS = 1 << 20
@@ -48,6 +49,11 @@ MAGIC = b"CHUF0001"
 #: A text with a piece that is empty, touches other white space or holds the special token is
 #: encoded whole; others are cut before each space, where the vocabulary's pattern cuts too.
 SPECIAL = "<|endoftext|>"
+#: Stands for the ids of a piece whose text is encoded whole; no list of ids has one byte.
+ODD = b"\0"
+#: Latin letters, then marks: the vocabulary's pattern always cuts between them.
+MARKS = ".,;:!?$#*%&"
+MARKED = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([.,;:!?$#*%&]+)").fullmatch
 
 _state: dict = {}
 
@@ -64,35 +70,46 @@ def _tokenizer(path: str):
 
 
 def encode_texts(path: str, texts: pa.StringArray) -> list[np.ndarray]:
-    """Ids of each text. The distinct words behind a lone space are encoded once, many in one text,
+    """Ids of each text. The distinct words behind a lone space are encoded once, many at a time,
     and remembered (a bounded number of them); this is exact, as the vocabulary's pattern cuts before
-    such a space, so a word's ids start at the only token of it that starts with a space."""
+    such a space, so a word's ids start at the only token of it that starts with a space. The pattern
+    also cuts marks off the letters before them, so those are encoded apart and joined."""
     tok, spaced, seen = _tokenizer(path)
     if len(seen) > CACHE_PIECES:
         seen.clear()
     pieces = pc.split_pattern(texts, " ")
     coded = pieces.flatten().dictionary_encode()
-    code, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    code, names = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     size = pc.list_value_length(pieces).to_numpy()
     at = np.cumsum(size) - size
     later = np.ones(len(code), bool)
     later[at] = False
     used = np.zeros(len(names), bool)
     used[code[later]] = True
-    new = [names[i] for i in np.flatnonzero(used) if names[i] not in seen]
-    odd = [p for p in new if p.strip() != p or not p or SPECIAL in p]
-    seen.update(dict.fromkeys(odd))
-    new = [p for p in new if p not in seen] if odd else new
-    for lo in range(0, len(new), PIECES_AT_ONCE):
-        some = new[lo:lo + PIECES_AT_ONCE]
-        ids = np.array(tok.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+    known = list(map(seen.get, names))
+    missing = [i for i in np.flatnonzero(used).tolist() if known[i] is None]
+    new = [names[i] for i in missing]
+    seen.update((p, ODD) for p in new if p.strip() != p or not p or SPECIAL in p)
+    marked = {p: m.groups() for p in new if p[-1:] in MARKS and (m := MARKED(p))}
+    apart = [p for p in new if p not in seen and p not in marked]
+    apart += {h for h, _ in marked.values()}.difference(seen, apart)
+    for lo in range(0, len(apart), PIECES_AT_ONCE):
+        some = apart[lo:lo + PIECES_AT_ONCE]
+        rows = tok.encode_batch_fast([" " + " ".join(some[i:i + PIECES_A_ROW]) for i in range(0, len(some), PIECES_A_ROW)], add_special_tokens=False)
+        ids = np.array([i for r in rows for i in r.ids], np.uint32)
         cut = np.append(np.flatnonzero(spaced[ids]), len(ids)) * 4
         raw = ids.tobytes()
-        seen.update(zip(some, [raw[x:y] for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]))
-    known = [seen[n] if u else b"" for n, u in zip(names, used.tolist())]
-    is_odd = np.array([k is None for k in known], bool)
-    of_name = np.array([len(k or b"") // 4 for k in known], np.int64)
-    flat = np.frombuffer(b"".join([k or b"" for k in known]), np.uint32)
+        seen.update(zip(some, map(raw.__getitem__, map(slice, cut[:-1].tolist(), cut[1:].tolist()))))
+    marks = {m: np.array(tok.encode(m, add_special_tokens=False).ids, np.uint32).tobytes() for m in {m for _, m in marked.values()}}
+    seen.update((p, seen[h] + marks[m]) for p, (h, m) in marked.items())
+    for i, p in zip(missing, new):
+        known[i] = seen[p]
+    known = [k or b"" for k in known]  # first pieces that no space precedes are looked at below
+    n_bytes = np.fromiter(map(len, known), np.int64, len(known))
+    is_odd, of_name = n_bytes % 4 == len(ODD), n_bytes // 4
+    if is_odd.any():
+        known = [b"" if k is ODD else k for k in known]
+    flat = np.frombuffer(b"".join(known), np.uint32)
     n = np.where(later, of_name[code], 0)
     upto = np.r_[0, np.cumsum(n)]
     tails = flat[np.repeat((np.cumsum(of_name) - of_name)[code] - upto[:-1], n) + np.arange(upto[-1])]

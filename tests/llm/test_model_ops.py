@@ -218,6 +218,7 @@ def test_pieces_encode_as_whole_texts(spark):
     tok = Tokenizer.from_file(TOKENS)
     texts = ["", " ", "a", "a b", " a b ", "a  b", "a \n b", "it's 12 o'clock, isn't it?", "x y z w", "don't<|endoftext|> do it", "a\tb c\r\nd e", "é ü 漢字 😀 ok", "a \x1c b",
              *(r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text").collect())]
+    texts += ["up!! c$$$ x#*% q;, a. b.. c! a, a", "ǅ. ɐ, é. ñ, ß; ×. x² ½. 日本. á. b́", "don't. it's, a,b c,d. _a, 1. 2,"]
     for t, got in zip(texts, tokenfile.encode_texts(TOKENS, pa.array(texts))):
         assert got.tolist() == tok.encode(t, add_special_tokens=False).ids
 
