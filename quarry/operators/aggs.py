@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.sequence import row_index
+from quarry.operators.sequence import null_safe_join, running_sum
 
 
 def _stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str = "column",
@@ -26,19 +26,21 @@ def median(df: DataFrame, group: str | Sequence[str] | None, col: str, out: str
     """Exact median (mean of the two middle values for an even count) per group, nulls
     skipped.
 
-    Built from a sliced ordered scan (position of each value inside its group) and the group
-    sizes, so a group holding a large share of the rows is never buffered in one task, as the
-    built-in ``median`` / ``percentile`` aggregate would do.
+    Values are counted first (so equal values and a group holding a large share of the rows are
+    partial sums); a sliced running sum of the counts then finds the values that cover the middle
+    positions. Nothing buffers a group in one task, as the built-in ``median`` would do. A null
+    group is a group.
     """
     keys = [group] if isinstance(group, str) else list(group or [])
     vals = df.select(*keys, F.col(col).alias("__x")).filter(F.col("__x").isNotNull())
     if not keys:
         vals = vals.withColumn("__all", F.lit(0))
     k = keys or ["__all"]
-    pos = row_index(vals, ["__x"], "__pos", key=k)
+    counts = vals.groupBy(*k, "__x").agg(F.count("*").alias("__c"))
+    upto = running_sum(counts, ["__x"], "__c", "__upto", key=k)
     n = vals.groupBy(*k).agg(F.count("*").alias("__n"))
-    mid = pos.join(n, on=k).filter((F.col("__pos") == F.floor((F.col("__n") - 1) / 2))
-                                   | (F.col("__pos") == F.ceil((F.col("__n") - 1) / 2)))
+    mid = null_safe_join(upto, n, k).filter((F.col("__upto") > F.floor((F.col("__n") - 1) / 2))
+                                            & (F.col("__upto") - F.col("__c") <= F.ceil((F.col("__n") - 1) / 2)))
     if keys:
         return mid.groupBy(*k).agg(F.avg("__x").alias(out))
     # a global aggregate: one row, null for empty input
@@ -230,7 +232,7 @@ def crosstab(df: DataFrame, a: str, b: str, normalize: str | None = None) -> Dat
         tot = counts.agg(F.sum("count")).first()[0] or 0
         return counts.withColumn("share", F.col("count") / F.lit(tot))
     per = counts.groupBy(a).agg(F.sum("count").alias("__tot"))
-    return counts.join(per, a).withColumn("share", F.col("count") / F.col("__tot")).drop("__tot")
+    return null_safe_join(counts, per, [a]).withColumn("share", F.col("count") / F.col("__tot")).drop("__tot")
 
 
 def group_size_where_null(df: DataFrame, key: str, null_col: str) -> DataFrame:

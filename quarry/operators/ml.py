@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from quarry.session import cut_lineage
 
 from quarry.functions.numeric import fair_grad, fair_hess
+from quarry.operators.sequence import null_safe_join
 
 
 class EmptyTraining(ValueError):
@@ -52,7 +53,7 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     counts = df.groupBy(label).agg(F.count("*").alias("__nc"))
     tot = counts.agg(F.sum("__nc"), F.count("*")).first()
     n, k = tot[0] or 0, tot[1] or 1
-    return df.join(counts, label).withColumn(out, F.lit(float(n)) / (F.lit(float(k)) * F.col("__nc"))).drop("__nc")
+    return null_safe_join(df, counts, [label]).withColumn(out, F.lit(float(n)) / (F.lit(float(k)) * F.col("__nc"))).drop("__nc")
 
 
 def boost_regressor(train: DataFrame, label: str, features: str = "features", rounds: int = 2000, depth: int = 8,

@@ -1,12 +1,17 @@
 """Ordered scans that stay distributed when one key holds a large share of the rows.
 
-A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task. Here a
-key with more than ``slice_rows`` rows is cut into ordered slices at bounds of its leading order
-value (approximate quantiles, collected once: one bound per ``slice_rows`` rows). Every other
-key is a single slice; when no key is that large, one plain window per key is used. Each (key, slice) is scanned with an ordinary window; what a slice needs from the
-earlier slices of its key (a running total, the last non-null value) comes from a per-(key,
-slice) summary, at most one row per key and slice. The slice of a row is a pure function of the
-row and the collected bounds, so re-executed tasks and both sides of the final join agree.
+A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task. Where a
+key has more than ``slice_rows`` rows, the table is cut by ranges of the whole (key, order) tuple
+into slices of about ``slice_rows`` rows (``repartitionByRange``; the slice numbers are written
+with the rows to the shared checkpoint folder, so a lost executor cannot renumber them). Each
+(key, slice) is scanned with an ordinary window; what a slice needs from the earlier slices of its
+key (a running total, the last non-null value) comes from a summary of the keys that lie in more
+than one slice, about one row a slice. Where no key is that large a slice would hold whole keys,
+and one plain window per key does the same.
+
+Ranges compare like the windows do, whatever the types: null first, NaN last, text by all its
+bytes. Null keys are a key. Only rows that are equal in key and all order columns stay together.
+The driver gets two numbers, the rows of the largest key and of the table.
 
 With no key the whole table is one "key": a global row index or running sum without a
 one-partition window.
@@ -18,7 +23,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from quarry.session import staged
 
 # rows of one key scanned by one task before the key is split into slices
 SLICE_ROWS = 1_000_000
@@ -38,82 +44,23 @@ class Scan:
     current: bool = True
 
 
-def _sortable(c: Column, dtype: T.DataType) -> Column:
-    """An order-preserving double for the leading order column (used only to place bounds)."""
-    if isinstance(dtype, T.TimestampNTZType):
-        # wall-clock micros: monotone whatever the session time zone
-        return F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), c).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.StringType):
-        # first 6 bytes as a big-endian number: order-preserving on the prefix
-        h = F.hex(F.substring(F.rpad(c, 6, "\u0000").cast("binary"), 1, 6))
-        return F.conv(h, 16, 10).cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return c.cast("double")
-    return c.cast("double")
-
-
-def _slices(df: DataFrame, key: list[str], lead: Column, slice_rows: int) -> DataFrame | None:
-    """Add ``__slice`` (0 for ordinary keys, 1.. for the slices of keys with more than
-    ``slice_rows`` rows), or return None when no key is that large (then one window per key is
-    enough).
-
-    Slice bounds are approximate quantiles of the leading order value of each hot key (one
-    mergeable sketch per key, accuracy scaled to the number of slices). A hot key's rows map to
-    one number, key index + 0.5 * (lead - min) / (max - min), monotone in the lead within the key
-    and disjoint between keys, so a single ``Bucketizer`` (a binary search over all bounds) gives
-    every row its slice in O(log bounds).
-    """
-    from pyspark.ml.feature import Bucketizer
+def null_safe_join(df: DataFrame, stats: DataFrame, keys: list[str], how: str = "inner", small: bool = False) -> DataFrame:
+    """``df`` with the other columns of ``stats``, matched on ``keys``; null keys match each other.
+    ``small``: the caller has bounded ``stats``, broadcast it."""
+    other = stats.withColumnsRenamed({k: f"__on_{i}" for i, k in enumerate(keys)})
+    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"__on_{i}")) for i, k in enumerate(keys)]
+    return df.join(F.broadcast(other) if small else other, on, how).drop(*[f"__on_{i}" for i in range(len(keys))])
 
-    keyed = df.withColumn("__lead", lead)
-    if key:
-        hot = keyed.groupBy(*key).agg(F.count("*").alias("__n")).filter(F.col("__n") > slice_rows).collect()
-    else:
-        n = keyed.count()
-        hot = [{"__n": n}] if n > slice_rows else []
-    if not hot:
+
+def _slices(df: DataFrame, key: list[str], order: list[Column], slice_rows: int) -> DataFrame | None:
+    """Add ``__slice``, the range of the (key, order) tuple that a row lies in, or return None when
+    no key has more than ``slice_rows`` rows (then one window per key is enough)."""
+    per_key = df.groupBy(*key).agg(F.count("*").alias("__n"))
+    most, total = per_key.agg(F.max("__n"), F.sum("__n")).first()
+    if not most or most <= slice_rows:
         return None
-    spark = df.sparkSession
-    parts = max(-(-h["__n"] // slice_rows) for h in hot)
-    fracs = [i / parts for i in range(1, parts)] or [0.5]
-    accuracy = max(10_000, 4 * parts)
-    if key:
-        schema = T.StructType([df.schema[c] for c in key])
-        hot_keys = F.broadcast(spark.createDataFrame([tuple(h[c] for c in key) for h in hot], schema))
-        sub = keyed.join(hot_keys, on=key, how="left_semi")
-        stats = sub.groupBy(*key).agg(F.min("__lead").alias("__lo"), F.max("__lead").alias("__hi"),
-                                      F.percentile_approx("__lead", fracs, accuracy).alias("__b")).collect()
-    else:
-        stats = [keyed.agg(F.min("__lead").alias("__lo"), F.max("__lead").alias("__hi"),
-                           F.percentile_approx("__lead", fracs, accuracy).alias("__b")).first()]
-    splits, idx_rows = set(), []
-    for j, r in enumerate(stats):
-        lo, hi = r["__lo"], r["__hi"]
-        span = (hi - lo) if (lo is not None and hi is not None and hi > lo) else 1.0
-        for b in r["__b"] or []:
-            splits.add(j + 0.5 * (b - (lo or 0.0)) / span)
-        idx_rows.append((tuple(r[c] for c in key), j, float(lo or 0.0), float(span)))
-    cuts = [float("-inf")] + sorted(splits) + [float("inf")]
-    if len(cuts) < 3:
-        cuts = [float("-inf"), 0.0, float("inf")]
-    if key:
-        idx_schema = T.StructType(list(schema.fields) + [T.StructField("__j", T.IntegerType()),
-                                                         T.StructField("__lo", T.DoubleType()),
-                                                         T.StructField("__span", T.DoubleType())])
-        idx = F.broadcast(spark.createDataFrame([k + (j, lo, sp) for k, j, lo, sp in idx_rows], idx_schema))
-        j = keyed.join(idx, on=key, how="left")
-    else:
-        _, jj, lo, sp = idx_rows[0]
-        j = keyed.withColumn("__j", F.lit(jj)).withColumn("__lo", F.lit(lo)).withColumn("__span", F.lit(sp))
-    comb = F.col("__j") + 0.5 * (F.coalesce(F.col("__lead"), F.col("__lo")) - F.col("__lo")) / F.col("__span")
-    j = j.withColumn("__comb", F.when(F.col("__j").isNotNull(), comb).otherwise(F.lit(-1.0)))
-    out = Bucketizer(splits=cuts, inputCol="__comb", outputCol="__bucket", handleInvalid="keep").transform(j)
-    return (out.withColumn("__slice", F.when(F.col("__j").isNull(), F.lit(0)).otherwise(F.col("__bucket").cast("int") + 1))
-            .withColumn("__hot", F.col("__j").isNotNull()).drop("__j", "__lo", "__span", "__comb", "__bucket"))
+    ranged = df.repartitionByRange(max(2, -(-total // slice_rows)), *[F.col(k) for k in key], *order)
+    return staged(ranged.withColumn("__slice", F.spark_partition_id()), "scan")
 
 
 def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan], descending: bool = False,
@@ -127,18 +74,11 @@ def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan],
     slice_rows = slice_rows or SLICE_ROWS
     names = [o for o in order]
     cols = [F.col(o) if isinstance(o, str) else o for o in names]
-    lead_type = df.select(cols[0]).schema.fields[0].dataType
-    lead = _sortable(cols[0], lead_type)
-    if descending:
-        # descending order puts nulls last: give them the largest lead
-        lead = F.coalesce(-lead, F.lit(float("inf")))
-        wcols = [c.desc() for c in cols]
-    else:
-        wcols = [c.asc() for c in cols]
+    wcols = [c.desc() if descending else c.asc() for c in cols]
     base = df
     for i, s in enumerate(scans):
         base = base.withColumn(f"__v{i}", s.expr)
-    sliced = _slices(base, key, lead, slice_rows)
+    sliced = _slices(base, key, wcols, slice_rows)
     key_cols = [F.col(k) for k in key]
 
     if sliced is None:
@@ -171,10 +111,11 @@ def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan],
         else:
             raise ValueError(f"unknown scan kind {s.kind}")
 
-    # one row per (hot key, slice): what a slice hands on to the later slices of its key. Only
-    # hot keys have more than one slice, so the table has at most rows / slice_rows + hot keys
-    # rows: a bounded side, broadcast to the join below.
-    summary = sliced.filter(F.col("__hot")).groupBy(*key_cols, F.col("__slice")).agg(*summary_aggs)
+    # what a slice hands on to the later slices of its key, for the keys that lie in several: at
+    # most the first and the last key of a slice, so about rows / slice_rows rows, broadcast below
+    summary = sliced.groupBy(*key_cols, F.col("__slice")).agg(*summary_aggs)
+    if key:
+        summary = summary.withColumn("__spans", F.count("*").over(Window.partitionBy(*key_cols))).filter(F.col("__spans") > 1)
     w_sl = Window.partitionBy(*key_cols).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
     for i, s in enumerate(scans):
@@ -182,9 +123,9 @@ def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan],
             carry_cols.append(F.sum(f"__t{i}").over(w_sl).alias(f"__c{i}"))
         else:
             carry_cols.append(F.last(f"__t{i}", ignorenulls=True).over(w_sl).alias(f"__c{i}"))
-    carry = summary.select(*key_cols, F.col("__slice"), *carry_cols).filter(F.col("__slice") > 0)
+    carry = summary.select(*key_cols, F.col("__slice"), *carry_cols)
 
-    out = sliced.join(F.broadcast(carry), on=[*key, "__slice"], how="left")
+    out = null_safe_join(sliced, carry, [*key, "__slice"], "left", small=True)
     for i, s in enumerate(scans):
         loc, car = F.col(f"__l{i}"), F.col(f"__c{i}")
         if s.kind == "sum":
@@ -193,7 +134,7 @@ def ordered_scan(df: DataFrame, key: list[str], order: list, scans: list[Scan],
         else:
             val = F.coalesce(loc, car)
         out = out.withColumn(s.out, val)
-    drop = ["__slice", "__lead", "__hot"] + [f"__{p}{i}" for i in range(len(scans)) for p in "vltc"]
+    drop = ["__slice"] + [f"__{p}{i}" for i in range(len(scans)) for p in "vltc"]
     return out.drop(*drop)
 
 

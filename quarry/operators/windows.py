@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import left_pad
-from quarry.operators.sequence import Scan, ordered_scan, previous_row, row_index
+from quarry.operators.sequence import Scan, null_safe_join, ordered_scan, previous_row, row_index
 
 
 def _cols(order):
@@ -101,7 +101,7 @@ def epochs_by_position(df: DataFrame, key: Sequence[str], order: Sequence, size:
     pos = pos.withColumn(out, F.floor(F.col("__pos") / size).cast("long")).withColumn("seq", (F.col("__pos") % size).cast("long"))
     if full_only:
         n = df.groupBy(*key).agg(F.count("*").alias("__n"))
-        pos = pos.join(n, on=list(key)).filter(F.col(out) < F.floor(F.col("__n") / size)).drop("__n")
+        pos = null_safe_join(pos, n, list(key)).filter(F.col(out) < F.floor(F.col("__n") / size)).drop("__n")
     return pos.drop("__pos")
 
 
@@ -169,7 +169,7 @@ def fold_contiguous(df: DataFrame, order: Sequence, k: int, out: str = "fold", k
     pos = row_index(df, list(order), "__pos", key=list(key))
     if key:
         n = df.groupBy(*key).agg(F.count("*").alias("__n"))
-        pos = pos.join(n, on=list(key))
+        pos = null_safe_join(pos, n, list(key))
     else:
         pos = pos.withColumn("__n", F.lit(df.count()))
     q = F.floor(F.col("__n") / k)

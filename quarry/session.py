@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,13 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "stages", name)
 
 
+def staged(df, name: str):
+    """``df`` written once into a fresh folder under the shared checkpoint folder, and read from there."""
+    path = stage_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the session's checkpoint directory (``spark.checkpoint.dir``),
     so a lost executor never forces recomputation of the whole history."""

@@ -1,10 +1,11 @@
 """Edge inputs: lags before the labelled row, null keys, ties, single points, flat series."""
 
 import math
+import statistics
 
 from pyspark.sql import functions as F
 
-from quarry.operators import evaluate, features, joins, neighbors, signal, spectra, windows
+from quarry.operators import aggs, evaluate, features, joins, ml, neighbors, signal, spectra, windows
 from quarry.plans.next_product import next_product_rows
 
 
@@ -61,3 +62,18 @@ def test_knn_in_blocks(spark):
         want = sorted((math.dist((i % 10, i // 10), (j % 10, j // 10)), j) for j in range(100))[:4]
         assert [(r["dist"], r["pid"]) for r in sorted(got, key=lambda r: r["rank"]) if r["qid"] == i] == want
     assert neighbors.knn(q.limit(0), p, 4, "qid", "pid", "v").count() == 0 and neighbors.knn(q, p.limit(0), 4, "qid", "pid", "v").count() == 0
+
+
+def test_null_groups_are_kept(spark):
+    df = spark.createDataFrame([(i, None if i < 4 else "a", float(i)) for i in range(9)], "id long, g string, x double")
+    assert {r["g"]: r["median"] for r in aggs.median(df, "g", "x").collect()} == {None: 1.5, "a": 6.0}
+    assert windows.fold_stratified(df, "g", "id", 2).count() == 9
+    assert windows.epochs_by_position(df, ["g"], ["id"], 2).count() == 8
+    assert ml.class_weights(df, "g").count() == 9
+    assert {r["g"] for r in aggs.crosstab(df, "g", "id", "index").collect()} == {None, "a"}
+
+
+def test_median_of_repeated_values(spark):
+    for v in ([1, 1, 1, 5], [1, 2, 2, 3], [4], [1, 9], [7, 7]):
+        df = spark.createDataFrame([(float(x),) for x in v], "x double")
+        assert aggs.median(df, None, "x").first()[0] == statistics.median(v)

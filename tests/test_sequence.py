@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quarry.operators.sequence import previous_row, row_index, running_sum
+from quarry.operators.sequence import _slices, previous_row, row_index, running_sum
 
 
 def _data(spark):
@@ -42,3 +42,27 @@ def test_scan_partition_invariant(spark):
     a = row_index(df.repartition(1), ["ts", "id"], "ri", key=["k"], slice_rows=20).select("id", "ri")
     b = row_index(df.repartition(8), ["ts", "id"], "ri", key=["k"], slice_rows=20).select("id", "ri")
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+@pytest.mark.parametrize("slice_rows", [40, 10_000])
+def test_scan_with_nan_null_keys_ties_and_long_prefixes(spark, slice_rows):
+    nan = float("nan")
+    rows = [(i, None if i % 3 == 0 else "k", [1.0, nan, None, 0.0][i % 4], f"Customer#{i * 7919 % 1000:09d}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, k string, v double, name string")
+    for key, order, desc in ((["k"], ["v", "id"], False), (["k"], ["v", "id"], True), ([], ["name", "id"], False), (["k"], ["name"], True)):
+        w = Window.partitionBy(*key).orderBy(*[F.col(c).desc() if desc else F.col(c).asc() for c in order])
+        ref = df.select("id", (F.row_number().over(w) - 1).alias("want"), F.lag("v").over(w).alias("lag"))
+        out = row_index(df, order, "pos", key=key, descending=desc, slice_rows=slice_rows)
+        if not desc:
+            out = previous_row(out, key, order, ["v"], slice_rows=slice_rows)
+            assert out.join(ref, "id").filter(~F.col("prev_v").eqNullSafe(F.col("lag"))).count() == 0
+        j = out.join(ref, "id")
+        assert j.count() == 1000 and j.filter(F.col("pos") != F.col("want")).count() == 0
+
+
+def test_hot_slices_are_even(spark):
+    df = spark.range(10_000).select("id", (F.col("id") % 2).alias("v"), F.format_string("Customer#%09d", "id").alias("name"))
+    for order in (["v", "id"], ["name"]):
+        s = _slices(df, [], [F.col(c).asc() for c in order], 500)
+        sizes = [r["count"] for r in s.groupBy("__slice").count().collect()]
+        assert sum(sizes) == 10_000 and max(sizes) < 1500
