@@ -171,15 +171,15 @@ def prj_cast(spark, d):
                     F.col("p_retailprice").cast("string").alias("price_s"), (F.col("p_size") > 20).cast("boolean").alias("big"))
 
 
-@query("prj_split_rows", """SELECT s_suppkey AS c_custkey, s_name AS c_name, s_nationkey AS c_nationkey, s_acctbal AS c_acctbal,
-  CAST(NULL AS VARCHAR) AS c_mktsegment FROM supplier""")
+@query("prj_split_rows", """SELECT 'train' AS side, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+UNION ALL SELECT 'test', s_suppkey, s_name, s_nationkey, s_acctbal, CAST(NULL AS VARCHAR) FROM supplier""")
 def prj_split_rows(spark, d):
     c = t(spark, d, "customer")
     s = t(spark, d, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"),
                                        F.col("s_nationkey").alias("c_nationkey"), F.col("s_acctbal").alias("c_acctbal"))
     both = sets.stack_by_name(c, s, "is_train")
-    _, test = clean.split_rows(both, "is_train")
-    return test.drop("is_train")
+    train, test = clean.split_rows(both, "is_train")
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test"))).drop("is_train")
 
 
 @query("prj_holdout_tail", """SELECT o_orderkey,

@@ -245,10 +245,10 @@ def arr_onehot(spark, d):
 
 @query("arr_concat", """SELECT vec_id, CAST(pos - 1 AS INTEGER) AS pos, v FROM (
   SELECT vec_id, unnest(a) AS v, unnest(generate_series(1, len(a))) AS pos
-  FROM (SELECT vec_id, list_concat(list_transform(embedding[1:3], lambda x: CAST(x AS DOUBLE)), [CAST(label AS DOUBLE)]) AS a FROM embeddings))""")
+  FROM (SELECT vec_id, list_concat(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), [CAST(label AS DOUBLE)]) AS a FROM embeddings))""")
 def arr_concat(spark, d):
     e = t(spark, d, "embeddings")
-    a = F.concat(F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double")), F.array(F.col("label").cast("double")))
+    a = F.concat(F.transform("embedding", lambda x: x.cast("double")), F.array(F.col("label").cast("double")))
     return e.select("vec_id", F.posexplode(a).alias("pos", "v")).withColumn("pos", F.col("pos").cast("int"))
 
 

@@ -26,9 +26,9 @@ def src_csv_key(spark, d):
     return p.select("p_partkey", "p_name", "p_retailprice")
 
 
-@query("src_csv_encoding", """SELECT doc_id, md5(regexp_replace(text, '[^\\x{00}-\\x{FF}]', '?', 'g')) AS text_md5 FROM documents WHERE lang = 'fr'""")
+@query("src_csv_encoding", """SELECT doc_id, md5(regexp_replace(text, '[^\\x{00}-\\x{FF}]', '?', 'g')) AS text_md5 FROM documents""")
 def src_csv_encoding(spark, d):
-    docs = t(spark, d, "documents").filter(F.col("lang") == "fr").select("doc_id", "text")
+    docs = t(spark, d, "documents").select("doc_id", "text")
     path = io.write_csv(docs, _stage(spark, d, "docs_latin1"), encoding="ISO-8859-1")
     back = io.read_csv(spark, path, "doc_id long, text string", encoding="ISO-8859-1", multi_line=True)
     return back.select("doc_id", F.md5("text").alias("text_md5"))
