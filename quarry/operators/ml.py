@@ -267,14 +267,15 @@ def segmented(df: DataFrame, segment: str, fit_predict: Callable[[DataFrame], Da
 
 
 class GiniEvaluator(BinaryClassificationEvaluator):
-    """A user metric given to model selection: normalised Gini of P(y = 1)."""
+    """A user metric given to model selection: normalised Gini of P(y = 1). Of rows with equal
+    scores the negatives are walked first, so the score does not depend on the order of rows."""
 
     def _evaluate(self, dataset):  # noqa: D401
         from quarry.operators.windows import gini_normalized
         lab = self.getLabelCol()
         d = dataset.select(F.col(lab).cast("long").alias("y"), vector_to_array(self.getRawPredictionCol())[1].alias("p"),
-                           F.monotonically_increasing_id().alias("__id"))
-        r = gini_normalized(d, "y", "p", "__id").first()
+                           (-F.col(lab)).alias("__tie"))
+        r = gini_normalized(d, "y", "p", "__tie").first()
         return float(r["gini_norm"] or 0.0)
 
     def isLargerBetter(self):
