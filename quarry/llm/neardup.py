@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fractions import Fraction
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -47,6 +49,7 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 BLOCK = 256
 COLUMNS = 4096
+NEAR = 1e-9
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,6 +116,29 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float((1.0 / total).sum())
 
 
+def exact_similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> Fraction:
+    """``similarity`` as a fraction; common keys with the same counts are one term."""
+    (ka, wa), (kb, wb) = a, b
+    _, ia, ib = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
+    x, y = wa[ia].astype(np.int64), wb[ib].astype(np.int64)
+    left, above = int(wa.sum()) - int(x.sum()), int(wb.sum())  # by a: only there or of a ratio up to this one; by b: the others
+    kinds, many = np.unique(np.stack([x, y]), axis=1, return_counts=True)
+    terms = sorted((Fraction(q, p), p, q, m) for p, q, m in zip(*kinds.tolist(), many.tolist()))
+    total = Fraction(0)
+    for _, same in groupby(terms, key=lambda t: t[0]):
+        same = list(same)
+        left, above = left + sum(p * m for _, p, _, m in same), above - sum(q * m for _, _, q, m in same)
+        total += sum(m / (Fraction(left, p) + Fraction(above, q)) for _, p, q, m in same)
+    return total
+
+
+def reaches(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], threshold: float) -> bool:
+    """Whether the similarity is the threshold (the decimal number as written) or more: sums in
+    floating point decide but for those within ``NEAR`` of it, which are taken as fractions."""
+    s = similarity(a, b)
+    return s >= threshold if abs(s - threshold) > NEAR else exact_similarity(a, b) >= Fraction(repr(float(threshold)))
+
+
 def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, digest, bands) of the texts that have words."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).where("id is not null")
@@ -162,7 +188,7 @@ def verified(pairs: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             c = t.to_pydict()
-            ok = [similarity(_weighted(x, p), _weighted(y, q)) >= threshold for x, p, y, q in zip(c["ka"], c["ca"], c["kb"], c["cb"])]
+            ok = [reaches(_weighted(x, p), _weighted(y, q), threshold) for x, p, y, q in zip(c["ka"], c["ca"], c["kb"], c["cb"])]
             yield pa.RecordBatch.from_arrays([t.column(t.schema.get_field_index(n)).filter(pa.array(ok, pa.bool_())) for n in ("a", "b")], ["a", "b"])
 
     # the member's list first: its side is as even as the texts are; the pivot's side is joined last
@@ -215,7 +241,7 @@ def joining(lists: list[tuple[np.ndarray, np.ndarray]], group: list[int], thresh
     out = []
     for i, j in zip(a.tolist(), b.tolist()):
         p, q = root(group[i]), root(group[j])
-        if p != q and similarity(lists[i], lists[j]) >= threshold:
+        if p != q and reaches(lists[i], lists[j], threshold):
             parent[q] = p
             out.append((i, j))
     return out

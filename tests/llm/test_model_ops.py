@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -145,6 +146,37 @@ def test_classes_of_a_chain_and_a_large_group(spark):
     assert len({got[d] for d, _ in chain}) == 1 and len({got[d] for d, _ in group}) == 1
 
 
+def fraction_similarity(a, b):
+    keys = set(a) | set(b)
+    return sum(1 / sum(max(Fraction(a[j], a[i]), Fraction(b[j], b[i])) for j in keys) for i in set(a) & set(b))
+
+
+def test_threshold_is_exact():
+    """Pairs at 0.8 by construction reach it, those one shingle below do not, whatever the counts."""
+    as_lists = lambda c: (np.array(sorted(c), np.uint64), np.array([c[k] for k in sorted(c)], np.uint32))
+    for k in range(1, 401):
+        a, b = Counter(range(5 * k)), Counter(range(4 * k))
+        assert neardup.reaches(as_lists(a), as_lists(b), 0.8)
+        assert not neardup.reaches(as_lists(a), as_lists(Counter(range(4 * k - 1))), 0.8)
+    r = np.random.default_rng(9)
+    for _ in range(60):
+        a, b = (Counter({int(i): int(c) for i, c in zip(r.choice(14, 11, False), r.integers(1, 4, 11))}) for _ in range(2))
+        want = fraction_similarity(a, b)
+        assert neardup.exact_similarity(as_lists(a), as_lists(b)) == want
+        assert neardup.reaches(as_lists(a), as_lists(b), 0.5) == (want >= Fraction(1, 2))
+
+
+def test_pair_at_the_threshold_is_one_class(spark):
+    """80 of 100 shingles in common: a text of 104 words and its first 84 words."""
+    w = prose(90, 104).split()
+    docs = [(1, " ".join(w)), (2, " ".join(w[:84])), (3, " ".join(w[:83]))]
+    sh = {d: shingle_counts(t) for d, t in docs}
+    assert fraction_similarity(sh[1], sh[2]) == Fraction(4, 5) and fraction_similarity(sh[1], sh[3]) < Fraction(4, 5)
+    for pair in (docs[:2], docs[::2]):
+        df = spark.createDataFrame(pair, "doc_id long, text string")
+        assert len({r["class_id"] for r in neardup.clustered(df).collect()}) == (1 if pair[1][0] == 2 else 2)
+
+
 def test_near_duplicates_awkward_rows(spark):
     df = awkward(spark)
     got = neardup.clustered(df)
