@@ -15,10 +15,11 @@ passage that stands in a third of all documents are as many as there are tasks;
 within partitions that is read as a stream, so no group is held in memory. Later copies of a whole
 text lose all their words by the group of their digest, and do not take part any further.
 
-Defined cases: null and blank texts and texts under 20 words lose nothing; a null id counts as after
-all others; rows that share an id are one document (with equal texts both keep or lose the same
-words; with different texts each loses the words at the places found for any of them); an empty
-table gives no rows; other columns pass through. Sequences are compared by 64-bit hashes.
+Defined cases: null and blank texts and texts under 20 words lose nothing; every row is a document
+of its own; null ids come after all others, and rows that share an id (or have none) come in the
+order of a hash of their text, equal texts as they stand in the table, so of equal rows the first
+keeps its words; an empty table gives no rows; other columns pass through. Sequences are compared
+by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -150,9 +151,21 @@ def _merged(starts: np.ndarray) -> list[dict]:
     return [{"s": int(a), "e": int(b) + WINDOW} for a, b in zip(s[np.r_[0, gap]], s[np.r_[gap - 1, len(s) - 1]])]
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, cuts): for each document with repeats the word ranges to remove, in order."""
+def identified(docs: DataFrame, id_col: str, text_col: str, as_col: str) -> DataFrame:
+    """``docs`` with a number of its own for each row, in the order of the ids, null last. Where no two
+    rows share an id that is the id; else the rows are sorted by id, text and place, and written."""
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
+    if docs.groupBy(ident.alias(as_col)).count().where("count > 1").isEmpty():
+        return docs.withColumn(as_col, ident)
+    (place,) = fresh(docs, "_place")
+    order = [F.col(id_col).cast("long").asc_nulls_last(), F.xxhash64(F.col(text_col)), F.col(place)]
+    rows = docs.withColumn(place, F.monotonically_increasing_id()).orderBy(*order)
+    return materialize(rows.withColumn(as_col, F.monotonically_increasing_id()).drop(place), "rep-rows")
+
+
+def repeated(docs: DataFrame, ident_col: str, text_col: str = "text") -> DataFrame:
+    """(id, cuts): for each row with repeats, by its number, the word ranges to remove, in order."""
+    ident = F.col(ident_col)
     texts = docs.select(ident.alias("id"), F.col(text_col).cast("binary").alias("text"))
     digest = let(words(F.col(text_col)), lambda w: F.when(F.size(w) >= WINDOW, F.md5(F.array_join(w, " ").cast("binary"))))
     digests = docs.select(ident.alias("id"), digest.alias("digest")).where("digest is not null")
@@ -182,12 +195,13 @@ def cut_words(w: Column, cuts: Column) -> Column:
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_col: str = "repeats") -> DataFrame:
     """``docs`` with one struct column: n_words, n_removed and the kept words joined by a space."""
-    i, cuts, out = fresh(docs, "_id", "_cuts", as_col)
-    r = repeated(docs, id_col, text_col).select(F.col("id").alias(i), F.col("cuts").alias(cuts))
-    df = docs.join(r, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)) == F.col(i), "left")
+    i, own, cuts, out = fresh(docs, "_id", "_own", "_cuts", as_col)
+    numbered = identified(docs, id_col, text_col, own)
+    r = repeated(numbered, own, text_col).select(F.col("id").alias(i), F.col("cuts").alias(cuts))
+    df = numbered.join(r, F.col(own) == F.col(i), "left")
     both = let(words(F.col(text_col)), lambda w: let(cut_words(w, F.col(cuts)), lambda k: F.struct(
         F.size(w).cast("long").alias("n_words"), (F.size(w) - F.size(k)).cast("long").alias("n_removed"), F.array_join(k, " ").alias("kept"))))
-    return df.withColumn(out, both).drop(i, cuts)
+    return df.withColumn(out, both).drop(i, own, cuts)
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

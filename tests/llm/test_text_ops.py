@@ -160,3 +160,22 @@ def test_repeats_on_the_small_documents(spark):
     got = {x["doc_id"]: tuple(x["repeats"]) for x in repeats.deduplicated(df).collect()}
     assert {k: hashlib.sha256(v[2].encode()).hexdigest() for k, v in got.items()} == {k: hashlib.sha256(v[2].encode()).hexdigest() for k, v in want.items()}
     assert {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in want.items()}
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_repeats_rows_without_or_with_shared_ids(spark, parts):
+    """Each row is judged on its own: null ids last, rows of one id apart."""
+    p, q, clean = prose(70, 60), prose(71, 40), [prose(72 + i, 200) for i in range(6)]
+    docs = [(1, p), (None, prose(80, 440) + " " + p), (None, prose(81, 30)), (None, ""), (None, None), (None, clean[0]), (None, clean[1]),
+            (5, clean[2] + " " + p), (5, clean[3]), (5, "five words and no more"), (7, q), (None, q), (None, clean[4]), (None, clean[4]), (9, clean[5]), (9, clean[5])]
+    df = spark.createDataFrame([(*d, k) for k, d in enumerate(docs)], "doc_id long, text string, k int").repartition(parts)
+    got = {r["k"]: tuple(r["repeats"]) for r in repeats.deduplicated(df).collect()}
+    assert len(got) == len(docs)
+    for k, (_, text) in enumerate(docs):
+        w = W.findall(text or "")
+        gone = {1: 60, 7: 60, 11: 40}.get(k, 0)
+        if k < 12:
+            assert got[k] == (len(w), gone, " ".join(w[:len(w) - gone])), k
+    assert sorted(got[k][1] for k in (12, 13)) == [0, 200] and sorted(got[k][1] for k in (14, 15)) == [0, 200]
+    kept = repeats.remove(df)
+    assert kept.columns == df.columns and kept.count() == len(docs) - 3
