@@ -1,28 +1,32 @@
-"""Interpolated modified Kneser-Ney bigram model: counted in Spark, stored as sorted hash arrays
-that workers memory-map, and used to score whole texts.
-
-    p(w | u) = (c(u w) - D(c(u w))) / c(u .) + g(u) p(w)
-    p(w)     = (t(w) - D(t(w))) / t(.) + g / (V + 1)
-
-with c counts of bigrams (a text starts after a begin mark and closes with an end token), t(w) the
-number of distinct words before w, D the three discounts of modified Kneser-Ney from the counts of
-counts of its level, g what the discounts free, and V the distinct training tokens; an unknown word
-has the share of one more word, and a word seen before nothing falls back to p(w).
-
-Counting: each task sorts and sums its bigrams and sends them by hash of the first word in packed
-arrays; first words that are frequent (at most ``HOT`` of them, found by a pass before) are dealt by
-both words, so no word's bigrams meet in one task, and their sums are added up apart. A bucket's
-task writes its arrays sorted by hash; what it knows of the second words goes on, in sums, to the
-buckets of words. Buckets follow the size of the table.
-
-Scoring: a task hashes a slice of its texts, looks up each distinct word and first word once, and
-searches the bigrams bucket by bucket in ascending order in the mapped arrays, so a slice walks
-through each file once. The driver gets one row of sums and the sums of the hot words.
+"""Interpolated modified Kneser-Ney model of any order from 2: counted in Spark, stored as sorted hash
+arrays that workers memory-map, and used to score whole texts.
+
+    p(w | u v) = (c(u v w) - D(c(u v w))) / c(u v .) + g(u v) p(w | v)
+    p(w)       = (t(w) - D(t(w))) / t(.) + g / (V + 1)
+
+u is a word, v none or more. c counts n-grams at the highest order; below it, it is the number of
+distinct words before the n-gram, or the plain count where that starts with the begin mark, which
+nothing stands before. A text starts after one begin mark, so its first words have shorter contexts,
+and closes with an end token. t(w) is the number of distinct words before w, D the three discounts
+of modified Kneser-Ney from the counts of counts of a level, g what the discounts free, and V the
+distinct training tokens; an unknown word has the share of one more word, and a context that was
+never seen leaves all to the next lower order.
+
+Counting goes level by level, from the highest order down. A task sorts and sums its n-grams and
+sends them by hash of their contexts in packed arrays, with each array's words written once;
+contexts that are frequent (at most ``HOT`` a level, found by a pass before) are dealt by the last
+word too, so no context's n-grams meet in one task, and their sums are added up apart, by Spark. A
+bucket's task writes its arrays sorted by hash; the n-grams without their first words go on, summed,
+to the next level, whose input is written first. Buckets follow the size of the table.
+
+Scoring: a task hashes a slice of its texts and, for each level, searches its n-grams and distinct
+contexts bucket by bucket in ascending order in the mapped arrays, so a slice walks through each
+file once. The driver gets the counts of counts and the sums of the hot contexts.
 
 Defined cases: a null or blank text is its end token alone; no training texts make every token
 unknown with V = 0 (score and base_score 0); discounts without counts of counts are half a count;
 repeated rows count as often as they occur; an empty table gives no rows; other columns are not
-looked at. Words are compared by 64-bit hashes.
+looked at. Words and n-grams are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -72,17 +76,25 @@ def slices(texts: Iterator[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarr
         yield np.concatenate(parts), np.array(sizes)
 
 
-def contexts(second: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The token before each token."""
-    first = np.empty_like(second)
-    first[1:] = second[:-1]
-    first[np.cumsum(sizes) - sizes] = BEGIN
-    return first
+def padded(second: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens with a begin mark before each text, and how many places after its mark each is."""
+    at = np.cumsum(sizes) - sizes
+    depth = np.arange(len(second) + len(sizes)) - np.repeat(at + np.arange(len(sizes)), sizes + 1)
+    return np.insert(second, at, BEGIN), depth
+
+
+def context_hash(words: list[np.ndarray]) -> np.ndarray:
+    """Hash of each row of the columns; a longer row's follows from that of its beginning."""
+    with np.errstate(over="ignore"):
+        h = mix64(words[0] * _P)
+    for w in words[1:]:
+        h = gram_hash(h, w)
+    return h
 
 
-def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def gram_hash(context: np.ndarray, last: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix64(mix64(first * _P) + second * _Q)
+        return mix64(context + last * _Q)
 
 
 def bucket_of(first: np.ndarray, second: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
@@ -119,79 +131,127 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+_WHOLE = {0: np.uint64, 2: np.uint16, 3: np.uint32}
+
+
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as bytes; integers in the fewest bytes that hold most of them, larger ones apart."""
-    out = []
+    """Arrays as bytes; signed integers in the fewest bytes that hold most of them, larger ones apart."""
+    out, codes = [], {np.dtype(t): c for c, t in _WHOLE.items()}
     for a in arrays:
-        small = np.minimum(a, 255).astype(np.uint8) if a.dtype != np.uint64 else a
-        big = np.flatnonzero(a >= 255) if a.dtype != np.uint64 else np.empty(0, np.int64)
-        out += [np.array([a.dtype != np.uint64, len(a), len(big)], np.int64).tobytes(), small.tobytes(), big.tobytes(), np.asarray(a[big], np.int64).tobytes()]
+        code = codes.get(a.dtype, 1)
+        small = np.minimum(a, 255).astype(np.uint8) if code == 1 else a
+        big = np.flatnonzero(a >= 255) if code == 1 else np.empty(0, np.int64)
+        out += [np.array([code, len(a), len(big)], np.int64).tobytes(), small.tobytes(), big.tobytes(), np.asarray(a[big], np.int64).tobytes()]
     return b"".join(out)
 
 
 def unpack(raw: bytes) -> list[np.ndarray]:
     at, out = 0, []
     while at < len(raw):
-        narrow, n, m = np.frombuffer(raw, np.int64, 3, at).tolist()
+        code, n, m = np.frombuffer(raw, np.int64, 3, at).tolist()
         at += 24
-        a = np.frombuffer(raw, np.uint8 if narrow else np.uint64, n, at)
+        a = np.frombuffer(raw, _WHOLE.get(code, np.uint8), n, at)
         at += a.nbytes
         big, values = np.frombuffer(raw, np.int64, m, at), np.frombuffer(raw, np.int64, m, at + 8 * m)
         at += 16 * m
-        if narrow:
+        if code == 1:
             a = a.astype(np.int64)
             a[big] = values
         out.append(a)
     return out
 
 
-def frequent(texts: DataFrame) -> np.ndarray:
-    """Sorted hashes of the words that make up a good part of some slice, at most ``HOT``: the
-    most frequent ones. They only decide how bigrams are dealt."""
+def frequent(texts: DataFrame, order: int) -> dict[int, np.ndarray]:
+    """For each level the sorted hashes of the contexts that make up a good part of some slice, at most
+    ``HOT``: the most frequent ones. They only decide how n-grams are dealt."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, _ in slices(t.as_py() for b in batches for t in b.column(0)):
-            word, n = np.unique(h, return_counts=True)
-            top = n > max(20, len(h) // HOT_SHARE)
-            yield pa.RecordBatch.from_arrays([pa.array(word[top].view(np.int64)), pa.array(n[top])], ["word", "n"])
-
-    top = texts.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(HOT)
-    found = np.array([r["word"] for r in top.collect()], np.int64).view(np.uint64)
-    return np.unique(np.append(found, BEGIN))
+        for tokens_, sizes in slices(t.as_py() for b in batches for t in b.column(0)):
+            p, depth = padded(tokens_, sizes)
+            for k in range(2, order + 1):
+                end = np.flatnonzero(depth >= k - 2)
+                context, n = np.unique(context_hash([p[end - k + 2 + i] for i in range(k - 1)]), return_counts=True)
+                top = n > max(20, len(p) // HOT_SHARE)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(int(top.sum()), k, np.int32)), pa.array(context[top].view(np.int64)), pa.array(n[top])], ["level", "context", "n"])
+
+    found = materialize(texts.mapInArrow(run, "level int, context long, n long").groupBy("level", "context").agg(F.sum("n").alias("n")), "ngram-hot")
+    hot = {}
+    for k in range(2, order + 1):
+        top = found.where(F.col("level") == k).orderBy(F.desc("n"), "context").limit(HOT).collect()
+        hot[k] = np.sort(np.array([r["context"] for r in top], np.int64).view(np.uint64))
+    hot[2] = np.unique(np.append(hot[2], context_hash([np.array([BEGIN])])))
+    return hot
+
+
+def dealt(level: int, words: np.ndarray, cols: list[np.ndarray], n: np.ndarray, hot: dict, buckets: int) -> list[tuple]:
+    """(level, bucket, raw) of the n-grams whose words are ``words`` at the columns, summed."""
+    if not len(n):
+        return []
+    w = [words[c] for c in cols]
+    if level == 1:
+        h = w[0]
+    else:
+        context = context_hash(w[:-1])
+        h = gram_hash(context, w[-1])
+    by = np.argsort(h)
+    at = runs(h[by])
+    n, one = np.add.reduceat(n[by], at), by[at]
+    bucket = word_bucket(w[0][one], buckets) if level == 1 else bucket_of(context[one], w[-1][one], hot[level], buckets)
+    by = np.argsort(bucket, kind="stable")
+    bucket, n, one = bucket[by], n[by], one[by]
+    at, out = runs(bucket), []
+    for x, y in zip(at, np.append(at[1:], len(bucket))):
+        mine = [c[one[x:y]] for c in cols]
+        seen = np.zeros(len(words), bool)
+        for c in mine:
+            seen[c] = True
+        place = (np.cumsum(seen) - 1).astype(np.uint16 if seen.sum() <= 1 << 16 else np.uint32)
+        out.append((level, int(bucket[x]), pack(words[seen], *[place[c] for c in mine], n[x:y])))
+    return out
 
 
-def counted(texts: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """(bucket, raw): bigrams of each task's slices, sorted and summed."""
+def counted(texts: DataFrame, order: int, hot: dict, buckets: int) -> DataFrame:
+    """(level, bucket, raw): n-grams of each task's texts, summed; at the levels below, those that
+    start with the begin mark; at level 0, the uses of the words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        for second, sizes in slices(t.as_py() for b in batches for t in b.column(0)):
-            first = contexts(second, sizes)
-            held.append(summed(first, second, np.ones(len(first), np.int64)))
-            if sum(len(x[0]) for x in held) >= 4 * SLICE:
-                yield dealt(*summed(*map(np.concatenate, zip(*held))))
-                held = []
+        held, size = [], 0
+        for tokens_, sizes in slices(t.as_py() for b in batches for t in b.column(0)):
+            held.append((tokens_, sizes))
+            size += len(tokens_)
+            if size * order >= 8 * SLICE:
+                yield sent(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
         if held:
-            yield dealt(*summed(*map(np.concatenate, zip(*held))))
+            yield sent(*map(np.concatenate, zip(*held)))
+
+    def sent(tokens_: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        p, depth = padded(tokens_, sizes)
+        words, ids = np.unique(p, return_inverse=True)
+        ids, rows = ids.astype(np.uint32), []
+        for k in range(2, order + 1):
+            end = np.flatnonzero(depth >= k - 1 if k == order else depth == k - 1)
+            rows += dealt(k, words, [ids[end - k + 1 + i] for i in range(k)], np.ones(len(end), np.int64), hot, buckets)
+        own = ids[depth > 0]
+        rows += [(0, *r[1:]) for r in dealt(1, words, [own], np.ones(len(own), np.int64), hot, buckets)]
+        level, bucket, raw = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(bucket, pa.int32()), pa.array(raw, pa.binary())], ["level", "bucket", "raw"])
 
-    def dealt(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        b = bucket_of(first, second, hot, buckets)
-        order = np.argsort(b, kind="stable")
-        b, first, second, n = b[order], first[order], second[order], n[order]
-        at = runs(b)
-        rows = [bigrams(first[x:y], second[x:y], n[x:y]) for x, y in zip(at, np.append(at[1:], len(b)))]
-        return pa.RecordBatch.from_arrays([pa.array(b[at].astype(np.int32)), pa.array(rows, pa.binary())], ["bucket", "raw"])
+    return texts.mapInArrow(run, "level int, bucket int, raw binary")
 
-    def bigrams(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> bytes:
-        at = runs(first)
-        return pack(first[at], np.diff(np.append(at, len(first))), second, n)
 
-    return texts.mapInArrow(run, "bucket int, raw binary")
+def joined(raws: list[bytes], level: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Words, columns and counts of several packed rows."""
+    parts = [unpack(r) for r in raws]
+    words, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    back, ends = back.astype(np.uint32), np.cumsum([len(p[0]) for p in parts])
+    cols = [np.concatenate([back[e - len(p[0]):e][p[1 + i]] for p, e in zip(parts, ends)]) for i in range(level)]
+    return words, cols, np.concatenate([p[-1] for p in parts])
 
 
-def summed(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((second, first))
-    first, second, n = first[order], second[order], n[order]
-    at = runs(first, second)
-    return first[at], second[at], np.add.reduceat(n, at) if len(at) else n
+def write_narrow(path: str, name: str, a: np.ndarray) -> None:
+    """Rows in a byte a value; rows with larger values apart, with their places."""
+    write_array(path, f"{name}.npy", np.minimum(a, 255).astype(np.uint8))
+    big = np.flatnonzero((a >= 255).any(axis=1))
+    write_array(path, f"{name}-large.npy", np.column_stack([big, a[big]]))
 
 
 def counts_of_counts(n: np.ndarray) -> np.ndarray:
@@ -208,77 +268,72 @@ def discounts(of: np.ndarray) -> np.ndarray:
     return np.array([min(max(x, 0.0), float(k)) for k, x in enumerate(d)])
 
 
-def train(docs: DataFrame, path: str, text_col: str = "text", buckets: int | None = None) -> dict:
-    """Count the texts of ``docs``, write the model's arrays under ``path`` and return its totals:
-    number and distinct number of tokens, counts of counts, and the sums of the hot words."""
+def train(docs: DataFrame, path: str, text_col: str = "text", buckets: int | None = None, order: int = 2) -> dict:
+    """Count the texts of ``docs``, write the arrays of the model of this order under ``path`` and return its
+    totals: number and distinct number of tokens, counts of counts, and the sums of the hot contexts."""
+    if order < 2:
+        raise ValueError(f"order {order} is below 2")
     texts = docs.select(F.col(text_col).cast("binary").alias("text"))
     if buckets is None:
         size = docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0
-        buckets = max(MIN_BUCKETS, -(-int(size) // BUCKET_TEXT_BYTES))
-    hot = frequent(texts)
-
-    def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        buckets = max(MIN_BUCKETS, -(-int(size) * (order - 1) // BUCKET_TEXT_BYTES))
+    hot = frequent(texts, order)
+    columns = ["level", "bucket", "raw", "context", "a", "b", "c", "d"]
+    schema = "level int, bucket int, raw binary, context long, a long, b long, c long, d long"
+
+    def merging(k: int):
+        def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            level, b = int(key[0]), int(key[1])
+            if level < k:  # waits for its own level
+                return pdf.assign(context=None, a=None, b=None, c=None, d=None)[columns]
+            words, cols, n = joined(list(pdf["raw"]), k)
+            w = [words[c] for c in cols]
+            context = context_hash(w[:-1])
+            h = gram_hash(context, w[-1])
+            by = np.argsort(h)
+            at = runs(h[by])
+            n, one = np.add.reduceat(n[by], at), by[at]
+            write_array(path, f"gram{k}-hash-{b}.npy", h[one])
+            write_narrow(path, f"gram{k}-sums-{b}", n[:, None])
+            of = counts_of_counts(n)
+            out = [(k, None, None, None, *of.tolist())]
+            context = context[one]
+            by = np.argsort(context)
+            at = runs(context[by])
+            sums = np.stack([np.add.reduceat(x[by], at) for x in (n, *((n == j).astype(np.int64) for j in (1, 2)), (n >= 3).astype(np.int64))], axis=1)
+            context = context[by][at]
+            is_hot = within(hot[k], context)
+            write_array(path, f"first{k}-hash-{b}.npy", context[~is_hot])
+            write_narrow(path, f"first{k}-sums-{b}", sums[~is_hot])
+            out += [(k, None, None, int(x), *y) for x, y in zip(context[is_hot].view(np.int64), sums[is_hot].tolist())]
+            out += [(*r, None, None, None, None, None) for r in dealt(k - 1, words, [c[one] for c in cols[1:]], np.ones(len(one), np.int64), hot, buckets)]
+            return pd.DataFrame(out, columns=columns, dtype=object).astype({x: "Int64" for x in columns if x != "raw"})
+        return merge
+
+    def words_of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         b = int(key[0])
-        parts = [unpack(r) for r in pdf["raw"]]
-        first, second, n = summed(np.concatenate([np.repeat(f, k) for f, k, _, _ in parts]), np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]))
-        h = pair_hash(first, second)
-        order = np.argsort(h)
-        write_array(path, f"pair-hash-{b}.npy", h[order])
-        c = n[order]
-        write_array(path, f"pair-count-{b}.npy", np.minimum(c, 255).astype(np.uint8))
-        big = np.flatnonzero(c >= 255)
-        write_array(path, f"pair-large-{b}.npy", np.stack([big, c[big]]))
-        at = runs(first)
-        total = np.add.reduceat(n, at)
-        kinds = [np.add.reduceat((n == k).astype(np.int64) if k < 3 else (n >= 3).astype(np.int64), at) for k in (1, 2, 3)]
-        word, of = first[at], np.stack([total, *kinds], axis=1)
-        is_hot = within(hot, word)
-        write_array(path, f"first-hash-{b}.npy", word[~is_hot])
-        write_array(path, f"first-sums-{b}.npy", of[~is_hot])
-        order = np.argsort(second)
-        w, n = second[order], n[order]
-        at = runs(w)
-        types, uses, w = np.diff(np.append(at, len(w))), np.add.reduceat(n, at), w[at]
-        to = word_bucket(w, buckets)
-        by = np.argsort(to, kind="stable")
-        to, w, types, uses = to[by], w[by], types[by], uses[by]
-        at = runs(to)
-        rows = [(int(to[x]), pack(w[x:y], types[x:y], uses[x:y])) for x, y in zip(at, np.append(at[1:], len(to)))]
-        # totals and hot words of the bucket go to a group of their own, one small row a bucket
-        rows.append((-1, pack(word[is_hot], *of[is_hot].T, counts_of_counts(c))))
-        return pd.DataFrame(rows, columns=["bucket", "raw"])
-
-    def words_of(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        b, parts = int(key[0]), [unpack(r) for r in pdf["raw"]]
-        if b < 0:
-            w = np.concatenate([p[0] for p in parts])
-            order = np.argsort(w)
-            of = np.concatenate([np.stack(p[1:5], axis=1) for p in parts])[order]
-            at = runs(w[order])
-            return pd.DataFrame([(b, pack(w[order][at], *(np.add.reduceat(of, at, axis=0).T if len(at) else of.T), sum(p[5] for p in parts)))], columns=["bucket", "raw"])
-        w, types, uses = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        order = np.argsort(w)
-        w, types, uses = w[order], types[order], uses[order]
-        at = runs(w)
-        w, types, uses = w[at], np.add.reduceat(types, at), np.add.reduceat(uses, at)
-        write_array(path, f"word-hash-{b}.npy", w)
-        write_array(path, f"word-sums-{b}.npy", np.stack([types, uses], axis=1))
-        kinds = [int((types == 1).sum()), int((types == 2).sum()), int((types >= 3).sum())]
-        return pd.DataFrame([(b, pack(np.array([len(w), types.sum(), uses.sum(), *kinds], np.int64), counts_of_counts(types)))], columns=["bucket", "raw"])
-
-    schema = "bucket int, raw binary"
-    pairs = counted(texts, hot, buckets).groupBy("bucket").applyInPandas(merge, schema)
-    rows = pairs.groupBy("bucket").applyInPandas(words_of, schema).collect()
-    model = {"path": path, "buckets": buckets, "hot": hot, "hot_words": np.empty(0, np.uint64), "hot_sums": np.empty((0, 4), np.int64), "pair_kinds": np.zeros(4, np.int64)}
-    sums, kinds, full = np.zeros(6, np.int64), np.zeros(4, np.int64), []
-    for r in rows:
-        got = unpack(r["raw"])
-        if r["bucket"] < 0:
-            model |= {"hot_words": got[0], "hot_sums": np.stack(got[1:5], axis=1), "pair_kinds": got[5]}
-        else:
-            sums, kinds = sums + got[0], kinds + got[1]
-            full.append(r["bucket"])
-    return model | {"distinct": int(sums[0]), "types": int(sums[1]), "tokens": int(sums[2]), "type_kinds": sums[3:], "word_kinds": kinds, "word_buckets": sorted(full)}
+        words, (at,), n = joined(list(pdf["raw"]), 1)
+        used = np.repeat((pdf["level"] == 0).to_numpy(), [len(unpack(r)[-1]) for r in pdf["raw"]])
+        types, uses = (np.bincount(at[x], n[x], len(words)).astype(np.int64) for x in (~used, used))
+        write_array(path, f"word-hash-{b}.npy", words)
+        write_narrow(path, f"word-sums-{b}", np.stack([types, uses], axis=1))
+        sums = [len(words), types.sum(), uses.sum(), (types == 1).sum(), (types == 2).sum(), (types >= 3).sum(), *counts_of_counts(types)]
+        return pd.DataFrame([[int(x) for x in sums]], columns=[f"s{i}" for i in range(10)])
+
+    model = {"path": path, "buckets": buckets, "order": order, "hot": hot, "hot_contexts": {}, "hot_sums": {}, "kinds": {}}
+    rows = counted(texts, order, hot, buckets)
+    for k in range(order, 1, -1):
+        rows = materialize(rows.groupBy("level", "bucket").applyInPandas(merging(k), schema), f"ngram-{k}")
+        small = rows.where("raw is null").groupBy("context").agg(*[F.sum(x).alias(x) for x in "abcd"]).collect()
+        kinds = [r for r in small if r["context"] is None]
+        small = sorted((r for r in small if r["context"] is not None), key=lambda r: r["context"] % 2**64)
+        model["kinds"][k] = np.array(kinds[0][1:] if kinds else [0] * 4, np.int64)
+        model["hot_contexts"][k] = np.array([r["context"] for r in small], np.int64).view(np.uint64)
+        model["hot_sums"][k] = np.array([r[1:] for r in small], np.int64).reshape(-1, 4)
+        rows = rows.where("raw is not null").select("level", "bucket", "raw")
+    sums = rows.groupBy("bucket").applyInPandas(words_of, ", ".join(f"s{i} long" for i in range(10)))
+    sums = np.array([x or 0 for x in sums.agg(*[F.sum(f"s{i}") for i in range(10)]).first()], np.int64)
+    return model | {"distinct": int(sums[0]), "types": int(sums[1]), "tokens": int(sums[2]), "type_kinds": sums[3:6], "word_kinds": sums[6:]}
 
 
 def _mapped(path: str, name: str) -> np.ndarray | None:
@@ -292,8 +347,8 @@ def _mapped(path: str, name: str) -> np.ndarray | None:
     return _maps[path, name]
 
 
-def looked_up(model: dict, kind: str, values: str, x: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
-    """Rows of the ``values`` arrays for the keys ``x``, zeros where a key is absent."""
+def looked_up(model: dict, kind: str, x: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
+    """Rows of the sums for the keys ``x``, zeros where a key is absent."""
     out = np.zeros((len(x), width), np.int64)
     order = np.lexsort((x, bucket))
     at = runs(bucket[order])
@@ -304,36 +359,40 @@ def looked_up(model: dict, kind: str, values: str, x: np.ndarray, bucket: np.nda
             continue
         place = find(keys, x[of])
         hit = place >= 0
-        got = np.asarray(_mapped(model["path"], f"{values}-{b}.npy")[place[hit]], np.int64)
-        if kind == "pair":
-            large = _mapped(model["path"], f"pair-large-{b}.npy")
-            wide = got == 255
-            if wide.any():
-                got[wide] = large[1][np.searchsorted(large[0], place[hit][wide])]
-            got = got[:, None]
+        place = place[hit]
+        got = np.asarray(_mapped(model["path"], f"{kind}-sums-{b}.npy")[place], np.int64)
+        wide = (got == 255).any(axis=1)
+        if wide.any():
+            large = _mapped(model["path"], f"{kind}-sums-{b}-large.npy")
+            got[wide] = large[np.searchsorted(large[:, 0], place[wide]), 1:]
         out[of[hit]] = got
     return out
 
 
 def token_scores(model: dict, second: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each token: its training count, log10 of the add-half unigram and of the model."""
-    first, buckets = contexts(second, sizes), model["buckets"]
-    pair_d, word_d = discounts(model["pair_kinds"]), discounts(model["word_kinds"])
+    buckets, word_d = model["buckets"], discounts(model["word_kinds"])
     word, back = np.unique(second, return_inverse=True)
-    of = looked_up(model, "word", "word-sums", word, word_bucket(word, buckets), 2)
+    of = looked_up(model, "word", word, word_bucket(word, buckets), 2)
     types, uses, v = of[:, 0], of[:, 1], model["distinct"]
     base = np.log10((uses + 0.5) / (model["tokens"] + 0.5 * (v + 1)))
     total = max(model["types"], 1)
     free = float(model["type_kinds"] @ word_d[1:]) / total if model["types"] else 1.0
-    p_word = np.maximum(types - word_d[np.minimum(types, 3)], 0.0) / total + free / (v + 1)
-    ctx, ctx_back = np.unique(first, return_inverse=True)
-    sums = looked_up(model, "first", "first-sums", ctx, bucket_of(ctx, ctx, np.empty(0, np.uint64), buckets), 4)
-    at = find(model["hot_words"], ctx)
-    sums[at >= 0] = model["hot_sums"][at[at >= 0]]
-    follow = np.maximum(sums[:, 0], 1)
-    gamma = np.where(sums[:, 0] > 0, sums[:, 1:] @ pair_d[1:] / follow, 1.0)
-    n = looked_up(model, "pair", "pair-count", pair_hash(first, second), bucket_of(first, second, model["hot"], buckets), 1)[:, 0]
-    p = np.maximum(n - pair_d[np.minimum(n, 3)], 0.0) / follow[ctx_back] + gamma[ctx_back] * p_word[back]
+    p = (np.maximum(types - word_d[np.minimum(types, 3)], 0.0) / total + free / (v + 1))[back]
+    seq, depth = padded(second, sizes)
+    place = np.cumsum(depth > 0) - 1
+    for k in range(2, model["order"] + 1):
+        end = np.flatnonzero(depth >= k - 1)
+        d, at = discounts(model["kinds"][k]), place[end]
+        context = context_hash([seq[end - k + 1 + i] for i in range(k - 1)])
+        ctx, ctx_back = np.unique(context, return_inverse=True)
+        sums = looked_up(model, f"first{k}", ctx, bucket_of(ctx, ctx, np.empty(0, np.uint64), buckets), 4)
+        hot = find(model["hot_contexts"][k], ctx)
+        sums[hot >= 0] = model["hot_sums"][k][hot[hot >= 0]]
+        follow = np.maximum(sums[:, 0], 1)
+        gamma = np.where(sums[:, 0] > 0, sums[:, 1:] @ d[1:] / follow, 1.0)
+        n = looked_up(model, f"gram{k}", gram_hash(context, seq[end]), bucket_of(context, seq[end], model["hot"][k], buckets), 1)[:, 0]
+        p[at] = np.maximum(n - d[np.minimum(n, 3)], 0.0) / follow[ctx_back] + gamma[ctx_back] * p[at]
     return uses[back], base[back], np.log10(p)
 
 

@@ -85,9 +85,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document scored by the bigram model of the documents that are not held out."""
+    """Every document scored by the trigram model of the documents that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = ngram.train(docs.where(~ngram.held_out(F.col("doc_id"))), stage_path(spark, f"llm-ngram-{_run()}"))
+    model = ngram.train(docs.where(~ngram.held_out(F.col("doc_id"))), stage_path(spark, f"llm-ngram-{_run()}"), order=3)
     s = ngram.score(docs, model)
     return s.select("doc_id", ngram.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
 

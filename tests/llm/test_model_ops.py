@@ -403,3 +403,62 @@ def test_model_of_no_texts(spark, tmp_path):
     model = ngram.train(df.limit(0), str(tmp_path / "n"))
     assert all(r["score"] == 0 and r["base_score"] == 0 and r["n_known"] == 0 for r in ngram.score(df, model).collect())
     assert ngram.score(df.limit(0), model).count() == 0
+
+
+def brute_order(train, texts, order):
+    """Scores by the definition, with the counts of every level in dictionaries."""
+    toks = lambda t: ["<s>", *[w.lower() for w in (t or "").encode().split()], None]
+    grams = {k: Counter() for k in range(1, order + 1)}
+    for t in train:
+        w = toks(t)
+        for j in range(order - 1, len(w)):
+            grams[order][tuple(w[j - order + 1:j + 1])] += 1
+        for k in range(2, order):
+            if len(w) >= k:
+                grams[k][tuple(w[:k])] += 1
+    for k in range(order, 1, -1):
+        grams[k - 1].update(g[1:] for g in grams[k])
+    v = len({x for t in train for x in toks(t)[1:]})
+    d = {k: ngram.discounts(np.array([sum(c == j for c in g.values()) for j in (1, 2, 3, 4)])) for k, g in grams.items()}
+    follow = defaultdict(list)
+    for g in grams.values():
+        for x, c in g.items():
+            follow[x[:-1]].append(c)
+
+    sums = {ctx: (sum(mine), sum(d[len(ctx) + 1][min(x, 3)] for x in mine)) for ctx, mine in follow.items()}
+
+    def p(ctx, w):
+        k, (total, free) = len(ctx) + 1, sums.get(ctx, (0, 0))
+        lower = p(ctx[1:], w) if ctx else 1 / (v + 1)
+        if not total:
+            return lower
+        c = grams[k][(*ctx, w)]
+        return (max(c - d[k][min(c, 3)], 0) + free * lower) / total
+    out = []
+    for t in texts:
+        w = toks(t)
+        out.append(sum(math.log10(p(tuple(w[max(0, j - order + 1):j]), w[j])) for j in range(1, len(w))))
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_model_of_an_order_against_brute_force(spark, tmp_path, monkeypatch, order):
+    df = awkward(spark).unionByName(awkward(spark).where("doc_id in (7, 13)").withColumn("text", F.expr("substring(text, 5, 900)")))
+    monkeypatch.setattr(ngram, "HOT_SHARE", 200000)
+    model = ngram.train(df.where("doc_id is null or doc_id <> 14").repartition(3), str(tmp_path / "m"), buckets=5, order=order)
+    train = [r["text"] for r in df.collect() if r["doc_id"] != 14]
+    docs = sorted(ngram.score(df.withColumn("doc_id", F.struct("doc_id", "text")), model).collect(), key=lambda r: str(r["doc_id"]))
+    want = brute_order(train, [r["doc_id"]["text"] for r in docs], order)
+    assert all(abs(r["score"] - w) < 1e-6 * max(1, abs(w)) for r, w in zip(docs, want))
+    empty = ngram.train(df.limit(0), str(tmp_path / "n"), order=order)
+    assert all(r["score"] == 0 for r in ngram.score(df, empty).collect())
+
+
+def test_registered_model_sees_two_words_of_context(spark, monkeypatch):
+    """The query's scores differ where only the word before the last one does."""
+    from quarry.llm import queries
+    rows = [(i, " ".join(["a b c"] * 20 + ["d b e"] * 20)) for i in range(40)] + [(1000, "a b c"), (1001, "a b e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    by = {r["doc_id"]: r["score"] for r in queries.op10_ngram(spark, "").collect()}
+    assert by[1000] > by[1001] + 1
