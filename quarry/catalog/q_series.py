@@ -227,12 +227,26 @@ c AS (SELECT lib.ref, main.i + lib.i - 2 - 31 AS k, sum(main.y * lib.y) AS v FRO
 cs AS (SELECT ref, k, v FROM c WHERE k >= 0 AND k < 64)
 SELECT ref, CAST(k AS INTEGER) AS k, {sr('v / max(v) OVER (PARTITION BY ref)', 6)} AS conv FROM cs""")
 def spe_convolve(spark, d):
+    """The pairs of library entry 0, which the oracle holds; ``spe_convolve_mains`` has every main component."""
     lib, _ = _lib(spark, d)
-    main = lib.filter(F.col("ref") == 0)
-    c = spectra.convolve_same(main, lib, "ref", "i", "y")
+    c = spectra.convolve_same(lib.filter(F.col("ref") == 0).withColumnRenamed("ref", "main"), lib, "main", "ref", "i", "y")
     return c.select("ref", "k", stable_round("conv", 6).alias("conv"))
 
 
+@query("spe_convolve_mains", f"""WITH {LIB_SQL},
+mains AS (SELECT DISTINCT best AS main FROM best WHERE error >= {TH}),
+main AS (SELECT mains.main, lib.i, lib.y FROM mains JOIN lib ON lib.ref = mains.main),
+c AS (SELECT main.main, lib.ref, main.i + lib.i - 2 - 31 AS k, sum(main.y * lib.y) AS v FROM main, lib GROUP BY ALL),
+cs AS (SELECT main, ref, k, v FROM c WHERE k >= 0 AND k < 64)
+SELECT main, ref, CAST(k AS INTEGER) AS k, {sr('v / max(v) OVER (PARTITION BY main, ref)', 6)} AS conv FROM cs""")
+def spe_convolve_mains(spark, d):
+    """The main component of every mixture with every library entry."""
+    lib, tst = _lib(spark, d)
+    mains = spectra.identify(tst, lib, "label", "ref", "i", "y", TH).filter("is_mixture").select(F.col("best").alias("main")).distinct()
+    c = spectra.convolve_same(mains.join(lib.withColumnRenamed("ref", "main"), "main"), lib, "main", "ref", "i", "y")
+    return c.select("main", "ref", "k", stable_round("conv", 6).alias("conv"))
+
+
 @query("spe_fft", f"""WITH d AS (SELECT vec_id, k, sum(CAST(embedding[i + 1] AS DOUBLE) * cos(2 * pi() * k * i / 64.0)) AS re,
   sum(-CAST(embedding[i + 1] AS DOUBLE) * sin(2 * pi() * k * i / 64.0)) AS im FROM embeddings, range(0, 64) r(i), range(0, 64) q(k) GROUP BY ALL),
 m AS (SELECT vec_id, k, CASE WHEN k = 0 THEN 0.0 ELSE sqrt(re * re + im * im) END AS mag FROM d)

@@ -19,7 +19,6 @@ from quarry.operators.sequence import Scan, ordered_scan, row_index
 
 
 # largest single spectrum broadcast to the library groups
-MAX_MAIN_POINTS = 1_000_000
 
 
 def parse_lines(df: DataFrame, key: str, line: str, pos: str) -> DataFrame:
@@ -144,27 +143,26 @@ def identify_second(test: DataFrame, library: DataFrame, key: str = "label", ref
     return mix.join(m2.select(key, F.col("best").alias("second"), F.col("error").alias("second_error")), key, "left")
 
 
-def convolve_same(main: DataFrame, library: DataFrame, ref: str = "ref", i: str = "i", y: str = "y") -> DataFrame:
-    """'same'-mode convolution of one main spectrum with every library spectrum, divided by its
-    maximum: (ref, k, conv). The main spectrum (one grid of bounded length) is broadcast to the
-    per-ref groups; numpy convolves each pair in ``applyInPandas``. The main spectrum must be
-    a single regridded curve (at most ``MAX_MAIN_POINTS`` values), checked before it is sent."""
-    n = main.count()
-    if n > MAX_MAIN_POINTS:
-        raise ValueError(f"main spectrum has {n} points, above {MAX_MAIN_POINTS}")
-    m = np.array([r[1] for r in sorted(main.select(i, y).collect())], dtype=float)
-    spark = library.sparkSession
-    mb = spark.sparkContext.broadcast(m)
-    schema = T.StructType([library.schema[ref], T.StructField("k", T.IntegerType()), T.StructField("conv", T.DoubleType())])
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        b = pdf.sort_values(i)[y].to_numpy(dtype=float)
-        c = np.convolve(mb.value, b, mode="same")
-        mx = c.max() if c.size else 0.0
-        c = c / mx if mx != 0 else c
-        return pd.DataFrame({ref: pdf[ref].iloc[0], "k": np.arange(len(c), dtype="int32"), "conv": c})
-
-    return library.select(ref, i, y).groupBy(ref).applyInPandas(one, schema)
+def convolve_same(mains: DataFrame, library: DataFrame, main: str = "main", ref: str = "ref", i: str = "i", y: str = "y") -> DataFrame:
+    """'same'-mode convolution of every main spectrum with every library spectrum, divided by its
+    maximum where that is not 0: (main, ref, k, conv). A spectrum is one row with its values in the
+    order of ``i``, a pair of spectra one row of the join; the sums over i + j = k are taken in it."""
+    def curves(df: DataFrame, key: str, name: str) -> DataFrame:
+        points = F.array_sort(F.collect_list(F.struct(F.col(i).alias("i"), F.col(y).cast("double").alias("y"))))
+        return df.groupBy(F.col(key).alias(key)).agg(F.transform(points, lambda p: p["y"]).alias(name))
+
+    pairs = curves(mains, main, "__a").crossJoin(curves(library, ref, "__b"))
+    a, b, m, n = F.col("__a"), F.col("__b"), F.size("__a"), F.size("__b")
+
+    def at(k):
+        f = k + F.floor((F.least(m, n) - 1) / 2).cast("int")  # place in the full convolution
+        lo, hi = F.greatest(F.lit(0), f - n + 1), F.least(f, m - 1)
+        terms = F.zip_with(F.slice(a, lo + 1, hi - lo + 1), F.reverse(F.slice(b, f - hi + 1, hi - lo + 1)), lambda p, q: p * q)
+        return F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
+
+    conv = pairs.select(main, ref, F.transform(F.sequence(F.lit(0), F.greatest(m, n) - 1), at).alias("__c"))
+    conv = conv.select(main, ref, F.array_max("__c").alias("__m"), F.posexplode("__c").alias("k", "__v"))
+    return conv.select(main, ref, "k", F.when(F.col("__m") != 0, F.col("__v") / F.col("__m")).otherwise(F.col("__v")).alias("conv"))
 
 
 def fft_normalized(df: DataFrame, label: str, i: str, y: str, n_fft: int, bins: int | None = None,

@@ -77,3 +77,15 @@ def test_median_of_repeated_values(spark):
     for v in ([1, 1, 1, 5], [1, 2, 2, 3], [4], [1, 9], [7, 7]):
         df = spark.createDataFrame([(float(x),) for x in v], "x double")
         assert aggs.median(df, None, "x").first()[0] == statistics.median(v)
+
+
+def test_convolution_of_every_main_with_every_entry(spark):
+    """Several mains, odd, even and unequal lengths, as numpy's 'same' mode."""
+    import numpy as np
+    r = np.random.default_rng(4)
+    curves = {k: r.random(n) for k, n in enumerate((5, 8, 8, 1, 13))}
+    df = spark.createDataFrame([(k, 3 + i, float(v)) for k, c in curves.items() for i, v in enumerate(c)], "ref int, i int, y double").repartition(3)
+    mains = df.where("ref in (1, 2, 4)").withColumnRenamed("ref", "main")
+    got = {(x["main"], x["ref"], x["k"]): x["conv"] for x in spectra.convolve_same(mains, df, "main", "ref", "i", "y").collect()}
+    want = {(a, b, k): v for a in (1, 2, 4) for b in curves for c in [np.convolve(curves[a], curves[b], mode="same")] for k, v in enumerate(c / c.max())}
+    assert set(got) == set(want) and all(abs(got[x] - want[x]) < 1e-12 for x in want)
