@@ -80,3 +80,47 @@ f AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_str
 v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 100 * lost <= 50 * n_words AS kept FROM v
 """
+
+#: crc32 bit by bit: eight steps of the reflected polynomial, for each byte of a text.
+_CRC_TABLE = """t AS (SELECT list(c ORDER BY b) AS t FROM (
+  WITH RECURSIVE s(b, c, i) AS (SELECT b, b, 0 FROM range(256) r(b) UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i + 1 FROM s WHERE i < 8)
+  SELECT b, c FROM s WHERE i = 8))"""
+
+OP11 = rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents),
+u AS (SELECT k, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS n FROM d GROUP BY ALL),
+x AS (SELECT k, r, n, list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode(k || ':' || r))), lambda i: CAST('0x' || hex(encode(k || ':' || r))[2 * i + 1:2 * i + 2] AS BIGINT))) AS bytes FROM u WHERE length(r) >= 6),
+h AS (SELECT r, n, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM x, t),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, CAST(h % length(r) AS BIGINT)) || substr(r, CAST(h % length(r) AS BIGINT) + 2) ELSE r END AS word, CAST(sum(n) AS BIGINT) AS n FROM h GROUP BY 1),
+v AS (SELECT word, n FROM w WHERE length(word) >= 6 AND n >= 5),
+-- one letter out: equal leftovers with the place in front are a replacement, a leftover that is a word is an insertion
+g AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest, substr(word, i, 1) AS c FROM v, range(1, length(word) + 1) q(i)),
+p AS (SELECT DISTINCT a, b FROM (
+  SELECT a.word AS a, b.word AS b FROM g a JOIN g b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT g.word, v.word FROM g JOIN v ON g.rest = v.word UNION ALL SELECT v.word, g.word FROM g JOIN v ON g.rest = v.word)),
+e AS (SELECT a AS word, count(*) AS n_near, min({{'m': -v.n, 'w': b}}) AS best FROM p JOIN v ON b = v.word GROUP BY a),
+f AS (SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 5 * n THEN best.w END AS form, CASE WHEN -best.m >= 5 * n THEN -best.m END AS form_n FROM v LEFT JOIN e ON v.word = e.word),
+c AS (WITH RECURSIVE c(word, cur, next) AS (SELECT word, word, form FROM f UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON c.next = f.word) SELECT word, cur AS root FROM c WHERE next IS NULL)
+SELECT f.word, n, n_near, form, form_n, root FROM f JOIN c ON f.word = c.word
+"""
+
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+v AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+l AS (SELECT lang, CAST(sum(n) AS HUGEINT) AS total, count(*) AS terms FROM v GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN v ON o.lang = v.lang AND o.term = v.term GROUP BY ALL),
+s AS (SELECT g.lang, g.source, CAST(coalesce(sum(n), 0) AS HUGEINT) AS total FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY ALL),
+a AS (SELECT s.lang, s.source, v.term, coalesce(c.n, 0) AS n, CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.total + 5 * l.terms) AS BIGINT) AS p,
+             CAST(1 + (1000000000::HUGEINT * (v.n + 5)) // (l.total + 5 * l.terms) AS BIGINT) AS q
+      FROM s JOIN v ON s.lang = v.lang JOIN l ON s.lang = l.lang LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = v.term),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM a JOIN a b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+      FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source LEFT JOIN x ON x.lang = g.lang AND x.source = g.source AND x.item = h.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM a WHERE n > 0 AND p > q),
+y AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r)
+SELECT * FROM y WHERE part = 'pair' OR rank <= 50
+"""

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import mixing, neardup, ngram, packing, quality, repeats, sharding, tokenfile, topk, urls
-from quarry.llm.oracles import OP3, OP6, OP7, OP8, OP9
+from quarry.llm import audit, chunkbpe, mixing, neardup, ngram, packing, quality, repeats, sharding, spelling, tokenfile, topk, urls
+from quarry.llm.oracles import OP3, OP6, OP7, OP8, OP9, OP11, OP12
 from quarry.session import stage_path
 from quarry.sources.tables import table
 
@@ -92,10 +92,30 @@ def op10_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", ngram.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the form and root they are variants of."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.grouped(docs, drop_every=199).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms above the language's share."""
+    return audit.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and what they decode to, as digests."""
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    b = chunkbpe.encoded(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "bpe")
+    ids = F.array_join(F.col("bpe.ids").cast("array<string>"), " ")
+    return b.select("doc_id", F.size("bpe.ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("bpe.decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def _run() -> str:
     import uuid
     return uuid.uuid4().hex[:12]
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_neardup, op3_mix, op4_tokenfile, op5_shard, op6_topk, op7_repeats, op8_urls, op9_quality, op10_ngram)}
-ORACLES = {"op3_mix": OP3, "op6_topk": OP6, "op7_repeats": OP7, "op8_urls": OP8, "op9_quality": OP9}
+QUERIES = {f.__name__: f for f in (op1_pack, op2_neardup, op3_mix, op4_tokenfile, op5_shard, op6_topk, op7_repeats, op8_urls, op9_quality, op10_ngram, op11_spelling, op12_audit, op13_bpe)}
+ORACLES = {"op3_mix": OP3, "op6_topk": OP6, "op7_repeats": OP7, "op8_urls": OP8, "op9_quality": OP9, "op11_spelling": OP11, "op12_audit": OP12}
