@@ -64,11 +64,11 @@ def counts(docs: DataFrame, lang: Column, source: Column, text: Column) -> DataF
         held = 0
         for batch in batches:
             for key, body in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), batch.column(2)):
-                c = Counter(TERM.findall((body.as_py() or "").encode().lower()))
+                found = TERM.findall((body.as_py() or "").encode().lower())
                 total = seen[key]
                 held -= len(total)
-                total.update(c)
-                within[key].update(c.keys())
+                total.update(found)
+                within[key].update(set(found))
                 held += len(total)
                 if held >= KEYS_AT_ONCE:
                     yield from out()
