@@ -97,16 +97,65 @@ def sig_band_ratio(spark, d):
 
 @query("sig_features")
 def sig_features(spark, d):
-    """Rows-only: one vector per (user, epoch): per channel entropy, edge, dyadic entropy,
-    Hjorth triple, skewness, kurtosis, then the channel-correlation eigenvalues."""
+    """Rows-only (its parts have oracles below): one vector of 10 x channels + 1 values per (user, epoch)."""
     s = _samples(spark, d)
     return signal.features(s, "user_id", "event_type", "epoch", "seq", "value", FS, N)
 
 
-@query("sig_corr_eigen")
+_ENTROPY = "-sum(CASE WHEN p > 0 THEN p * ln(p) ELSE 0 END)"
+BANDS_SQL = SPEC_SQL + f""",
+bd AS (SELECT user_id, event_type, epoch, band, 2 * sum(power) AS p FROM (SELECT *, {BAND_SQL} AS band FROM sp) WHERE band IS NOT NULL GROUP BY ALL),
+dy AS (SELECT user_id, event_type, epoch, band, 2 * sum(power) AS p FROM (SELECT *, CASE """ + " ".join(
+    f"WHEN k >= {lo} AND k < {hi} THEN {j}" for j, (lo, hi) in enumerate(DYADIC)) + """ END AS band FROM sp) WHERE band IS NOT NULL GROUP BY ALL)"""
+
+
+@query("sig_feature_parts", BANDS_SQL + f""",
+e1 AS (SELECT user_id, event_type, epoch, {_ENTROPY} AS entropy FROM bd GROUP BY ALL),
+e2 AS (SELECT user_id, event_type, epoch, {_ENTROPY} AS dyadic_entropy FROM dy GROUP BY ALL),
+ek AS (SELECT user_id, epoch, k, sum(power) AS power FROM sp WHERE k * {FS / N} <= 40 GROUP BY ALL),
+ec AS (SELECT user_id, epoch, k, sum(power) OVER (PARTITION BY user_id, epoch ORDER BY k) AS cum, sum(power) OVER (PARTITION BY user_id, epoch) AS tot FROM ek),
+eg AS (SELECT user_id, epoch, min(k) * {FS / N} AS edge_hz FROM ec WHERE cum >= 0.5 * tot GROUP BY ALL),
+d1 AS (SELECT *, value - lag(value) OVER (PARTITION BY user_id, event_type, epoch ORDER BY seq) AS d1 FROM s),
+d2 AS (SELECT *, d1 - lag(d1) OVER (PARTITION BY user_id, event_type, epoch ORDER BY seq) AS d2, avg(value) OVER (PARTITION BY user_id, event_type, epoch) AS mu FROM d1),
+h AS (SELECT user_id, event_type, epoch, var_pop(value) AS activity, stddev_pop(d1) AS s1, stddev_pop(d2) AS s2, avg(power(value - mu, 3)) AS m3, avg(power(value - mu, 4)) AS m4 FROM d2 GROUP BY ALL)
+SELECT user_id, event_type, epoch, {sr('entropy', 6)} AS entropy, edge_hz, {sr('dyadic_entropy', 6)} AS dyadic_entropy, {sr('activity', 3)} AS activity,
+  {sr('s1 / sqrt(nullif(activity, 0))', 6)} AS mobility, {sr('s2 / nullif(s1, 0) / (s1 / sqrt(nullif(activity, 0)))', 6)} AS complexity,
+  {sr('m3 / power(nullif(activity, 0), 1.5)', 4)} AS skew, {sr('m4 / power(nullif(activity, 0), 2) - 3', 4)} AS kurt
+FROM h LEFT JOIN e1 USING (user_id, event_type, epoch) LEFT JOIN e2 USING (user_id, event_type, epoch) LEFT JOIN eg USING (user_id, epoch)""")
+def sig_feature_parts(spark, d):
+    s = _samples(spark, d).repartition("user_id", "epoch")
+    keys = ["user_id", "epoch", "event_type"]
+    per = signal.channel_features(s, keys, "seq", "value", FS, N)
+    edge = signal.epoch_edge(s, keys, "seq", "value", FS, N)
+    digits = {"activity": 3, "skew": 4, "kurt": 4}
+    return per.join(edge, ["user_id", "epoch"], "left").select(*KEYS, "edge_hz", *[stable_round(c, digits.get(c, 6)).alias(c) for c in (
+        "entropy", "dyadic_entropy", "activity", "mobility", "complexity", "skew", "kurt")])
+
+
+@query("sig_eigen_blocks", BANDS_SQL + f""",
+x AS (SELECT 'time' AS block, user_id, epoch, event_type, seq AS row, value AS x FROM s
+      UNION ALL SELECT 'band', user_id, epoch, event_type, band, p FROM bd UNION ALL SELECT 'dyadic', user_id, epoch, event_type, band, p FROM dy),
+c AS (SELECT a.block, a.user_id, a.epoch, a.event_type AS i, b.event_type AS j,
+        CASE WHEN var_pop(a.x) > 0 AND var_pop(b.x) > 0 THEN covar_pop(a.x, b.x) / sqrt(var_pop(a.x) * var_pop(b.x)) ELSE 0 END AS r
+      FROM x a JOIN x b ON a.block = b.block AND a.user_id = b.user_id AND a.epoch = b.epoch AND a.row = b.row GROUP BY ALL)
+SELECT block, user_id, epoch, {sr('sum(CASE WHEN i = j THEN r ELSE 0 END)', 4)} AS trace, {sr('sum(r * r)', 4)} AS squares FROM c GROUP BY ALL""")
+def sig_eigen_blocks(spark, d):
+    """Sums of the eigenvalues and of their squares: the trace and the squared entries of each matrix."""
+    s = _samples(spark, d)
+    e = signal.eigen_blocks(s.repartition("user_id", "epoch"), ["user_id", "epoch", "event_type"], "seq", "value", FS, N, signal.channel_list(s, "event_type"))
+    total = lambda f: F.aggregate("eigenvalues", F.lit(0.0), lambda a, x: a + f(x))
+    return e.select("block", "user_id", "epoch", stable_round(total(lambda x: x), 4).alias("trace"), stable_round(total(lambda x: x * x), 4).alias("squares"))
+
+
+@query("sig_corr_eigen", SAMPLES_SQL + f""",
+c AS (SELECT a.user_id, a.epoch, a.event_type AS i, b.event_type AS j,
+        CASE WHEN var_pop(a.value) > 0 AND var_pop(b.value) > 0 THEN covar_pop(a.value, b.value) / sqrt(var_pop(a.value) * var_pop(b.value)) ELSE 0 END AS r
+      FROM s a JOIN s b ON a.user_id = b.user_id AND a.epoch = b.epoch AND a.seq = b.seq GROUP BY ALL)
+SELECT user_id, epoch, (SELECT count(DISTINCT event_type) FROM s) AS n, {sr('sum(CASE WHEN i = j THEN r ELSE 0 END)', 4)} AS trace, {sr('sum(r * r)', 4)} AS squares FROM c GROUP BY ALL""")
 def sig_corr_eigen(spark, d):
-    """Rows-only: eigenvalues of each (user, epoch) channel correlation matrix."""
-    return signal.corr_eigen_per_group(_samples(spark, d), ["user_id", "epoch"], "event_type", "seq", "value")
+    """Eigenvalues of each (user, epoch) channel correlation matrix, compared by number, sum and squares."""
+    e = signal.corr_eigen_per_group(_samples(spark, d), ["user_id", "epoch"], "event_type", "seq", "value")
+    return e.groupBy("user_id", "epoch").agg(F.count("*").alias("n"), stable_round(F.sum("eig"), 4).alias("trace"), stable_round(F.sum(F.col("eig") * F.col("eig")), 4).alias("squares"))
 
 
 # ------------------------------------------------------------------ spectra

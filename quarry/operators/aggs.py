@@ -121,6 +121,14 @@ def moments(df: DataFrame, group: Sequence[str], col: str) -> DataFrame:
         F.skewness(col).alias("skew"), F.kurtosis(col).alias("kurtosis"), F.count("*").alias("n"))
 
 
+def correlation(a, b):
+    """Pearson correlation of two columns over the rows that have both, as an aggregate; 0 where it is
+    undefined (a constant column, NaN). Spark's own ``corr`` raises on constant columns in ANSI mode."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    r = F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+    return F.coalesce(F.nanvl(r, F.lit(0.0)), F.lit(0.0))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of every ordered pair of columns (per group) as long rows
     (a, b, corr); NaN/undefined -> 0, diagonal included. One aggregate for all pairs."""
@@ -130,7 +138,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -
         for j, b in enumerate(cols):
             if j < i:
                 continue
-            aggs.append(F.coalesce(F.nanvl(F.corr(a, b), F.lit(0.0)), F.lit(0.0)).alias(f"{i}|{j}"))
+            aggs.append(correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}|{j}"))
     wide = df.groupBy(*group).agg(*aggs)
     names = [f"{i}|{j}" for i in range(len(cols)) for j in range(len(cols)) if j >= i]
     long = wide.unpivot(list(group), names, "__pair", "corr")

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.aggs import correlation
+
 # fixed values: band levels in Hz, the spectral-edge top frequency and power share
 BAND_LEVELS_HZ = [0.1, 4, 8, 12, 30, 70, 180]
 EDGE_TOP_HZ = 40.0
@@ -118,67 +120,149 @@ def band_entropy(bp: DataFrame, keys: Sequence[str], col: str = "band_power") ->
 def edge_frequency(spec: DataFrame, keys: Sequence[str], fs: float, n_fft: int, top_hz: float = EDGE_TOP_HZ,
                    share: float = EDGE_SHARE, col: str = "power") -> DataFrame:
     """Spectral edge: the lowest frequency at which the cumulative power of bins up to
-    ``top_hz`` reaches ``share`` of their total. The running sum is over a group's bins only,
-    a bounded window."""
+    ``top_hz`` reaches ``share`` of their total. Both sums are over a group's bins only,
+    bounded windows; a null key is a group."""
     f = F.col("k") * F.lit(fs / n_fft)
-    s = spec.filter(f <= F.lit(top_hz))
-    w = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn("__cum", F.sum(col).over(w))
-    tot = s.groupBy(*keys).agg(F.sum(col).alias("__tot"))
-    j = s.join(tot, on=list(keys)).filter(F.col("__cum") >= F.lit(share) * F.col("__tot"))
-    return j.groupBy(*keys).agg((F.min("k") * F.lit(fs / n_fft)).alias("edge_hz"))
+    w = Window.partitionBy(*keys)
+    running = w.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    s = spec.filter(f <= F.lit(top_hz)).withColumn("__cum", F.sum(col).over(running)).withColumn("__tot", F.sum(col).over(w))
+    return s.filter(F.col("__cum") >= F.lit(share) * F.col("__tot")).groupBy(*keys).agg((F.min("k") * F.lit(fs / n_fft)).alias("edge_hz"))
 
 
 def band_ratio(spec: DataFrame, keys: Sequence[str], col: str = "mag") -> DataFrame:
-    """Power per bin and its share of the group's total."""
-    tot = spec.groupBy(*keys).agg(F.sum(col).alias("__tot"))
-    return spec.join(tot, on=list(keys)).withColumn("share", F.try_divide(F.col(col), F.col("__tot"))).drop("__tot")
+    """Power per bin and its share of the group's total; a null key is a group."""
+    return spec.withColumn("share", F.try_divide(F.col(col), F.sum(col).over(Window.partitionBy(*keys))))
+
+
+#: Channels of one recording are known and few; a column with more values is not a channel.
+MOST_CHANNELS = 1024
+
+
+def channel_list(df: DataFrame, channel: str) -> list:
+    """The channels a table has, sorted: the fixed order of every feature vector."""
+    found = [r[0] for r in df.select(channel).where(F.col(channel).isNotNull()).distinct().limit(MOST_CHANNELS + 1).collect()]
+    if len(found) > MOST_CHANNELS:
+        raise ValueError(f"{channel} has more than {MOST_CHANNELS} values")
+    return sorted(found)
+
+
+def channel_correlations(df: DataFrame, group: Sequence[str], row: str, channel: str, value: str, channels: Sequence) -> DataFrame:
+    """Pearson correlation of every two channels (by their places i <= j in ``channels``) over the
+    rows of a group that have both; undefined is 0, also on the diagonal.
+
+    Values of one row meet in an array of at most ``len(channels)`` entries and leave as pairs,
+    which are summed to co-moments per (group, i, j) before anything is moved."""
+    place = F.array_position(F.array(*[F.lit(c) for c in channels]), F.col(channel)) - 1
+    at = df.where(F.col(channel).isNotNull() & F.col(value).isNotNull()).select(*group, row, place.cast("int").alias("i"), F.col(value).cast("double").alias("x")).where("i >= 0")
+    rows = at.groupBy(*group, row).agg(F.collect_list(F.struct("i", "x")).alias("__a"))
+    first = rows.select(*group, "__a", F.explode("__a").alias("p"))
+    pairs = first.select(*group, "p", F.explode(F.filter("__a", lambda q: q["i"] >= F.col("p.i"))).alias("q"))
+    return pairs.groupBy(*group, F.col("p.i").alias("i"), F.col("q.i").alias("j")).agg(correlation(F.col("p.x"), F.col("q.x")).alias("corr"))
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _eigenvalues(flat: pd.Series) -> pd.Series:
+    """Ascending eigenvalues of symmetric matrices given row by row, a batch at once."""
+    if not len(flat):
+        return pd.Series([], dtype=object)
+    m = np.stack(flat.to_numpy())
+    n = math.isqrt(m.shape[1])
+    return pd.Series(list(np.linalg.eigvalsh(m.reshape(-1, n, n))))
+
+
+def correlation_eigenvalues(corr: DataFrame, group: Sequence[str], n: int, out: str = "eigenvalues") -> DataFrame:
+    """``out``: n ascending eigenvalues of every group's matrix; channels it lacks are rows of zeros."""
+    known = corr.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct(F.col("i") * n + F.col("j"), "corr"))).alias("__m"))
+    cell = lambda k: F.coalesce(F.try_element_at("__m", (F.least(F.floor(k / n), k % n) * n + F.greatest(F.floor(k / n), k % n)).cast("int")), F.lit(0.0))
+    return known.select(*group, _eigenvalues(F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), cell)).alias(out))
 
 
 def corr_eigen_per_group(df: DataFrame, group: Sequence[str], channel: str, seq: str, value: str,
-                         out_prefix: str = "eig") -> DataFrame:
-    """Per group (a series' epoch): Pearson matrix between channels (NaN / inf -> 0) and its
-    eigenvalues, real part ascending. A group is channels x samples of one epoch, bounded; numpy
-    runs per group in ``applyInPandas``."""
-    group = list(group)
-    schema = T.StructType([df.schema[g] for g in group] + [T.StructField("rank", T.IntegerType()),
-                                                           T.StructField(out_prefix, T.DoubleType())])
+                         out_prefix: str = "eig", channels: Sequence | None = None) -> DataFrame:
+    """Per group (a series' epoch): eigenvalues of the Pearson matrix between the channels, one
+    row an eigenvalue by rank. Correlations are grouped sums; only matrices reach numpy."""
+    channels = channel_list(df, channel) if channels is None else list(channels)
+    one = df.repartition(*group)  # serves every grouping below
+    eig = correlation_eigenvalues(channel_correlations(one, list(group), seq, channel, value, channels), list(group), len(channels))
+    return eig.select(*group, F.posexplode("eigenvalues").alias("rank", out_prefix))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index=seq, columns=channel, values=value, aggfunc="first").sort_index(axis=1)
-        c = wide.corr().to_numpy()
-        c = np.nan_to_num(c, nan=0.0, posinf=0.0, neginf=0.0)
-        w = np.sort(np.real(np.linalg.eigvals(c))) if c.size else np.array([])
-        out = pd.DataFrame({"rank": np.arange(len(w), dtype="int32"), out_prefix: w})
-        for g in reversed(group):
-            out.insert(0, g, pdf[g].iloc[0])
-        return out
 
-    return df.select(*group, channel, seq, value).groupBy(*group).applyInPandas(one, schema)
+#: Values of a vector per channel, in the order of the vector; ``edge_hz`` stands once, after the first.
+CHANNEL_VALUES = ["entropy", "corr_eig", "band_eig", "dyadic_entropy", "dyadic_eig", "activity", "mobility", "complexity", "skew", "kurt"]
 
 
-def features(samples: DataFrame, series: str, channel: str, epoch: str, seq: str, value: str, fs: float,
-             n_fft: int, levels: Sequence[float] = BAND_LEVELS_HZ) -> DataFrame:
-    """One feature vector per (series, epoch): per channel band entropy, spectral edge, dyadic
-    entropy, Hjorth activity / mobility / complexity, skewness, kurtosis, followed by the
-    eigenvalues of the channel correlation matrix; channels in sorted order."""
+def _normalised(samples: DataFrame, keys: Sequence[str], seq: str, value: str, n_fft: int) -> DataFrame:
+    """Spectrum of every channel, ``power`` as a share of its epoch's sum over channels and bins."""
+    spec = spectrum_fft(samples, keys, seq, value, n_fft)
+    return spec.withColumn("power", F.try_divide(F.col("mag"), F.sum("mag").over(Window.partitionBy(*keys[:-1]))))
+
+
+def channel_features(samples: DataFrame, keys: Sequence[str], seq: str, value: str, fs: float, n_fft: int,
+                     levels: Sequence[float] = BAND_LEVELS_HZ) -> DataFrame:
+    """Per (..., channel): entropy over the bands and over the dyadic bands, Hjorth activity, mobility
+    and complexity, skewness and kurtosis. ``keys`` end with the channel. The parts are rows of
+    one union, put together by one grouping: null keys are keys."""
     from quarry.operators.windows import hjorth
 
-    ck = [series, epoch, channel]
-    spec = spectrum_fft(samples, ck, seq, value, n_fft)
-    tot = spec.groupBy(series, epoch).agg(F.sum("mag").alias("__t"))
-    spec = spec.join(tot, [series, epoch]).withColumn("power", F.try_divide(F.col("mag"), F.col("__t"))).drop("__t")
-    ent = band_entropy(band_power(spec, ck, fs, n_fft, levels), ck)
-    dyd = band_entropy(band_power_by_index(spec, ck, dyadic_bands(n_fft)), ck).withColumnRenamed("entropy", "dyadic_entropy")
-    edge = edge_frequency(spec, ck, fs, n_fft)
-    hj = hjorth(samples, ck, [seq], value)
-    mom = samples.groupBy(*ck).agg(F.skewness(value).alias("skew"), F.kurtosis(value).alias("kurt"))
-    per = ent.join(edge, ck, "full").join(dyd, ck, "full").join(hj, ck, "full").join(mom, ck, "full")
-    names = ["entropy", "edge_hz", "dyadic_entropy", "activity", "mobility", "complexity", "skew", "kurt"]
-    packed = per.groupBy(series, epoch).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(channel).alias("c"), *[F.col(n).cast("double").alias(n) for n in names]))).alias("__ch"))
-    vec = F.flatten(F.transform("__ch", lambda s: F.array(*[s[n] for n in names])))
-    eig = corr_eigen_per_group(samples, [series, epoch], channel, seq, value)
-    eigv = eig.groupBy(series, epoch).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "eig"))), lambda s: s["eig"]).alias("__e"))
-    return packed.join(eigv, [series, epoch], "left").select(
-        series, epoch, F.concat(vec, F.coalesce(F.col("__e"), F.array().cast("array<double>"))).alias("features"))
+    keys = list(keys)
+    spec = _normalised(samples, keys, seq, value, n_fft)
+    parts = [band_entropy(band_power(spec, keys, fs, n_fft, levels), keys),
+             band_entropy(band_power_by_index(spec, keys, dyadic_bands(n_fft)), keys).withColumnRenamed("entropy", "dyadic_entropy"),
+             hjorth(samples, keys, [seq], value), samples.groupBy(*keys).agg(F.skewness(value).alias("skew"), F.kurtosis(value).alias("kurt"))]
+    names = ["entropy", "dyadic_entropy", "activity", "mobility", "complexity", "skew", "kurt"]
+    rows = None
+    for p in parts:
+        p = p.select(*keys, *[(F.col(c) if c in p.columns else F.lit(None)).cast("double").alias(c) for c in names])
+        rows = p if rows is None else rows.unionByName(p)
+    return rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names])
+
+
+def epoch_edge(samples: DataFrame, keys: Sequence[str], seq: str, value: str, fs: float, n_fft: int) -> DataFrame:
+    """Spectral edge of an epoch: over the power of all its channels."""
+    spec = _normalised(samples, keys, seq, value, n_fft).groupBy(*keys[:-1], "k").agg(F.sum("power").alias("power"))
+    return edge_frequency(spec, keys[:-1], fs, n_fft)
+
+
+def eigen_blocks(samples: DataFrame, keys: Sequence[str], seq: str, value: str, fs: float, n_fft: int, channels: Sequence,
+                 levels: Sequence[float] = BAND_LEVELS_HZ) -> DataFrame:
+    """Per epoch and ``block`` the eigenvalues of the correlations between channels: ``time`` over the
+    samples, ``band`` over the power of the frequency bands, ``dyadic`` over that of the dyadic bands."""
+    keys = list(keys)
+    spec = _normalised(samples, keys, seq, value, n_fft)
+    blocks = {"time": samples.select(*keys, F.col(seq).cast("long").alias("row"), F.col(value).cast("double").alias("x"))}
+    for name, power in (("band", band_power(spec, keys, fs, n_fft, levels)), ("dyadic", band_power_by_index(spec, keys, dyadic_bands(n_fft)))):
+        blocks[name] = power.select(*keys, F.col("band").cast("long").alias("row"), F.col("band_power").alias("x"))
+    rows = None
+    for name, b in blocks.items():
+        b = b.withColumn("block", F.lit(name))
+        rows = b if rows is None else rows.unionByName(b)
+    group = [*keys[:-1], "block"]
+    return correlation_eigenvalues(channel_correlations(rows, group, "row", keys[-1], "x", channels), group, len(channels))
+
+
+def features(samples: DataFrame, series: str, channel: str, epoch: str, seq: str, value: str, fs: float,
+             n_fft: int, levels: Sequence[float] = BAND_LEVELS_HZ, channels: Sequence | None = None,
+             missing: float = float("nan")) -> DataFrame:
+    """One vector of ``10 * channels + 1`` values per (series, epoch), the same places on every row:
+    band entropies, the epoch's spectral edge, eigenvalues of the channel correlations over samples
+    and over bands, dyadic entropies, eigenvalues over dyadic bands, Hjorth activity, mobility and
+    complexity, skewness, kurtosis. ``channels`` is the fitted list (of a training table, say), by
+    default that of ``samples``; what a channel lacks is ``missing``.
+
+    The samples are dealt once by (series, epoch); every grouping and window after it is by these
+    keys and more, so nothing is shuffled again."""
+    keys = [series, epoch, channel]
+    channels = channel_list(samples, channel) if channels is None else list(channels)
+    samples = samples.where(F.col(channel).isin(channels)).select(*keys, seq, value).repartition(series, epoch)
+    place = F.array_position(F.array(*[F.lit(c) for c in channels]), F.col(channel)) - 1
+    per = channel_features(samples, keys, seq, value, fs, n_fft, levels)
+    names = [c for c in CHANNEL_VALUES if not c.endswith("_eig")]
+    long = per.select(series, epoch, F.explode(F.array(*[F.struct(F.concat(F.lit(c + ":"), place).alias("name"), F.col(c).alias("x")) for c in names])).alias("v"))
+    edge = epoch_edge(samples, keys, seq, value, fs, n_fft).select(series, epoch, F.struct(F.lit("edge_hz:0").alias("name"), F.col("edge_hz").cast("double").alias("x")).alias("v"))
+    eig = eigen_blocks(samples, keys, seq, value, fs, n_fft, channels, levels).select(series, epoch, "block", F.posexplode("eigenvalues").alias("i", "x"))
+    block = F.when(F.col("block") == "time", "corr_eig:").otherwise(F.concat("block", F.lit("_eig:")))
+    long = long.unionByName(edge).unionByName(eig.select(series, epoch, F.struct(F.concat(block, F.col("i")).alias("name"), "x").alias("v")))
+    known = long.groupBy(series, epoch).agg(F.map_from_entries(F.collect_list("v")).alias("__m"))
+    order = [f"{c}:{i}" for c in CHANNEL_VALUES for i in range(len(channels))]
+    order.insert(len(channels), "edge_hz:0")
+    return known.select(series, epoch, F.transform(F.array(*[F.lit(n) for n in order]), lambda n: F.coalesce(F.try_element_at("__m", n), F.lit(missing))).alias("features"))
