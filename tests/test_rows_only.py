@@ -104,7 +104,7 @@ def test_series_feature_vector_length(spark):
     df = spark.createDataFrame(rows, "series long, ch long, epoch long, seq long, v double")
     out = signal.features(df, "series", "ch", "epoch", "seq", "v", fs=64.0, n_fft=16).collect()
     assert len(out) == 1
-    assert len(out[0]["features"]) == 8 * 3 + 3  # 8 per channel, then 3 eigenvalues
+    assert len(out[0]["features"]) == 10 * 3 + 1  # 10 values a channel, then the edge of the epoch
 
 
 def test_histogram_counts_all_rows(spark):
