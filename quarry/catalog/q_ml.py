@@ -44,6 +44,7 @@ def ml_knn(spark, d):
 
 # ------------------------------------------------------------------ models and evaluation
 
+import numpy as np  # noqa: E402
 import pandas as pd  # noqa: E402
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier  # noqa: E402
 from pyspark.ml.evaluation import BinaryClassificationEvaluator  # noqa: E402
@@ -53,7 +54,7 @@ from pyspark.sql import types as T  # noqa: E402
 from pyspark import StorageLevel  # noqa: E402
 
 from quarry.functions.text import count_word  # noqa: E402
-from quarry.operators import aggs, evaluate, ml  # noqa: E402
+from quarry.operators import aggs, evaluate, logistic, ml, staged_trees  # noqa: E402
 from quarry.operators.windows import fold_contiguous, fold_stratified  # noqa: E402
 
 DOC_FEATS = ["n_chars", "n_the", "is_en"]
@@ -129,12 +130,12 @@ def ml_coef_rank(spark, d):
 
 @query("ml_logreg_cv")
 def ml_logreg_cv(spark, d):
-    """Rows-only: logistic regression over penalties, L2 and L1, 3-fold CV (AUC)."""
-    docs = _docs(spark, d)
-    lr = LogisticRegression(labelCol="quality", featuresCol="features")
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1, 1.0]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
-    table, _ = ml.grid_cv(lr, grid, BinaryClassificationEvaluator(labelCol="quality"), docs, folds=3)
-    return table
+    """Rows-only: 100 penalties, L2 and L1, over 10 stratified folds: 2,200 models in some 20 scans. The
+    penalties are 1 / (c n) for c from 10^-4 to 10^4."""
+    docs = fold_stratified(_docs(spark, d), "quality", "doc_id", 10, seed="3", out="fold").withColumn("x", vector_to_array("features"))
+    n = docs.count()
+    penalties = [(1.0 / (max(n, 1) * 10 ** (-4 + 8 * i / 99)), l1) for l1 in (0.0, 1.0) for i in range(100)]
+    return logistic.grid_table(docs, "fold", "quality", "x", penalties)
 
 
 @query("ml_grid_cv")
@@ -219,31 +220,102 @@ def ml_base_unused(spark, d):
     return out.unionByName(others.select(F.concat("model", F.lit("_valid")).alias("model"), F.col("valid_accuracy").alias("accuracy")))
 
 
-@query("ml_fold_average")
-def ml_fold_average(spark, d):
-    """Rows-only: 3 contiguous folds, a boosted model per fold, test predictions averaged."""
+def _fold_average(spark, d):
+    """3 contiguous folds; 8 rounds of depth 3 and a patience of 3 (the defaults of the operator are a
+    patience of 50 under whatever ceiling the fit has; a round is a fit of a tree, so 2,000 take hours
+    on one machine). Errors are of the values, not of their logarithms."""
     c = _claims(spark, d)
     train = fold_contiguous(c.filter(~F.col("is_valid")), ["l_orderkey", "l_linenumber"], 3)
-    test = c.filter("is_valid").withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
-    return ml.fold_average(train, test, "fold", "key", lambda tr: ml.boost_regressor(tr, "y", rounds=5, depth=3, rate=0.3))
+    test = c.filter("is_valid")
+    return staged_trees.fold_average(train, test, "fold", "y", lambda tr: ml.boost_regressor(tr, "y", rounds=8, depth=3, rate=0.3), patience=3, unscale=np.exp)
+
+
+@query("ml_fold_average")
+def ml_fold_average(spark, d):
+    """Rows-only: a boosted model per fold, cut at its best round; test predictions averaged."""
+    rows, report = _fold_average(spark, d)
+    mean = report.first()
+    return rows.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"), (F.col("prediction") - 200).alias("prediction"), F.size("fold_predictions").alias("folds"),
+                       F.lit(mean["mean_error"]).alias("mean_error"), F.lit(mean["mean_best_round"]).alias("mean_best_round"))
+
+
+@query("ml_fold_report")
+def ml_fold_report(spark, d):
+    """Rows-only: a row a fold with its best round, its error there and the means over the folds."""
+    return _fold_average(spark, d)[1]
+
+
+CURVE_SQL = """WITH e AS (SELECT CAST(user_id AS INTEGER) AS fold, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS round, value AS error FROM events),
+a AS (SELECT *, min(error) OVER (PARTITION BY fold ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low FROM e),
+b AS (SELECT *, max(CASE WHEN low IS NULL OR error < low THEN round END) OVER (PARTITION BY fold ORDER BY round) AS at FROM a),
+s AS (SELECT fold, min(round) AS stop FROM b WHERE round - at >= 5 GROUP BY fold),
+r AS (SELECT b.fold, max(at) AS best_round, min(error) AS error, max(round) AS stopped_at FROM b LEFT JOIN s ON b.fold = s.fold WHERE stop IS NULL OR round <= stop GROUP BY b.fold)"""
+
+
+@query("ml_best_round", CURVE_SQL + f"""
+SELECT fold, best_round, {sr('error', 6)} AS error, stopped_at, {sr('(SELECT avg(error) FROM r)', 4)} AS mean_error, CAST(floor((SELECT avg(best_round) FROM r)) AS INTEGER) AS mean_best_round FROM r""")
+def ml_best_round(spark, d):
+    """Best rounds by a patience of 5 on given error curves (one a user), and their report."""
+    from pyspark.sql import Window
+    e = t(spark, d, "events")
+    n = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    curves = e.select(F.col("user_id").cast("int").alias("fold"), n.alias("round"), F.col("value").alias("error"))
+    r = staged_trees.fold_report(staged_trees.best_rounds(curves, 5))
+    return r.select("fold", "best_round", stable_round("error", 6).alias("error"), "stopped_at", stable_round("mean_error", 4).alias("mean_error"), "mean_best_round")
+
+
+@query("ml_average_folds", f"""WITH p AS (SELECT l_orderkey, f, ln(l_extendedprice + 200 * f) + l_quantity / (f + 1.0) AS p FROM lineitem, range(0, 3) r(f))
+SELECT l_orderkey AS key, {sr('avg(p)', 5)} AS prediction, count(*) AS folds FROM p GROUP BY l_orderkey""")
+def ml_average_folds(spark, d):
+    """Averages over the folds of given predictions."""
+    f = F.explode(F.array(*[F.lit(i) for i in range(3)]))
+    p = t(spark, d, "lineitem").select("l_orderkey", "l_extendedprice", "l_quantity", f.alias("fold"))
+    p = p.withColumn("p", F.ln(F.col("l_extendedprice") + 200 * F.col("fold")) + F.col("l_quantity") / (F.col("fold") + 1.0))
+    a = staged_trees.average_folds(p.withColumnRenamed("l_orderkey", "key"), "key", "fold", "p")
+    return a.select("key", stable_round("prediction", 5).alias("prediction"), "folds")
 
 
 @query("ml_stack")
 def ml_stack(spark, d):
-    """Rows-only: out-of-fold probabilities of two base models stacked by a logistic model."""
-    docs = fold_stratified(_docs(spark, d), "quality", "doc_id", 3, seed="5", out="fold")
+    """Rows-only: two base models over 3 folds stacked by a logistic model; labelled documents are
+    the training rows, a quarter of them held out as test rows; mean Gini of the stacker over 10 folds."""
+    docs = _docs(spark, d)
+    held = split_flag("doc_id", 0.25, seed="6")
+    train = fold_stratified(docs.filter(~held), "quality", "doc_id", 3, seed="5", out="fold")
     bases = {"lr": LogisticRegression(regParam=0.01), "rf": RandomForestClassifier(numTrees=10, seed=0)}
-    return ml.stack(docs, "quality", "doc_id", "fold", bases).select("doc_id", "quality", "lr", "rf", "p_stack")
+    rows, ginis = ml.stack(train, "quality", "doc_id", "fold", bases, test=docs.filter(held))
+    mean = ginis.agg(F.avg("gini")).first()[0]
+    return rows.select("part", F.col("key").alias("doc_id"), "quality", "lr", "rf", "p_stack", F.lit(mean).cast("double").alias("stacker_gini"))
+
+
+@query("ml_stack_assembly", f"""WITH s AS (SELECT o_orderkey AS key, CASE WHEN o_orderkey % 4 = 0 THEN 'test' ELSE 'train' END AS part, f, m,
+  CASE WHEN m = 'a' THEN o_totalprice / 1000000 + f * 0.01 ELSE (o_orderkey % 97) / 97.0 + f * 0.02 END AS p
+  FROM orders, range(0, 3) r(f), (VALUES ('a'), ('b')) v(m) WHERE o_orderkey % 4 = 0 OR o_orderkey % 3 = f)
+SELECT part, key, {sr("avg(CASE WHEN m = 'a' THEN p END)", 6)} AS a, {sr("avg(CASE WHEN m = 'b' THEN p END)", 6)} AS b FROM s GROUP BY part, key""")
+def ml_stack_assembly(spark, d):
+    """The level-two table of given scores: out-of-fold for training rows, fold means for test rows."""
+    o = t(spark, d, "orders").select("o_orderkey", "o_totalprice", F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("fold"))
+    o = o.select("*", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("model")).where("o_orderkey % 4 = 0 OR o_orderkey % 3 = fold")
+    p = F.when(F.col("model") == "a", F.col("o_totalprice") / 1000000 + F.col("fold") * 0.01).otherwise((F.col("o_orderkey") % 97) / 97.0 + F.col("fold") * 0.02)
+    s = o.select(F.when(F.col("o_orderkey") % 4 == 0, "test").otherwise("train").alias("part"), F.col("o_orderkey").alias("key"), "model", "fold", p.alias("p"))
+    return ml.assemble_scores(s, ["a", "b"]).select("part", "key", stable_round("a", 6).alias("a"), stable_round("b", 6).alias("b"))
 
 
 @query("ml_segmented")
 def ml_segmented(spark, d):
-    """Rows-only: one logistic model per language, predictions recombined."""
-    docs = _docs(spark, d)
-
-    def fit_predict(part):
-        return ml.logistic(part, "quality", reg=0.1).transform(part).select("doc_id", "lang", "prediction")
-    return ml.segmented(docs, "lang", fit_predict)
+    """Rows-only: a logistic model per language, all fitted together, predictions recombined."""
+    docs = _docs(spark, d).withColumn("x", vector_to_array("features"))
+    models = logistic.segmented(docs, "lang", "quality", "x", reg=0.1)
+    return logistic.predict(docs, models, "lang", "x").select("doc_id", "lang", (F.col("p1") > 0.5).cast("double").alias("prediction"))
+
+
+@query("ml_segmented_many")
+def ml_segmented_many(spark, d):
+    """Rows-only: a model per part (2,000 at sf0.01) of whether its line was returned; no loop over the parts."""
+    li = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.array("l_quantity", "l_discount", "l_tax").alias("x"),
+                                        (F.col("l_returnflag") == "R").cast("double").alias("y"))
+    models = logistic.segmented(li, "l_partkey", "y", "x", reg=0.1)
+    return logistic.predict(li, models, "l_partkey", "x").select("l_orderkey", "l_linenumber", "l_partkey", F.round("p1", 6).alias("p1"))
 
 
 @query("ml_features_vote", """WITH m AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v FROM embeddings, range(1, 65) r(i) GROUP BY label, i),

@@ -12,14 +12,13 @@ import pandas as pd
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
                                        NaiveBayes, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, staged
 
 from quarry.functions.numeric import fair_grad, fair_hess
 from quarry.operators.sequence import null_safe_join
@@ -217,43 +216,55 @@ def compare(models: dict, train: DataFrame, valid: DataFrame, label: str, featur
     return train.sparkSession.createDataFrame(rows, "model string, train_accuracy double, valid_accuracy double")
 
 
-def fold_average(train: DataFrame, test: DataFrame, fold: str, key: str, fit: Callable[[DataFrame], object],
-                 pred_col: str = "prediction") -> DataFrame:
-    """Fit on all folds but one, predict the test table, for every fold; average per key."""
-    folds = [r[0] for r in train.select(fold).distinct().orderBy(fold).collect()]
-    preds = None
-    for f in folds:
-        model = fit(train.filter(F.col(fold) != f))
-        p = model.transform(test).select(key, F.col(pred_col).alias("p"), F.lit(f).alias("fold"))
-        preds = p if preds is None else preds.unionByName(p)
-    return preds.groupBy(key).agg(F.avg("p").alias(pred_col), F.count("*").alias("folds"))
-
-
-def out_of_fold(train: DataFrame, fold: str, key: str, fit: Callable[[DataFrame], object],
-                score: Callable[[DataFrame], Column]) -> DataFrame:
-    """Out-of-fold scores: for each fold, fit on the others and score its rows: (key, oof)."""
-    folds = [r[0] for r in train.select(fold).distinct().orderBy(fold).collect()]
+def fold_scores(train: DataFrame, label: str, key: str, fold: str, bases: dict, features: str = "features",
+                test: DataFrame | None = None) -> DataFrame:
+    """One long table (part, key, model, fold, p) of P(y = 1): for each fold and base model fitted without
+    it, the scores of its rows (``train``) and of all test rows (``test``). Written to the shared folder."""
+    folds = [r[0] for r in train.select(fold).distinct().collect() if r[0] is not None]
     out = None
-    for f in folds:
-        model = fit(train.filter(F.col(fold) != f))
-        s = model.transform(train.filter(F.col(fold) == f)).select(key, score(F.col("probability")).alias("oof"))
-        out = s if out is None else out.unionByName(s)
-    return out
-
-
-def stack(train: DataFrame, label: str, key: str, fold: str, bases: dict, features: str = "features") -> DataFrame:
-    """Stacking: out-of-fold P(y=1) of each base model become the features of a logistic model;
-    returns the training rows with the base scores and the stacker's probability."""
-    p1 = lambda v: vector_to_array(v)[1]
-    oof = None
     for name, est in bases.items():
-        s = out_of_fold(train, fold, key, lambda d, e=est: e.setLabelCol(label).setFeaturesCol(features).fit(d), p1)
-        s = s.withColumnRenamed("oof", name)
-        oof = s if oof is None else oof.join(s, key)
-    level2 = train.select(key, label).join(oof, key)
-    level2 = VectorAssembler(inputCols=list(bases), outputCol="__z").transform(level2)
-    lr = LogisticRegression(labelCol=label, featuresCol="__z").fit(level2)
-    return lr.transform(level2).withColumn("p_stack", vector_to_array("probability")[1]).drop("__z", "rawPrediction", "probability")
+        for f in sorted(folds):
+            model = est.copy().setLabelCol(label).setFeaturesCol(features).fit(require_rows(train.filter(F.col(fold) != f)))
+            parts = [("train", train.filter(F.col(fold) == f))] + ([("test", test)] if test is not None else [])
+            for part, rows in parts:
+                s = model.transform(rows).select(F.lit(part).alias("part"), F.col(key).alias("key"), F.lit(name).alias("model"), F.lit(f).alias("fold"),
+                                                 vector_to_array("probability")[1].alias("p"))
+                out = s if out is None else out.unionByName(s)
+    return staged(out, "fold-scores")
+
+
+def assemble_scores(scores: DataFrame, models: Sequence[str]) -> DataFrame:
+    """(part, key, one column a model): a training row has its out-of-fold score, a test row the mean
+    over the folds. One pass over the long table."""
+    return scores.groupBy("part", "key").agg(*[F.avg(F.when(F.col("model") == m, F.col("p"))).alias(m) for m in models])
+
+
+def stack(train: DataFrame, label: str, key: str, fold: str, bases: dict, features: str = "features",
+          test: DataFrame | None = None, score_folds: int = 10, seed: str = "0") -> tuple[DataFrame, DataFrame]:
+    """Stacking: out-of-fold P(y=1) of each base model become the features of a logistic model, which
+    is also fitted without each of ``score_folds`` stratified folds (all at once, see ``logistic.grid``)
+    and scored on it by the normalised Gini. Returns the rows (part, key, label, base scores, p_stack)
+    of training and test table, the test rows scored from their averaged base scores, and the table
+    (fold, gini). A fold with one class has no Gini."""
+    from quarry.operators import logistic
+    from quarry.operators.windows import fold_stratified, gini_normalized
+
+    names = list(bases)
+    wide = staged(assemble_scores(fold_scores(train, label, key, fold, bases, features, test), names), "stack-level")
+    z = F.array(*[F.col(n) for n in names])
+    level = train.select(F.col(key).alias("key"), F.col(label).cast("double").alias(label)).join(wide.where("part = 'train'").drop("part"), "key").withColumn("z", z)
+    level = staged(fold_stratified(level, label, "key", score_folds, seed, "__f"), "stack-train")
+    g = logistic.grid(level, "__f", label, "z", [(0.0, 0.0)])
+    last = lambda f: logistic.probability(F.col("z"), g["coefficients"][f, 0], g["intercept"][f, 0])
+    own = None
+    for f in range(len(g["n"])):
+        own = F.when(F.col("__f") == f, last(f)) if own is None else own.when(F.col("__f") == f, last(f))
+    scored = level.select(F.col("__f").alias("fold"), F.col(label).cast("long").alias("y"), own.alias("p"), (-F.col(label)).alias("tie"))
+    ginis = gini_normalized(scored, "y", "p", "tie", ["fold"]).select("fold", F.col("gini_norm").alias("gini"))
+    rows = level.select(F.lit("train").alias("part"), "key", label, *names, last(-1).alias("p_stack"))
+    if test is not None:
+        rows = rows.unionByName(wide.where("part = 'test'").withColumn("z", z).select("part", "key", F.lit(None).cast("double").alias(label), *names, last(-1).alias("p_stack")))
+    return rows, ginis
 
 
 def segmented(df: DataFrame, segment: str, fit_predict: Callable[[DataFrame], DataFrame]) -> DataFrame:

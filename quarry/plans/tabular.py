@@ -6,12 +6,13 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import numeric as nm
 from quarry.functions import text as tx
-from quarry.operators import aggs, clean, evaluate, features, joins, ml, sets, windows
+from quarry.operators import aggs, clean, features, joins, ml, sets, staged_trees, windows
 from quarry.sources import io
 
 
@@ -52,33 +53,33 @@ def person_features(people: DataFrame, flagged: DataFrame, key: str, name: str,
 
 
 def claims(train: DataFrame, test: DataFrame, key: str, target: str, num_cols: Sequence[str], cat_cols: Sequence[str],
-           folds: int = 3, rounds: int = 10, shift: float = 200.0, out_base: str | None = None) -> tuple[DataFrame, float]:
-    """Skew repair -> categories outside both sets masked -> min-max scaling -> pairs encoded
-    base-26 -> categories base-26 (a missing value encodes as the word 'None') -> standardise -> k contiguous folds of boosting on
-    ln(target + shift) -> fold-averaged test predictions back on the target scale, the
-    out-of-fold MAE, and an optional named CSV."""
+           folds: int = 3, rounds: int = 2000, patience: int = 50, depth: int = 8, rate: float = 0.03, shift: float = 200.0,
+           sqrt_cols: Sequence[str] = (), log_cols: Sequence[str] = (), power_cols: dict[str, tuple[float, float]] | None = None,
+           out_base: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Skew repair -> categories outside both sets masked -> min-max scaling with a square root
+    (``sqrt_cols``) or a logarithm (``log_cols``), clipped fourth roots (``power_cols``: column to
+    (a, b)) -> pairs encoded base-26 -> categories base-26 (a missing value encodes as the word 'None') ->
+    standardise -> one boosted model a contiguous fold on ln(target + shift), cut at its best round by
+    ``patience`` -> fold-averaged test predictions back on the target scale, and an optional CSV named by the
+    mean error. Returns the predictions and the report (a row a fold)."""
     both, _ = skew_repair(train, test.withColumn(target, F.lit(None).cast("double")), num_cols)
     both = sets.mask_uncommon(both, "is_train", cat_cols)
-    both = features.MinMaxScaler.fit(both, list(num_cols)[:1], post="sqrt").transform(both)
-    both = clean.pair_codes(both, list(cat_cols)[:2], encode=lambda c: tx.base26(c, none_word=True))
+    for cols, post in ((list(sqrt_cols), "sqrt"), (list(log_cols), "log")):
+        if cols:
+            both = features.MinMaxScaler.fit(both, cols, post=post).transform(both)
+    both = both.withColumns({c: nm.power_clip(c, a, b) for c, (a, b) in (power_cols or {}).items()}) if power_cols else both
+    both = clean.pair_codes(both, list(cat_cols), encode=lambda c: tx.base26(c, none_word=True))
     both = both.select(*[tx.base26(c, none_word=True).cast("double").alias(c) if c in cat_cols else F.col(c) for c in both.columns])
-    pair = [f"{a}_{b}" for a, b in itertools.combinations(list(cat_cols)[:2], 2)]
+    pair = [f"{a}_{b}" for a, b in itertools.combinations(list(cat_cols), 2)]
     both = both.withColumns({c: F.col(c).cast("double") for c in pair})
     feats = list(num_cols) + list(cat_cols) + pair
     both = features.Standardizer.fit(both, list(num_cols)).transform(both)
     both = ml.assemble(both.withColumn("y", nm.log_shift(target, shift)), feats)
     tr = windows.fold_contiguous(both.filter("is_train"), [key], folds)
     te = both.filter(~F.col("is_train"))
-    fit = lambda d: ml.boost_regressor(d, "y", rounds=rounds, depth=4, rate=0.3)
-    oof = None
-    for f in range(folds):
-        m = fit(tr.filter(F.col("fold") != f))
-        p = m.transform(tr.filter(F.col("fold") == f)).select(key, target, "prediction")
-        oof = p if oof is None else oof.unionByName(p)
-    score = evaluate.mae(oof.withColumn("y_t", nm.log_shift(target, shift)), "y_t", "prediction",
-                         inverse=lambda c: nm.exp_unshift(c, shift))
-    mae = score.first()[0]
-    pred = ml.fold_average(tr, te, "fold", key, fit).select(key, nm.exp_unshift("prediction", shift).alias(target))
+    fit = lambda d: ml.boost_regressor(d, "y", rounds=rounds, depth=depth, rate=rate)
+    pred, report = staged_trees.fold_average(tr, te, "fold", "y", fit, patience=patience, unscale=lambda v: np.exp(v) - shift)
+    pred = pred.select(key, F.col("prediction").alias(target))
     if out_base:
-        io.write_csv(pred, io.named_sink_path(out_base, mae or 0.0))
-    return pred, mae
+        io.write_csv(pred, io.named_sink_path(out_base, report.first()["mean_error"]))
+    return pred, report

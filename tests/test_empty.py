@@ -12,7 +12,7 @@ from quarry.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
 MODEL_FITS = {"fe_fill_tree", "ml_base_unused", "ml_boost_clf", "ml_boost_custom", "ml_boost_multi", "ml_boost_reg",
-              "ml_coef_rank", "ml_compare", "ml_fold_average", "ml_forest", "ml_grid_cv", "ml_linear_svc", "ml_logreg",
+              "ml_coef_rank", "ml_compare", "ml_fold_average", "ml_fold_report", "ml_forest", "ml_grid_cv", "ml_linear_svc", "ml_logreg",
               "ml_logreg_cv", "ml_mlp_top", "ml_naive_bayes", "ml_rbf_svc", "ml_segmented", "ml_stack", "pipe_claims",
               "udf_callbacks", "pipe_next_product_rank"}
 
