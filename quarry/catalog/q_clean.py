@@ -195,13 +195,14 @@ def chk_clean(spark, d):
     return clean.check_clean(clean.select_numeric(t(spark, d, "part")))
 
 
-@query("prj_profile", """SELECT 'l_quantity' AS "column", count(l_quantity) AS count, round(avg(l_quantity), 4) AS mean,
-  round(stddev_samp(l_quantity), 4) AS sd, min(l_quantity) AS min, max(l_quantity) AS max FROM lineitem
-UNION ALL SELECT 'l_extendedprice', count(l_extendedprice), round(avg(l_extendedprice), 4), round(stddev_samp(l_extendedprice), 4),
-  min(l_extendedprice), max(l_extendedprice) FROM lineitem
-UNION ALL SELECT 'l_discount', count(l_discount), round(avg(l_discount), 4), round(stddev_samp(l_discount), 4),
-  min(l_discount), max(l_discount) FROM lineitem""")
+def _profile_sql(c):
+    quartiles = ", ".join(f"round(quantile_cont({c}, {p / 100}), 4) AS q{p}" for p in (25, 50, 75))
+    return f"""SELECT '{c}' AS "column", 'double' AS type, count(*) AS rows, (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE lineitem)) AS columns, count({c}) AS count,
+  round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS sd, min({c}) AS min, {quartiles}, max({c}) AS max FROM lineitem"""
+
+
+@query("prj_profile", " UNION ALL ".join(_profile_sql(c) for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def prj_profile(spark, d):
     li = t(spark, d, "lineitem")
     p = clean.profile(li, ["l_quantity", "l_extendedprice", "l_discount"])
-    return p.select("column", "count", F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd"), "min", "max")
+    return p.select("column", "type", "rows", "columns", "count", *[F.round(c, 4).alias(c) for c in ("mean", "sd")], "min", *[F.round(c, 4).alias(c) for c in ("q25", "q50", "q75")], "max")

@@ -247,9 +247,9 @@ def ml_fold_report(spark, d):
 
 CURVE_SQL = """WITH e AS (SELECT CAST(user_id AS INTEGER) AS fold, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS round, value AS error FROM events),
 a AS (SELECT *, min(error) OVER (PARTITION BY fold ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low FROM e),
-b AS (SELECT *, max(CASE WHEN low IS NULL OR error < low THEN round END) OVER (PARTITION BY fold ORDER BY round) AS at FROM a),
-s AS (SELECT fold, min(round) AS stop FROM b WHERE round - at >= 5 GROUP BY fold),
-r AS (SELECT b.fold, max(at) AS best_round, min(error) AS error, max(round) AS stopped_at FROM b LEFT JOIN s ON b.fold = s.fold WHERE stop IS NULL OR round <= stop GROUP BY b.fold)"""
+b AS (SELECT *, max(CASE WHEN low IS NULL OR error < low THEN round END) OVER (PARTITION BY fold ORDER BY round) AS pos FROM a),
+s AS (SELECT fold, min(round) AS stop FROM b WHERE round - pos >= 5 GROUP BY fold),
+r AS (SELECT b.fold, max(pos) AS best_round, min(error) AS error, max(round) AS stopped_at FROM b LEFT JOIN s ON b.fold = s.fold WHERE stop IS NULL OR round <= stop GROUP BY b.fold)"""
 
 
 @query("ml_best_round", CURVE_SQL + f"""

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from quarry.functions.numeric import micros_since
 
 from quarry.catalog.registry import query, t, tag as _tag
+from quarry.catalog import q_series
 from quarry.plans import customer, series, tabular
 from quarry.sources import io
 
@@ -153,10 +154,23 @@ def pipe_spectra_match(spark, d):
     return series.spectra_match(pts, lib, "label", "x", "y", 5, 50, pure_threshold=5.0)
 
 
-@query("pipe_volume")
+_VOLUME_SQL = "WITH " + q_series.SLICES_SQL + f""",
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY patient ORDER BY z, l_linenumber, l_partkey, l_extendedprice) - 1 AS INTEGER) AS zi FROM sl),
+sp AS (SELECT patient, abs(max(CASE WHEN zi = 0 THEN z END) - max(CASE WHEN zi = 1 THEN z END)) AS spacing, max(zi) + 1 AS nz FROM o GROUP BY patient),
+hu AS (SELECT patient, zi, list_transform(pixels, lambda v: {q_series.HU_SQL}) AS hu FROM o),
+v AS (SELECT CAST(unnest(hu) AS DOUBLE) AS v FROM hu), lim AS (SELECT min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / 80 AS w FROM v),
+b AS (SELECT CAST(least(floor((v.v - lim.lo) / lim.w), 79) AS INTEGER) AS bin, count(*) AS n FROM v, lim GROUP BY 1),
+m AS (SELECT patient, nz, spacing, CAST(greatest(round_even(nz * spacing / 200.0, 0), 1) AS INTEGER) AS mz FROM sp),
+c AS (SELECT m.*, tz, CAST(CASE WHEN mz > 1 THEN floor(tz * (nz - 1) / (mz - 1) + 0.5) ELSE 0 END AS INTEGER) AS zi FROM m, unnest(range(0, mz)) a(tz))
+SELECT 'histogram' AS part, NULL::BIGINT AS patient, CAST(r.i AS INTEGER) AS at, array_to_string([coalesce(b.n, 0)], ',') AS cells, NULL::DOUBLE AS spacing FROM range(0, 80) r(i) LEFT JOIN b ON b.bin = r.i
+UNION ALL SELECT 'grid', c.patient, CAST(tz AS INTEGER), array_to_string(hu, ','), round(spacing * nz / mz, 6) FROM c JOIN hu ON c.patient = hu.patient AND c.zi = hu.zi"""
+
+
+@query("pipe_volume", _VOLUME_SQL)
 def pipe_volume(spark, d):
-    """Rows-only: slices ordered with spacing, units, histogram, regrid (returns the grid)."""
+    """Slices ordered with spacing, units, histogram, regrid: the bins of the histogram and the slices of the grid."""
     from quarry.catalog.q_series import TIES, _slices
     hist, grid = series.volume(_slices(spark, d), "patient", "z", TIES, "pixels", "slope", "intercept", 2, (200.0, 1.0, 1.0))
-    return grid
-
+    bins = hist.select(F.lit("histogram").alias("part"), F.lit(None).cast("long").alias("patient"), F.col("bin").alias("at"), F.col("count").cast("string").alias("cells"), F.lit(None).cast("double").alias("spacing"))
+    text = F.array_join(F.col("v").cast("array<string>"), ",")
+    return bins.unionByName(grid.select(F.lit("grid").alias("part"), "patient", F.col("t_z").alias("at"), text.alias("cells"), F.round("spacing_z", 6).alias("spacing")))

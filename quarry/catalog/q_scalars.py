@@ -74,6 +74,22 @@ def str_base26(spark, d):
     return t(spark, d, "region").select("r_regionkey", tx.base26("r_name").alias("code"))
 
 
+_LONG_LETTERS = "regexp_replace(upper(p_name || p_type || p_brand), '[^A-Z]', '', 'g')"
+
+
+@query("str_base26_long", f"""WITH p AS (SELECT p_partkey, {_LONG_LETTERS} || {_LONG_LETTERS} || {_LONG_LETTERS} || {_LONG_LETTERS} AS s FROM part),
+-- the remainder by a prime, which any exact number must have; sums stay small
+r AS (SELECT p_partkey, length(s) AS letters, list_reduce(list_prepend(0::BIGINT, list_transform(string_split(s, ''), lambda x: CAST(ascii(x) - 64 AS BIGINT))), lambda a, x: (a * 26 + x) % 999983) AS remainder FROM p)
+SELECT p_partkey, letters, remainder FROM r""")
+def str_base26_long(spark, d):
+    """Numbers of texts far beyond 27 letters, compared by their remainder by a prime (taken from the decimal text)."""
+    s = F.regexp_replace(F.upper(F.concat("p_name", "p_type", "p_brand")), "[^A-Z]", "")
+    p = t(spark, d, "part").select("p_partkey", F.repeat(s, 4).alias("s"))
+    digits = F.filter(F.split(tx.base26_text("s"), ""), lambda x: x != "")
+    rest = F.aggregate(digits, F.lit(0).cast("bigint"), lambda a, x: (a * 10 + x.cast("bigint")) % 999983)
+    return p.select("p_partkey", F.length("s").cast("long").alias("letters"), rest.alias("remainder"))
+
+
 @query("str_join", """SELECT p_brand, array_to_string(list_sort(list_distinct(list(p_type))), ' ') AS types
 FROM part GROUP BY p_brand""")
 def str_join(spark, d):

@@ -270,25 +270,16 @@ def spe_second(spark, d):
     return m.select("label", "best", stable_round("error", 4).alias("error"), "second", stable_round("second_error", 4).alias("second_error"))
 
 
-@query("spe_convolve", f"""WITH {LIB_SQL},
-main AS (SELECT i, y FROM lib WHERE ref = 0),
-c AS (SELECT lib.ref, main.i + lib.i - 2 - 31 AS k, sum(main.y * lib.y) AS v FROM main, lib GROUP BY ALL),
-cs AS (SELECT ref, k, v FROM c WHERE k >= 0 AND k < 64)
-SELECT ref, CAST(k AS INTEGER) AS k, {sr('v / max(v) OVER (PARTITION BY ref)', 6)} AS conv FROM cs""")
-def spe_convolve(spark, d):
-    """The pairs of library entry 0, which the oracle holds; ``spe_convolve_mains`` has every main component."""
-    lib, _ = _lib(spark, d)
-    c = spectra.convolve_same(lib.filter(F.col("ref") == 0).withColumnRenamed("ref", "main"), lib, "main", "ref", "i", "y")
-    return c.select("ref", "k", stable_round("conv", 6).alias("conv"))
-
-
-@query("spe_convolve_mains", f"""WITH {LIB_SQL},
+_CONVOLVE_SQL = f"""WITH {LIB_SQL},
 mains AS (SELECT DISTINCT best AS main FROM best WHERE error >= {TH}),
 main AS (SELECT mains.main, lib.i, lib.y FROM mains JOIN lib ON lib.ref = mains.main),
 c AS (SELECT main.main, lib.ref, main.i + lib.i - 2 - 31 AS k, sum(main.y * lib.y) AS v FROM main, lib GROUP BY ALL),
 cs AS (SELECT main, ref, k, v FROM c WHERE k >= 0 AND k < 64)
-SELECT main, ref, CAST(k AS INTEGER) AS k, {sr('v / max(v) OVER (PARTITION BY main, ref)', 6)} AS conv FROM cs""")
-def spe_convolve_mains(spark, d):
+SELECT main, ref, CAST(k AS INTEGER) AS k, {sr('v / max(v) OVER (PARTITION BY main, ref)', 6)} AS conv FROM cs"""
+
+
+@query("spe_convolve", _CONVOLVE_SQL)
+def spe_convolve(spark, d):
     """The main component of every mixture with every library entry."""
     lib, tst = _lib(spark, d)
     mains = spectra.identify(tst, lib, "label", "ref", "i", "y", TH).filter("is_mixture").select(F.col("best").alias("main")).distinct()
@@ -296,6 +287,12 @@ def spe_convolve_mains(spark, d):
     return c.select("main", "ref", "k", stable_round("conv", 6).alias("conv"))
 
 
+@query("spe_convolve_mains", _CONVOLVE_SQL)
+def spe_convolve_mains(spark, d):
+    """The same under its earlier name."""
+    return spe_convolve(spark, d)
+
+
 @query("spe_fft", f"""WITH d AS (SELECT vec_id, k, sum(CAST(embedding[i + 1] AS DOUBLE) * cos(2 * pi() * k * i / 64.0)) AS re,
   sum(-CAST(embedding[i + 1] AS DOUBLE) * sin(2 * pi() * k * i / 64.0)) AS im FROM embeddings, range(0, 64) r(i), range(0, 64) q(k) GROUP BY ALL),
 m AS (SELECT vec_id, k, CASE WHEN k = 0 THEN 0.0 ELSE sqrt(re * re + im * im) END AS mag FROM d)
@@ -370,13 +367,9 @@ c AS (SELECT patient, tz, tx, CAST(CASE WHEN mz > 1 THEN floor(tz * (nz - 1) / (
 SELECT c.patient, CAST(c.tz AS INTEGER) AS t_zi, CAST(c.tx AS INTEGER) AS t_xi, vx.v, c.spacing_zi, c.spacing_xi
 FROM c LEFT JOIN vx ON c.patient = vx.patient AND c.zi = vx.zi AND c.xi = vx.xi""")
 def vox_regrid(spark, d):
-    s = voxels.order_slices(_slices(spark, d), "patient", "z", TIES)
-    long = s.select("patient", F.col("slice_idx").cast("int").alias("zi"), F.posexplode("pixels").alias("xi", "v"))
-    long = long.select("patient", "zi", F.col("xi").cast("int").alias("xi"), F.col("v").cast("int").alias("v"),
-                       F.lit(1.0).alias("sz"), F.lit(0.5).alias("sx"))
-    out = voxels.regrid(long, "patient", ["zi", "xi"], ["sz", "sx"], [2.0, 1.0], "v")
-    return out.select("patient", F.col("t_zi").cast("int").alias("t_zi"), F.col("t_xi").cast("int").alias("t_xi"), "v",
-                      "spacing_zi", "spacing_xi")
+    s = voxels.order_slices(_slices(spark, d), "patient", "z", TIES).withColumn("pixels", F.col("pixels").cast("array<int>"))
+    out = voxels.cells(voxels.regrid(s, "patient", "slice_idx", "pixels", 4, (1.0, 1.0, 0.5), (2.0, 1.0, 1.0)), ["patient"])
+    return out.select("patient", F.col("t_z").alias("t_zi"), F.col("t_x").alias("t_xi"), "v", F.col("spacing_z").alias("spacing_zi"), F.col("spacing_x").alias("spacing_xi"))
 
 
 # ------------------------------------------------------------------ web

@@ -47,6 +47,23 @@ def median(df: DataFrame, group: str | Sequence[str] | None, col: str, out: str
     return mid.agg(F.avg("__x").alias(out))
 
 
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``column``, ``p``, ``value``: exact quantiles of many numeric columns, interpolated linearly between
+    the two nearest ranks, nulls and NaN skipped. One scan counts the values of all columns; a sliced
+    running sum of the counts (per column) finds the values that cover the ranks."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("__x")) for c in cols])).alias("r")).select("r.*")
+    counts = long.filter(F.col("__x").isNotNull() & ~F.isnan("__x")).groupBy("column", "__x").agg(F.count("*").alias("__c"))
+    upto = running_sum(counts, ["__x"], "__c", "__upto", key=["column"])
+    n = counts.groupBy("column").agg(F.sum("__c").alias("__n"))
+    at = upto.join(F.broadcast(n), "column")  # one row a column
+    place = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+    at = at.select("*", place.alias("p")).withColumn("__r", F.col("p") * (F.col("__n") - 1))
+    holds = lambda r: (F.col("__upto") > r) & (F.col("__upto") - F.col("__c") <= r)
+    at = at.filter(holds(F.floor("__r")) | holds(F.ceil("__r")))
+    ends = at.groupBy("column", "p").agg(F.max(F.when(holds(F.floor("__r")), F.col("__x"))).alias("lo"), F.max(F.when(holds(F.ceil("__r")), F.col("__x"))).alias("hi"), F.max("__r").alias("__r"))
+    return ends.select("column", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("__r") - F.floor("__r"))).alias("value"))
+
+
 def mean_median(df: DataFrame, col: str) -> DataFrame:
     m = median(df, None, col).first()[0]
     return df.agg(F.avg(col).alias("mean"), F.lit(m).cast("double").alias("median"))

@@ -195,13 +195,19 @@ def check_clean(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """(column, count, mean, sd, min, max) of every numeric column, from one aggregate pass;
-    sd is the sample standard deviation, as in pandas ``describe``."""
+    """(column, type, rows, columns, count, mean, sd, min, q25, q50, q75, max) of every numeric column: the
+    shape and types of the table, and what pandas ``describe`` gives (sd is the sample deviation,
+    quartiles are exact and interpolated). One aggregate pass and one pass that counts values."""
+    from quarry.operators.aggs import quantiles
+
     cols = list(cols or numeric_columns(df))
-    aggs = []
+    types = dict(df.dtypes)
+    aggs = [F.count("*").alias("__rows")]
     for c in cols:
         x = F.col(c).cast("double")
-        aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+        aggs.append(F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.count(x).alias("count"), F.avg(x).alias("mean"),
                              F.stddev_samp(x).alias("sd"), F.min(x).alias("min"), F.max(x).alias("max")).alias(c))
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("s")).select("s.*")
+    one = df.agg(*aggs).select("__rows", F.explode(F.array(*[F.col(c) for c in cols])).alias("s"))
+    q = quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"q{round(p * 100)}") for p in (0.25, 0.5, 0.75)])
+    found = one.select("s.*", F.col("__rows").alias("rows"), F.lit(len(df.columns)).alias("columns")).join(q, "column", "left")
+    return found.select("column", "type", "rows", "columns", "count", "mean", "sd", "min", "q25", "q50", "q75", "max")

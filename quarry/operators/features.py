@@ -26,41 +26,59 @@ def _boxcox_expr(x: Column, lam: float) -> Column:
     return (F.pow(x, F.lit(lam)) - 1.0) / F.lit(lam)
 
 
+def boxcox_logliks(df: DataFrame, grids: dict[str, Sequence[float]], shift: float = 0.0) -> DataFrame:
+    """(column, lambda, llf) for the grid of every column, all in one aggregate:
+    llf = (lambda - 1) * sum(ln x) - n / 2 * ln(var_pop(y_lambda)). Where the power leaves the range of
+    doubles (or a column has one value) there is no llf."""
+    aggs_, rows = [], []
+    for k, (c, lambdas) in enumerate(grids.items()):
+        x = _c(c) + F.lit(shift)
+        aggs_ += [F.count(x).alias(f"n{k}"), F.sum(F.ln(x)).alias(f"s{k}")]
+        for i, lam in enumerate(lambdas):
+            aggs_.append(F.var_pop(_boxcox_expr(x, lam)).alias(f"v{k}_{i}"))
+            v = F.col(f"v{k}_{i}")
+            llf = F.when((v > 0) & (v < float("inf")), (F.lit(lam) - 1.0) * F.col(f"s{k}") - F.col(f"n{k}") / 2.0 * F.ln(v))
+            rows.append(F.struct(F.lit(c).alias("column"), F.lit(float(lam)).alias("lambda"), llf.alias("llf")))
+    return df.agg(*aggs_).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def boxcox_loglik(df: DataFrame, col: str, lambdas: Sequence[float], shift: float = 0.0) -> DataFrame:
-    """(lambda, llf) for every lambda of the grid in one aggregate:
-    llf = (lambda - 1) * sum(ln x) - n / 2 * ln(var_pop(y_lambda))."""
-    x = _c(col) + F.lit(shift)
-    aggs_ = [F.count(x).alias("n"), F.sum(F.ln(x)).alias("sl")]
-    for i, lam in enumerate(lambdas):
-        aggs_.append(F.var_pop(_boxcox_expr(x, lam)).alias(f"v{i}"))
-    one = df.filter(_c(col).isNotNull()).agg(*aggs_)
-    rows = [F.struct(F.lit(float(lam)).alias("lambda"),
-                     ((F.lit(lam) - 1.0) * F.col("sl") - F.col("n") / 2.0 * F.ln(F.col(f"v{i}"))).alias("llf"))
-            for i, lam in enumerate(lambdas)]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    """(lambda, llf) for every lambda of one column's grid."""
+    return boxcox_logliks(df, {col: lambdas}, shift).select("lambda", "llf")
 
 
 @dataclass
 class BoxCox:
-    """Maximum-likelihood Box-Cox per column, found on a grid refined ``rounds`` times."""
+    """Maximum-likelihood Box-Cox per column, found on grids over a bracket: a bracket whose best value
+    is at an end moves there and doubles, any other shrinks around its best value, ``rounds`` times."""
 
     lambdas: dict[str, float] = field(default_factory=dict)
     shift: float = 0.0
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], shift: float = 1.0, lo: float = -3.0, hi: float = 3.0,
-            steps: int = 24, rounds: int = 4) -> "BoxCox":
-        out = {}
-        for c in cols:
-            a, b = lo, hi
-            best = None
-            for _ in range(rounds):
-                grid = [a + (b - a) * i / steps for i in range(steps + 1)]
-                ll = boxcox_loglik(df, c, grid, shift).orderBy(F.desc("llf"), "lambda").first()
-                best = ll["lambda"]
-                width = (b - a) / steps
-                a, b = best - width, best + width
-            out[c] = best
+            steps: int = 24, rounds: int = 4, moves: int = 8) -> "BoxCox":
+        """One aggregate over the table a round, for all columns; at most ``rounds + moves`` rounds. A column
+        without two different values is left as it is."""
+        at = {c: (lo, hi, rounds, moves) for c in cols}
+        out: dict[str, float] = {}
+        while at:
+            grids = {c: [a + (b - a) * i / steps for i in range(steps + 1)] for c, (a, b, _, _) in at.items()}
+            found: dict[str, list] = {}
+            for r in boxcox_logliks(df, grids, shift).where("llf is not null").collect():  # steps + 1 a column
+                found.setdefault(r["column"], []).append((-r["llf"], r["lambda"]))
+            for c, (a, b, left, free) in list(at.items()):
+                if c not in found:
+                    del at[c]
+                    continue
+                best = out[c] = min(found[c])[1]
+                if best in (grids[c][0], grids[c][-1]) and free:
+                    at[c] = (best - (b - a), best + (b - a), left, free - 1)
+                elif left > 1:
+                    width = (b - a) / steps
+                    at[c] = (best - width, best + width, left - 1, free)
+                else:
+                    del at[c]
         return cls(out, shift)
 
     def transform(self, df: DataFrame) -> DataFrame:

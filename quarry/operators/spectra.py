@@ -17,8 +17,8 @@ from quarry.functions.text import split_pair
 from quarry.operators import joins
 from quarry.operators.sequence import Scan, ordered_scan, row_index
 
-
-# largest single spectrum broadcast to the library groups
+# library spectra that one task holds against the main spectra of its block
+LIBRARY_BLOCK = 256
 
 
 def parse_lines(df: DataFrame, key: str, line: str, pos: str) -> DataFrame:
@@ -151,7 +151,12 @@ def convolve_same(mains: DataFrame, library: DataFrame, main: str = "main", ref:
         points = F.array_sort(F.collect_list(F.struct(F.col(i).alias("i"), F.col(y).cast("double").alias("y"))))
         return df.groupBy(F.col(key).alias(key)).agg(F.transform(points, lambda p: p["y"]).alias(name))
 
-    pairs = curves(mains, main, "__a").crossJoin(curves(library, ref, "__b"))
+    # the library lies in blocks of bounded size; a main spectrum goes to each of them
+    lib = curves(library, ref, "__b")
+    blocks = -(-max(1, lib.count()) // LIBRARY_BLOCK)
+    lib = lib.withColumn("__block", F.pmod(F.xxhash64(ref), F.lit(blocks)).cast("int"))
+    own = curves(mains, main, "__a").withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pairs = own.join(lib, "__block")
     a, b, m, n = F.col("__a"), F.col("__b"), F.size("__a"), F.size("__b")
 
     def at(k):

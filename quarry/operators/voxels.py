@@ -13,14 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import linear_int16_array
-from quarry.operators.sequence import row_index
+from quarry.operators.sequence import null_safe_join, row_index
 from quarry.operators.windows import slice_spacing
 
 
-# target cells of one patient generated by one task before they are spread over tasks
-SPREAD_CELLS = 2_000_000
-
-
 def order_slices(slices: DataFrame, patient: str, z: str, ties: Sequence[str], fallback: str | None = None) -> DataFrame:
     """Slice index in z order per patient (a sliced scan; ``ties`` must make the order total),
     and the patient's slice spacing: |z of first - z of second|, or of the fallback location
@@ -46,37 +42,41 @@ def histogram(voxels: DataFrame, v: str, bins: int = 80) -> DataFrame:
     return h(voxels, v, bins)
 
 
-def regrid(voxels: DataFrame, patient: str, axes: Sequence[str], spacing: Sequence[str], new_spacing: Sequence[float],
+def _source(t, new, old):
+    """Source index of target ``t``: the nearest of ``old`` cells spread over ``new`` ones."""
+    return F.when(new > 1, F.floor(t * (old - 1) / (new - 1) + 0.5)).otherwise(F.lit(0)).cast("int")
+
+
+def regrid(slices: DataFrame, patient: str, index: str, pixels: str, width, spacing: Sequence, new_spacing: Sequence[float],
            value: str = "v") -> DataFrame:
-    """Resample each patient's volume to ``new_spacing``: new shape = round(shape * spacing /
-    new) (half-even, as NumPy rounds), actual new spacing = spacing * shape / new shape; every target cell takes the value
-    of its nearest source cell (source index = round(t * (old - 1) / (new - 1)), order-0 zoom).
-
-    Shapes come from one grouped pass; target cells are generated per patient (first axis, then
-    spread over tasks, then the other axes) and joined to the source voxels on their exact
-    indices, so the work is proportional to the output and no volume is expanded in one task.
-    Returns (patient, t_axes..., value, and new spacing per axis).
-    """
-    axes, spacing = list(axes), list(spacing)
-    shapes = voxels.groupBy(patient).agg(*[(F.max(a) + 1).alias(f"__n_{a}") for a in axes],
-                                         *[F.first(s).alias(f"__s_{s}") for s in spacing])
-    for a, s, ns in zip(axes, spacing, new_spacing):
-        shapes = shapes.withColumn(f"__m_{a}", F.greatest(F.bround(F.col(f"__n_{a}") * F.col(f"__s_{s}") / F.lit(ns)), F.lit(1.0)).cast("int"))
-        shapes = shapes.withColumn(f"spacing_{a}", F.col(f"__s_{s}") * F.col(f"__n_{a}") / F.col(f"__m_{a}"))
-    cells = shapes
-    vol = None
-    for a in axes:
-        vol = F.col(f"__m_{a}").cast("long") if vol is None else vol * F.col(f"__m_{a}")
-    largest = shapes.agg(F.max(vol)).first()[0] or 0  # one statistic over patients
-    for k, a in enumerate(axes):
-        cells = cells.withColumn(f"t_{a}", F.explode(F.sequence(F.lit(0), F.col(f"__m_{a}") - 1)))
-        if k == 0 and len(axes) > 1 and largest > SPREAD_CELLS:
-            # one patient row would expand into its whole volume in one task: spread the first
-            # axis' rows over tasks before the other axes multiply them
-            cells = cells.repartition(patient, f"t_{a}")
-        m, n = F.col(f"__m_{a}"), F.col(f"__n_{a}")
-        src = F.when(m > 1, F.floor(F.col(f"t_{a}") * (n - 1) / (m - 1) + 0.5)).otherwise(F.lit(0))
-        cells = cells.withColumn(a, src.cast("int"))
-    src = voxels.select(patient, *axes, value)
-    out = cells.join(src, [patient, *axes], "left")
-    return out.select(patient, *[f"t_{a}" for a in axes], value, *[f"spacing_{a}" for a in axes])
+    """Resample each patient's volume to ``new_spacing`` (z, y, x): new shape = round(shape * spacing / new)
+    (half-even, as NumPy rounds), actual new spacing = spacing * shape / new shape; every target cell
+    takes the value of its nearest source cell (source index = round(t * (old - 1) / (new - 1)), order-0 zoom).
+
+    ``slices`` are rows (patient, ``index``, ``pixels`` of ``width`` columns); ``spacing`` are numbers or columns,
+    of which a patient's largest counts. The index maps of the axes are separate: a slice goes to the target
+    slices that take it (none or several, found from its own index), and the pixels are gathered inside its
+    array. Only the shapes (a row a patient) are joined; no voxel is shuffled, a null patient is a patient.
+    Returns rows (patient, t_z, ``value`` array of the target slice, new shape and spacing of y and x)."""
+    sz, sy, sx = (F.lit(float(s)) if isinstance(s, (int, float)) else F.col(s) for s in spacing)
+    width = F.lit(width) if isinstance(width, int) else F.col(width)
+    shapes = slices.groupBy(patient).agg((F.max(index) + 1).alias("__nz"), F.max(F.floor(F.size(pixels) / width)).alias("__ny"), F.max(width).alias("__nx"),
+                                         F.max(sz).alias("__sz"), F.max(sy).alias("__sy"), F.max(sx).alias("__sx"))
+    for a, ns in zip("zyx", new_spacing):
+        shapes = shapes.withColumn(f"__m{a}", F.greatest(F.bround(F.col(f"__n{a}") * F.col(f"__s{a}") / F.lit(float(ns))), F.lit(1.0)).cast("int"))
+        shapes = shapes.withColumn(f"spacing_{a}", F.col(f"__s{a}") * F.col(f"__n{a}") / F.col(f"__m{a}"))
+    rows = null_safe_join(slices.select(patient, F.col(index).cast("int").alias("__z"), F.col(pixels).alias("__p")), shapes, [patient])
+    z, m, n = F.col("__z"), F.col("__mz"), F.col("__nz")
+    around = (F.col("__z") / F.greatest(n - 1, F.lit(1)) * (m - 1)).cast("int")  # the target it lies at, and as many around it as can take it
+    reach = (F.ceil((m - 1) / F.greatest(n - 1, F.lit(1))) + 1).cast("int")
+    targets = F.filter(F.sequence(F.greatest(F.lit(0), around - reach), F.least(m - 1, around + reach)), lambda t: _source(t, m, n) == z)
+    my, mx, ny, nx = (F.col(f"__{c}") for c in ("my", "mx", "ny", "nx"))
+    gathered = F.transform(F.sequence(F.lit(0), my * mx - 1), lambda k: F.get("__p", _source((k / mx).cast("int"), my, ny) * nx + _source(k % mx, mx, nx)))
+    out = rows.select(patient, F.explode(targets).alias("t_z"), "__p", "__my", "__mx", "__ny", "__nx", "spacing_z", "spacing_y", "spacing_x")
+    return out.select(patient, "t_z", gathered.alias(value), my.alias("rows"), mx.alias("cols"), "spacing_z", "spacing_y", "spacing_x")
+
+
+def cells(grid: DataFrame, keys: Sequence[str], value: str = "v") -> DataFrame:
+    """Rows of ``regrid`` as cells (keys..., t_z, t_y, t_x, value, spacings), each slice where it lies."""
+    e = grid.select(*keys, "t_z", "cols", "spacing_z", "spacing_y", "spacing_x", F.posexplode(value).alias("__k", value))
+    return e.select(*keys, "t_z", (F.col("__k") / F.col("cols")).cast("int").alias("t_y"), (F.col("__k") % F.col("cols")).cast("int").alias("t_x"), value, "spacing_z", "spacing_y", "spacing_x")

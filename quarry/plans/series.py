@@ -39,13 +39,8 @@ def spectra_match(test: DataFrame, library: DataFrame, label: str, x: str, y: st
 def volume(slices: DataFrame, patient: str, z: str, ties: list, pixels: str, slope: str, intercept: str, width: int,
            new_spacing: tuple[float, float, float], pixel_spacing: tuple[float, float] = (1.0, 1.0)) -> tuple[DataFrame, DataFrame]:
     """Order slices and find their spacing, convert to units, histogram of all voxels, regrid
-    to ``new_spacing`` (z, y, x). Returns (histogram, regridded voxels)."""
+    to ``new_spacing`` (z, y, x). Returns (histogram, regridded slices, a row each)."""
     s = voxels.order_slices(slices, patient, z, ties)
     s = voxels.to_units(s, pixels, slope, intercept, out="hu")
-    long = voxels.to_long(s.select(patient, F.col("slice_idx").cast("int").alias("zi"), "spacing", "hu"),
-                          [patient, "zi", "spacing"], "hu", width)
-    hist = voxels.histogram(long.select(F.col("v").cast("double").alias("v")), "v", 80)
-    long = long.select(patient, "zi", F.col("y").alias("yi"), F.col("x").alias("xi"), "v", F.col("spacing").alias("sz"),
-                       F.lit(pixel_spacing[0]).alias("sy"), F.lit(pixel_spacing[1]).alias("sx"))
-    grid = voxels.regrid(long, patient, ["zi", "yi", "xi"], ["sz", "sy", "sx"], list(new_spacing), "v")
-    return hist, grid
+    hist = voxels.histogram(s.select(F.explode("hu").alias("v")).select(F.col("v").cast("double").alias("v")), "v", 80)
+    return hist, voxels.regrid(s, patient, "slice_idx", "hu", width, ("spacing", *pixel_spacing), list(new_spacing))

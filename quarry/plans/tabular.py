@@ -68,8 +68,8 @@ def claims(train: DataFrame, test: DataFrame, key: str, target: str, num_cols: S
         if cols:
             both = features.MinMaxScaler.fit(both, cols, post=post).transform(both)
     both = both.withColumns({c: nm.power_clip(c, a, b) for c, (a, b) in (power_cols or {}).items()}) if power_cols else both
-    both = clean.pair_codes(both, list(cat_cols), encode=lambda c: tx.base26(c, none_word=True))
-    both = both.select(*[tx.base26(c, none_word=True).cast("double").alias(c) if c in cat_cols else F.col(c) for c in both.columns])
+    both = clean.pair_codes(both, list(cat_cols), encode=lambda c: tx.base26_text(c, none_word=True))
+    both = both.select(*[tx.base26_text(c, none_word=True).cast("double").alias(c) if c in cat_cols else F.col(c) for c in both.columns])
     pair = [f"{a}_{b}" for a, b in itertools.combinations(list(cat_cols), 2)]
     both = both.withColumns({c: F.col(c).cast("double") for c in pair})
     feats = list(num_cols) + list(cat_cols) + pair
