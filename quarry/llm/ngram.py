@@ -25,8 +25,8 @@ file once. The driver gets the counts of counts and the sums of the hot contexts
 
 Defined cases: a null or blank text is its end token alone; no training texts make every token
 unknown with V = 0 (score and base_score 0); discounts without counts of counts are half a count;
-repeated rows count as often as they occur; an empty table gives no rows; other columns are not
-looked at. Words and n-grams are compared by 64-bit hashes.
+repeated rows count as often as they occur; an empty table gives no rows; a file of the model that is
+not there any more is an error; other columns are not looked at. Words and n-grams are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -53,6 +53,9 @@ BUCKET_TEXT_BYTES = 16 << 20
 MIN_BUCKETS = 64
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
+#: Arrays that a worker keeps mapped.
+OPEN_ARRAYS = 64
+
 _maps: dict = {}
 
 
@@ -296,7 +299,7 @@ def train(docs: DataFrame, path: str, text_col: str = "text", buckets: int | Non
             write_array(path, f"gram{k}-hash-{b}.npy", h[one])
             write_narrow(path, f"gram{k}-sums-{b}", n[:, None])
             of = counts_of_counts(n)
-            out = [(k, None, None, None, *of.tolist())]
+            out = [(k, b, None, None, *of.tolist())]
             context = context[one]
             by = np.argsort(context)
             at = runs(context[by])
@@ -318,44 +321,51 @@ def train(docs: DataFrame, path: str, text_col: str = "text", buckets: int | Non
         write_array(path, f"word-hash-{b}.npy", words)
         write_narrow(path, f"word-sums-{b}", np.stack([types, uses], axis=1))
         sums = [len(words), types.sum(), uses.sum(), (types == 1).sum(), (types == 2).sum(), (types >= 3).sum(), *counts_of_counts(types)]
-        return pd.DataFrame([[int(x) for x in sums]], columns=[f"s{i}" for i in range(10)])
+        return pd.DataFrame([[b, *(int(x) for x in sums)]], columns=["bucket", *(f"s{i}" for i in range(10))])
 
-    model = {"path": path, "buckets": buckets, "order": order, "hot": hot, "hot_contexts": {}, "hot_sums": {}, "kinds": {}}
+    model = {"path": path, "buckets": buckets, "order": order, "hot": hot, "hot_contexts": {}, "hot_sums": {}, "kinds": {}, "present": {}}
     rows = counted(texts, order, hot, buckets)
     for k in range(order, 1, -1):
         rows = materialize(rows.groupBy("level", "bucket").applyInPandas(merging(k), schema), f"ngram-{k}")
         small = rows.where("raw is null").groupBy("context").agg(*[F.sum(x).alias(x) for x in "abcd"]).collect()
         kinds = [r for r in small if r["context"] is None]
+        model["present"][k] = frozenset(r["bucket"] for r in rows.where("raw is null and context is null").select("bucket").collect())  # one a bucket
         small = sorted((r for r in small if r["context"] is not None), key=lambda r: r["context"] % 2**64)
         model["kinds"][k] = np.array(kinds[0][1:] if kinds else [0] * 4, np.int64)
         model["hot_contexts"][k] = np.array([r["context"] for r in small], np.int64).view(np.uint64)
         model["hot_sums"][k] = np.array([r[1:] for r in small], np.int64).reshape(-1, 4)
         rows = rows.where("raw is not null").select("level", "bucket", "raw")
-    sums = rows.groupBy("bucket").applyInPandas(words_of, ", ".join(f"s{i} long" for i in range(10)))
-    sums = np.array([x or 0 for x in sums.agg(*[F.sum(f"s{i}") for i in range(10)]).first()], np.int64)
+    sums = rows.groupBy("bucket").applyInPandas(words_of, "bucket int, " + ", ".join(f"s{i} long" for i in range(10)))
+    *sums, found = sums.agg(*[F.sum(f"s{i}") for i in range(10)], F.collect_list("bucket")).first()
+    sums, model["present"][1] = np.array([x or 0 for x in sums], np.int64), frozenset(found)
     return model | {"distinct": int(sums[0]), "types": int(sums[1]), "tokens": int(sums[2]), "type_kinds": sums[3:6], "word_kinds": sums[6:]}
 
 
-def _mapped(path: str, name: str) -> np.ndarray | None:
-    if (path, name) not in _maps:
-        if _maps and next(iter(_maps))[0] != path:
-            _maps.clear()
-        try:
-            _maps[path, name] = map_array(path, name)
-        except FileNotFoundError:  # no bigram or word fell into the bucket
-            _maps[path, name] = None
-    return _maps[path, name]
+def _mapped(path: str, name: str) -> np.ndarray:
+    """The array, mapped; the ``OPEN_ARRAYS`` used last stay open (a file descriptor each). A file that
+    the model lists and that is not there raises."""
+    key = (path, name)
+    if key in _maps:
+        _maps[key] = _maps.pop(key)
+    else:
+        while len(_maps) >= OPEN_ARRAYS:
+            _maps.pop(next(iter(_maps)))
+        _maps[key] = map_array(path, name)
+    return _maps[key]
 
 
 def looked_up(model: dict, kind: str, x: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
     """Rows of the sums for the keys ``x``, zeros where a key is absent."""
+    present = model["present"][1 if kind == "word" else int(kind.removeprefix("first").removeprefix("gram"))]
     out = np.zeros((len(x), width), np.int64)
     order = np.lexsort((x, bucket))
     at = runs(bucket[order])
     for lo, hi in zip(at, np.append(at[1:], len(order))):
         b, of = int(bucket[order[lo]]), order[lo:hi]
+        if b not in present:  # no n-gram fell into it
+            continue
         keys = _mapped(model["path"], f"{kind}-hash-{b}.npy")
-        if keys is None or not len(keys):
+        if not len(keys):
             continue
         place = find(keys, x[of])
         hit = place >= 0

@@ -101,16 +101,19 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     piece's words joined by spaces. Without ``cluster_col`` equal texts form a cluster."""
     cluster = F.col(cluster_col).cast("string") if cluster_col else F.md5(F.col(text_col).cast("binary"))
     (group,) = fresh(docs, "_group")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    whole_ids = id_type in ("tinyint", "smallint", "int", "bigint")  # pandas would make floats of them beside a null
     rows = docs.count()
     groups = max(1, -(-rows // group_rows))
     salt = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(groups))
-    flat = docs.select(salt.alias(group), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"),
+    flat = docs.select(salt.alias(group), (F.col(id_col).cast("string") if whole_ids else F.col(id_col)).alias("id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"),
                        n_words(F.col(text_col)).alias("size"), *([F.col(text_col).alias("text")] if with_text else []))
-    id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {id_type}, source string, {PLACED}" + (", text string" if with_text else "")
+    schema = f"id {'string' if whole_ids else id_type}, source string, {PLACED}" + (", text string" if with_text else "")
 
     def packed(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "id", "cluster", "source"], ascending=[False, True, True, True], kind="stable", na_position="last").reset_index(drop=True)
+        if whole_ids:
+            pdf["number"] = pd.array([None if pd.isna(v) else int(v) for v in pdf["id"]], dtype="Int64")
+        pdf = pdf.sort_values(["size", "number" if whole_ids else "id", "cluster", "source"], ascending=[False, True, True, True], kind="stable", na_position="last").reset_index(drop=True)
         none = lambda s: [None if pd.isna(v) else v for v in s]
         base = int(key[0]) << 32
         out = [(r, None if b is None else base + b, slot, p, start, n) for r, b, slot, p, start, n in
@@ -128,7 +131,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
             got["text"] = text
         return got
 
-    out = flat.groupBy(group).applyInPandas(packed, schema)
+    out = flat.groupBy(group).applyInPandas(packed, schema).withColumn("id", F.col("id").cast(id_type))
     return out.withColumnsRenamed({"id": id_col, "source": source_col})
 
 

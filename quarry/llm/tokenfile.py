@@ -15,7 +15,8 @@ is bounded by the vocabulary (counts) and the number of files (totals).
 
 Defined cases: a null text is an empty one (only the end id); rows with equal doc_id follow each
 other, ties by the crc of their ids; a null doc_id comes after all others; an empty table writes no
-file and gives no rows; other columns are not looked at.
+file and gives no rows; a file that was written and is not there any more is an error when reading;
+other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -315,6 +316,10 @@ def read(totals: DataFrame, path: str) -> DataFrame:
     if totals.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.chuf").load(path).select("path", "content")
+    there = {int(re.search(r"part-(\d+)\.chuf", r["path"])[1]) for r in files.select("path").collect()}  # one row a file
+    missing = sorted(r["part"] for r in totals.select("part").collect() if r["part"] not in there)
+    if missing:
+        raise FileNotFoundError(f"{path}: {len(missing)} of the files written are missing, the first is part {missing[0]}")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     starts = totals.select("part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
     docs = files.mapInArrow(load, schema)

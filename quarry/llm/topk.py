@@ -50,9 +50,9 @@ def usable(vec: Column) -> Column:
 
 
 def integers(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v): usable vectors as integer arrays."""
+    """(id, v): usable vectors as integer arrays. A row without an id takes no part: no result could name it."""
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
-    return df.where(usable(v)).select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(F.lit(float(SCALE)) * x)).alias("v"))
+    return df.where(usable(v) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(F.lit(float(SCALE)) * x)).alias("v"))
 
 
 def _block(pdf: pd.DataFrame) -> pd.DataFrame:

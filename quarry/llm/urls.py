@@ -45,9 +45,18 @@ def keys(url: Column) -> Column:
     return let(host(url), all_of)
 
 
+def normal_entry(entry: Column) -> Column:
+    """An entry as ``keys`` writes it: the host in lower case without a closing dot, path segments as they
+    are without empty ones; empty where there is no host."""
+    parts = F.split(entry, "/")
+    h = F.rtrim(F.lower(parts[0]), F.lit("."))
+    return F.when(h == "", "").otherwise(F.array_join(F.concat(F.array(h), F.filter(F.slice(parts, 2, F.size(parts)), lambda x: x != "")), "/"))
+
+
 def intervals(events: DataFrame) -> DataFrame:
     """(entry, spans): for each entry its (category, from, to) with ``to`` null while it holds."""
     usable = events.where(F.col("entry").isNotNull() & F.col("at").isNotNull() & F.col("action").isin("add", "remove"))
+    usable = usable.withColumn("entry", normal_entry(F.col("entry"))).where("entry <> ''")
     once = usable.groupBy("entry", "category", "at").agg(F.max("action").alias("action"))
     w = Window.partitionBy("entry", "category").orderBy("at")
     spans = once.withColumn("until", F.lead("at").over(w)).where("action = 'add'")
