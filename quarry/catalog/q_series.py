@@ -16,7 +16,6 @@ from quarry.functions.numeric import micros_since
 from quarry.catalog.present import stable_round
 from quarry.catalog.registry import query, t
 from quarry.catalog.sqlfrag import stable_round as sr
-from quarry.functions.text import count_word
 from quarry.operators import aggs, signal, spectra, voxels, web, windows
 
 N, FS = 8, 64.0
@@ -414,36 +413,58 @@ def web_layer_counts(spark, d):
     return web.layer_counts(web.layers(_graph(spark, d), "s0", 3))
 
 
-def _page_counts(spark, d):
-    p = t(spark, d, "pages")
-    return p.select("url", count_word("html", "the").alias("count"))
+ROUNDS = 4
+#: Orders and parts as pages, their lines as links both ways, their mean quantity as the count.
+WALK_SQL = """l AS (SELECT 'o' || l_orderkey AS o, 'p' || l_partkey AS p, l_quantity AS q FROM lineitem),
+e AS (SELECT DISTINCT o AS src, p AS dst FROM l UNION SELECT DISTINCT p, o FROM l),
+c AS (SELECT node, CAST(floor(avg(q) * 100) AS BIGINT) AS count FROM (SELECT o AS node, q FROM l UNION ALL SELECT p, q FROM l) GROUP BY node),
+st AS (SELECT node, count FROM c ORDER BY count, node LIMIT 1)"""
+
+
+def _walk(spark, d):
+    l = t(spark, d, "lineitem").select(F.concat(F.lit("o"), "l_orderkey").alias("o"), F.concat(F.lit("p"), "l_partkey").alias("p"), F.col("l_quantity").alias("q"))  # noqa: E741
+    edge = l.select(F.col("o").alias("src"), F.col("p").alias("dst")).unionByName(l.select(F.col("p").alias("src"), F.col("o").alias("dst"))).distinct()
+    both = l.select(F.col("o").alias("url"), "q").unionByName(l.select(F.col("p").alias("url"), "q"))
+    counts = both.groupBy("url").agg(F.floor(F.avg("q") * 100).cast("long").alias("count"))
+    start = counts.orderBy("count", "url").first()
+    return edge, counts, start
 
 
-def _page_graph(spark, d):
-    """Pages and their link targets as one graph: page -> link target -> pages holding it."""
-    e = web.edges(t(spark, d, "pages"), must_contain="/")
-    return e.select("src", "dst").unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+def _best_first_sql():
+    parts = [f"WITH {WALK_SQL},\nr0 AS MATERIALIZED (SELECT node, count, 0 AS round FROM st), x0 AS MATERIALIZED (SELECT node FROM st WHERE false)"]
+    for i in range(1, ROUNDS + 1):
+        parts.append(f"""t{i} AS MATERIALIZED (SELECT node FROM r{i - 1} WHERE node NOT IN (SELECT node FROM x{i - 1}) ORDER BY count DESC NULLS LAST, node DESC LIMIT 1),
+x{i} AS MATERIALIZED (SELECT node FROM x{i - 1} UNION SELECT node FROM t{i}),
+n{i} AS MATERIALIZED (SELECT DISTINCT c.node, c.count, {i} AS round FROM e JOIN t{i} ON e.src = t{i}.node JOIN c ON c.node = e.dst WHERE c.count >= (SELECT max(count) FROM r{i - 1})),
+r{i} AS MATERIALIZED (SELECT * FROM n{i} UNION ALL SELECT * FROM r{i - 1} WHERE node NOT IN (SELECT node FROM n{i}))""")
+    return ",\n".join(parts) + f"\nSELECT node, count, CAST(round AS INTEGER) AS round FROM r{ROUNDS}"
 
 
-@query("web_best_first")
+@query("web_best_first", _best_first_sql())
 def web_best_first(spark, d):
-    """Rows-only: best-first expansion over pages sharing link targets, 4 rounds from the
-    page with the most 'the'."""
-    counts = _page_counts(spark, d)
-    top = counts.orderBy(F.desc("count"), F.desc("url")).first()
-    if top is None:
-        return counts.select(F.col("url").alias("node"), "count", F.lit(0).alias("round")).limit(0)
-    return web.best_first(_page_graph(spark, d), counts, top["url"], 4, hops=2)
+    """Best-first expansion from the page of the lowest count, 4 rounds."""
+    edge, counts, start = _walk(spark, d)
+    if start is None:
+        return counts.select(F.col("url").alias("node"), "count", F.lit(0).alias("round"))
+    return web.best_first(edge, counts, start["url"], ROUNDS).select("node", "count", "round")
+
+
+def _threshold_sql():
+    parts = [f"WITH {WALK_SQL},\nr0 AS MATERIALIZED (SELECT node, count, 0 AS layer FROM st)"]
+    for i in range(1, ROUNDS + 1):
+        parts.append(f"""r{i} AS MATERIALIZED (SELECT * FROM r{i - 1} UNION ALL
+  SELECT DISTINCT c.node, c.count, {i} FROM r{i - 1} f JOIN e ON e.src = f.node JOIN c ON c.node = e.dst
+  WHERE f.layer = {i - 1} AND c.node NOT IN (SELECT node FROM r{i - 1}) AND c.count > (SELECT avg(count) FROM r{i - 1}))""")
+    return ",\n".join(parts) + f"\nSELECT node, CAST(layer AS INTEGER) AS layer, count FROM r{ROUNDS}"
 
 
-@query("web_threshold")
+@query("web_threshold", _threshold_sql())
 def web_threshold(spark, d):
-    """Rows-only: layered expansion keeping pages above the running mean count."""
-    counts = _page_counts(spark, d)
-    top = counts.orderBy(F.desc("count"), F.desc("url")).first()
-    if top is None:
-        return counts.select(F.col("url").alias("node"), F.lit(0).alias("layer"), "count").limit(0)
-    return web.expand_above_mean(_page_graph(spark, d), counts, top["url"], 4, hops=2)
+    """Layered expansion from the page of the lowest count, keeping pages above the running mean."""
+    edge, counts, start = _walk(spark, d)
+    if start is None:
+        return counts.select(F.col("url").alias("node"), F.lit(0).alias("layer"), "count")
+    return web.expand_above_mean(edge, counts, start["url"], ROUNDS).select("node", "layer", "count")
 
 
 @query("web_errors", """WITH e AS (SELECT DISTINCT unnest(list_filter(regexp_extract_all(lower(html), 'href=[^"]*"([^"]*)"', 1), lambda x: strpos(x, '/') > 0)) AS node FROM pages),

@@ -98,15 +98,14 @@ def best_first(edge: DataFrame, counts: DataFrame, start, rounds: int, src: str
     c = counts.select(F.col("url").alias("node"), "count")
     dtype = edge.schema[src].dataType
     res = spark.createDataFrame([(start, 0)], f"node {dtype.simpleString()}, round int").join(c, "node", "left")
-    expanded = set()
+    expanded = spark.createDataFrame([], f"node {dtype.simpleString()}")
     for r in range(1, rounds + 1):
-        cand = res.filter(~F.col("node").isin(list(expanded))) if expanded else res
-        top = cand.orderBy(F.desc_nulls_last("count"), F.desc("node")).first()
+        top = res.join(expanded, "node", "left_anti").orderBy(F.desc_nulls_last("count"), F.desc("node")).first()
         if top is None:
             break
-        expanded.add(top["node"])
-        best = res.agg(F.max("count")).first()[0] or 0
         one = spark.createDataFrame([(top["node"],)], f"node {dtype.simpleString()}")
+        expanded = cut_lineage(expanded.unionByName(one))  # a row a round
+        best = res.agg(F.max("count")).first()[0] or 0
         nxt = (_neighbors(one, e, hops).filter(F.col("node") != F.lit(top["node"])).join(c, "node")
                .filter(F.col("count") >= F.lit(best)).withColumn("round", F.lit(r)))
         res = cut_lineage(latest_per_key(res.unionByName(nxt), ["node"], "round"))

@@ -111,3 +111,11 @@ def test_histogram_counts_all_rows(spark):
     df = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     h = aggs.histogram(df, "o_totalprice", 80).collect()
     assert len(h) == 80 and sum(r["count"] for r in h) == df.count()
+
+
+def test_walks_expand_more_than_one_round(spark):
+    from quarry.catalog.registry import QUERIES, load_all
+    load_all()
+    rounds = {r["round"] for r in QUERIES["web_best_first"](spark, SF_SMALL).collect()}
+    layers = {r["layer"] for r in QUERIES["web_threshold"](spark, SF_SMALL).collect()}
+    assert len(rounds) >= 3 and len(layers) >= 3
