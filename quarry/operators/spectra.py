@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.text import split_pair
 from quarry.operators import joins
-from quarry.operators.sequence import Scan, ordered_scan, row_index
+from quarry.operators.sequence import Scan, null_safe_join, ordered_scan, row_index
 
 # library spectra that one task holds against the main spectra of its block
 LIBRARY_BLOCK = 256
@@ -47,27 +47,26 @@ def polyfit(df: DataFrame, label: str, x: str, y: str, degree: int = 3) -> DataF
     """Least-squares polynomial per label: (label, coef array low -> high degree, x0, x1).
 
     x is scaled to [-1, 1] per label (x0, x1 = min, max) for conditioning. The power sums of
-    every label come from one grouped aggregate; only the (degree + 1)^2 normal equations of a
-    label are solved in pandas, one small row per label.
+    every label come from one grouped aggregate; the (degree + 1)^2 normal equations are solved
+    for a batch of labels at once, where their sums lie. A null label is a label; one without
+    finite sums has NaN coefficients.
     """
     rng = df.groupBy(label).agg(F.min(x).alias("__x0"), F.max(x).alias("__x1"))
     span = F.when(F.col("__x1") > F.col("__x0"), F.col("__x1") - F.col("__x0")).otherwise(F.lit(1.0))
-    s = df.join(rng, label).withColumn("__u", (F.col(x) - F.col("__x0")) / span * 2 - 1)
-    sums = s.groupBy(label, "__x0", "__x1").agg(
-        *[F.sum(F.pow("__u", F.lit(float(k)))).alias(f"__p{k}") for k in range(2 * degree + 1)],
-        *[F.sum(F.col(y) * F.pow("__u", F.lit(float(k)))).alias(f"__q{k}") for k in range(degree + 1)])
-    schema = T.StructType([df.schema[label], T.StructField("coef", T.ArrayType(T.DoubleType())),
-                           T.StructField("x0", T.DoubleType()), T.StructField("x1", T.DoubleType())])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        coefs = []
-        for _, r in pdf.iterrows():
-            a = np.array([[r[f"__p{i + j}"] for j in range(degree + 1)] for i in range(degree + 1)], dtype=float)
-            b = np.array([r[f"__q{i}"] for i in range(degree + 1)], dtype=float)
-            coefs.append(list(np.linalg.lstsq(a, b, rcond=None)[0]))
-        return pd.DataFrame({label: pdf[label], "coef": coefs, "x0": pdf["__x0"], "x1": pdf["__x1"]})
-
-    return sums.groupBy(label).applyInPandas(solve, schema)
+    s = null_safe_join(df, rng, [label]).withColumn("__u", (F.col(x) - F.col("__x0")) / span * 2 - 1)
+    powers, n = 2 * degree + 1, degree + 1
+    sums = s.groupBy(label).agg(F.max("__x0").cast("double").alias("x0"), F.max("__x1").cast("double").alias("x1"), F.array(
+        *[F.sum(F.pow("__u", F.lit(float(k)))) for k in range(powers)], *[F.sum(F.col(y) * F.pow("__u", F.lit(float(k)))) for k in range(n)]).alias("__sums"))
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def solve(v: pd.Series) -> pd.Series:
+        m = np.array([np.asarray(r, dtype=float) for r in v]).reshape(-1, powers + n)
+        ok = np.isfinite(m).all(1)
+        out = np.full((len(m), n), np.nan)
+        place = np.add.outer(np.arange(n), np.arange(n))
+        out[ok] = (np.linalg.pinv(m[ok][:, place]) @ m[ok][:, powers:, None])[:, :, 0]
+        return pd.Series(list(out))
+    return sums.select(label, solve("__sums").alias("coef"), "x0", "x1")
 
 
 def subtract_baseline(df: DataFrame, label: str, x: str, y: str, degree: int = 3, out: str | None = None) -> DataFrame:
@@ -77,7 +76,7 @@ def subtract_baseline(df: DataFrame, label: str, x: str, y: str, degree: int = 3
     span = F.when(F.col("x1") > F.col("x0"), F.col("x1") - F.col("x0")).otherwise(F.lit(1.0))
     u = (F.col(x) - F.col("x0")) / span * 2 - 1
     poly = F.aggregate(F.reverse(F.col("coef")), F.lit(0.0), lambda acc, c: acc * u + c)
-    return df.join(fit, label).withColumn(out, F.col(y) - poly).drop("coef", "x0", "x1")
+    return null_safe_join(df, fit, [label]).withColumn(out, F.col(y) - poly).drop("coef", "x0", "x1")
 
 
 def normalize(df: DataFrame, label: str, y: str, out: str | None = None) -> DataFrame:
@@ -85,7 +84,7 @@ def normalize(df: DataFrame, label: str, y: str, out: str | None = None) -> Data
     out = out or y
     r = df.groupBy(label).agg(F.min(y).alias("__lo"), F.max(y).alias("__hi"))
     d = F.col("__hi") - F.col("__lo")
-    return df.join(r, label).withColumn(out, F.when(d != 0, (F.col(y) - F.col("__lo")) / d)).drop("__lo", "__hi")
+    return null_safe_join(df, r, [label]).withColumn(out, F.when(d != 0, (F.col(y) - F.col("__lo")) / d)).drop("__lo", "__hi")
 
 
 def regrid(df: DataFrame, label: str, x: str, y: str, points: int = 3000) -> DataFrame:

@@ -17,6 +17,20 @@ def test_cubic_baseline_removes_a_cubic(spark):
     assert max(abs(r["y"]) for r in out) < 1e-9
 
 
+def test_baselines_and_ranges_of_a_null_label(spark):
+    rng = np.random.default_rng(7)
+    rows = [(lab, float(x), float(y)) for lab in (None, 1, 2 ** 60 + 1) for x, y in zip(range(20), rng.normal(size=20))] + [(5, 1.0, 2.0), (6, 1.0, None)]
+    df = spark.createDataFrame(rows, "label long, x double, y double")
+    out = spectra.subtract_baseline(df, "label", "x", "y", degree=3, out="z").collect()
+    assert len(out) == len(rows) and {r["label"] for r in out} == {r[0] for r in rows}
+    for lab in (None, 1, 2 ** 60 + 1):
+        got = sorted((r["x"], r["y"], r["z"]) for r in out if r["label"] == lab)
+        x, y, z = (np.array(c) for c in zip(*got))
+        assert np.allclose(z, y - np.polyval(np.polyfit(x, y, 3), x), atol=1e-6)
+    n = spectra.normalize(df, "label", "y", "z").where("label is null").collect()
+    assert len(n) == 20 and min(r["z"] for r in n) == 0.0 and max(r["z"] for r in n) == 1.0
+
+
 def test_corr_eigenvalues_sum_to_channels(spark):
     rng = np.random.default_rng(0)
     rows = [(0, c, s, float(rng.normal())) for c in range(4) for s in range(30)]
