@@ -70,12 +70,12 @@ def flt_compare(spark, d):
     return o.filter(cond).select("o_orderkey")
 
 
-@query("flt_null", """SELECT c.c_custkey FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
-WHERE o.o_orderkey IS NULL""")
+@query("flt_null", """SELECT d.doc_id FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE l.quality IS NULL""")
 def flt_null(spark, d):
-    j = t(spark, d, "customer").select("c_custkey").join(
-        t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey"), "c_custkey", "left")
-    return clean.keep_null(j, "o_orderkey").select("c_custkey")
+    """Documents without a label: more than half of them."""
+    j = t(spark, d, "documents").select("doc_id").join(t(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return clean.keep_null(j, "quality").select("doc_id")
 
 
 @query("flt_null_not", """SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
