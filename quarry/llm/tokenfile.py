@@ -21,11 +21,13 @@ other columns are not looked at.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,7 @@ MAGIC = b"CHUF0001"
 SPECIAL = "<|endoftext|>"
 #: Stands for the ids of a piece whose text is encoded whole; no list of ids has one byte.
 ODD = b"\0"
+NAMES = ["part", "doc_id", "ids", "counts"]
 #: Latin letters, then marks: the vocabulary's pattern always cuts between them.
 MARKS = ".,;:!?$#*%&"
 MARKED = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([.,;:!?$#*%&]+)").fullmatch
@@ -60,24 +63,46 @@ _state: dict = {}
 
 
 def _tokenizer(path: str):
-    """The tokenizer, which of its tokens start with a space, and the pieces known so far."""
+    """The tokenizer, which of its tokens start with a space, and the pieces known so far, behind a
+    space and at the start of a text."""
     if _state.get("path") != path:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel unit
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
         spaced = np.array([(tok.id_to_token(i) or "").startswith(SPACE_MARK) for i in range(tok.get_vocab_size())])
-        _state.update(path=path, tok=tok, spaced=spaced, seen={})
-    return _state["tok"], _state["spaced"], _state["seen"]
+        _state.update(path=path, tok=tok, spaced=spaced, seen={}, first={})
+    return _state["tok"], _state["spaced"], _state["seen"], _state["first"]
 
 
 def encode_texts(path: str, texts: pa.StringArray) -> list[np.ndarray]:
-    """Ids of each text. The distinct words behind a lone space are encoded once, many at a time,
-    and remembered (a bounded number of them); this is exact, as the vocabulary's pattern cuts before
-    such a space, so a word's ids start at the only token of it that starts with a space. The pattern
-    also cuts marks off the letters before them, so those are encoded apart and joined."""
-    tok, spaced, seen = _tokenizer(path)
-    if len(seen) > CACHE_PIECES:
+    """Ids of each text."""
+    flat, sizes = encode_flat(path, texts)
+    return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
+
+
+@contextmanager
+def no_cycle_search() -> Iterator[None]:
+    """No searches for cyclic garbage in the block: it makes hundreds of thousands of small objects, without cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+@no_cycle_search()
+def encode_flat(path: str, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after the other, and the number of each text's ids. The distinct words
+    behind a lone space are encoded once, many at a time, and remembered (a bounded number of them), and
+    so are the words that texts begin with; this is exact, as the vocabulary's pattern cuts before such a
+    space, so a word's ids start at the only token of it that starts with a space. The pattern also
+    cuts marks off the letters before them, so those are encoded apart and joined."""
+    tok, spaced, seen, first = _tokenizer(path)
+    if len(seen) + len(first) > CACHE_PIECES:
         seen.clear()
+        first.clear()
     pieces = pc.split_pattern(texts, " ")
     coded = pieces.flatten().dictionary_encode()
     code, names = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -105,20 +130,26 @@ def encode_texts(path: str, texts: pa.StringArray) -> list[np.ndarray]:
     seen.update((p, seen[h] + marks[m]) for p, (h, m) in marked.items())
     for i, p in zip(missing, new):
         known[i] = seen[p]
-    known = [k or b"" for k in known]  # first pieces that no space precedes are looked at below
-    n_bytes = np.fromiter(map(len, known), np.int64, len(known))
-    is_odd, of_name = n_bytes % 4 == len(ODD), n_bytes // 4
-    if is_odd.any():
-        known = [b"" if k is ODD else k for k in known]
-    flat = np.frombuffer(b"".join(known), np.uint32)
-    n = np.where(later, of_name[code], 0)
-    upto = np.r_[0, np.cumsum(n)]
-    tails = flat[np.repeat((np.cumsum(of_name) - of_name)[code] - upto[:-1], n) + np.arange(upto[-1])]
-    heads = [names[i] for i in code[at]]
+    is_odd = np.fromiter((k is ODD for k in known), bool, len(known))
+    known = [b"" if k is None or k is ODD else k for k in known]  # a text's first piece is looked at below
+    heads = [names[i] for i in code[at].tolist()]
     whole = np.logical_or.reduceat(is_odd[code] & later, at) | np.array([h.strip() != h or not h or SPECIAL in h for h in heads], bool) if len(at) else np.empty(0, bool)
-    begun = tok.encode_batch_fast([texts[i].as_py() if w else h for i, (h, w) in enumerate(zip(heads, whole.tolist()))], add_special_tokens=False)
-    return [np.array(e.ids, np.uint32) if w else np.concatenate([np.array(e.ids, np.uint32), tails[x:y]])
-            for e, w, x, y in zip(begun, whole.tolist(), upto[at].tolist(), upto[at + size].tolist())]
+    unknown = list({h for h, w in zip(heads, whole.tolist()) if not w and h not in first})
+    first.update(zip(unknown, (np.array(e.ids, np.uint32).tobytes() for e in tok.encode_batch_fast(unknown, add_special_tokens=False))))
+    begun = [first[h] if not w else b"" for h, w in zip(heads, whole.tolist())]
+    odd = np.flatnonzero(whole).tolist()
+    for i, e in zip(odd, tok.encode_batch_fast([texts[i].as_py() for i in odd], add_special_tokens=False)):
+        begun[i] = np.array(e.ids, np.uint32).tobytes()
+    known += begun  # the names, then for each text what it begins with: its first word, or all of it
+    flat = np.frombuffer(b"".join(known), np.uint32)
+    of_name = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    code = code.astype(np.int64)
+    code[at] = len(names) + np.arange(len(at))
+    n = of_name[code]
+    n[later & np.repeat(whole, size)] = 0
+    begins = np.cumsum(n) - n
+    taken = flat[np.repeat((np.cumsum(of_name) - of_name)[code] - begins, n) + np.arange(int(n.sum()))]
+    return taken, np.add.reduceat(n, at) if len(at) else np.empty(0, np.int64)
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -215,26 +246,45 @@ def spans(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     yield from zip(at.tolist(), [*at[1:].tolist(), len(sizes)])
 
 
+def binaries(data: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """The values that end at the byte offsets ``ends`` of ``data``, without a copy a value."""
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def tokenized(docs: DataFrame, tokenizer: str, bounds: list[int], id_col: str, text_col: str) -> DataFrame:
-    """(part, doc_id, ids): the file a document goes to, and its ids with the end id, as bytes."""
+    """(part, doc_id, ids, counts): the file a document goes to, and its ids with the end id, as bytes;
+    one more row a task, without a part, has the task's ids and their counts."""
     edges = np.array(bounds, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1, np.int64)
         for b in batches:
             for lo, hi in spans(pc.fill_null(pc.utf8_length(b.column(1)), 0).to_numpy(), SLICE_CHARS):
-                yield one(b.slice(lo, hi - lo))
+                out, ids = one(b.slice(lo, hi - lo))
+                got = np.bincount(ids, minlength=len(total))
+                got[: len(total)] += total
+                total = got
+                yield out
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([np.stack([used, total[used]]).astype("<i8").tobytes()], pa.binary())], NAMES)
 
-    def one(b: pa.RecordBatch) -> pa.RecordBatch:
-        ids = encode_texts(tokenizer, pc.fill_null(b.column(1), ""))
-        rows = [np.append(x, np.uint32(END_ID)).astype("<u4") for x in ids]
+    def one(b: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+        ids, sizes = encode_flat(tokenizer, pc.fill_null(b.column(1), ""))
+        ends = np.cumsum(sizes)
+        ids = np.insert(ids, ends, END_ID).astype("<u4")
+        ends += np.arange(1, len(ends) + 1)
         key = b.column(0).fill_null((1 << 63) - 1).to_numpy()
         lo, hi = np.searchsorted(edges, key, side="left"), np.searchsorted(edges, key, side="right")
-        # an id that fills whole ranges may go to any of them: ties have no order
-        part = lo + np.array([zlib.crc32(r) for r in rows], np.int64) % (hi - lo + 1) if len(rows) else lo
-        small = [r.astype("<u2").tobytes() if r.max() < 1 << 16 else b"\0" + r.tobytes() for r in rows]
-        return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), b.column(0), pa.array(small, pa.binary())], ["part", "doc_id", "ids"])
+        part = lo.copy()
+        for i in np.flatnonzero(hi > lo).tolist():  # an id that fills whole ranges may go to any of them: ties have no order
+            part[i] += zlib.crc32(ids[ends[i] - sizes[i] - 1:ends[i]]) % int(hi[i] - lo[i] + 1)
+        if not len(ids) or ids.max() < 1 << 16:
+            raw = binaries(ids.astype("<u2"), ends * 2)
+        else:
+            raw = pa.array([r.astype("<u2").tobytes() if r.max() < 1 << 16 else b"\0" + r.tobytes() for r in np.split(ids, ends[:-1])], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), b.column(0), raw, pa.nulls(len(ends), pa.binary())], NAMES), ids
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "part int, doc_id long, ids binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "part int, doc_id long, ids binary, counts binary")
 
 
 def _ids(raw: bytes) -> np.ndarray:
@@ -242,6 +292,15 @@ def _ids(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u4", offset=1).astype(np.int64) if len(raw) % 2 else np.frombuffer(raw, "<u2").astype(np.int64)
 
 
+def _flat_ids(raws: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows one after the other, and the number of each row's."""
+    n_bytes = pc.binary_length(raws).to_numpy(zero_copy_only=False).astype(np.int64)
+    if (n_bytes % 2).any():
+        rows = [_ids(r.as_py()) for r in raws]
+        return np.concatenate(rows), np.array([len(r) for r in rows])
+    return np.frombuffer(b"".join(raws.to_pylist()), "<u2").astype(np.int64), n_bytes // 2
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", file_text_bytes: int = FILE_TEXT_BYTES) -> DataFrame:
     """Write the files under ``path``; returns (part, n_docs, n_tokens), one row a file."""
     size = docs.select(F.sum(F.octet_length(text_col)).alias("b"), F.count("*").alias("n")).first()
@@ -250,16 +309,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     stage = materialize(tokenized(docs, tokenizer, sorted(cuts or []), id_col, text_col), "tokens")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
         for b in batches:
             for raw in b.column(0):
-                got = np.bincount(_ids(raw.as_py()), minlength=len(total))
-                got[: len(total)] += total
-                total = got
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+                used, n = np.frombuffer(raw.as_py(), "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n)], ["id", "n"])
 
-    counted = stage.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counted = stage.where("counts is not null").select("counts").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in counted), default=0) + 1, np.int64)
     for r in counted:
         counts[r["id"]] = r["n"]
@@ -272,13 +327,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
                 yield coded(b.slice(lo, hi - lo))
 
     def coded(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [_ids(r.as_py()) for r in b.column(2)]
-        n = np.array([len(r) for r in rows])
+        ids, n = _flat_ids(b.column(2))
         starts = np.cumsum(n) - n
-        data, offsets, pos = pack_bits(np.concatenate(rows), starts, lengths, codes)
-        marks = [(pos[s:s + k:BLOCK] - o * 8).astype("<u4").tobytes() for s, k, o in zip(starts, n, offsets)]
-        bits = [data[x:y] for x, y in zip(offsets[:-1], offsets[1:])]
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(marks, pa.binary()), pa.array(bits, pa.binary())],
+        data, offsets, pos = pack_bits(ids, starts, lengths, codes)
+        blocks = -(-n // BLOCK)
+        doc = np.repeat(np.arange(len(n)), blocks)
+        at = starts[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * BLOCK
+        marks = (pos[at] - offsets[doc] * 8).astype("<u4")
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), binaries(marks, np.cumsum(blocks) * 4), binaries(np.frombuffer(data, np.uint8), offsets[1:])],
                                           ["part", "doc_id", "n", "marks", "coded"])
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +355,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
         write_bytes(path, f"part-{part:06d}.chuf", body)
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([sum(n)], pa.int64())], ["part", "n_docs", "n_tokens"])
 
-    bits = stage.mapInArrow(code, "part int, doc_id long, n long, marks binary, coded binary")
+    bits = stage.where("part is not null").select("part", "doc_id", "ids").mapInArrow(code, "part int, doc_id long, n long, marks binary, coded binary")
     placed = bits.repartitionById(files, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.crc32("coded"))
     return materialize(placed.mapInArrow(save, "part int, n_docs long, n_tokens long"), "token-files")
 
@@ -349,4 +405,4 @@ def decode_file(part: int, raw: bytes) -> Iterator[pa.RecordBatch]:
         hi = min(docs, lo + 4096)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.full(hi - lo, part, np.int32)), pa.array(ids[lo:hi], mask=null[lo:hi]), pa.array(first[lo:hi]), pa.array(n[lo:hi]),
-            pa.array([out[s:s + c].tobytes() for s, c in zip(first[lo:hi], n[lo:hi])], pa.binary())], ["part", "doc_id", "at", "n_tokens", "ids"])
+            binaries(out[first[lo]:first[hi - 1] + n[hi - 1]], (first + n - first[lo])[lo:hi] * 4)], ["part", "doc_id", "at", "n_tokens", "ids"])
