@@ -13,32 +13,40 @@ input, not on what is left.
 Scale: a task sends each anchor and each window once, however often it met it, so the rows of a
 passage that stands in a third of all documents are as many as there are tasks; grouping is a sort
 within partitions that is read as a stream, so no group is held in memory. Later copies of a whole
-text lose all their words by the group of their digest, and do not take part any further.
+text lose all their words by the group of their digest, and do not take part any further. Texts are
+not moved to find windows: the places of the anchors that came again are written by ranges of ids
+and looked up by the tasks that scan the texts, one search a document, whatever the order of the ids.
 
 Defined cases: null and blank texts and texts under 20 words lose nothing; every row is a document
 of its own; null ids come after all others, and rows that share an id (or have none) come in the
 order of a hash of their text, equal texts as they stand in the table, so of equal rows the first
 keeps its words; an empty table gives no rows; other columns pass through. Sequences are compared
-by 64-bit hashes.
+by 64-bit hashes; a file of places that is not there any more is an error.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import fresh, let, materialize, words
+from quarry.llm.files import map_array, write_array
 from quarry.llm.hashing import mix64, sequence_hashes, word_hashes
+from quarry.session import stage_path
 
 WINDOW = 20
 ANCHOR = 6
 LAST_ID = (1 << 63) - 1
 END = (1 << 31) - 1
+FILE_PLACES = 4 << 20
 _OCCURRENCE = "settled boolean, key long, id long, pos int"
 
 
@@ -89,20 +97,61 @@ def anchors(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, _OCCURRENCE)
 
 
-def windows(texts: DataFrame) -> DataFrame:
-    """Occurrences of the windows whose anchors (``at``, places) came again, from (id, text, at)."""
+def places_written(places: DataFrame, folder: str) -> np.ndarray:
+    """Write the places (id, at) into files by ranges of ids, each one array: number of rows, ids in order,
+    ends of their places, places. Returns the lowest id of each file, ascending; it names the file."""
+    total = places.select(F.sum(F.size("at") + 2)).first()[0] or 0
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, sizes, values = [], [], []
+        for b in batches:
+            ids.append(b.column(0).to_numpy())
+            sizes.append(pc.list_value_length(b.column(1)).to_numpy())
+            values.append(b.column(1).flatten().to_numpy())
+        ids = np.concatenate([np.empty(0, np.int64), *ids])
+        if len(ids):
+            write_array(folder, f"{ids[0]}.npy", np.concatenate([[len(ids)], ids, np.cumsum(np.concatenate(sizes)), *values]).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[:1])], ["low"])
+
+    ranges = places.select("id", "at").repartitionByRange(max(1, -(-int(total) // FILE_PLACES)), "id").sortWithinPartitions("id")
+    return np.sort(np.array([r["low"] for r in ranges.mapInArrow(save, "low long").collect()], np.int64))
+
+
+@lru_cache(16)
+def _file(folder: str, low: int) -> np.ndarray:
+    return map_array(folder, f"{low}.npy")
+
+
+def places_of(folder: str, lows: np.ndarray, ids: np.ndarray) -> dict[int, np.ndarray]:
+    """The places of those rows of ``ids`` that have some, by row. Files are mapped; only those that hold
+    ids of the range are opened, and a row takes one binary search."""
+    out, file = {}, np.searchsorted(lows, ids, side="right") - 1
+    for f in np.unique(file[file >= 0]).tolist():
+        a, rows = _file(folder, int(lows[f])), np.flatnonzero(file == f)
+        n = int(a[0])
+        keys, ends = a[1:n + 1], a[n + 1:2 * n + 1]
+        k = np.minimum(np.searchsorted(keys, ids[rows]), n - 1)
+        hit = keys[k] == ids[rows]
+        for i, j in zip(rows[hit].tolist(), k[hit].tolist()):
+            out[i] = a[2 * n + 1 + (int(ends[j - 1]) if j else 0):2 * n + 1 + int(ends[j])]
+    return out
+
+
+def windows(texts: DataFrame, folder: str, lows: np.ndarray) -> DataFrame:
+    """Occurrences of the windows whose anchors came again, from (id, text) and the files of places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, ids, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for i, text, at in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                h = word_hashes(text.as_py())
+            keys, ids, starts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            ident = b.column(0).to_numpy()
+            for i, at in places_of(folder, lows, ident).items():
+                h = word_hashes(b.column(1)[i].as_py())
                 again = np.zeros(len(h), bool)
-                again[at.values.to_numpy()] = True
+                again[at] = True
                 p = np.flatnonzero(again[anchor_of_windows(h)])
                 keys.append(sequence_hashes(h, WINDOW, p))
-                ids.append(np.full(len(p), i, np.int64))
-                places.append(p)
-            yield _occurrences(np.concatenate(keys), np.concatenate(ids), np.concatenate(places), False)
+                ids.append(np.full(len(p), ident[i], np.int64))
+                starts.append(p)
+            yield _occurrences(np.concatenate(keys), np.concatenate(ids), np.concatenate(starts), False)
 
     return texts.mapInArrow(run, _OCCURRENCE)
 
@@ -172,8 +221,9 @@ def repeated(docs: DataFrame, ident_col: str, text_col: str = "text") -> DataFra
     first = digests.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = materialize(digests.join(first, "digest").where("id > first").select("id").distinct(), "rep-copies")
     places = grouped(anchors(texts), _met_again).join(copies, "id", "left_anti").groupBy("id").agg(F.collect_set("pos").alias("at"))
-    places = materialize(places, "rep-anchors")
-    found = grouped(windows(texts.join(places, "id")), _after_first).groupBy("id").agg(F.collect_list("pos").alias("pos"))
+    folder = stage_path(docs.sparkSession, f"llm-rep-places-{uuid.uuid4().hex[:12]}")
+    lows = places_written(materialize(places, "rep-anchors"), folder)
+    found = grouped(windows(texts, folder, lows), _after_first).groupBy("id").agg(F.collect_list("pos").alias("pos"))
     cuts = "id long, cuts array<struct<s:int,e:int>>"
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
