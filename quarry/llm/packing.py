@@ -4,7 +4,8 @@ Documents longer than a bin are cut: whole bins of their own, and a rest that is
 others. A bin takes at most one piece of a source and one of a duplicate cluster; it carries both
 sets as bitmaps. Bins are ordered by what is left in them, and for each piece, longest first, the
 search starts at the tightest bin that is large enough and goes on to its successors until one is
-compatible; if there is none, a new bin is opened.
+compatible; if there is none, a new bin is opened. Equal rows follow each other, and the search of the
+next goes on where that of the one before ended, so many of them are placed in one walk.
 
 Scale: documents are dealt by a hash of the record into groups of about ``GROUP_ROWS``; each group
 is packed in one task on its own, so neither a hot source nor a large cluster meets in one task,
@@ -42,6 +43,8 @@ class Bins:
         self.sources: list[int] = []
         self.clusters: list[int] = []
         self.count: list[int] = []
+        self.last: tuple[int, int, int] | None = None
+        self.ended = 0
 
     def open(self) -> int:
         self.sources.append(0)
@@ -53,10 +56,14 @@ class Bins:
         """Bin and slot of a piece; ``source`` and ``cluster`` are single bits (0: none)."""
         order, sources, clusters = self.order, self.sources, self.clusters
         at, left = -1, self.capacity
-        for k in range(bisect_left(order, (size, -1)), len(order)):
+        # bins that refused a piece refuse the next one that is like it: its search goes on where that one ended
+        begin = self.ended if self.last == (size, source, cluster) else bisect_left(order, (size, -1))
+        self.last, self.ended = (size, source, cluster), len(order)
+        for k in range(begin, len(order)):
             b = order[k][1]
             if not (sources[b] & source or clusters[b] & cluster):
                 left, at = order.pop(k)
+                self.ended = k
                 break
         if at < 0:
             at = self.open()
@@ -64,6 +71,7 @@ class Bins:
         clusters[at] |= cluster
         if left > size:
             insort(order, (left - size, at))
+            self.ended += 1  # it has less left than before, so it stands among those already asked, or is new and conflicts
         self.count[at] += 1
         return at, self.count[at] - 1
 

@@ -1,13 +1,16 @@
 """Ids that pandas would round, rows without ids, lost files, few file descriptors, odd list entries."""
 
 import os
+import random
 import resource
+import time
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import ngram, packing, tokenfile, topk, urls
+from quarry.llm import ngram, packing, repeats, tokenfile, topk, urls
 from tests.llm.fixtures import prose
 
 TOKENS = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,3 +76,47 @@ def test_list_entries_are_read_as_hosts_are(spark):
         e = spark.createDataFrame([(entry, "x", "2024-01-01", "add")], "entry string, category string, at string, action string")
         got = urls.judge(c, e)
         assert {r["page_id"] for r in got.where("verdict.blocked").collect()} == hit, entry
+
+
+def test_pieces_alike_are_placed_as_by_a_whole_search():
+    """The search that goes on where the one before ended gives the bins of one that starts anew."""
+    class Anew(packing.Bins):
+        def place(self, size, source, cluster):
+            self.last = None
+            return super().place(size, source, cluster)
+
+    rnd = random.Random(5)
+    for _ in range(200):
+        few = [(rnd.choice([3, 5, 8, 9, 20, 21]), 1 << rnd.randrange(3), rnd.choice([0, 1, 2, 4])) for _ in range(rnd.randrange(1, 8))]
+        pieces = [p for p in (rnd.choice(few) for _ in range(60)) for _ in range(rnd.randrange(1, 4))]
+        if rnd.random() < 0.5:
+            pieces.sort(key=lambda p: -p[0])
+        one, other = packing.Bins(40), Anew(40)
+        assert [one.place(*p) for p in pieces] == [other.place(*p) for p in pieces]
+        assert one.order == other.order
+
+
+def test_many_equal_rows_pack_in_one_walk():
+    begun = time.process_time()
+    out = list(packing.pack_group([30] * 20_000 + [7] * 20_000, ["s"] * 20_000 + ["t"] * 20_000, ["c"] * 20_000 + ["d"] * 20_000, 2048))
+    assert time.process_time() - begun < 2
+    assert len(out) == 40_000 and len({x[1] for x in out}) == 20_000
+
+
+def test_places_in_many_files_and_a_lost_one(spark, tmp_path, monkeypatch):
+    """Repeats do not depend on how the places are cut into files; a lost file is an error."""
+    p, q = prose(90, 40), prose(91, 33)
+    docs = [(k * 7 - 30, f"{prose(100 + k, 12)} {p if k % 2 else q} {prose(200 + k, 9)}") for k in range(24)] + [(9000, prose(300, 50)), (9001, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    whole = sorted(tuple(r) for r in repeats.deduplicated(df).select("doc_id", "repeats.*").collect())
+    assert sum(r[2] for r in whole) == 11 * 40 + 11 * 33
+    monkeypatch.setattr(repeats, "FILE_PLACES", 20)
+    assert sorted(tuple(r) for r in repeats.deduplicated(df).select("doc_id", "repeats.*").collect()) == whole
+    places = spark.createDataFrame([(k * 3, [k, k + 1]) for k in range(30)], "id long, at array<int>")
+    folder = str(tmp_path / "places")
+    lows = repeats.places_written(places, folder)
+    assert len(lows) > 3 and {i: a.tolist() for i, a in repeats.places_of(folder, lows, np.array([87, -5, 0, 1, 45])).items()} == {0: [29, 30], 2: [0, 1], 4: [15, 16]}
+    os.rename(os.path.join(folder, f"{lows[1]}.npy"), str(tmp_path / "elsewhere"))
+    repeats._file.cache_clear()
+    with pytest.raises(FileNotFoundError):
+        repeats.places_of(folder, lows, np.array([int(lows[1])]))
