@@ -31,9 +31,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into a fresh folder under the shared checkpoint folder and read it
     back: later steps start from files that every executor can read, whichever executor is lost."""
+    return materialized(df, name)[0]
+
+
+def materialized(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``materialize`` and the folder, for a caller that gives it to ``dropped`` after use."""
     path = stage_path(df.sparkSession, f"llm-{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def dropped(df: DataFrame, path: str | None) -> None:
+    """Delete the folder of a stage whose successor is written whole, so nothing reads it again."""
+    if path is not None:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -12,21 +12,29 @@ of modified Kneser-Ney from the counts of counts of a level, g what the discount
 distinct training tokens; an unknown word has the share of one more word, and a context that was
 never seen leaves all to the next lower order.
 
-Counting goes level by level, from the highest order down. A task sorts and sums its n-grams and
-sends them by hash of their contexts in packed arrays, with each array's words written once;
-contexts that are frequent (at most ``HOT`` a level, found by a pass before) are dealt by the last
-word too, so no context's n-grams meet in one task, and their sums are added up apart, by Spark. A
-bucket's task writes its arrays sorted by hash; the n-grams without their first words go on, summed,
-to the next level, whose input is written first. Buckets follow the size of the table.
-
-Scoring: a task hashes a slice of its texts and, for each level, searches its n-grams and distinct
-contexts bucket by bucket in ascending order in the mapped arrays, so a slice walks through each
-file once. The driver gets the counts of counts and the sums of the hot contexts.
+A first pass counts the words, which are then numbered: a bucket of word hashes writes its sorted
+array, and a word's number is its place there after the words of the buckets before. From then on
+n-grams are rows of numbers. Counting goes level by level, from the highest order down. A task sorts
+and sums its n-grams and sends them by hash of their contexts in packed arrays: each array's words
+once, as gaps of sorted numbers, its columns by bytes, compressed. Contexts that are frequent (at most
+``HOT`` a level, found by the first pass) are dealt by the last word too, so no context's n-grams meet
+in one task, and their sums are added up apart, by Spark. A bucket's task writes its arrays sorted by
+hash; the n-grams without their first words go on, summed, to the next level, whose input is written
+first and dropped once that level is written in turn. Buckets follow the size of the table.
+
+A sorted array of n-gram hashes keeps the first bits as an index of starts, about 8 to 16 hashes
+each, and 32 bits of each hash after those. Sums have a byte a row, for the 255 most frequent rows of
+the file; other rows stand apart with their places.
+
+Scoring: a task hashes a slice of its texts, looks its words up once and searches, for each level, its
+n-grams and contexts bucket by bucket in the mapped arrays, so a slice walks through each file once.
+The driver gets the sizes of the word buckets, counts of counts and the sums of the hot contexts.
 
 Defined cases: a null or blank text is its end token alone; no training texts make every token
 unknown with V = 0 (score and base_score 0); discounts without counts of counts are half a count;
 repeated rows count as often as they occur; an empty table gives no rows; a file of the model that is
-not there any more is an error; other columns are not looked at. Words and n-grams are compared by 64-bit hashes.
+not there any more is an error; other columns are not looked at. Words are compared by 64-bit hashes, n-grams
+by bucket, index and 32 bits more: one that the texts do not hold is taken for another at odds of about 4e-9.
 """
 
 from __future__ import annotations
@@ -37,10 +45,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize
+from quarry.llm.common import dropped, materialized
 from quarry.llm.files import map_array, write_array
 from quarry.llm.hashing import mix64, word_hashes
 
@@ -49,8 +58,8 @@ FINAL = np.uint64(xxhash.xxh64_intdigest(b""))
 HOT = 2000
 HOT_SHARE = 5000
 SLICE = 1 << 20
-BUCKET_TEXT_BYTES = 16 << 20
-MIN_BUCKETS = 64
+BUCKET_TEXT_BYTES = 32 << 20
+MIN_BUCKETS = 24
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 #: Arrays that a worker keeps mapped.
@@ -79,11 +88,11 @@ def slices(texts: Iterator[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarr
         yield np.concatenate(parts), np.array(sizes)
 
 
-def padded(second: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def padded(second: np.ndarray, sizes: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
     """The tokens with a begin mark before each text, and how many places after its mark each is."""
     at = np.cumsum(sizes) - sizes
     depth = np.arange(len(second) + len(sizes)) - np.repeat(at + np.arange(len(sizes)), sizes + 1)
-    return np.insert(second, at, BEGIN), depth
+    return np.insert(second, at, mark), depth
 
 
 def context_hash(words: list[np.ndarray]) -> np.ndarray:
@@ -134,109 +143,149 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-_WHOLE = {0: np.uint64, 2: np.uint16, 3: np.uint32}
+def summed(cols: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of columns of whole numbers, in order, and how often each occurs."""
+    bits = [int(c.max()).bit_length() for c in cols]
+    if sum(bits) > 63:
+        by = np.lexsort(cols[::-1])
+        at = runs(*[c[by] for c in cols])
+        return [c[by[at]] for c in cols], np.diff(np.append(at, len(by)))
+    key = np.zeros(len(cols[0]), np.int64)
+    for c, b in zip(cols, bits):
+        key = key << b | c.astype(np.int64)
+    key, n = np.unique(key, return_counts=True)
+    out = []
+    for b in bits[::-1]:
+        out.append(key & (1 << b) - 1)
+        key >>= b
+    return out[::-1], n
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as bytes; signed integers in the fewest bytes that hold most of them, larger ones apart."""
-    out, codes = [], {np.dtype(t): c for c, t in _WHOLE.items()}
+    """Arrays of whole numbers from 0, each in as many bytes as its largest needs, all first bytes
+    before all second ones, compressed."""
+    out = []
     for a in arrays:
-        code = codes.get(a.dtype, 1)
-        small = np.minimum(a, 255).astype(np.uint8) if code == 1 else a
-        big = np.flatnonzero(a >= 255) if code == 1 else np.empty(0, np.int64)
-        out += [np.array([code, len(a), len(big)], np.int64).tobytes(), small.tobytes(), big.tobytes(), np.asarray(a[big], np.int64).tobytes()]
-    return b"".join(out)
+        top = int(a.max()) if len(a) else 0
+        size = next(s for s in (1, 2, 4, 8) if top < 1 << 8 * s)
+        out += [np.array([size, len(a)], np.int64).tobytes(), a.astype(f"<u{size}").view(np.uint8).reshape(len(a), size).T.tobytes()]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
 
 def unpack(raw: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(raw)
     at, out = 0, []
     while at < len(raw):
-        code, n, m = np.frombuffer(raw, np.int64, 3, at).tolist()
-        at += 24
-        a = np.frombuffer(raw, _WHOLE.get(code, np.uint8), n, at)
-        at += a.nbytes
-        big, values = np.frombuffer(raw, np.int64, m, at), np.frombuffer(raw, np.int64, m, at + 8 * m)
-        at += 16 * m
-        if code == 1:
-            a = a.astype(np.int64)
-            a[big] = values
-        out.append(a)
+        size, n = np.frombuffer(raw, np.int64, 2, at).tolist()
+        at += 16
+        a = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
+        at += n * size
+        out.append(np.ascontiguousarray(a.T).view(f"<u{size}").reshape(n))
     return out
 
 
-def frequent(texts: DataFrame, order: int) -> dict[int, np.ndarray]:
-    """For each level the sorted hashes of the contexts that make up a good part of some slice, at most
-    ``HOT``: the most frequent ones. They only decide how n-grams are dealt."""
+def gaps(a: np.ndarray) -> np.ndarray:
+    return np.diff(a, prepend=a.dtype.type(0))
+
+
+def batches_of(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens and sizes of the texts in the first column, in larger pieces than for scoring: more is
+    summed before it is sent."""
+    held, size = [], 0
+    for tokens_, sizes in slices(t.as_py() for b in batches for t in b.column(0)):
+        held.append((tokens_, sizes))
+        size += len(tokens_)
+        if size * order >= 8 * SLICE:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def surveyed(texts: DataFrame, order: int, buckets: int) -> DataFrame:
+    """(level, bucket, raw, n): at level 1 the sorted word hashes of each task's texts and their uses, by
+    bucket; from level 2 the words of contexts that make up a good part of some piece, with their uses."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens_, sizes in slices(t.as_py() for b in batches for t in b.column(0)):
-            p, depth = padded(tokens_, sizes)
+        for tokens_, sizes in batches_of(batches, order):
+            words, ids = np.unique(tokens_, return_inverse=True)
+            n = np.bincount(ids)
+            bucket = word_bucket(words, buckets)
+            by = np.argsort(bucket, kind="stable")
+            rows, at = [], runs(bucket[by])
+            for x, y in zip(at, np.append(at[1:], len(by))):
+                rows.append((1, int(bucket[by[x]]), pack(words[by[x:y]], n[by[x:y]]), None))
+            p, depth = padded(ids, sizes, len(words))
+            words = np.append(words, BEGIN)
             for k in range(2, order + 1):
                 end = np.flatnonzero(depth >= k - 2)
-                context, n = np.unique(context_hash([p[end - k + 2 + i] for i in range(k - 1)]), return_counts=True)
-                top = n > max(20, len(p) // HOT_SHARE)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(int(top.sum()), k, np.int32)), pa.array(context[top].view(np.int64)), pa.array(n[top])], ["level", "context", "n"])
-
-    found = materialize(texts.mapInArrow(run, "level int, context long, n long").groupBy("level", "context").agg(F.sum("n").alias("n")), "ngram-hot")
-    hot = {}
-    for k in range(2, order + 1):
-        top = found.where(F.col("level") == k).orderBy(F.desc("n"), "context").limit(HOT).collect()
-        hot[k] = np.sort(np.array([r["context"] for r in top], np.int64).view(np.uint64))
-    hot[2] = np.unique(np.append(hot[2], context_hash([np.array([BEGIN])])))
+                cols, n = summed([p[end - k + 2 + i] for i in range(k - 1)])
+                top = np.flatnonzero(n > max(20, len(p) // HOT_SHARE))
+                w = np.column_stack([words[c[top]] for c in cols])
+                rows += [(k, None, r.tobytes(), int(x)) for r, x in zip(w, n[top])]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.int64()))], ["level", "bucket", "raw", "n"])
+
+    return texts.mapInArrow(run, "level int, bucket int, raw binary, n long")
+
+
+def frequent(rows: DataFrame, model: dict) -> dict[int, np.ndarray]:
+    """For each level the sorted hashes of its most frequent contexts, at most ``HOT``. They only decide
+    how n-grams are dealt."""
+    rows, hot = rows.where("level > 1").groupBy("level", "raw").agg(F.sum("n").alias("n")), {}
+    for k in range(2, model["order"] + 1):
+        top = rows.where(F.col("level") == k).orderBy(F.desc("n"), "raw").limit(HOT).collect()
+        w = np.frombuffer(b"".join(r["raw"] for r in top), np.uint64)
+        hot[k] = np.sort(context_hash(list(known(model, w)[0].reshape(-1, k - 1).T)))
+    hot[2] = np.unique(np.append(hot[2], context_hash([np.array([model["distinct"]], np.uint64)])))
     return hot
 
 
-def dealt(level: int, words: np.ndarray, cols: list[np.ndarray], n: np.ndarray, hot: dict, buckets: int) -> list[tuple]:
-    """(level, bucket, raw) of the n-grams whose words are ``words`` at the columns, summed."""
-    if not len(n):
+def dealt(level: int, words: np.ndarray, cols: list[np.ndarray], model: dict) -> list[tuple]:
+    """(level, bucket, raw) of the n-grams whose words are ``words`` (ascending numbers) at the columns, summed."""
+    if not len(cols[0]):
         return []
-    w = [words[c] for c in cols]
+    cols, n = summed(cols)
+    w, buckets = [words[c] for c in cols], model["buckets"]
     if level == 1:
-        h = w[0]
+        bucket = np.searchsorted(model["base"], w[0], "right") - 1
     else:
-        context = context_hash(w[:-1])
-        h = gram_hash(context, w[-1])
-    by = np.argsort(h)
-    at = runs(h[by])
-    n, one = np.add.reduceat(n[by], at), by[at]
-    bucket = word_bucket(w[0][one], buckets) if level == 1 else bucket_of(context[one], w[-1][one], hot[level], buckets)
-    by = np.argsort(bucket, kind="stable")
-    bucket, n, one = bucket[by], n[by], one[by]
+        bucket = bucket_of(context_hash(w[:-1]), w[-1], model["hot"][level], buckets)
+    by = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+    bucket, n, cols = bucket[by], n[by], [c[by] for c in cols]
     at, out = runs(bucket), []
     for x, y in zip(at, np.append(at[1:], len(bucket))):
-        mine = [c[one[x:y]] for c in cols]
-        seen = np.zeros(len(words), bool)
-        for c in mine:
-            seen[c] = True
-        place = (np.cumsum(seen) - 1).astype(np.uint16 if seen.sum() <= 1 << 16 else np.uint32)
-        out.append((level, int(bucket[x]), pack(words[seen], *[place[c] for c in mine], n[x:y])))
+        mine = [c[x:y] for c in cols]
+        if len(words) < 8 * level * (y - x):
+            seen = np.zeros(len(words), bool)
+            for c in mine:
+                seen[c] = True
+            own, place = words[seen], np.cumsum(seen) - 1
+            mine = [place[c] for c in mine]
+        else:
+            own, mine = np.unique(np.concatenate(mine), return_inverse=True)
+            own, mine = words[own], np.split(mine, level)
+        out.append((level, int(bucket[x]), pack(gaps(own), gaps(mine[0]), *mine[1:], n[x:y])))
     return out
 
 
-def counted(texts: DataFrame, order: int, hot: dict, buckets: int) -> DataFrame:
+def counted(texts: DataFrame, model: dict) -> DataFrame:
     """(level, bucket, raw): n-grams of each task's texts, summed; at the levels below, those that
-    start with the begin mark; at level 0, the uses of the words."""
+    start with the begin mark."""
+    order = model["order"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for tokens_, sizes in slices(t.as_py() for b in batches for t in b.column(0)):
-            held.append((tokens_, sizes))
-            size += len(tokens_)
-            if size * order >= 8 * SLICE:
-                yield sent(*map(np.concatenate, zip(*held)))
-                held, size = [], 0
-        if held:
-            yield sent(*map(np.concatenate, zip(*held)))
-
-    def sent(tokens_: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-        p, depth = padded(tokens_, sizes)
-        words, ids = np.unique(p, return_inverse=True)
-        ids, rows = ids.astype(np.uint32), []
-        for k in range(2, order + 1):
-            end = np.flatnonzero(depth >= k - 1 if k == order else depth == k - 1)
-            rows += dealt(k, words, [ids[end - k + 1 + i] for i in range(k)], np.ones(len(end), np.int64), hot, buckets)
-        own = ids[depth > 0]
-        rows += [(0, *r[1:]) for r in dealt(1, words, [own], np.ones(len(own), np.int64), hot, buckets)]
-        level, bucket, raw = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(bucket, pa.int32()), pa.array(raw, pa.binary())], ["level", "bucket", "raw"])
+        for tokens_, sizes in batches_of(batches, order):
+            words, ids = np.unique(tokens_, return_inverse=True)
+            words = known(model, words)[0]
+            by = np.argsort(words)
+            rank = np.empty(len(by), np.int64)
+            rank[by] = np.arange(len(by))
+            p, depth = padded(rank[ids], sizes, len(words))
+            words, rows = np.append(words[by], np.uint64(model["distinct"])), []
+            for k in range(2, order + 1):
+                end = np.flatnonzero(depth >= k - 1 if k == order else depth == k - 1)
+                rows += dealt(k, words, [p[end - k + 1 + i] for i in range(k)], model)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))], ["level", "bucket", "raw"])
 
     return texts.mapInArrow(run, "level int, bucket int, raw binary")
 
@@ -244,17 +293,53 @@ def counted(texts: DataFrame, order: int, hot: dict, buckets: int) -> DataFrame:
 def joined(raws: list[bytes], level: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """Words, columns and counts of several packed rows."""
     parts = [unpack(r) for r in raws]
-    words, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    words, back = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
     back, ends = back.astype(np.uint32), np.cumsum([len(p[0]) for p in parts])
-    cols = [np.concatenate([back[e - len(p[0]):e][p[1 + i]] for p, e in zip(parts, ends)]) for i in range(level)]
-    return words, cols, np.concatenate([p[-1] for p in parts])
+    cols = [np.concatenate([back[e - len(p[0]):e][p[1 + i] if i else np.cumsum(p[1], dtype=np.int64)] for p, e in zip(parts, ends)]) for i in range(level)]
+    return words, cols, np.concatenate([p[-1] for p in parts]).astype(np.int64)
+
 
+def write_keys(path: str, name: str, h: np.ndarray) -> None:
+    """Sorted hashes: the number of index bits, the start of each index value, 32 bits of each hash."""
+    bits = min(max(1, len(h).bit_length() - 4), 31)
+    start = np.searchsorted(h >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+    rest = h << np.uint64(bits) >> np.uint64(32)
+    write_array(path, f"{name}.npy", np.concatenate([[bits], start, rest]).astype(np.uint32))
 
-def write_narrow(path: str, name: str, a: np.ndarray) -> None:
-    """Rows in a byte a value; rows with larger values apart, with their places."""
-    write_array(path, f"{name}.npy", np.minimum(a, 255).astype(np.uint8))
-    big = np.flatnonzero((a >= 255).any(axis=1))
-    write_array(path, f"{name}-large.npy", np.column_stack([big, a[big]]))
+
+def key_places(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Place of each hash in an array of ``write_keys``, or -1."""
+    bits = int(keys[0])
+    start, rest = keys[1:(1 << bits) + 2], keys[(1 << bits) + 2:]
+    if not len(rest):
+        return np.full(len(x), -1)
+    at = (x >> np.uint64(64 - bits)).astype(np.int64)
+    low = (x << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
+    lo, end = start[at].astype(np.int64), start[at + 1].astype(np.int64)
+    hi = end
+    for _ in range(int((hi - lo).max(initial=0)).bit_length()):
+        mid = (lo + hi) >> 1
+        less = (rest[np.minimum(mid, len(rest) - 1)] < low) & (lo < hi)
+        lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+    return np.where((lo < end) & (rest[np.minimum(lo, len(rest) - 1)] == low), lo, -1)
+
+
+def write_rows(path: str, name: str, a: np.ndarray) -> None:
+    """Rows of up to four columns in a byte each: which of the 255 most frequent rows it is. These stand
+    first in a file of their own; other rows follow there with their places."""
+    key = np.zeros(len(a), np.int64)
+    for c in a.T:
+        key = key << 15 | np.minimum(c, (1 << 15) - 1)
+    key[(a >= (1 << 15) - 1).any(axis=1)] = -1
+    kinds, n = np.unique(key, return_counts=True)
+    top = np.sort(kinds[np.argsort(np.where(kinds < 0, 0, -n), kind="stable")[:255]])
+    top = top[top >= 0]
+    at = find(top, key)
+    large, table = np.flatnonzero(at < 0), np.zeros((255, a.shape[1] + 1), np.int64)
+    for i in range(a.shape[1]):
+        table[:len(top), -1 - i] = top >> 15 * i & (1 << 15) - 1
+    write_array(path, f"{name}.npy", np.where(at < 0, 255, at).astype(np.uint8))
+    write_array(path, f"{name}-large.npy", np.concatenate([table, np.column_stack([large, a[large]])]))
 
 
 def counts_of_counts(n: np.ndarray) -> np.ndarray:
@@ -280,10 +365,28 @@ def train(docs: DataFrame, path: str, text_col: str = "text", buckets: int | Non
     if buckets is None:
         size = docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0
         buckets = max(MIN_BUCKETS, -(-int(size) * (order - 1) // BUCKET_TEXT_BYTES))
-    hot = frequent(texts, order)
     columns = ["level", "bucket", "raw", "context", "a", "b", "c", "d"]
     schema = "level int, bucket int, raw binary, context long, a long, b long, c long, d long"
 
+    def words_of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(r) for r in pdf["raw"]]
+        words, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        uses = np.zeros(len(words), np.int64)
+        np.add.at(uses, back, np.concatenate([p[1] for p in parts]).astype(np.int64))
+        write_array(path, f"word-hash-{key[0]}.npy", words)
+        write_rows(path, f"word-uses-{key[0]}", uses[:, None])
+        return pd.DataFrame([[int(key[0]), len(words), int(uses.sum())]], columns=["bucket", "n", "uses"])
+
+    rows, at = materialized(surveyed(texts, order, buckets), "ngram-words")
+    found = rows.where("level = 1").groupBy("bucket").applyInPandas(words_of, "bucket int, n long, uses long").collect()  # one a bucket
+    n = np.zeros(buckets, np.int64)
+    n[[r["bucket"] for r in found]] = [r["n"] for r in found]
+    model = {"path": path, "buckets": buckets, "order": order, "base": (np.cumsum(n) - n).astype(np.uint64), "distinct": int(n.sum()),
+             "tokens": sum(r["uses"] for r in found), "hot": {}, "hot_contexts": {}, "hot_sums": {}, "kinds": {}, "present": {1: frozenset(np.flatnonzero(n).tolist())}}
+    model["hot"] = frequent(rows, model)
+    dropped(rows, at)
+    counting = dict(model)
+
     def merging(k: int):
         def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             level, b = int(key[0]), int(key[1])
@@ -296,37 +399,37 @@ def train(docs: DataFrame, path: str, text_col: str = "text", buckets: int | Non
             by = np.argsort(h)
             at = runs(h[by])
             n, one = np.add.reduceat(n[by], at), by[at]
-            write_array(path, f"gram{k}-hash-{b}.npy", h[one])
-            write_narrow(path, f"gram{k}-sums-{b}", n[:, None])
+            write_keys(path, f"gram{k}-hash-{b}", h[one])
+            write_rows(path, f"gram{k}-sums-{b}", n[:, None])
             of = counts_of_counts(n)
             out = [(k, b, None, None, *of.tolist())]
             context = context[one]
             by = np.argsort(context)
             at = runs(context[by])
-            sums = np.stack([np.add.reduceat(x[by], at) for x in (n, *((n == j).astype(np.int64) for j in (1, 2)), (n >= 3).astype(np.int64))], axis=1)
+            m = n[by]
+            sums = np.stack([np.add.reduceat(x, at) for x in (m, *((m == j).astype(np.int64) for j in (1, 2)), (m >= 3).astype(np.int64))], axis=1)
             context = context[by][at]
-            is_hot = within(hot[k], context)
-            write_array(path, f"first{k}-hash-{b}.npy", context[~is_hot])
-            write_narrow(path, f"first{k}-sums-{b}", sums[~is_hot])
+            is_hot = within(counting["hot"][k], context)
+            write_keys(path, f"first{k}-hash-{b}", context[~is_hot])
+            write_rows(path, f"first{k}-sums-{b}", sums[~is_hot])
             out += [(k, None, None, int(x), *y) for x, y in zip(context[is_hot].view(np.int64), sums[is_hot].tolist())]
-            out += [(*r, None, None, None, None, None) for r in dealt(k - 1, words, [c[one] for c in cols[1:]], np.ones(len(one), np.int64), hot, buckets)]
+            out += [(*r, None, None, None, None, None) for r in dealt(k - 1, words, [c[one] for c in cols[1:]], counting)]
             return pd.DataFrame(out, columns=columns, dtype=object).astype({x: "Int64" for x in columns if x != "raw"})
         return merge
 
-    def words_of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def types_of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         b = int(key[0])
         words, (at,), n = joined(list(pdf["raw"]), 1)
-        used = np.repeat((pdf["level"] == 0).to_numpy(), [len(unpack(r)[-1]) for r in pdf["raw"]])
-        types, uses = (np.bincount(at[x], n[x], len(words)).astype(np.int64) for x in (~used, used))
-        write_array(path, f"word-hash-{b}.npy", words)
-        write_narrow(path, f"word-sums-{b}", np.stack([types, uses], axis=1))
-        sums = [len(words), types.sum(), uses.sum(), (types == 1).sum(), (types == 2).sum(), (types >= 3).sum(), *counts_of_counts(types)]
-        return pd.DataFrame([[b, *(int(x) for x in sums)]], columns=["bucket", *(f"s{i}" for i in range(10))])
-
-    model = {"path": path, "buckets": buckets, "order": order, "hot": hot, "hot_contexts": {}, "hot_sums": {}, "kinds": {}, "present": {}}
-    rows = counted(texts, order, hot, buckets)
+        types = np.zeros(int((*counting["base"], counting["distinct"])[b + 1] - counting["base"][b]), np.int64)
+        np.add.at(types, (words[at] - counting["base"][b]).astype(np.int64), n)
+        write_rows(path, f"word-types-{b}", types[:, None])
+        return pd.DataFrame([[int(x) for x in (types.sum(), (types == 1).sum(), (types == 2).sum(), (types >= 3).sum(), *counts_of_counts(types))]], columns=[f"s{i}" for i in range(8)])
+
+    rows, at = counted(texts, counting), None
     for k in range(order, 1, -1):
-        rows = materialize(rows.groupBy("level", "bucket").applyInPandas(merging(k), schema), f"ngram-{k}")
+        before = (rows, at)
+        rows, at = materialized(rows.groupBy("level", "bucket").applyInPandas(merging(k), schema), f"ngram-{k}")
+        dropped(*before)
         small = rows.where("raw is null").groupBy("context").agg(*[F.sum(x).alias(x) for x in "abcd"]).collect()
         kinds = [r for r in small if r["context"] is None]
         model["present"][k] = frozenset(r["bucket"] for r in rows.where("raw is null and context is null").select("bucket").collect())  # one a bucket
@@ -335,10 +438,10 @@ def train(docs: DataFrame, path: str, text_col: str = "text", buckets: int | Non
         model["hot_contexts"][k] = np.array([r["context"] for r in small], np.int64).view(np.uint64)
         model["hot_sums"][k] = np.array([r[1:] for r in small], np.int64).reshape(-1, 4)
         rows = rows.where("raw is not null").select("level", "bucket", "raw")
-    sums = rows.groupBy("bucket").applyInPandas(words_of, "bucket int, " + ", ".join(f"s{i} long" for i in range(10)))
-    *sums, found = sums.agg(*[F.sum(f"s{i}") for i in range(10)], F.collect_list("bucket")).first()
-    sums, model["present"][1] = np.array([x or 0 for x in sums], np.int64), frozenset(found)
-    return model | {"distinct": int(sums[0]), "types": int(sums[1]), "tokens": int(sums[2]), "type_kinds": sums[3:6], "word_kinds": sums[6:]}
+    sums = rows.groupBy("bucket").applyInPandas(types_of, ", ".join(f"s{i} long" for i in range(8)))
+    sums = np.array([x or 0 for x in sums.agg(*[F.sum(f"s{i}") for i in range(8)]).first()], np.int64)
+    dropped(rows, at)
+    return model | {"types": int(sums[0]), "type_kinds": sums[1:4], "word_kinds": sums[4:]}
 
 
 def _mapped(path: str, name: str) -> np.ndarray:
@@ -354,28 +457,46 @@ def _mapped(path: str, name: str) -> np.ndarray:
     return _maps[key]
 
 
-def looked_up(model: dict, kind: str, x: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
-    """Rows of the sums for the keys ``x``, zeros where a key is absent."""
-    present = model["present"][1 if kind == "word" else int(kind.removeprefix("first").removeprefix("gram"))]
-    out = np.zeros((len(x), width), np.int64)
-    order = np.lexsort((x, bucket))
+def _by_bucket(present: frozenset, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that holds something, and the places that ask for it."""
+    order = np.argsort(bucket.astype(np.uint16) if bucket.max(initial=0) < 1 << 16 else bucket, kind="stable")
     at = runs(bucket[order])
     for lo, hi in zip(at, np.append(at[1:], len(order))):
-        b, of = int(bucket[order[lo]]), order[lo:hi]
-        if b not in present:  # no n-gram fell into it
-            continue
-        keys = _mapped(model["path"], f"{kind}-hash-{b}.npy")
-        if not len(keys):
-            continue
-        place = find(keys, x[of])
+        if (b := int(bucket[order[lo]])) in present:
+            yield b, order[lo:hi]
+
+
+def _rows_at(model: dict, name: str, place: np.ndarray) -> np.ndarray:
+    """Rows of a file of ``write_rows``."""
+    code, large = (_mapped(model["path"], f"{name}{x}.npy") for x in ("", "-large"))
+    at = np.asarray(code[place], np.int64)
+    wide = at == 255
+    at[wide] = 255 + np.searchsorted(large[255:, 0], place[wide])
+    return large[at, 1:]
+
+
+def known(model: dict, words: np.ndarray, *sums: str) -> list[np.ndarray]:
+    """Number of each word hash, that of the begin mark after all others and that of an unknown word
+    after it; then the named sums of the words, 0 for the last two."""
+    number = np.where(words == BEGIN, model["distinct"], model["distinct"] + 1).astype(np.uint64)
+    out = [number, *(np.zeros(len(words), np.int64) for _ in sums)]
+    for b, of in _by_bucket(model["present"][1], word_bucket(words, model["buckets"])):
+        place = find(_mapped(model["path"], f"word-hash-{b}.npy"), words[of])
+        of, place = of[place >= 0], place[place >= 0]
+        number[of] = model["base"][b] + place.astype(np.uint64)
+        for name, to in zip(sums, out[1:]):
+            to[of] = _rows_at(model, f"word-{name}-{b}", place)[:, 0]
+    return out
+
+
+def looked_up(model: dict, kind: str, level: int, x: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
+    """Rows of the sums for the keys ``x``, zeros where a key is absent."""
+    out = np.zeros((len(x), width), np.int64)
+    for b, of in _by_bucket(model["present"][level], bucket):
+        place = key_places(_mapped(model["path"], f"{kind}{level}-hash-{b}.npy"), x[of])
         hit = place >= 0
-        place = place[hit]
-        got = np.asarray(_mapped(model["path"], f"{kind}-sums-{b}.npy")[place], np.int64)
-        wide = (got == 255).any(axis=1)
-        if wide.any():
-            large = _mapped(model["path"], f"{kind}-sums-{b}-large.npy")
-            got[wide] = large[np.searchsorted(large[:, 0], place[wide]), 1:]
-        out[of[hit]] = got
+        if hit.any():
+            out[of[hit]] = _rows_at(model, f"{kind}{level}-sums-{b}", place[hit])
     return out
 
 
@@ -383,25 +504,27 @@ def token_scores(model: dict, second: np.ndarray, sizes: np.ndarray) -> tuple[np
     """For each token: its training count, log10 of the add-half unigram and of the model."""
     buckets, word_d = model["buckets"], discounts(model["word_kinds"])
     word, back = np.unique(second, return_inverse=True)
-    of = looked_up(model, "word", word, word_bucket(word, buckets), 2)
-    types, uses, v = of[:, 0], of[:, 1], model["distinct"]
+    number, uses, types = known(model, word, "uses", "types")
+    v = model["distinct"]
     base = np.log10((uses + 0.5) / (model["tokens"] + 0.5 * (v + 1)))
     total = max(model["types"], 1)
     free = float(model["type_kinds"] @ word_d[1:]) / total if model["types"] else 1.0
     p = (np.maximum(types - word_d[np.minimum(types, 3)], 0.0) / total + free / (v + 1))[back]
-    seq, depth = padded(second, sizes)
+    ids, depth = padded(back, sizes, len(word))
+    word = np.append(number, np.uint64(v))
+    seq = word[ids]
     place = np.cumsum(depth > 0) - 1
     for k in range(2, model["order"] + 1):
         end = np.flatnonzero(depth >= k - 1)
         d, at = discounts(model["kinds"][k]), place[end]
         context = context_hash([seq[end - k + 1 + i] for i in range(k - 1)])
-        ctx, ctx_back = np.unique(context, return_inverse=True)
-        sums = looked_up(model, f"first{k}", ctx, bucket_of(ctx, ctx, np.empty(0, np.uint64), buckets), 4)
+        ctx, ctx_back = (context_hash([word]), ids[end - 1]) if k == 2 else (context, slice(None))
+        sums = looked_up(model, "first", k, ctx, bucket_of(ctx, ctx, np.empty(0, np.uint64), buckets), 4)
         hot = find(model["hot_contexts"][k], ctx)
         sums[hot >= 0] = model["hot_sums"][k][hot[hot >= 0]]
         follow = np.maximum(sums[:, 0], 1)
         gamma = np.where(sums[:, 0] > 0, sums[:, 1:] @ d[1:] / follow, 1.0)
-        n = looked_up(model, f"gram{k}", gram_hash(context, seq[end]), bucket_of(context, seq[end], model["hot"][k], buckets), 1)[:, 0]
+        n = looked_up(model, "gram", k, gram_hash(context, seq[end]), bucket_of(context, seq[end], model["hot"][k], buckets), 1)[:, 0]
         p[at] = np.maximum(n - d[np.minimum(n, 3)], 0.0) / follow[ctx_back] + gamma[ctx_back] * p[at]
     return uses[back], base[back], np.log10(p)
 
