@@ -97,9 +97,13 @@ def judged(docs: DataFrame, text_col: str = "text", as_col: str = "rules") -> Da
 
 
 def clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Documents that pass, without their failing lines; ``n_chars``, where there is one, follows."""
-    (r,) = fresh(docs, "_rules")
-    df = judged(docs, text_col, r).where(F.col(f"{r}.kept")).withColumn(text_col, F.col(f"{r}.clean"))
+    """Documents that pass, without their failing lines; ``n_chars``, where there is one, follows.
+
+    The verdict leaves a generator of one row: a filter on it is not moved below, where the rules
+    would be evaluated once for the filter and once for the cleaned text."""
+    r, one = fresh(docs, "_rules", "_rule")
+    df = judged(docs, text_col, r).select(*[f"`{c}`" for c in docs.columns], F.explode(F.array(F.col(r))).alias(one))
+    df = df.where(F.col(f"{one}.kept")).withColumn(text_col, F.col(f"{one}.clean"))
     if "n_chars" in docs.columns:
         df = df.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
     return df.select(*[f"`{c}`" for c in docs.columns])
