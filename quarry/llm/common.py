@@ -41,6 +41,22 @@ def materialized(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def spread_key(docs: DataFrame, key: Column, limit: int) -> tuple[DataFrame, str, int]:
+    """``docs`` with the hash ``key`` as a column, its name, and the number of rows. Where more than
+    ``limit`` rows have one key, as repeated rows do, each gets a key of its own from it and from its
+    place in the table; these places are written first, so that no rerun sees others."""
+    k, n, again, at = fresh(docs, "_key", "_n", "_again", "_at")
+    counts = docs.select(key.alias(k)).groupBy(k).agg(F.count("*").alias(n))
+    rows, most = counts.agg(F.sum(n), F.max(n)).first()
+    if (most or 0) <= limit:
+        return docs.withColumn(k, key), k, rows or 0
+    hot = counts.where(F.col(n) > limit).select(F.col(k).alias(again))
+    hot = F.broadcast(hot) if rows // limit <= 100_000 or hot.count() <= 100_000 else hot
+    df = docs.withColumn(k, key).withColumn(at, F.monotonically_increasing_id()).join(hot, F.col(k) == F.col(again), "left")
+    df = df.withColumn(k, F.when(F.col(again).isNotNull(), F.xxhash64(k, at)).otherwise(F.col(k))).drop(again, at)
+    return materialize(df, "spread"), k, rows
+
+
 def dropped(df: DataFrame, path: str | None) -> None:
     """Delete the folder of a stage whose successor is written whole, so nothing reads it again."""
     if path is not None:

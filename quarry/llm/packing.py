@@ -9,7 +9,7 @@ next goes on where that of the one before ended, so many of them are placed in o
 
 Scale: documents are dealt by a hash of the record into groups of about ``GROUP_ROWS``; each group
 is packed in one task on its own, so neither a hot source nor a large cluster meets in one task,
-and a bin never spans groups. The cost of cutting into groups is at most a few part-filled bins a group.
+and a bin never spans groups; rows equal in id and text are spread too, where there are more than a group of them. The cost of cutting into groups is at most a few part-filled bins a group.
 
 Defined cases: a text without words gets one row with no bin (bin null, n_words 0); a null source
 is a source of its own; a null cluster conflicts with nothing; ties in size go by id and hash;
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh, n_words
+from quarry.llm.common import fresh, n_words, spread_key
 
 CAPACITY = 2048
 GROUP_ROWS = 4096
@@ -111,10 +111,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     (group,) = fresh(docs, "_group")
     id_type = docs.schema[id_col].dataType.simpleString()
     whole_ids = id_type in ("tinyint", "smallint", "int", "bigint")  # pandas would make floats of them beside a null
-    rows = docs.count()
+    spread, key, rows = spread_key(docs, F.xxhash64(F.col(id_col), F.col(text_col)), group_rows)
     groups = max(1, -(-rows // group_rows))
-    salt = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(groups))
-    flat = docs.select(salt.alias(group), (F.col(id_col).cast("string") if whole_ids else F.col(id_col)).alias("id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"),
+    salt = F.pmod(F.col(key), F.lit(groups))
+    flat = spread.select(salt.alias(group), (F.col(id_col).cast("string") if whole_ids else F.col(id_col)).alias("id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"),
                        n_words(F.col(text_col)).alias("size"), *([F.col(text_col).alias("text")] if with_text else []))
     schema = f"id {'string' if whole_ids else id_type}, source string, {PLACED}" + (", text string" if with_text else "")
 

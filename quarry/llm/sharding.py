@@ -10,23 +10,23 @@ Scale: the texts are shuffled once; the number of buckets follows the bytes of t
 texts scatter by id, so a large group of copies spreads over all buckets. Law: ``key``.
 
 Defined cases: a null text has no bytes (size 8, crc32 0); a null id is an id like any other;
-records that are equal in all columns used share a bucket, in any order; empty tables give no rows;
+records that are equal in id and text share a bucket, in any order, unless there are more than ``EQUAL_ROWS``,
+which are spread over the buckets of their shard; empty tables give no rows;
 other columns, whatever their names, are carried along.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh
-from quarry.session import stage_path
+from quarry.llm.common import fresh, spread_key
 
 SHARDS = 24
 HEADER_BYTES = 8
 BUCKET_BYTES = 16 << 20
+#: Rows equal in id and text that may share a bucket.
+EQUAL_ROWS = 1024
 SEED = 20_240_607
 
 
@@ -49,14 +49,15 @@ def shard(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_i
     s = shard_of(F.col(id_col), shards, seed)
     total = docs.select(F.sum(record_size(F.col(text_col)))).first()[0] or 0
     per_shard = max(1, -(-int(total) // (bucket_bytes * shards)))
-    sub = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed + 1)), F.lit(per_shard)).cast("int")
-    scattered = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias(rec), (s * per_shard + sub).alias(bucket))
+    spread, key, _ = spread_key(docs, F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed + 1)), EQUAL_ROWS)
+    sub = F.pmod(F.col(key), F.lit(per_shard)).cast("int")
+    scattered = spread.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias(rec), (s * per_shard + sub).alias(bucket))
     order = F.xxhash64(F.col(f"{rec}.`{id_col}`"), F.col(f"{rec}.`{text_col}`"), F.lit(seed + 2))
     entry = F.struct(order.alias("h"), F.col(rec).alias("rec"))
     dealt = scattered.select(bucket, entry.alias(rec)).repartitionById(shards * per_shard, F.col(bucket))
     packed = dealt.groupBy(bucket).agg(F.sort_array(F.collect_list(rec)).alias(rows))
     mixed = packed.select(bucket, F.posexplode(F.shuffle(rows, seed)).alias("pos", "e"))
-    counts = docs.select((s * per_shard + sub).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
+    counts = spread.select((s * per_shard + sub).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
     before = Window.partitionBy(F.floor(F.col("b") / per_shard)).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     placed = mixed.join(F.broadcast(starts) if shards * per_shard <= 100_000 else starts, F.col(bucket) == F.col("b"))
@@ -64,7 +65,3 @@ def shard(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_i
     out.write.partitionBy("shard").parquet(path)
     back = spark.read.schema(out.schema).parquet(path)
     return back.select("rec.*", F.struct("shard", "slot").alias(place))
-
-
-def shard_path(spark: SparkSession) -> str:
-    return stage_path(spark, f"llm-shards-{uuid.uuid4().hex[:12]}")

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import ngram, packing, repeats, tokenfile, topk, urls
+from quarry.llm import ngram, packing, quality, repeats, sharding, tokenfile, topk, urls
 from tests.llm.fixtures import prose
 
 TOKENS = public_tokenizers.path("byte_bpe_50k.json")
@@ -120,3 +120,26 @@ def test_places_in_many_files_and_a_lost_one(spark, tmp_path, monkeypatch):
     repeats._file.cache_clear()
     with pytest.raises(FileNotFoundError):
         repeats.places_of(folder, lows, np.array([int(lows[1])]))
+
+
+def test_many_equal_rows_do_not_share_a_group_or_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "EQUAL_ROWS", 50)
+    text = prose(1, 30)
+    rows = [(7, text, "a")] * 900 + [(None, None, None)] * 300 + [(i, prose(i, 30), "b") for i in range(100, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack(df, group_rows=100)
+    assert got.count() == len(rows)
+    of = [r["n"] for r in got.where("doc_id = 7").groupBy(F.shiftright("bin", 32)).agg(F.count("*").alias("n")).collect()]
+    assert sum(of) == 900 and len(of) > 8 and max(of) < 200
+    back = sharding.shard(df, str(tmp_path / "s"), shards=3, bucket_bytes=1500).select("doc_id", "text", "place.*").collect()
+    assert sorted((r["doc_id"] or -1) for r in back) == sorted((r[0] or -1) for r in rows)
+    for s in range(3):
+        slots = sorted(r["slot"] for r in back if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    assert len({r["shard"] for r in back if r["doc_id"] == 7}) == 1
+
+
+def test_rules_are_evaluated_once_in_clean(spark):
+    df = spark.createDataFrame([(1, "a " * 20, 40)], "doc_id long, text string, n_chars int")
+    plan = quality.clean(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("all rights reserved") == 1 and plan.count("xxhash64") == 1
