@@ -255,6 +255,17 @@ def spe_identify(spark, d):
     return m.select("label", "best", stable_round("error", 4).alias("error"), "is_mixture")
 
 
+@query("spe_residuals", f"""WITH {LIB_SQL}
+SELECT tst.vec_id AS label, lib.ref, CAST(tst.i - 1 AS INTEGER) AS i, {sr('tst.y - lib.y', 5)} AS residual, lib.ref = best.best AS is_best
+FROM tst JOIN lib ON tst.i = lib.i JOIN best ON best.vec_id = tst.vec_id""")
+def spe_residuals(spark, d):
+    """Residual curves of every spectrum against every library entry, that of the best match marked."""
+    lib, tst = _lib(spark, d)
+    best = spectra.identify(tst, lib, "label", "ref", "i", "y", TH).select("label", "best")
+    r = spectra.residual_curves(tst, lib, "label", "ref", "i", "y").join(best, "label")
+    return r.select("label", "ref", "i", stable_round("residual", 5).alias("residual"), (F.col("ref") == F.col("best")).alias("is_best"))
+
+
 @query("spe_second", f"""WITH {LIB_SQL},
 mix AS (SELECT * FROM best WHERE error >= {TH}),
 r AS (SELECT tst.vec_id, tst.i, tst.y - lib.y AS r FROM tst JOIN mix ON tst.vec_id = mix.vec_id JOIN lib ON lib.ref = mix.best AND lib.i = tst.i),

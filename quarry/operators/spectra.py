@@ -131,6 +131,17 @@ def residual(test: DataFrame, library: DataFrame, matches: DataFrame, key: str =
     return t.join(lib, [ref, i]).select(key, i, (F.col(y) - F.col("__ly")).alias("residual"))
 
 
+def residual_curves(test: DataFrame, library: DataFrame, key: str = "label", ref: str = "ref", i: str = "i",
+                    y: str = "y") -> DataFrame:
+    """Residual curves test - library of every test spectrum against every library spectrum, over the
+    places of the grid that both have: (key, ref, i, residual). A null value has a null residual. One row a
+    point and pair by definition; the library is broadcast under ``joins.BROADCAST_ROWS`` rows only."""
+    lib = library.select(ref, i, F.col(y).alias("__ly"))
+    if lib.count() <= joins.BROADCAST_ROWS:
+        lib = F.broadcast(lib)
+    return test.select(key, i, y).join(lib, i).select(key, ref, i, (F.col(y) - F.col("__ly")).alias("residual"))
+
+
 def identify_second(test: DataFrame, library: DataFrame, key: str = "label", ref: str = "ref", i: str = "i",
                     y: str = "y", pure_threshold: float = 0.3) -> DataFrame:
     """Secondary component of mixtures: the residual of the best match, normalised to [0, 1],

@@ -100,3 +100,12 @@ def test_sparse_onehot(spark):
     sizes = {r["c_vec"].size for r in out}
     assert sizes == {3}  # a, b and the slot for null / unseen
     assert out[0]["c_vec"][0] == 1.0  # most frequent value first
+
+
+def test_residual_curves_of_every_pair(spark):
+    from quarry.operators import spectra
+    test = spark.createDataFrame([("a", 0, 1.0), ("a", 1, None), ("b", 0, 3.0), ("b", 5, 9.0)], "label string, i int, y double")
+    lib = spark.createDataFrame([("p", 0, 0.5), ("p", 1, 1.0), ("q", 0, 4.0)], "ref string, i int, y double")
+    want = {("a", "p", 0, 0.5), ("a", "p", 1, None), ("a", "q", 0, -3.0), ("b", "p", 0, 2.5), ("b", "q", 0, -1.0)}
+    assert {tuple(r) for r in spectra.residual_curves(test, lib).collect()} == want
+    assert spectra.residual_curves(test.limit(0), lib).count() == 0
