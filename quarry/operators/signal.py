@@ -54,26 +54,31 @@ def spectrum_dft(df: DataFrame, keys: Sequence[str], seq: str, value: str, n_fft
     return spec.withColumn("power", F.when(F.col("__tot") > 0, F.col("mag") / F.col("__tot"))).drop("__tot")
 
 
-def spectrum_fft(df: DataFrame, keys: Sequence[str], seq: str, value: str, n_fft: int) -> DataFrame:
-    """Full |FFT| (DC set to 0) of each group with numpy, one Arrow batch per group; groups are
-    epochs of one channel, so their size is bounded by the epoch length."""
-    keys = list(keys)
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("k", T.IntegerType()),
-                                                          T.StructField("mag", T.DoubleType())])
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq)
-        x = np.zeros(n_fft)
+def _magnitudes(df: DataFrame, keys: Sequence[str], seq: str, value: str, n_fft: int) -> DataFrame:
+    """A row a group: its keys and ``mag``, the array of its ``n_fft`` values of |FFT| (DC set to 0).
+    Spark packs the samples of a group (an epoch of one channel, bounded by the epoch length) into
+    arrays in their order; a task transforms a whole batch of groups at once."""
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def fft(seqs: pd.Series, values: pd.Series) -> pd.Series:
+        if not len(seqs):
+            return pd.Series([], dtype=object)
+        x = np.zeros((len(seqs), n_fft))
         # a sample past the period meets the same angles as the one n_fft before it
-        np.add.at(x, pdf[seq].to_numpy().astype(int) % n_fft, pdf[value].to_numpy(dtype=float))
-        m = np.abs(np.fft.fft(x))
-        m[0] = 0.0
-        out = pd.DataFrame({"k": np.arange(n_fft, dtype="int32"), "mag": m})
-        for k in reversed(keys):
-            out.insert(0, k, pdf[k].iloc[0])
-        return out
+        row = np.repeat(np.arange(len(seqs)), seqs.map(len))
+        np.add.at(x, (row, np.concatenate(seqs.to_list()).astype(int) % n_fft), np.concatenate(values.to_list()).astype(float))
+        m = np.abs(np.fft.fft(x, axis=1))
+        m[:, 0] = 0.0
+        return pd.Series(list(m))
 
-    return df.select(*keys, seq, value).groupBy(*keys).applyInPandas(one, schema)
+    sample = F.struct(F.col(seq).alias("s"), F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))).alias("v"))
+    packed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(sample)).alias("__a"))
+    return packed.select(*keys, fft(F.col("__a.s"), F.col("__a.v")).alias("mag"))
+
+
+def spectrum_fft(df: DataFrame, keys: Sequence[str], seq: str, value: str, n_fft: int) -> DataFrame:
+    """Full |FFT| (DC set to 0) of each group with numpy, a batch of groups at once; groups are
+    epochs of one channel, so their size is bounded by the epoch length."""
+    return _magnitudes(df, keys, seq, value, n_fft).select(*keys, F.posexplode("mag").alias("k", "mag"))
 
 
 def band_of(k_col, fs: float, n_fft: int, levels: Sequence[float] = BAND_LEVELS_HZ):
@@ -193,8 +198,10 @@ CHANNEL_VALUES = ["entropy", "corr_eig", "band_eig", "dyadic_entropy", "dyadic_e
 
 def _normalised(samples: DataFrame, keys: Sequence[str], seq: str, value: str, n_fft: int) -> DataFrame:
     """Spectrum of every channel, ``power`` as a share of its epoch's sum over channels and bins."""
-    spec = spectrum_fft(samples, keys, seq, value, n_fft)
-    return spec.withColumn("power", F.try_divide(F.col("mag"), F.sum("mag").over(Window.partitionBy(*keys[:-1]))))
+    spec = _magnitudes(samples, keys, seq, value, n_fft)
+    own = F.aggregate("mag", F.lit(0.0), lambda a, m: a + m)
+    total = spec.withColumn("__tot", F.sum(own).over(Window.partitionBy(*keys[:-1])))
+    return total.select(*keys, "__tot", F.posexplode("mag").alias("k", "mag")).withColumn("power", F.try_divide(F.col("mag"), F.col("__tot"))).drop("__tot")
 
 
 def channel_features(samples: DataFrame, keys: Sequence[str], seq: str, value: str, fs: float, n_fft: int,
