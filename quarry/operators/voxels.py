@@ -22,7 +22,7 @@ def order_slices(slices: DataFrame, patient: str, z: str, ties: Sequence[str], f
     and the patient's slice spacing: |z of first - z of second|, or of the fallback location
     when z gives none."""
     idx = row_index(slices, [z, *ties], "slice_idx", key=[patient])
-    return slice_spacing(idx, [patient], z, fallback=fallback, out="spacing")
+    return slice_spacing(idx, [patient], z, fallback=fallback, out="spacing", index="slice_idx")
 
 
 def to_units(slices: DataFrame, pixels: str, slope: str, intercept: str, out: str | None = None,
@@ -72,6 +72,8 @@ def regrid(slices: DataFrame, patient: str, index: str, pixels: str, width, spac
     targets = F.filter(F.sequence(F.greatest(F.lit(0), around - reach), F.least(m - 1, around + reach)), lambda t: _source(t, m, n) == z)
     my, mx, ny, nx = (F.col(f"__{c}") for c in ("my", "mx", "ny", "nx"))
     gathered = F.transform(F.sequence(F.lit(0), my * mx - 1), lambda k: F.get("__p", _source((k / mx).cast("int"), my, ny) * nx + _source(k % mx, mx, nx)))
+    whole = (my == ny) & (mx == nx) & (F.size("__p") == my * mx)  # every cell is its own source
+    gathered = F.when(whole, F.col("__p")).otherwise(gathered)
     out = rows.select(patient, F.explode(targets).alias("t_z"), "__p", "__my", "__mx", "__ny", "__nx", "spacing_z", "spacing_y", "spacing_x")
     return out.select(patient, "t_z", gathered.alias(value), my.alias("rows"), mx.alias("cols"), "spacing_z", "spacing_y", "spacing_x")
 

@@ -138,10 +138,14 @@ def skip_head(df: DataFrame, key: Sequence[str], order: Sequence, n: int) -> Dat
 
 
 def slice_spacing(df: DataFrame, key: Sequence[str], z: str, fallback: str | None = None,
-                  out: str = "spacing") -> DataFrame:
+                  out: str = "spacing", index: str | None = None) -> DataFrame:
     """Per key: |z of first slice - z of second slice| in z order (fallback column when z gives
-    null); attached to every row of the key."""
-    two = first_last_n(df, key, [z] + ([fallback] if fallback else []), 2, rank_col="__rn")
+    null); attached to every row of the key. ``index``: a column of places from 0 in z order that the
+    rows have already, so that they are not ordered again (without ``fallback`` only, which orders equal z)."""
+    if index is not None and fallback is None:
+        two = df.where(F.col(index) < 2).withColumn("__rn", F.col(index) + 1)
+    else:
+        two = first_last_n(df, key, [z] + ([fallback] if fallback else []), 2, rank_col="__rn")
     cols = [F.max(F.when(F.col("__rn") == i, F.col(z))).alias(f"__z{i}") for i in (1, 2)]
     if fallback:
         cols += [F.max(F.when(F.col("__rn") == i, F.col(fallback))).alias(f"__f{i}") for i in (1, 2)]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import row_standardize
 from quarry.operators import clean, joins, signal, spectra, voxels, windows
+from quarry.session import staged
 
 
 def series_train(samples: DataFrame, allow: DataFrame, series: str, channel: str, order: list, value: str,
@@ -40,7 +41,7 @@ def volume(slices: DataFrame, patient: str, z: str, ties: list, pixels: str, slo
            new_spacing: tuple[float, float, float], pixel_spacing: tuple[float, float] = (1.0, 1.0)) -> tuple[DataFrame, DataFrame]:
     """Order slices and find their spacing, convert to units, histogram of all voxels, regrid
     to ``new_spacing`` (z, y, x). Returns (histogram, regridded slices, a row each)."""
-    s = voxels.order_slices(slices, patient, z, ties)
-    s = voxels.to_units(s, pixels, slope, intercept, out="hu")
+    s = voxels.to_units(slices, pixels, slope, intercept, out="hu").select(*dict.fromkeys([patient, z, *ties, "hu"]))
+    s = staged(voxels.order_slices(s, patient, z, ties).select(patient, "slice_idx", "spacing", "hu"), "volume")  # read four times below
     hist = voxels.histogram(s.select(F.explode("hu").alias("v")).select(F.col("v").cast("double").alias("v")), "v", 80)
     return hist, voxels.regrid(s, patient, "slice_idx", "hu", width, ("spacing", *pixel_spacing), list(new_spacing))
