@@ -1,9 +1,11 @@
-"""String functions (all return Columns built from Spark built-ins)."""
+"""String functions (all return Columns, built from Spark built-ins where these suffice)."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -93,39 +95,32 @@ def base26(c, none_word: bool = False) -> Column:
         F.aggregate(digits, F.lit(0).cast(dec), lambda acc, x: (acc * 26 + x).cast(dec)))
 
 
-#: Decimal digits of a limb: a limb times 26 and a carry stay far below 2^63.
-LIMB_DIGITS = 15
+#: Letters taken together before they meet the long number.
+LETTERS_AT_ONCE = 12
+
+
+def _base26_number(s: str) -> str:
+    number = 0
+    for at in range(0, len(s), LETTERS_AT_ONCE):
+        part, some = s[at:at + LETTERS_AT_ONCE], 0
+        for ch in part:
+            some = some * 26 + ord(ch) - 64
+        number = number * 26 ** len(part) + some
+    return str(number)
 
 
 def base26_text(c, none_word: bool = False) -> Column:
-    """The number of ``base26`` as decimal text, exact for texts of any length: limbs of 15 digits, lowest
-    first, multiplied by 26 with a carry for every letter. Null gives null, or the word 'None'."""
+    """The number of ``base26`` as decimal text, exact for texts of any length: whole numbers of Python,
+    a batch of texts at once. Null gives null, or the word 'None'."""
+    @F.pandas_udf("string")
+    def number(texts: pd.Series) -> pd.Series:
+        sys.set_int_max_str_digits(0)
+        return texts.map(_base26_number, na_action="ignore")
+
     s = _c(c)
     if none_word:
         s = F.coalesce(s, F.lit("None"))
-    base = 10 ** LIMB_DIGITS
-    empty = F.array().cast("array<bigint>")
-
-    def limbs(sign: int) -> Column:
-        letters = F.transform(F.filter(F.split(s, ""), lambda ch: ch != ""), lambda ch: (F.lit(sign) * (F.ascii(ch) - 64)).cast("bigint"))
-
-        def times26(number: Column, letter: Column) -> Column:
-            def one(acc: Column, limb: Column) -> Column:
-                v = limb * 26 + acc["carry"]
-                low = F.pmod(v, F.lit(base).cast("bigint"))
-                return F.struct(F.concat(acc["out"], F.array(low)).alias("out"), F.call_function("div", v - low, F.lit(base).cast("bigint")).alias("carry"))
-            done = F.aggregate(number, F.struct(empty.alias("out"), letter.alias("carry")), one)
-            return F.get(F.transform(F.array(done), lambda r: F.when(r["carry"] == 0, r["out"]).otherwise(F.concat(r["out"], F.array(r["carry"])))), F.lit(0))
-        return F.aggregate(letters, empty, times26)
-
-    def text(number: Column) -> Column:
-        whole = F.reverse(number)
-        padded = F.array_join(F.transform(F.slice(whole, 2, F.greatest(F.size(whole) - 1, F.lit(0))), lambda x: F.lpad(x.cast("string"), LIMB_DIGITS, "0")), "")
-        return F.when(F.size(whole) == 0, F.lit("0")).otherwise(F.concat(whole[0].cast("string"), padded))
-
-    def signed(number: Column) -> Column:  # only texts with characters below '@' can be negative: their highest limb is
-        return F.when((F.size(number) > 0) & (F.try_element_at(number, F.lit(-1)) < 0), F.concat(F.lit("-"), text(limbs(-1)))).otherwise(text(number))
-    return F.when(s.isNull(), F.lit(None).cast("string")).otherwise(F.get(F.transform(F.array(limbs(1)), signed), F.lit(0)))
+    return number(s)
 
 
 def join_names(c, sep: str = " ") -> Column:
