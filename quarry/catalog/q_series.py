@@ -17,6 +17,7 @@ from quarry.catalog.present import stable_round
 from quarry.catalog.registry import query, t
 from quarry.catalog.sqlfrag import stable_round as sr
 from quarry.operators import aggs, signal, spectra, voxels, web, windows
+from quarry.session import staged
 
 N, FS = 8, 64.0
 SAMPLES_SQL = """WITH s AS (SELECT user_id, event_type, CAST(pos // 8 AS BIGINT) AS epoch, CAST(pos % 8 AS BIGINT) AS seq, value FROM (
@@ -434,9 +435,9 @@ st AS (SELECT node, count FROM c ORDER BY count, node LIMIT 1)"""
 
 def _walk(spark, d):
     l = t(spark, d, "lineitem").select(F.concat(F.lit("o"), "l_orderkey").alias("o"), F.concat(F.lit("p"), "l_partkey").alias("p"), F.col("l_quantity").alias("q"))  # noqa: E741
-    edge = l.select(F.col("o").alias("src"), F.col("p").alias("dst")).unionByName(l.select(F.col("p").alias("src"), F.col("o").alias("dst"))).distinct()
+    edge = l.select(F.col("o").alias("src"), F.col("p").alias("dst")).unionByName(l.select(F.col("p").alias("src"), F.col("o").alias("dst")))
     both = l.select(F.col("o").alias("url"), "q").unionByName(l.select(F.col("p").alias("url"), "q"))
-    counts = both.groupBy("url").agg(F.floor(F.avg("q") * 100).cast("long").alias("count"))
+    counts = staged(both.groupBy("url").agg(F.floor(F.avg("q") * 100).cast("long").alias("count")), "walk-counts")
     start = counts.orderBy("count", "url").first()
     return edge, counts, start
 

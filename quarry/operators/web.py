@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, staged
 
 from quarry.functions.text import count_word, links
 from quarry.operators.sets import latest_per_key
@@ -52,11 +52,21 @@ def layers(edge: DataFrame, start, depth: int, src: str = "src", dst: str = "dst
     return seen
 
 
+#: Nodes that are sent to every task, so that a table they are looked up in stays where it is.
+FEW_NODES = 200_000
+
+
+def _few(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (a written table), broadcast if they are few."""
+    return F.broadcast(nodes) if nodes.count() <= FEW_NODES else nodes
+
+
 def _neighbors(frontier: DataFrame, e: DataFrame, hops: int) -> DataFrame:
-    """Nodes ``hops`` edges away from the frontier nodes (e: __s -> node), deduplicated."""
+    """Nodes ``hops`` edges away from the frontier nodes (e: __s -> node), deduplicated and written.
+    Edges may repeat: only the nodes they lead to are shuffled, unless the frontier is large."""
     cur = frontier.select(F.col("node").alias("__s")).distinct()
     for _ in range(hops):
-        cur = cur.join(e, "__s").select(F.col("node").alias("__s")).distinct()
+        cur = staged(e.join(_few(cur), "__s").select(F.col("node").alias("__s")).distinct(), "web-nodes")
     return cur.select(F.col("__s").alias("node"))
 
 
@@ -70,17 +80,15 @@ def expand_above_mean(edge: DataFrame, counts: DataFrame, start, depth: int, src
     mean count of the results so far: (node, layer, count). ``hops`` = 2 walks a page -> link
     -> page graph one page layer at a time."""
     spark = edge.sparkSession
-    e = edge.select(F.col(src).alias("__s"), F.col(dst).alias("node")).distinct()
+    e = edge.select(F.col(src).alias("__s"), F.col(dst).alias("node"))
     c = counts.select(F.col("url").alias("node"), "count")
     dtype = edge.schema[src].dataType
     res = spark.createDataFrame([(start, 0)], f"node {dtype.simpleString()}, layer int").join(c, "node", "left")
     frontier = res
     for d in range(1, depth + 1):
         mean = res.agg(F.avg("count")).first()[0] or 0.0
-        nxt = (_neighbors(frontier, e, hops)
-               .join(res.select("node"), "node", "left_anti").join(c, "node", "left")
-               .filter(F.col("count") > F.lit(mean)).withColumn("layer", F.lit(d)))
-        nxt = cut_lineage(nxt)
+        new = staged(_neighbors(frontier, e, hops).join(res.select("node"), "node", "left_anti"), "web-new")
+        nxt = staged(c.join(_few(new), "node").filter(F.col("count") > F.lit(mean)).select("node", F.lit(d).alias("layer"), "count"), "web-layer")
         if nxt.isEmpty():
             break
         res = res.unionByName(nxt)
@@ -94,7 +102,7 @@ def best_first(edge: DataFrame, counts: DataFrame, start, rounds: int, src: str
     its linked pages whose count is at least the best count so far. Results are merged with
     later rounds winning: (node, count, round)."""
     spark = edge.sparkSession
-    e = edge.select(F.col(src).alias("__s"), F.col(dst).alias("node")).distinct()
+    e = edge.select(F.col(src).alias("__s"), F.col(dst).alias("node"))
     c = counts.select(F.col("url").alias("node"), "count")
     dtype = edge.schema[src].dataType
     res = spark.createDataFrame([(start, 0)], f"node {dtype.simpleString()}, round int").join(c, "node", "left")
@@ -106,9 +114,10 @@ def best_first(edge: DataFrame, counts: DataFrame, start, rounds: int, src: str
         one = spark.createDataFrame([(top["node"],)], f"node {dtype.simpleString()}")
         expanded = cut_lineage(expanded.unionByName(one))  # a row a round
         best = res.agg(F.max("count")).first()[0] or 0
-        nxt = (_neighbors(one, e, hops).filter(F.col("node") != F.lit(top["node"])).join(c, "node")
-               .filter(F.col("count") >= F.lit(best)).withColumn("round", F.lit(r)))
-        res = cut_lineage(latest_per_key(res.unionByName(nxt), ["node"], "round"))
+        linked = _neighbors(one, e, hops).filter(F.col("node") != F.lit(top["node"]))
+        nxt = (c.join(_few(linked), "node").filter(F.col("count") >= F.lit(best))
+               .select("node", F.lit(r).alias("round"), "count"))
+        res = staged(latest_per_key(res.unionByName(nxt), ["node"], "round"), "web-results")
     return res
 
 
