@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
                                        NaiveBayes, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -74,7 +75,8 @@ def boost_custom(train: DataFrame, label: str, features: str = "features", round
     """Newton boosting on a user objective: each round fits a weighted regression tree to
     -g/h with weights h (g, h = gradient and hessian at the current prediction) and adds it
     with shrinkage. Returns (trees, base, scored training table). Lineage is cut every few
-    rounds with a reliable checkpoint."""
+    rounds, while rounds follow, with a reliable checkpoint; what a fit reads several times is kept on
+    the executors' disks while it runs."""
     require_rows(train)
     base = train.agg(F.avg(label)).first()[0] or 0.0
     cur = train.withColumn("__pred", F.lit(float(base)))
@@ -83,10 +85,12 @@ def boost_custom(train: DataFrame, label: str, features: str = "features", round
         x = F.col("__pred") - F.col(label)
         step = cur.withColumn("__g", grad(x)).withColumn("__h", hess(x))
         step = step.withColumn("__t", -F.col("__g") / F.col("__h"))
+        step = step.select(features, "__t", "__h").persist(StorageLevel.DISK_ONLY)
         tree = DecisionTreeRegressor(featuresCol=features, labelCol="__t", weightCol="__h", maxDepth=depth).fit(step)
+        step.unpersist()
         trees.append(tree)
         cur = tree.setPredictionCol("__tp").transform(cur).withColumn("__pred", F.col("__pred") + rate * F.col("__tp")).drop("__tp")
-        if checkpoint_every and (r + 1) % checkpoint_every == 0:
+        if checkpoint_every and (r + 1) % checkpoint_every == 0 and r + 1 < rounds:
             cur = cut_lineage(cur)
     return trees, base, cur
 
