@@ -58,6 +58,7 @@ FINAL = np.uint64(xxhash.xxh64_intdigest(b""))
 HOT = 2000
 HOT_SHARE = 5000
 SLICE = 1 << 20
+PART = 1 << 17
 BUCKET_TEXT_BYTES = 32 << 20
 MIN_BUCKETS = 24
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -82,8 +83,9 @@ def slices(texts: Iterator[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarr
         sizes.append(len(h))
         n += len(h)
         if n >= SLICE:
-            yield np.concatenate(parts), np.array(sizes)
+            whole = [(np.concatenate(parts), np.array(sizes))]
             parts, sizes, n = [], [], 0
+            yield whole.pop()  # nothing of it is held here
     if parts:
         yield np.concatenate(parts), np.array(sizes)
 
@@ -91,7 +93,8 @@ def slices(texts: Iterator[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarr
 def padded(second: np.ndarray, sizes: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
     """The tokens with a begin mark before each text, and how many places after its mark each is."""
     at = np.cumsum(sizes) - sizes
-    depth = np.arange(len(second) + len(sizes)) - np.repeat(at + np.arange(len(sizes)), sizes + 1)
+    depth = np.arange(len(second) + len(sizes), dtype=np.int32)
+    depth -= np.repeat((at + np.arange(len(sizes))).astype(np.int32), sizes + 1)
     return np.insert(second, at, mark), depth
 
 
@@ -115,6 +118,11 @@ def bucket_of(first: np.ndarray, second: np.ndarray, hot: np.ndarray, buckets: i
         return (mix64(first * _Q + salt) % np.uint64(buckets)).astype(np.int64)
 
 
+def in_parts(f, *cols: np.ndarray) -> np.ndarray:
+    """``f`` of the columns, taken ``PART`` rows at a time, so that what it makes on the way stays small."""
+    return np.concatenate([f(*[c[i:i + PART] for c in cols]) for i in range(0, max(1, len(cols[0])), PART)])
+
+
 def word_bucket(word: np.ndarray, buckets: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return (mix64(word + _P) % np.uint64(buckets)).astype(np.int64)
@@ -152,11 +160,14 @@ def summed(cols: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
         return [c[by[at]] for c in cols], np.diff(np.append(at, len(by)))
     key = np.zeros(len(cols[0]), np.int64)
     for c, b in zip(cols, bits):
-        key = key << b | c.astype(np.int64)
-    key, n = np.unique(key, return_counts=True)
+        key <<= b
+        key |= c
+    key.sort()
+    at = runs(key)
+    n, key = np.diff(at, append=len(key)), key[at]
     out = []
     for b in bits[::-1]:
-        out.append(key & (1 << b) - 1)
+        out.append((key & (1 << b) - 1).astype(np.int32 if b < 32 else np.int64))
         key >>= b
     return out[::-1], n
 
@@ -192,14 +203,32 @@ def batches_of(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[tuple[
     """Tokens and sizes of the texts in the first column, in larger pieces than for scoring: more is
     summed before it is sent."""
     held, size = [], 0
-    for tokens_, sizes in slices(t.as_py() for b in batches for t in b.column(0)):
-        held.append((tokens_, sizes))
-        size += len(tokens_)
+    for piece in slices(t.as_py() for b in batches for t in b.column(0)):
+        held.append(piece)
+        size += len(piece[0])
         if size * order >= 8 * SLICE:
-            yield tuple(map(np.concatenate, zip(*held)))
-            held, size = [], 0
+            whole = [tuple(map(np.concatenate, zip(*held)))]
+            held, size, piece = [], 0, None
+            yield whole.pop()  # nothing of it is held here
     if held:
-        yield tuple(map(np.concatenate, zip(*held)))
+        whole = [tuple(map(np.concatenate, zip(*held)))]
+        held = piece = None
+        yield whole.pop()
+
+
+def numbered(tokens_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens in order, and for each token which one it is."""
+    by = np.argsort(tokens_, kind="stable")
+    words = tokens_[by]
+    start = runs(words)
+    of = np.empty(len(by), np.int32)
+    of[by] = np.repeat(np.arange(len(start), dtype=np.int32), np.diff(start, append=len(by)))
+    return words[start], of
+
+
+def grams(p: np.ndarray, end: np.ndarray, k: int) -> list[np.ndarray]:
+    """The ``k`` words up to each of the places ``end``."""
+    return [p[end - (k - 1 - i)] for i in range(k)]
 
 
 def surveyed(texts: DataFrame, order: int, buckets: int) -> DataFrame:
@@ -207,7 +236,8 @@ def surveyed(texts: DataFrame, order: int, buckets: int) -> DataFrame:
     bucket; from level 2 the words of contexts that make up a good part of some piece, with their uses."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens_, sizes in batches_of(batches, order):
-            words, ids = np.unique(tokens_, return_inverse=True)
+            words, ids = numbered(tokens_)
+            del tokens_
             n = np.bincount(ids)
             bucket = word_bucket(words, buckets)
             by = np.argsort(bucket, kind="stable")
@@ -215,10 +245,10 @@ def surveyed(texts: DataFrame, order: int, buckets: int) -> DataFrame:
             for x, y in zip(at, np.append(at[1:], len(by))):
                 rows.append((1, int(bucket[by[x]]), pack(words[by[x:y]], n[by[x:y]]), None))
             p, depth = padded(ids, sizes, len(words))
+            del ids
             words = np.append(words, BEGIN)
             for k in range(2, order + 1):
-                end = np.flatnonzero(depth >= k - 2)
-                cols, n = summed([p[end - k + 2 + i] for i in range(k - 1)])
+                cols, n = summed(grams(p, np.flatnonzero(depth >= k - 2), k - 1))
                 top = np.flatnonzero(n > max(20, len(p) // HOT_SHARE))
                 w = np.column_stack([words[c[top]] for c in cols])
                 rows += [(k, None, r.tobytes(), int(x)) for r, x in zip(w, n[top])]
@@ -244,13 +274,21 @@ def dealt(level: int, words: np.ndarray, cols: list[np.ndarray], model: dict) ->
     if not len(cols[0]):
         return []
     cols, n = summed(cols)
-    w, buckets = [words[c] for c in cols], model["buckets"]
-    if level == 1:
-        bucket = np.searchsorted(model["base"], w[0], "right") - 1
-    else:
-        bucket = bucket_of(context_hash(w[:-1]), w[-1], model["hot"][level], buckets)
-    by = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
-    bucket, n, cols = bucket[by], n[by], [c[by] for c in cols]
+    buckets = model["buckets"]
+    small = np.uint16 if buckets <= 1 << 16 else np.int64
+
+    def bucket_at(*part: np.ndarray) -> np.ndarray:
+        w = [words[c] for c in part]
+        if level == 1:
+            return (np.searchsorted(model["base"], w[0], "right") - 1).astype(small)
+        return bucket_of(context_hash(w[:-1]), w[-1], model["hot"][level], buckets).astype(small)
+
+    bucket = in_parts(bucket_at, *cols)
+    by = np.argsort(bucket, kind="stable")
+    bucket, n = bucket[by], n[by]
+    for i in range(level):
+        cols[i] = cols[i][by]
+    del by
     at, out = runs(bucket), []
     for x, y in zip(at, np.append(at[1:], len(bucket))):
         mine = [c[x:y] for c in cols]
@@ -274,16 +312,17 @@ def counted(texts: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens_, sizes in batches_of(batches, order):
-            words, ids = np.unique(tokens_, return_inverse=True)
+            words, ids = numbered(tokens_)
+            del tokens_
             words = known(model, words)[0]
             by = np.argsort(words)
-            rank = np.empty(len(by), np.int64)
+            rank = np.empty(len(by), np.int32)
             rank[by] = np.arange(len(by))
             p, depth = padded(rank[ids], sizes, len(words))
             words, rows = np.append(words[by], np.uint64(model["distinct"])), []
+            del ids, by, rank
             for k in range(2, order + 1):
-                end = np.flatnonzero(depth >= k - 1 if k == order else depth == k - 1)
-                rows += dealt(k, words, [p[end - k + 1 + i] for i in range(k)], model)
+                rows += dealt(k, words, grams(p, np.flatnonzero(depth >= k - 1 if k == order else depth == k - 1), k), model)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))], ["level", "bucket", "raw"])
 
@@ -393,17 +432,19 @@ def train(docs: DataFrame, path: str, text_col: str = "text", buckets: int | Non
             if level < k:  # waits for its own level
                 return pdf.assign(context=None, a=None, b=None, c=None, d=None)[columns]
             words, cols, n = joined(list(pdf["raw"]), k)
-            w = [words[c] for c in cols]
-            context = context_hash(w[:-1])
-            h = gram_hash(context, w[-1])
+            context = in_parts(lambda *c: context_hash([words[x] for x in c]), *cols[:-1])
+            h = in_parts(lambda x, c: gram_hash(x, words[c]), context, cols[-1])
             by = np.argsort(h)
-            at = runs(h[by])
+            h = h[by]
+            at = runs(h)
             n, one = np.add.reduceat(n[by], at), by[at]
-            write_keys(path, f"gram{k}-hash-{b}", h[one])
+            write_keys(path, f"gram{k}-hash-{b}", h[at])
+            del by, h, at
             write_rows(path, f"gram{k}-sums-{b}", n[:, None])
             of = counts_of_counts(n)
             out = [(k, b, None, None, *of.tolist())]
-            context = context[one]
+            cols, context = [c[one] for c in cols[1:]], context[one]
+            del one
             by = np.argsort(context)
             at = runs(context[by])
             m = n[by]
@@ -413,7 +454,7 @@ def train(docs: DataFrame, path: str, text_col: str = "text", buckets: int | Non
             write_keys(path, f"first{k}-hash-{b}", context[~is_hot])
             write_rows(path, f"first{k}-sums-{b}", sums[~is_hot])
             out += [(k, None, None, int(x), *y) for x, y in zip(context[is_hot].view(np.int64), sums[is_hot].tolist())]
-            out += [(*r, None, None, None, None, None) for r in dealt(k - 1, words, [c[one] for c in cols[1:]], counting)]
+            out += [(*r, None, None, None, None, None) for r in dealt(k - 1, words, cols, counting)]
             return pd.DataFrame(out, columns=columns, dtype=object).astype({x: "Int64" for x in columns if x != "raw"})
         return merge
 

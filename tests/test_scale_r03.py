@@ -98,3 +98,31 @@ def test_edges_are_not_made_distinct_for_a_walk(spark, monkeypatch):
         best = sorted((r["node"], r["round"], r["count"]) for r in web.best_first(edge, counts, "a", 3).collect())
         assert best == [("a", 0, 1), ("b", 1, 3), ("c", 1, 2), ("d", 2, 9)]
     assert written and all("HashAggregate(keys=[__s" not in p or "node" not in p.split("HashAggregate(keys=[__s")[1].split("]")[0] for _, p in written)
+
+
+class _Task:
+    """Stands for a table: keeps the function of its tasks, to be called in this process."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+def test_counting_ngrams_holds_few_bytes_a_token():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from quarry.llm import ngram
+
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 2000) % 50_000).encode() for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])
+    none = np.empty(0, np.uint64)
+    model = {"path": "", "buckets": 8, "order": 3, "base": np.zeros(8, np.uint64), "distinct": 7, "hot": {2: none, 3: none}, "present": {1: frozenset()}}
+    for task, most in ((ngram.surveyed(_Task(), 3, 8), 60), (ngram.counted(_Task(), model), 80)):
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in task.run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1] / (200 * 2001)
+        tracemalloc.stop()
+        assert rows and peak < most
