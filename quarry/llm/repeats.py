@@ -14,8 +14,9 @@ Scale: a task sends each anchor and each window once, however often it met it, s
 passage that stands in a third of all documents are as many as there are tasks; grouping is a sort
 within partitions that is read as a stream, so no group is held in memory. Later copies of a whole
 text lose all their words by the group of their digest, and do not take part any further. Texts are
-not moved to find windows: the places of the anchors that came again are written by ranges of ids
-and looked up by the tasks that scan the texts, one search a document, whatever the order of the ids.
+not moved to find windows or to cut them: the places of the anchors that came again, and then the cuts,
+are written by ranges of ids and looked up by the tasks that scan the texts, one search a document,
+whatever the order of the ids.
 
 Defined cases: null and blank texts and texts under 20 words lose nothing; every row is a document
 of its own; null ids come after all others, and rows that share an id (or have none) come in the
@@ -137,6 +138,22 @@ def places_of(folder: str, lows: np.ndarray, ids: np.ndarray) -> dict[int, np.nd
     return out
 
 
+def cuts_of(folder: str, lows: np.ndarray) -> Callable[[Column], Column]:
+    """The cuts of each id from files of ``places_written`` that hold their starts and ends in turn, null
+    without any. Not deterministic for the optimizer, so that it is looked up once a row."""
+    @F.arrow_udf("array<struct<s:int,e:int>>")
+    def cuts(ids: pa.Array) -> pa.Array:
+        found = places_of(folder, lows, ids.to_numpy())
+        sizes = np.zeros(len(ids), np.int64)
+        sizes[list(found)] = [len(a) // 2 for a in found.values()]
+        rows = np.concatenate([np.empty(0, np.int64), *(found[i] for i in sorted(found))]).reshape(-1, 2).astype(np.int32)
+        structs = pa.StructArray.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["s", "e"])
+        ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends, mask=np.r_[sizes == 0, False]), structs)
+
+    return cuts.asNondeterministic()
+
+
 def windows(texts: DataFrame, folder: str, lows: np.ndarray) -> DataFrame:
     """Occurrences of the windows whose anchors came again, from (id, text) and the files of places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,13 +262,15 @@ def cut_words(w: Column, cuts: Column) -> Column:
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_col: str = "repeats") -> DataFrame:
     """``docs`` with one struct column: n_words, n_removed and the kept words joined by a space."""
-    i, own, cuts, out = fresh(docs, "_id", "_own", "_cuts", as_col)
+    own, cuts, out = fresh(docs, "_own", "_cuts", as_col)
     numbered = identified(docs, id_col, text_col, own)
-    r = repeated(numbered, own, text_col).select(F.col("id").alias(i), F.col("cuts").alias(cuts))
-    df = numbered.join(r, F.col(own) == F.col(i), "left")
+    ends = F.flatten(F.transform("cuts", lambda c: F.array(c["s"], c["e"])))
+    folder = stage_path(docs.sparkSession, f"llm-rep-cuts-{uuid.uuid4().hex[:12]}")
+    lows = places_written(repeated(numbered, own, text_col).select("id", ends.alias("at")), folder)
+    df = numbered.withColumn(cuts, cuts_of(folder, lows)(F.col(own)))
     both = let(words(F.col(text_col)), lambda w: let(cut_words(w, F.col(cuts)), lambda k: F.struct(
         F.size(w).cast("long").alias("n_words"), (F.size(w) - F.size(k)).cast("long").alias("n_removed"), F.array_join(k, " ").alias("kept"))))
-    return df.withColumn(out, both).drop(i, own, cuts)
+    return df.withColumn(out, both).drop(own, cuts)
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

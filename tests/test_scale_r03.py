@@ -126,3 +126,20 @@ def test_counting_ngrams_holds_few_bytes_a_token():
         peak = tracemalloc.get_traced_memory()[1] / (200 * 2001)
         tracemalloc.stop()
         assert rows and peak < most
+
+
+def test_repeats_move_no_texts(spark):
+    from quarry.llm import repeats
+
+    passage = " ".join(f"p{i}" for i in range(30))
+    df = spark.createDataFrame([(1, passage + " a b"), (2, "x y " + passage), (3, None), (None, "one two"), (4, passage + " a b")], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = repeats.deduplicated(df)
+        plan = _plan(out)
+        got = {r["doc_id"]: (r["repeats"]["n_removed"], r["repeats"]["kept"]) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" not in plan and "Exchange" not in plan
+    assert got == {1: (0, passage + " a b"), 2: (30, "x y"), 3: (0, ""), None: (0, "one two"), 4: (32, "")}
