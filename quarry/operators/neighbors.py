@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,41 +21,63 @@ def _as_double(c: str) -> Column:
 
 
 def knn(queries: DataFrame, points: DataFrame, k: int, qid: str, pid: str, vec: str, block_rows: int = 2048,
-        query_rows: int = 256) -> DataFrame:
+        query_rows: int = 16384) -> DataFrame:
     """(qid, rank, pid, dist): the k nearest points of every query, rank 1 = nearest, ties -> smaller pid.
 
-    Exact: rows are packed into blocks of about ``block_rows`` points and ``query_rows`` queries by
-    hash, every query block meets every point block in a task of its own, and only the k best of a
-    query and block leave it. The arithmetic is |queries| x |points|, with no row for a pair.
-    Null vectors take no part.
+    Exact: points are dealt by hash into blocks of about ``block_rows``, queries into parts of about
+    ``query_rows``, and every part meets every block in rows of one vector each: a task reads the points of
+    a block first, then its queries one after the other, so it holds one block and one batch of rows. Only
+    the k best of a query and block leave it. The arithmetic is |queries| x |points|, with no row for a
+    pair. Null vectors take no part.
     """
-    def blocks(df: DataFrame, key: str, rows: int, name: str, salt: int) -> tuple[DataFrame, int]:
+    def dealt(df: DataFrame, key: str, rows: int, salt: int) -> tuple[DataFrame, Column, int]:
         ok = df.filter(F.col(vec).isNotNull())
         n = max(1, -(-ok.count() // rows))
-        packed = F.collect_list(F.struct(F.col(key).alias("key"), _as_double(vec).alias("v"))).alias(name)
-        return ok.groupBy(F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(n)).alias(f"{name}_block")).agg(packed), n
+        v = F.col(vec) if df.schema[vec].dataType.simpleString() in ("array<float>", "array<double>") else _as_double(vec)
+        return ok.select(F.col(key).alias("key"), v.alias("v")), F.pmod(F.xxhash64("key", F.lit(salt)), F.lit(n)), n
 
-    pts, n = blocks(points, pid, block_rows, "p", 1)
-    qs, _ = blocks(queries, qid, query_rows, "q", 2)
-    pairs = qs.withColumn("p_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))).join(pts, "p_block")
+    pts, p_block, n = dealt(points, pid, block_rows, 1)
+    qs, q_part, m = dealt(queries, qid, query_rows, 2)
+    types = {n: df.schema[c].dataType.simpleString() for n, df, c in (("qid", queries, qid), ("pid", points, pid))}
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    pts = pts.select(p_block.alias("block"), each(m).alias("part"), F.lit(False).alias("asks"), F.lit(None).cast(types["qid"]).alias("qid"), F.col("key").alias("pid"), "v")
+    qs = qs.select(each(n).alias("block"), q_part.alias("part"), F.lit(True).alias("asks"), F.col("key").alias("qid"), F.lit(None).cast(types["pid"]).alias("pid"), "v")
+
+    def vectors(v) -> np.ndarray:
+        sizes = pc.list_value_length(v).to_numpy()
+        if (sizes != sizes[0]).any():
+            raise ValueError("vectors differ in length")
+        return v.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(v), -1)
 
     def nearest(batches):
-        for pdf in batches:
-            for qrows, prows in zip(pdf["q"], pdf["p"]):
-                ids = np.array([r["key"] for r in prows])
-                p = np.stack([np.asarray(r["v"], float) for r in prows])
-                by_id = np.argsort(ids, kind="stable")
-                ids, p = ids[by_id], p[by_id]
-                found = []
-                for r in qrows:
-                    d = np.sqrt(((p - np.asarray(r["v"], float)) ** 2).sum(axis=1))
-                    near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
-                    near = near[np.argsort(d[near], kind="stable")][:k]
-                    found.append(pd.DataFrame({"qid": r["key"], "pid": ids[near], "dist": d[near]}))
-                yield pd.concat(found)
+        of, ids, p = None, [], []  # the group whose points are held, their ids in order, the points
+        for b in batches:
+            group = np.column_stack([b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False)])
+            at = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)]) if len(group) else []
+            for lo, hi in zip(at, np.append(at[1:], len(group))):
+                mine, v = tuple(group[lo, :2]), vectors(b.column(5).slice(lo, hi - lo))
+                if not group[lo, 2]:
+                    if mine != of:
+                        of, ids, p = mine, [], []
+                    ids.append(b.column(4).slice(lo, hi - lo))
+                    p.append(v)
+                    continue
+                if mine != of:  # no points in this block
+                    continue
+                if len(p) > 1:
+                    ids, p = [pa.concat_arrays(ids)], [np.concatenate(p)]
+                whole, near, d = p[0], [], []
+                for q in v:
+                    to = np.sqrt(((whole - q) ** 2).sum(axis=1))
+                    some = np.flatnonzero(to <= np.partition(to, k - 1)[k - 1]) if len(to) > k else np.arange(len(to))
+                    some = some[np.argsort(to[some], kind="stable")][:k]
+                    near.append(some)
+                    d.append(to[some])
+                asked = np.repeat(np.arange(lo, hi), [len(x) for x in near])
+                yield pa.RecordBatch.from_arrays([b.column(3).take(pa.array(asked)), ids[0].take(pa.array(np.concatenate(near))), pa.array(np.concatenate(d), from_pandas=False)], ["qid", "pid", "dist"])
 
-    types = {n: df.schema[c].dataType.simpleString() for n, df, c in (("qid", queries, qid), ("pid", points, pid))}
-    best = pairs.select("q", "p").mapInPandas(nearest, f"qid {types['qid']}, pid {types['pid']}, dist double")
+    rows = pts.unionByName(qs).repartition(n * m, "block", "part").sortWithinPartitions("block", "part", "asks", "pid")
+    best = rows.mapInArrow(nearest, f"qid {types['qid']}, pid {types['pid']}, dist double")
     rank = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select(
         F.col("qid").alias(qid), F.col("rank").cast("int").alias("rank"), F.col("pid").alias(pid), "dist")

@@ -143,3 +143,18 @@ def test_repeats_move_no_texts(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Join" not in plan and "Exchange" not in plan
     assert got == {1: (0, passage + " a b"), 2: (30, "x y"), 3: (0, ""), None: (0, "one two"), 4: (32, "")}
+
+
+def test_knn_sends_vectors_not_blocks(spark):
+    from quarry.operators import neighbors
+
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(60, 4))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(60, None)], "id long, v array<double>")
+    out = neighbors.knn(df.where("id < 20").withColumnRenamed("id", "qid"), df.where("id >= 20").withColumnRenamed("id", "pid"), 3, "qid", "pid", "v", block_rows=16, query_rows=5)
+    assert "collect_list" not in _plan(out)
+    got = {(r["qid"], r["rank"]): r["pid"] for r in out.collect()}
+    for i in range(20):
+        d = ((v[20:] - v[i]) ** 2).sum(axis=1)
+        assert [got[i, r] for r in (1, 2, 3)] == (20 + np.argsort(d, kind="stable")[:3]).tolist()
+    assert len(got) == 60
