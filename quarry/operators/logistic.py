@@ -6,10 +6,13 @@ equations. The objective is that of ``pyspark.ml``: mean log loss + reg * ((1 -
 + l1 * sum |sd_j b_j|), sd_j the deviation of feature j in the model's own rows, the intercept free; a
 feature that is constant there has coefficient 0. A step that raises a model's objective is halved.
 
-* ``segmented``: sums are grouped by segment in Spark (partial sums before the shuffle, so a segment
-  with a third of the rows is no single task), and the steps of all segments are solved in batches.
-  Rounds do not grow with the number of segments; nothing of a segment comes to the driver.
-* ``grid``: folds x penalties, also without a fold left out. A partition sends one row of sums a fold;
+* ``segmented``: the rows are dealt by segment once, and a task takes all steps of its segments, those of a
+  batch of rows together. For segments of over ``LOCAL_ROWS`` rows, few by their size, sums are grouped by
+  segment in Spark in rounds (partial sums before the shuffle, so a segment with a third of the rows is no
+  single task). Rounds do not grow with the number of segments; nothing of a segment but the names of the
+  large ones is sent around.
+* ``grid``: folds x penalties, also without a fold left out. The rows are written once, in parts of
+  ``TASK_ROWS``, and a task takes ``CHUNK`` of them at a time against all models. A partition sends one row of sums a fold;
   models and their sums (bounded by the parameters) come to the driver.
 
 Defined cases: rows with a null label or a null or NaN feature take no part in fits, and get no
@@ -23,13 +26,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.session import staged
 
 ROUNDS = 60
 TOL = 1e-8
+LOCAL_ROWS = 50_000
+TASK_ROWS = 20_000
+CHUNK = 512
 
 
 # ---- steps of many models at once
@@ -118,6 +125,16 @@ def segmented(df: DataFrame, segment: str, label: str, features: str, reg: float
     mean, scale = _scale(rows, "x", d)
     z = [(F.col("x")[j] - float(mean[j])) / float(scale[j]) for j in range(d)]
     rows = rows.select(segment, "y", *[c.alias(f"z{j}") for j, c in enumerate(z)])
+    counts = rows.groupBy(F.col(segment).alias("__large")).agg(F.count("*").alias("__n")).where(F.col("__n") > LOCAL_ROWS).select("__large")
+    large = staged(counts, "logistic-large")
+    back = [F.col("beta")[j] / float(scale[j]) for j in range(d)]
+    shift = sum((back[j] * float(mean[j]) for j in range(d)), F.lit(0.0))
+    table = [F.col("__seg").alias(segment), "n", F.array(*back).alias("coefficients"), (F.col("beta")[d] - shift).alias("intercept")]
+    if large.isEmpty():
+        return staged(_in_tasks(rows, segment, d, reg, l1, rounds).select(*table), "logistic-models")
+    is_large = F.col(segment).eqNullSafe(F.col("__large"))
+    small = staged(_in_tasks(rows.join(F.broadcast(large), is_large, "left_anti"), segment, d, reg, l1, rounds).select(*table), "logistic-models")
+    rows = rows.join(F.broadcast(large), is_large, "left_semi")
     own = rows.groupBy(segment).agg(F.count("*").alias("n"), F.sum("y").alias("pos"), F.array(*[F.coalesce(F.stddev(f"z{j}"), F.lit(0.0)) for j in range(d)]).alias("sd"))
     zero = F.array(*[F.lit(0.0)] * (d + 1))
     one_class = (F.col("pos") <= 0) | (F.col("pos") >= F.col("n"))
@@ -152,9 +169,70 @@ def segmented(df: DataFrame, segment: str, label: str, features: str, reg: float
         found = met.withColumn("eta", eta).withColumn("p", p).groupBy(F.col("__seg").alias("__of")).agg(*sums)
         moved = live.join(found, F.col("__seg").eqNullSafe(F.col("__of"))).drop("__of").mapInPandas(step, state.schema)
         state = staged(moved.unionByName(state.where("done")), "logistic-state")
-    back = [F.col("beta")[j] / float(scale[j]) for j in range(d)]
-    shift = sum((back[j] * float(mean[j]) for j in range(d)), F.lit(0.0))
-    return state.select(F.col("__seg").alias(segment), "n", F.array(*back).alias("coefficients"), (F.col("beta")[d] - shift).alias("intercept"))
+    return state.select(*table).unionByName(small)
+
+
+def _in_tasks(rows: DataFrame, segment: str, d: int, reg: float, l1: float, rounds: int) -> DataFrame:
+    """(__seg, n, beta) of the segments of ``rows`` (segment, y, z0 ...), each of at most ``LOCAL_ROWS`` rows:
+    dealt by segment once, all rounds where the rows are."""
+    pairs = [(i, j) for i in range(d + 1) for j in range(i, d + 1)]
+
+    def fitted(y: np.ndarray, z: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of rows and parameters of the segments that start at ``head``."""
+        n = np.diff(head, append=len(y))
+        add = lambda x, at: np.add.reduceat(x, at, axis=0)
+        off = z - np.repeat(z[head], n, axis=0)  # of a constant exactly 0
+        off -= np.repeat(add(off, head) / n[:, None], n, axis=0)
+        sd = np.sqrt(add(off * off, head) / np.maximum(n - 1, 1)[:, None])
+        pos, x = add(y, head), np.c_[z, np.ones(len(y))]
+        beta, done = np.zeros((len(n), d + 1)), (pos <= 0) | (pos >= n)
+        beta[done, d] = np.where(pos[done] > 0, np.inf, -np.inf)
+        prev, before, live, size = np.zeros_like(beta), np.full(len(n), np.inf), np.flatnonzero(~done), n
+        keep = np.repeat(~done, n)
+        x, y = x[keep], y[keep]
+        for _ in range(rounds):
+            if not len(live):
+                break
+            m = size[live]
+            at = np.cumsum(m) - m
+            eta = (x * np.repeat(beta[live], m, axis=0)).sum(1)
+            with np.errstate(over="ignore"):
+                p = 1 / (1 + np.exp(-eta))
+            loss = add(np.maximum(eta, 0) + np.log1p(np.exp(-np.abs(eta))) - y * eta, at) / m
+            g = add((p - y)[:, None] * x, at) / m[:, None]
+            h, w = np.empty((len(live), d + 1, d + 1)), p * (1 - p)
+            for i, j in pairs:
+                h[:, i, j] = h[:, j, i] = add(w * x[:, i] * x[:, j], at) / m
+            one = np.ones(len(live))
+            beta[live], prev[live], before[live], now = advance(beta[live], prev[live], before[live], np.zeros(len(live), bool), loss, g, h, sd[live], reg * one, l1 * one)
+            keep = np.repeat(~now, m)
+            x, y, live = x[keep], y[keep], live[~now]
+        return n, beta
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []  # the rows of the last segment, which may go on
+
+        def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t = pa.Table.from_batches(parts).combine_chunks()
+            get = lambda c: t.column(c).to_numpy()
+            head = np.flatnonzero(get("at") == 1)
+            n, beta = fitted(get("y"), np.column_stack([get(f"z{j}") for j in range(d)]), head)
+            params = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * (d + 1)), pa.array(beta.ravel()))
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(t.column("__seg").take(pa.array(head)).chunks), pa.array(n.astype(np.int64)), params], ["__seg", "n", "beta"])
+
+        for b in batches:
+            heads = np.flatnonzero(b.column("at").to_numpy() == 1)
+            if len(heads) and (cut := int(heads[-1])) + sum(x.num_rows for x in held):
+                yield out([*held, b.slice(0, cut)])
+                held = [b.slice(cut)]
+            elif b.num_rows:
+                held.append(b)
+        if held:
+            yield out(held)
+
+    at = F.row_number().over(Window.partitionBy(segment).orderBy(F.lit(1)))
+    kind = rows.schema[segment].dataType.simpleString()
+    return rows.select(F.col(segment).alias("__seg"), "y", *[f"z{j}" for j in range(d)], at.alias("at")).mapInArrow(run, f"__seg {kind}, n long, beta array<double>")
 
 
 def predict(df: DataFrame, models: DataFrame, segment: str, features: str, out: str = "p1") -> DataFrame:
@@ -174,6 +252,9 @@ def grid(df: DataFrame, fold: str, label: str, features: str, penalties: Sequenc
     ``fold`` holds 0 to k - 1. Returned: ``coefficients`` and ``intercept`` by (fold, place of the penalty),
     held-out ``correct``, ``loss`` and ``n`` by fold and penalty, and the ``scans`` that were needed."""
     rows = _usable(df.select(F.col(fold).cast("int").alias("fold"), F.col(label).cast("double").alias("y"), F.col(features).cast("array<double>").alias("x")), "y", "x").where("fold is not null")
+    rows = staged(rows, "logistic-rows")
+    if (parts := -(-rows.count() // TASK_ROWS)) > 1:
+        rows = staged(rows.repartition(parts), "logistic-rows")
     d = _width(rows, "x")
     if not d:
         return {"coefficients": {}, "intercept": {}, "correct": np.empty((0, 0)), "loss": np.empty((0, 0)), "n": np.empty(0), "scans": 1}
@@ -185,19 +266,23 @@ def grid(df: DataFrame, fold: str, label: str, features: str, penalties: Sequenc
 
     def scan(work, width: int) -> dict[int, np.ndarray]:
         """Sums of ``work(fold of the rows, x with a column of ones, y)``, a list a fold of the models."""
-        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict = {}
             for b in batches:
-                for f, r in b.groupby("fold"):
-                    x = np.c_[(np.stack(r["x"].to_numpy()) - mean) / scale, np.ones(len(r))]
-                    for key, s in work(int(f), x, r["y"].to_numpy()):
-                        total[key] = total.get(key, 0) + s
+                fold_, y = b.column(0).to_numpy(), b.column(1).to_numpy()
+                x = np.c_[(b.column(2).flatten().to_numpy().reshape(len(y), d) - mean) / scale, np.ones(len(y))]
+                for f in np.unique(fold_):
+                    of = np.flatnonzero(fold_ == f)
+                    for c in range(0, len(of), CHUNK):
+                        some = of[c:c + CHUNK]
+                        for key, s in work(int(f), x[some], y[some]):
+                            total[key] = total.get(key, 0) + s
             if total:
-                yield pd.DataFrame({"key": list(total), "sums": [t.ravel().tolist() for t in total.values()]})
+                yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.ravel() for t in total.values()], pa.list_(pa.float64()))], ["key", "sums"])
 
         def added(g: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"key": g["key"].iloc[:1], "sums": [np.sum([np.asarray(s) for s in g["sums"]], 0).tolist()]})
-        found = rows.mapInPandas(part, "key int, sums array<double>").groupBy("key").applyInPandas(added, "key int, sums array<double>").collect()
+        found = rows.mapInArrow(part, "key int, sums array<double>").groupBy("key").applyInPandas(added, "key int, sums array<double>").collect()
         return {r["key"]: np.array(r["sums"]).reshape(-1, width) for r in found}
 
     moments = scan(lambda f, x, y: [(f, np.r_[len(x), y.sum(), x[:, :-1].sum(0), (x[:, :-1] ** 2).sum(0)][None])], 2 + 2 * d)
@@ -221,10 +306,12 @@ def grid(df: DataFrame, fold: str, label: str, features: str, penalties: Sequenc
             if not some.any():
                 return
             eta = x @ b[some].T
-            p = 1 / (1 + np.exp(-eta))
-            loss = (np.maximum(eta, 0) + np.log1p(np.exp(-np.abs(eta))) - y[:, None] * eta).sum(0)
-            g = (p - y[:, None]).T @ x
-            h = (p * (1 - p)).T @ np.column_stack([x[:, i] * x[:, j] for i, j in pairs])
+            e = np.exp(-np.abs(eta))
+            q = 1 / (1 + e)
+            # the logarithm of the product of CHUNK factors from 1 to 2 is the sum of theirs
+            loss = np.maximum(eta, 0).sum(0) + np.log(np.multiply.reduce(1 + e, axis=0)) - y @ eta
+            g = (np.where(eta >= 0, q, e * q) - y[:, None]).T @ x
+            h = (e * q * q).T @ np.column_stack([x[:, i] * x[:, j] for i, j in pairs])
             out = np.zeros((len(b), 1 + d + 1 + len(pairs)))
             out[some] = np.column_stack([loss, g, h])
             yield 0, out

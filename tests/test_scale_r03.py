@@ -158,3 +158,38 @@ def test_knn_sends_vectors_not_blocks(spark):
         d = ((v[20:] - v[i]) ** 2).sum(axis=1)
         assert [got[i, r] for r in (1, 2, 3)] == (20 + np.argsort(d, kind="stable")[:3]).tolist()
     assert len(got) == 60
+
+
+def test_segments_are_dealt_once_and_large_ones_in_rounds(spark, monkeypatch):
+    from quarry.operators import logistic
+
+    rng = np.random.default_rng(2)
+    rows = [(None if s == 2 else int(s), float(t), [float(a), float(b), 3.0]) for s, t, a, b in zip(rng.integers(0, 40, 900) % 12 % 7, rng.integers(0, 2, 900), rng.normal(size=900), rng.normal(size=900))]
+    df = spark.createDataFrame(rows, "seg long, y double, x array<double>").repartition(3)
+    names, write = [], logistic.staged
+    monkeypatch.setattr(logistic, "staged", lambda df, name: names.append(name) or write(df, name))
+    once = {r["seg"]: r for r in logistic.segmented(df, "seg", "y", "x", 0.1).collect()}
+    assert len(names) == 2 and len(once) == 7 and sum(r["n"] for r in once.values()) == 900
+    monkeypatch.setattr(logistic, "LOCAL_ROWS", 140)
+    mixed = {r["seg"]: r for r in logistic.segmented(df, "seg", "y", "x", 0.1).collect()}
+    assert "logistic-state" in names and set(mixed) == set(once)
+    for s, r in once.items():
+        assert r["n"] == mixed[s]["n"] and np.allclose(r["coefficients"], mixed[s]["coefficients"], atol=1e-7) and abs(r["intercept"] - mixed[s]["intercept"]) < 1e-7
+
+
+def test_grid_evaluates_its_rows_once(spark):
+    from pyspark.sql import functions as F
+    from quarry.operators import logistic
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def noted(a):
+        seen.add(1)
+        return a
+
+    rng = np.random.default_rng(3)
+    rows = [(i % 3, float(t), float(a)) for i, (t, a) in enumerate(zip(rng.integers(0, 2, 300), rng.normal(size=300)))]
+    df = spark.createDataFrame(rows, "fold int, y double, a double").withColumn("x", F.array(noted.asNondeterministic()("a")))
+    assert logistic.grid(df, "fold", "y", "x", [(0.1, 0.0)])["scans"] > 4
+    assert 300 <= seen.value <= 600
