@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -117,14 +120,35 @@ def linear_int16(c, slope, intercept) -> Column:
 
 def linear_int16_array(arr, slope, intercept, sentinel: int | None = -2000) -> Column:
     """Element-wise unit conversion of a pixel array: ``sentinel`` -> 0 first, then
-    :func:`linear_int16` with the row's slope and intercept."""
+    :func:`linear_int16` with the row's slope and intercept. A lambda is interpreted once an element,
+    so a batch of arrays is converted at once here, null and NaN as ``linear_int16`` has them."""
     s = _c(slope) if not isinstance(slope, (int, float)) else F.lit(float(slope))
     i = _c(intercept) if not isinstance(intercept, (int, float)) else F.lit(float(intercept))
-
-    def one(v):
-        v0 = F.when(v == F.lit(sentinel), F.lit(0)).otherwise(v) if sentinel is not None else v
-        return linear_int16(v0, s, i)
-    return F.transform(_c(arr), one)
+    low, high = -32768.0, 32767.0
+
+    def numbers(a):
+        return a.is_null().to_numpy(zero_copy_only=False), a.cast("double").fill_null(0.0).to_numpy(zero_copy_only=False)
+
+    def clipped(x, null):
+        # of numbers: NaN is the greatest, and least and greatest pass over a null
+        return np.where(null, low, np.where(np.isnan(x), high, np.clip(x, low, high)))
+
+    def whole(x):
+        return np.where(np.isnan(x), 0.0, np.trunc(x))
+
+    @F.arrow_udf("array<short>")
+    def convert(px: pa.Array, sl: pa.Array, inter: pa.Array) -> pa.Array:
+        sizes = pc.list_value_length(px).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        (no_v, v), (no_s, k), (no_i, b) = numbers(px.flatten()), numbers(sl), numbers(inter)
+        if sentinel is not None:
+            v = np.where(v == sentinel, 0.0, v)
+        with np.errstate(all="ignore"):
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            scaled = clipped(np.where(k[row] == 1.0, v, whole(v * k[row])), no_v | no_s[row])
+            out = clipped(scaled + whole(b)[row], no_i[row]).astype(np.int16)
+        at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        return pa.ListArray.from_arrays(at, pa.array(out), mask=px.is_null())
+    return convert(_c(arr), s.cast("double"), i.cast("double"))
 
 
 def fair_grad(x, c: float = 0.7) -> Column:

@@ -42,6 +42,6 @@ def volume(slices: DataFrame, patient: str, z: str, ties: list, pixels: str, slo
     """Order slices and find their spacing, convert to units, histogram of all voxels, regrid
     to ``new_spacing`` (z, y, x). Returns (histogram, regridded slices, a row each)."""
     s = voxels.to_units(slices, pixels, slope, intercept, out="hu").select(*dict.fromkeys([patient, z, *ties, "hu"]))
-    s = staged(voxels.order_slices(s, patient, z, ties).select(patient, "slice_idx", "spacing", "hu"), "volume")  # read four times below
+    s = staged(voxels.order_slices(s, patient, z, ties, keep=["hu"]), "volume")  # read four times below
     hist = voxels.histogram(s.select(F.explode("hu").alias("v")).select(F.col("v").cast("double").alias("v")), "v", 80)
     return hist, voxels.regrid(s, patient, "slice_idx", "hu", width, ("spacing", *pixel_spacing), list(new_spacing))
